@@ -7,13 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import bpe, exact_dedup, fingerprints, mixing, token_counts, warc
+from barloom.llm import bpe, exact_dedup, fingerprints, jaccard, langid, mixing, token_counts, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(_table(spark, sf_dir, "documents"))
+
+
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.fit_and_identify(_table(spark, sf_dir, "documents"))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(_table(spark, sf_dir, "documents"))
 
@@ -40,6 +48,8 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_jaccard_join": op3_jaccard_join,
+    "op4_language_id": op4_language_id,
     "op5_token_counts": op5_token_counts,
     "op6_fingerprints": op6_fingerprints,
     "op7_exact_dedup": op7_exact_dedup,
@@ -49,6 +59,19 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op3_jaccard_join": r"""
+        WITH RECURSIVE
+        w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                     ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s FROM w),
+        g AS (SELECT min(doc_id) AS rep, any_value(s) AS s, list_sort(s) AS k FROM s WHERE len(s) > 0 GROUP BY k),
+        t AS (SELECT rep, len(s) AS n, unnest(s) AS t FROM g),
+        p AS (SELECT a.rep AS a, b.rep AS b FROM t a JOIN t b ON a.t = b.t AND a.rep <> b.rep
+              GROUP BY a.rep, b.rep HAVING 100 * count(*) >= 80 * (any_value(a.n) + any_value(b.n) - count(*))),
+        r AS (SELECT rep AS a, rep AS b FROM g UNION SELECT r.a, p.b FROM r JOIN p ON r.b = p.a),
+        c AS (SELECT a, min(b) AS c FROM r GROUP BY a)
+        SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, coalesce(c.c, s.doc_id) AS component_id
+        FROM s LEFT JOIN g ON len(s.s) > 0 AND list_sort(s.s) = g.k LEFT JOIN c ON c.a = g.rep""",
     "op7_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
                doc_id = max(doc_id) OVER g AS kept, sha256(coalesce(text, '')) AS text_sha256
