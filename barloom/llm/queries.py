@@ -7,13 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import bpe, exact_dedup, fingerprints, hpylm, jaccard, langid, mixing, token_counts, warc
+from barloom.llm import bpe, exact_dedup, fingerprints, hpylm, jaccard, langid, mixing, suffix_dedup, token_counts, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents"), with_kept=False)
+
+
 def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hpylm.score_texts(_table(spark, sf_dir, "documents"))
 
@@ -52,6 +56,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op2_lm_scoring": op2_lm_scoring,
     "op3_jaccard_join": op3_jaccard_join,
     "op4_language_id": op4_language_id,
