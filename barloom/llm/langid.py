@@ -191,10 +191,34 @@ def label(model: Model, buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray,
     return forward_backward(scores[which], before, model.transitions), before
 
 
+def judged(m: Model, buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(label of each text, or the number of labels for none, its score, marginals of each word, words before each text)."""
+    n = len(offs) - 1
+    best, score = np.full(n, len(m.labels)), np.ones(n)
+    gamma, before = label(m, buf, offs) if m.labels else (np.zeros((0, 0)), np.zeros(n + 1, np.int64))
+    full = np.flatnonzero(np.diff(before) > 0)
+    if len(full):
+        mean = np.add.reduceat(gamma, before[full], axis=0) / np.diff(before)[full][:, None]
+        best[full], score[full] = mean.argmax(1), np.minimum(mean.max(1), 1.0)
+    for i in full.tolist():
+        if not has_letter(buf[offs[i] : offs[i + 1]]):
+            best[i], score[i] = len(m.labels), 1.0
+    return best, score, gamma, before
+
+
 def sample(labelled: DataFrame, text_column: str, lang_column: str, rows: int = SAMPLE_ROWS) -> list[tuple[str, str]]:
-    """At most `rows` of the labelled rows with a text, by the least hash of text and label: the same ones at each run."""
+    """At most `rows` of the labelled rows with a text, by the least hash of text and label: the same ones at each run.
+
+    Rows with a hash above a line that lets about four times as many by are left out before the sort, so that what the
+    tasks send does not grow with their number."""
     t, lang = F.col(text_column).cast("string").alias("t"), F.col(lang_column).cast("string").alias("l")
-    got = labelled.select(t, lang).where("t is not null and l is not null").orderBy(F.xxhash64("t", "l"), "t", "l").limit(rows).collect()
+    known = labelled.select(t, lang).where("t is not null and l is not null").withColumn("h", F.xxhash64("t", "l"))
+    most = known.count()
+    lines = [int(-(2**63) + 2**64 * 4 * rows / most)] if most > 8 * rows else []
+    for line in [*lines, 2**63 - 1]:
+        got = known.where(F.col("h") <= F.lit(min(line, 2**63 - 1))).orderBy("h", "t", "l").limit(rows).collect()
+        if len(got) >= min(rows, most):
+            break
     return [(r[0], r[1]) for r in got]
 
 
@@ -218,16 +242,7 @@ def identify(docs: DataFrame, model: Model, id_column: str = "doc_id", text_colu
         m = fitted.value
         names = np.array([*m.labels, UNDETERMINED], object)
         for rows, buf, offs in each_slice(batches, "text", SLICE):
-            n = len(offs) - 1
-            best, score = np.full(n, len(m.labels)), np.ones(n)
-            gamma, before = label(m, buf, offs) if m.labels else (np.zeros((0, 0)), np.zeros(n + 1, np.int64))
-            full = np.flatnonzero(np.diff(before) > 0)
-            if len(full):
-                mean = np.add.reduceat(gamma, before[full], axis=0) / np.diff(before)[full][:, None]
-                best[full], score[full] = mean.argmax(1), np.minimum(mean.max(1), 1.0)
-            for i in full.tolist():
-                if not has_letter(buf[offs[i] : offs[i + 1]]):
-                    best[i], score[i] = len(m.labels), 1.0
+            best, score, gamma, before = judged(m, buf, offs)
             cols = [rows.column("id"), pa.array(names[best], pa.string()), pa.array(score)]
             if words:
                 each = gamma.argmax(1) if len(gamma) else np.zeros(0, np.int64)
@@ -237,6 +252,19 @@ def identify(docs: DataFrame, model: Model, id_column: str = "doc_id", text_colu
     return docs.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text")).mapInArrow(run, T.StructType(fields))
 
 
+def keep_identified(docs: DataFrame, model: Model, least: float, text_column: str = "text") -> DataFrame:
+    """The rows of docs, all columns as they are, whose text is in one of the model's languages with a score of `least`."""
+    fitted = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = fitted.value
+        for rows, buf, offs in each_slice(batches, text_column, SLICE):
+            best, score, _, _ = judged(m, buf, offs)
+            yield rows.filter(pa.array((best < len(m.labels)) & (score >= least)))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def fit_and_identify(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", lang_column: str = "lang", rows: int = SAMPLE_ROWS) -> DataFrame:
     """Learns from the rows that held_out() leaves and labels all rows: (id, held_out, lang_pred, score)."""
     model = fit(sample(docs.where(~held_out(id_column)), text_column, lang_column, rows))
