@@ -1,0 +1 @@
+"""Column functions: keys, times, rounding, hashes and checks."""
