@@ -17,9 +17,9 @@ from barloom.llm.components import components
 WORDS, PERCENT = 5, 80
 #: log2 of the counters that estimate how many documents have a token, for each global order. Fixed sizes: the orders only
 #: have to put what is common last, and a token's share shows against the others that fall into its counter at any size.
-COUNTERS = (20, 18, 18)
+COUNTERS = (22, 18, 18)
 #: Up to so many documents of one prefix token, each two are compared at once; larger groups go through pivots first.
-SMALL = 8
+SMALL = 24
 PIVOTS = 2
 #: log2 of the bits of the filter that picks candidates' texts before anything is shuffled, and tokens of a bucket.
 FILTER_BITS, BUCKET_TOKENS = 26, 1 << 21
@@ -95,12 +95,13 @@ def count_tokens(docs: DataFrame) -> list[np.ndarray]:
         for _, buf, offs in each_slice(batches, "text", SLICE):
             tokens, _ = shingle_sets(buf, offs)
             for k, c in enumerate(counts):
-                c += np.bincount((_salted(tokens, k) >> np.uint64(64 - COUNTERS[k])).astype(np.int64), minlength=len(c)).astype(np.uint32)
-        rows = [(k * blocks + i, c[i * w : (i + 1) * w].tobytes()) for k, (c, w) in enumerate(zip(counts, width)) for i in range(blocks) if c.any()]
+                np.add.at(c, (_salted(tokens, k) >> np.uint64(64 - COUNTERS[k])).astype(np.int64), np.uint32(1))
+        # Bytes of one weight side by side: most high ones are 0 and compress away in the shuffle.
+        rows = [(k * blocks + i, c[i * w : (i + 1) * w].view(np.uint8).reshape(-1, 4).T.tobytes()) for k, (c, w) in enumerate(zip(counts, width)) for i in range(blocks) if c.any()]
         yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], ["block", "counts"])
 
     def add(table: pa.Table) -> pa.Table:
-        total = sum(np.frombuffer(x, np.uint32).astype(np.int64) for x in table["counts"].to_pylist())
+        total = sum((np.frombuffer(x, np.uint8).reshape(4, -1).astype(np.int64) << np.array([[0], [8], [16], [24]])).sum(0) for x in table["counts"].to_pylist())
         # Only the order of sizes matters: rough steps keep it and make the broadcast a byte a counter.
         step = np.minimum(255, np.round(8 * np.log2(1 + total))).astype(np.uint8)
         return pa.table({"block": pa.array([table["block"][0].as_py()], pa.int32()), "counts": pa.array([step.tobytes()], pa.binary())})
@@ -144,32 +145,35 @@ def _deal(sets: DataFrame, buckets: int) -> DataFrame:
             ids, n = b.column(0).to_numpy(), b.column(1).to_numpy()
             order = np.argsort(tokens)
             tokens, owner = tokens[order], np.repeat(np.arange(len(ids)), many)[order]
+            place = (np.arange(len(order)) - np.repeat(np.cumsum(many) - many, many))[order].astype(np.int32)
             bucket = ((tokens >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
             cuts = np.searchsorted(bucket, np.arange(buckets + 1, dtype=np.uint64))
             k = np.flatnonzero(np.diff(cuts))
             part = lambda x: pa.array([x[cuts[i] : cuts[i + 1]].tobytes() for i in k.tolist()], pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(k, pa.int32()), part(tokens), part(ids[owner]), part(n[owner].astype(np.int32))], ["bucket", "tokens", "ids", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(k, pa.int32()), part(tokens), part(ids[owner]), part(n[owner].astype(np.int32)), part(place)], ["bucket", "tokens", "ids", "n", "place"])
 
-    return sets.select("id", "n", "first").mapInArrow(run, "bucket int, tokens binary, ids binary, n binary")
+    return sets.select("id", "n", "first").mapInArrow(run, "bucket int, tokens binary, ids binary, n binary, place binary")
 
 
 def _meet(percent: int):
-    """Within a range of tokens: the pairs that share a token and whose sizes fit, and the groups too large for all pairs."""
+    """Within a range of tokens: the pairs that share a token at a fitting place, and the groups too large for all pairs.
 
-    def fits(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        return 100 * np.minimum(a, b).astype(np.int64) >= percent * np.maximum(a, b).astype(np.int64)
+    The first token that two sets share, in the order, stands where each has as many tokens from there on as the two must
+    share; a token that stands later is not needed to find the pair.
+    """
 
     def run(table: pa.Table) -> pa.Table:
         join = lambda c, t: np.frombuffer(b"".join(table[c].to_pylist()), t)
-        tokens, ids, n = join("tokens", np.uint64), join("ids", np.int64), join("n", np.int32)
+        tokens, ids, n, left = join("tokens", np.uint64), join("ids", np.int64), join("n", np.int32).astype(np.int64), join("place", np.int32)
+        left = n - left
         order = np.lexsort((ids, tokens))
-        tokens, ids, n = tokens[order], ids[order], n[order]
+        tokens, ids, n, left = tokens[order], ids[order], n[order], left[order]
         heads = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]]))
         size = np.diff(np.append(heads, len(tokens)))
         pa_, pb_ = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
 
         def emit(i: np.ndarray, j: np.ndarray) -> None:
-            ok = fits(n[i], n[j]) & (ids[i] != ids[j])
+            ok = (np.minimum(left[i], left[j]) * (100 + percent) >= percent * (n[i] + n[j])) & (ids[i] != ids[j])
             pa_.append(ids[i[ok]])
             pb_.append(ids[j[ok]])
 
@@ -188,7 +192,8 @@ def _meet(percent: int):
             {
                 "token": pa.array(np.concatenate([np.zeros(k, np.int64), signed(tokens[member].copy())]), mask=np.arange(k + len(member)) < k),
                 "a": pa.array(np.concatenate([pairs[:, 0], ids[member]])),
-                "b": pa.array(np.concatenate([pairs[:, 1], n[member].astype(np.int64)])),
+                "b": pa.array(np.concatenate([pairs[:, 1], n[member]])),
+                "left": pa.array(np.concatenate([np.zeros(k, np.int64), left[member]])),
             }
         )
 
@@ -304,12 +309,12 @@ def links(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     reps = written(sets.where("n > 0 and id is not null").groupBy("d1", "d2").agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("first").alias("first")), "reps")
     tokens = reps.agg(F.sum(F.octet_length("first"))).head()[0] or 0
     buckets = max(n_partitions(spark), math.ceil(tokens / 8 / BUCKET_TOKENS))
-    met = written(_deal(reps.withColumnRenamed("rep", "id"), buckets).groupBy("bucket").applyInArrow(_meet(percent), "token long, a long, b long"), "met")
+    met = written(_deal(reps.withColumnRenamed("rep", "id"), buckets).groupBy("bucket").applyInArrow(_meet(percent), "token long, a long, b long, left long"), "met")
     pairs = written(met.where("token is null").select("a", "b").distinct(), "pairs")
-    groups = met.where("token is not null").select("token", F.col("a").alias("id"), F.col("b").alias("n"))
+    groups = met.where("token is not null").select("token", F.col("a").alias("id"), F.col("b").alias("n"), "left")
     chosen = written(_chosen(rows, pairs, counters, percent), "chosen")
     found = written(_verify(pairs, chosen, percent), "links")
-    fit = F.expr(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
+    fit = F.expr(f"least(l_a, l_b) * {100 + percent} >= {percent} * (n_a + n_b)")
     for step in range(PIVOTS + 1):
         comp = components(found)
         open_ = groups.join(comp, "id", "left").withColumn("component", F.coalesce("component", "id"))
@@ -317,10 +322,10 @@ def links(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
         open_ = written(open_.join(apart, "token", "left_semi"), "open")
         if open_.isEmpty():
             break
-        left = open_.select("token", F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("component").alias("c_a"))
-        right = open_.select("token", F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("c_b"))
+        left = open_.select("token", F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("left").alias("l_a"), F.col("component").alias("c_a"))
+        right = open_.select("token", F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("left").alias("l_b"), F.col("component").alias("c_b"))
         if step < PIVOTS:
-            pick = F.min_by(F.struct("b", "n_b", "c_b"), F.xxhash64("b", F.lit(step))).alias("p")
+            pick = F.min_by(F.struct("b", "n_b", "l_b", "c_b"), F.xxhash64("b", F.lit(step))).alias("p")
             right = right.groupBy("token").agg(pick).select("token", "p.*")
             more = left.join(right, "token").where("c_a <> c_b")
         else:
