@@ -49,16 +49,33 @@ def parse_version(version: Column | str) -> Column:
     return F.when(v.rlike(VERSION_PATTERN), F.struct(*[F.regexp_extract(v, VERSION_PATTERN, i + 1).alias(n) for i, n in enumerate(names)]))
 
 
+def half_even_ratio(n: Column, d: Column) -> Column:
+    """n / d of whole decimals, rounded half-even to a whole decimal; d is positive."""
+    q = F.floor(n / d).cast("decimal(38,0)")
+    # The quotient may have been rounded; put it right by the remainder, which is exact.
+    r = n - q * d
+    q = q + F.when(r < 0, -1).when(r >= d, 1).otherwise(0).cast("decimal(1,0)")
+    r = n - q * d
+    up = (r * 2 > d) | ((r * 2 == d) & (F.pmod(q, F.lit(2).cast("decimal(1,0)")) == 1))
+    return q + F.when(up, 1).otherwise(0).cast("decimal(1,0)")
+
+
+def _ratio(n: Column, d: Column) -> Column:
+    """n / d of decimals with eight places, rounded once."""
+    whole = lambda c: (c.cast("decimal(18,8)") * F.lit(100000000).cast("decimal(9,0)")).cast("decimal(20,0)")
+    units = half_even_ratio((whole(n) * F.lit(100000000).cast("decimal(9,0)")).cast("decimal(36,0)"), whole(d))
+    return (units.cast("decimal(28,0)") * F.lit("0.00000001").cast("decimal(8,8)")).cast("decimal(38,8)")
+
+
 def split_factors(old: Column, new: Column) -> tuple[Column, Column]:
     """(price factor, volume factor) of a split from `old` to `new` shares, eight places each."""
-    wide = "decimal(28,18)"
-    return quantize(old.cast(wide) / new.cast(wide)), quantize(new.cast(wide) / old.cast(wide))
+    return _ratio(old, new), _ratio(new, old)
 
 
 def dividend_factor(close: Column, amount: Column) -> Column:
     """(close - amount) / close with eight places; null where the amount is not less than the close."""
-    c, a = close.cast("decimal(28,18)"), amount.cast("decimal(28,18)")
-    return F.when(a < c, quantize((c - a) / c))
+    c, a = close.cast("decimal(18,8)"), amount.cast("decimal(18,8)")
+    return F.when(a < c, _ratio(c - a, c))
 
 
 def decimal_map(document: Column | str) -> Column:

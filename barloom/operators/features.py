@@ -2,45 +2,236 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import hashlib
+import json
+from collections.abc import Callable
+from dataclasses import dataclass
+
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from barloom.functions.values import quantize
+from barloom.functions.keys import iso_utc
+from barloom.functions.values import half_even_ratio, quantize
 
-_BY_TIME = Window.partitionBy("instrument_id").orderBy("bar_start_at")
 #: Prices in units of 1e-8, so that sums are exact.
 _UNITS = "decimal(30,0)"
 
 
-def units(price: str):
-    return (F.col(price).cast("decimal(28,8)") * F.lit(100000000).cast("decimal(9,0)")).cast(_UNITS)
+def _by_time():
+    return Window.partitionBy("instrument_id").orderBy("bar_start_at")
 
 
-def half_even_ratio(n, d):
-    """n / d of whole decimals, rounded half-even to a whole decimal; d is positive."""
-    q = F.floor(n / d).cast("decimal(38,0)")
-    # The quotient may have been rounded; put it right by the remainder, which is exact.
-    r = n - q * d
-    q = q + F.when(r < 0, -1).when(r >= d, 1).otherwise(0).cast("decimal(1,0)")
-    r = n - q * d
-    up = (r * 2 > d) | ((r * 2 == d) & (F.pmod(q, F.lit(2).cast("decimal(1,0)")) == 1))
-    return q + F.when(up, 1).otherwise(0).cast("decimal(1,0)")
+def units(price: str):
+    return (F.col(price).cast("decimal(28,8)") * F.lit(100000000).cast("decimal(9,0)")).cast(_UNITS)
 
 
 def sma(bars: DataFrame, price: str, window: int) -> DataFrame:
     """bars with value: the mean of the last `window` prices; rows before the window is full are left out."""
-    total = F.sum(units(price)).over(_BY_TIME.rowsBetween(-(window - 1), 0))
-    out = bars.withColumn("_n", F.row_number().over(_BY_TIME)).withColumn("_sum", total).where(F.col("_n") >= window)
+    total = F.sum(units(price)).over(_by_time().rowsBetween(-(window - 1), 0))
+    out = bars.withColumn("_n", F.row_number().over(_by_time())).withColumn("_sum", total).where(F.col("_n") >= window)
     mean = half_even_ratio(F.col("_sum").cast("decimal(36,0)"), F.lit(window).cast("decimal(9,0)"))
-    return out.withColumn("value", (mean.cast("decimal(30,0)") * F.lit("0.00000001").cast("decimal(8,8)")).cast("decimal(38,8)")).drop("_n", "_sum")
+    return out.withColumn("value", (mean.cast("decimal(28,0)") * F.lit("0.00000001").cast("decimal(8,8)")).cast("decimal(38,8)")).drop("_n", "_sum")
 
 
 def return_pct(bars: DataFrame, price: str, lag: int = 1) -> DataFrame:
     """bars with value: the change from the price `lag` rows before, in percent; rows without one are left out.
 
     A base of zero raises an error when its row is used."""
-    base = F.lag(price, lag).over(_BY_TIME)
+    base = F.lag(price, lag).over(_by_time())
     out = bars.withColumn("_base", base).where(F.col("_base").isNotNull())
     p, b = F.col(price).cast("decimal(18,8)"), F.col("_base").cast("decimal(18,8)")
     safe = F.when(b == 0, F.raise_error(F.lit("a return from a price of zero"))).otherwise(b)
     return out.withColumn("value", quantize(((p - b) * 100).cast("decimal(25,8)").cast("decimal(28,18)") / safe)).drop("_base")
+
+
+# ---- recursive indicators -----------------------------------------------------------------------------------------
+# Every step rounds to eight places, so a value follows from the one before and from nothing shorter: one ordered pass
+# over each instrument, in whole numbers of 1e-8. A group is one instrument's bars of one resolution.
+def _half_even(n: int, d: int) -> int:
+    q, r = divmod(n, d)
+    return q + (2 * r > d or (2 * r == d and q & 1))
+
+
+def ema_units(x: list[int], window: int) -> list[int]:
+    """From row `window` on: the mean of the first `window` values, then steps of 2 / (window + 1) of the distance."""
+    if len(x) < window:
+        return []
+    out = [_half_even(sum(x[:window]), window)]
+    for p in x[window:]:
+        out.append(out[-1] + _half_even(2 * (p - out[-1]), window + 1))
+    return out
+
+
+def rsi_units(x: list[int], period: int) -> list[int]:
+    """From row period + 1 on: Wilder's index of gains and losses; 50 where nothing moved, 100 without losses."""
+    if len(x) <= period:
+        return []
+    moves = [b - a for a, b in zip(x, x[1:])]
+    gain = _half_even(sum(m for m in moves[:period] if m > 0), period)
+    loss = _half_even(-sum(m for m in moves[:period] if m < 0), period)
+    out = []
+    for i in range(period - 1, len(moves)):
+        if i >= period:
+            gain += _half_even(max(moves[i], 0) - gain, period)
+            loss += _half_even(max(-moves[i], 0) - loss, period)
+        out.append(50 * 10**8 if gain == loss == 0 else 100 * 10**8 if loss == 0 else _half_even(100 * 10**8 * gain, gain + loss))
+    return out
+
+
+def macd_units(x: list[int], fast: int, slow: int, signal: int) -> dict[str, list[int]]:
+    """MACD from row `slow` on, SIGNAL and HISTOGRAM from row slow + signal - 1 on."""
+    line = [a - b for a, b in zip(ema_units(x, fast)[slow - fast :], ema_units(x, slow))]
+    smooth = ema_units(line, signal)
+    return {"MACD": line, "SIGNAL": smooth, "HISTOGRAM": [a - b for a, b in zip(line[signal - 1 :], smooth)]}
+
+
+@dataclass(frozen=True)
+class Calculator:
+    """A calculator of one version: its parameters in order, the rows it needs, and its series in units of 1e-8."""
+
+    code: str
+    version: str
+    parameters: tuple[str, ...]
+    rows_needed: Callable[[dict], int]
+    series: Callable[[list[int], dict], list[int]]
+
+
+def _line_rows(p: dict) -> int:
+    return p["slow"] if p["line"] == "MACD" else p["slow"] + p["signal"] - 1
+
+
+def _return_units(x: list[int], p: dict) -> list[int]:
+    n = p["lag"]
+    if any(v == 0 for v in x[:-n]):
+        raise ValueError("a return from a price of zero")
+    return [_signed_half_even(100 * 10**8 * (b - a), a) for a, b in zip(x, x[n:])]
+
+
+def _signed_half_even(n: int, d: int) -> int:
+    return _half_even(n, d) if d > 0 else _half_even(-n, -d)
+
+
+CALCULATORS = {
+    (c.code, c.version): c
+    for c in (
+        Calculator("SMA", "1.0.0", ("price", "window"), lambda p: p["window"], lambda x, p: [_half_even(sum(x[i - p["window"] : i]), p["window"]) for i in range(p["window"], len(x) + 1)]),
+        Calculator("EMA", "1.0.0", ("price", "window"), lambda p: p["window"], lambda x, p: ema_units(x, p["window"])),
+        Calculator("RETURN_PCT", "1.0.0", ("lag", "price"), lambda p: p["lag"] + 1, _return_units),
+        Calculator("RSI", "1.0.0", ("period", "price"), lambda p: p["period"] + 1, lambda x, p: rsi_units(x, p["period"])),
+        Calculator("MACD", "1.0.0", ("fast", "line", "price", "signal", "slow"), _line_rows, lambda x, p: macd_units(x, p["fast"], p["slow"], p["signal"])[p["line"]]),
+    )
+}
+
+
+@dataclass(frozen=True)
+class Definition:
+    code: str
+    parameters: tuple[tuple[str, object], ...]
+    resolution: str = "1d"
+    version: str = "1.0.0"
+
+    @property
+    def calculator(self) -> Calculator:
+        found = CALCULATORS.get((self.code, self.version))
+        if found is None:
+            raise KeyError(f"unknown calculator: {self.code} {self.version}")
+        if tuple(sorted(k for k, _ in self.parameters)) != found.parameters:
+            raise ValueError(f"{self.code} takes {found.parameters}")
+        return found
+
+    @property
+    def payload(self) -> str:
+        return json.dumps({"code": self.code, "parameters": dict(self.parameters), "resolution": self.resolution, "version": self.version}, sort_keys=True, separators=(",", ":"))
+
+    @property
+    def id(self) -> str:
+        """SHA-256 of the definition's canonical JSON."""
+        return hashlib.sha256(self.payload.encode()).hexdigest()
+
+
+def definition(code: str, resolution: str = "1d", **parameters) -> Definition:
+    d = Definition(code, tuple(sorted(parameters.items())), resolution)
+    d.calculator
+    return d
+
+
+def official_definitions(resolution: str = "1d") -> list[Definition]:
+    """The published set: SMA 20, EMA 12 and 26, RSI 14 and the three lines of MACD 12/26/9, all of the close."""
+    macd = [definition("MACD", resolution, price="close", fast=12, slow=26, signal=9, line=x) for x in ("MACD", "SIGNAL", "HISTOGRAM")]
+    return [definition("SMA", resolution, price="close", window=20), definition("EMA", resolution, price="close", window=12), definition("EMA", resolution, price="close", window=26), definition("RSI", resolution, price="close", period=14), *macd]
+
+
+def definition_table(spark: SparkSession, definitions: list[Definition]) -> DataFrame:
+    rows = [(d.id, d.code, d.version, d.resolution, d.payload, d.calculator.rows_needed(dict(d.parameters))) for d in definitions]
+    return spark.createDataFrame(rows, "definition_id string, code string, version string, resolution string, payload string, required_history_points int")
+
+
+def register(existing: DataFrame, new: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(table with new definitions, refused ones): the same payload under the same id is no change, another is refused."""
+    e = existing.select("definition_id", F.col("payload").alias("_old"))
+    j = new.join(e, "definition_id", "left")
+    refused = j.where(F.col("_old").isNotNull() & (F.col("_old") != F.col("payload"))).drop("_old")
+    return existing.unionByName(j.where(F.col("_old").isNull()).drop("_old")), refused
+
+
+def compute(bars: DataFrame, definitions: list[Definition]) -> DataFrame:
+    """(definition_id, instrument_id, bar_start_at, value decimal(38,8)): all definitions in one pass over each instrument.
+
+    Rows before a definition is warm are left out; an instrument that is too short for it has none."""
+    prices = sorted({str(dict(d.parameters)["price"]) for d in definitions})
+    rows = bars.select("instrument_id", F.unix_micros("bar_start_at").alias("t"), *[units(p).cast("bigint").alias(p) for p in prices])
+    plan = [(d.id, d.code, d.version, dict(d.parameters)) for d in definitions]
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by("t")
+        t, out = table["t"], []
+        for ident, code, version, p in plan:
+            got = CALCULATORS[code, version].series(table[p["price"]].to_pylist(), p)
+            if got:
+                n = len(got)
+                out.append(pa.table({"definition_id": pa.array([ident] * n), "instrument_id": table["instrument_id"][-n:].cast(pa.string()), "t": t[len(t) - n :], "v": pa.array(got, pa.int64())}))
+        empty = pa.table({"definition_id": pa.array([], pa.string()), "instrument_id": pa.array([], pa.string()), "t": pa.array([], pa.int64()), "v": pa.array([], pa.int64())})
+        return pa.concat_tables([x.combine_chunks() for x in out]) if out else empty
+
+    found = rows.groupBy("instrument_id").applyInArrow(run, "definition_id string, instrument_id string, t long, v long")
+    value = (F.col("v").cast("decimal(20,0)") * F.lit("0.00000001").cast("decimal(8,8)")).cast("decimal(38,8)")
+    return found.select("definition_id", "instrument_id", F.timestamp_micros("t").alias("bar_start_at"), value.alias("value"))
+
+
+def validate_series(bars: DataFrame, start: str | None = None, end: str | None = None) -> DataFrame:
+    """Instruments whose series may not be used, with the reason: an instant met twice, outside the period, or a null price."""
+    w = Window.partitionBy("instrument_id").orderBy("bar_start_at")
+    b = bars.withColumn("_prev", F.lag("bar_start_at").over(w))
+    outside = F.lit(False)
+    if start:
+        outside = outside | (F.col("bar_start_at") < F.lit(start).cast("timestamp"))
+    if end:
+        outside = outside | (F.col("bar_start_at") >= F.lit(end).cast("timestamp"))
+    reason = F.when(F.col("bar_start_at") == F.col("_prev"), "NOT_INCREASING").when(outside, "OUTSIDE_PERIOD").when(F.col("close").isNull(), "MISSING_PRICE")
+    return b.withColumn("reason", reason).where("reason IS NOT NULL").groupBy("instrument_id").agg(F.min("reason").alias("reason"))
+
+
+def materialize(bars: DataFrame, definitions: list[Definition]) -> DataFrame:
+    """One row for each definition and instrument: SUCCEEDED with row count and hash of its rows, or FAILED if too short.
+
+    The hash is SHA-256 of the rows `instant|value` in order, a line each, so a second run gives the same one."""
+    spark = bars.sparkSession
+    values = compute(bars, definitions)
+    line = F.concat_ws("|", iso_utc("bar_start_at"), F.col("value").cast("string"))
+    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("bar_start_at", line.alias("line")))), lambda x: x["line"]), "\n")
+    done = values.groupBy("definition_id", "instrument_id").agg(F.count("*").alias("row_count"), F.sha2(text.cast("binary"), 256).alias("result_hash"))
+    asked = definition_table(spark, definitions).select("definition_id", "required_history_points").crossJoin(bars.groupBy("instrument_id").agg(F.count("*").alias("bars")))  # definitions times instruments is what is asked for
+    out = asked.join(done, ["definition_id", "instrument_id"], "left")
+    status = F.when(F.col("result_hash").isNull(), "FAILED").otherwise("SUCCEEDED")
+    return out.select("definition_id", "instrument_id", status.alias("status"), F.coalesce("row_count", F.lit(0)).alias("row_count"), "result_hash")
+
+
+def snapshot_batch(planned: DataFrame, materialized: DataFrame) -> DataFrame:
+    """One row: whether every planned (definition_id, instrument_id) succeeded, rows, and the hash of the members if so."""
+    j = planned.join(materialized, ["definition_id", "instrument_id"], "left")
+    ok = F.coalesce(F.col("status") == "SUCCEEDED", F.lit(False))
+    member = F.concat_ws(":", "definition_id", "instrument_id", "result_hash")
+    out = j.groupBy().agg(F.count("*").alias("members"), F.count_if(~ok).alias("unready"), F.sum("row_count").alias("row_count"), F.sha2(F.array_join(F.array_sort(F.collect_list(member)), "\n").cast("binary"), 256).alias("_hash"))
+    sealed = (F.col("members") > 0) & (F.col("unready") == 0)
+    return out.select("members", "unready", sealed.alias("sealed"), F.when(sealed, F.col("row_count")).alias("row_count"), F.when(sealed, F.col("_hash")).alias("batch_hash"))

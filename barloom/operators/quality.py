@@ -15,8 +15,6 @@ from barloom.operators.sessions import expected_bars
 MAX_LOG_RETURN, MAX_RANGE = 0.30, 0.20
 SPIKE_MULTIPLE, SPIKE_MIN_BARS = 50.0, 20
 
-BY_TIME = Window.partitionBy("instrument_id").orderBy("bar_start_at")
-
 
 def invalid_row_reasons() -> Column:
     """Comma-joined reasons of a row; null for a good one."""
@@ -109,7 +107,8 @@ def partition_boundary_violation(bars: DataFrame, start: str, end: str) -> DataF
 
 def return_outliers(bars: DataFrame, limit: float = MAX_LOG_RETURN) -> DataFrame:
     """Bars whose log return to the bar before, of the same session, is over the limit."""
-    prev, day = F.lag("close").over(BY_TIME), F.lag("session_date_et").over(BY_TIME)
+    w = Window.partitionBy("instrument_id").orderBy("bar_start_at")
+    prev, day = F.lag("close").over(w), F.lag("session_date_et").over(w)
     b = bars.withColumn("_prev", prev).withColumn("_day", day)
     ok = (F.col("_day") == F.col("session_date_et")) & (F.col("close") > 0) & (F.col("_prev") > 0)
     return _offending(b.where(ok & (F.abs(F.log(F.col("close") / F.col("_prev"))) > limit)), "PRICE_OUTLIER_RETURN", "WARNING")

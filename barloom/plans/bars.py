@@ -36,7 +36,7 @@ ses AS (
   WHERE isodow(d) < 6 AND d NOT IN (DATE '2024-01-01', DATE '2024-01-15')),
 ib AS (SELECT b.*, d, o, c FROM bars b JOIN ses ON s >= o AND s < c)"""
 DAILY = """WITH t AS (
-  SELECT CAST(l_suppkey AS VARCHAR) AS instrument_id, CAST(l_shipdate AS DATE) AS d, round(l_extendedprice / l_quantity, 2) AS p,
+  SELECT CAST(l_suppkey AS VARCHAR) AS instrument_id, CAST(l_shipdate AS DATE) AS d, floor(l_extendedprice / l_quantity * 100 + 0.5) / 100 AS p,
          CAST(l_quantity AS BIGINT) AS q, (l_orderkey, l_linenumber, l_partkey, l_extendedprice) AS o FROM lineitem),
 daily AS (
   SELECT instrument_id, d, arg_min(p, o) AS open, max(p) AS high, min(p) AS low, arg_max(p, o) AS close, CAST(sum(q) AS BIGINT) AS volume,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from barloom.plans import bars
+from barloom.plans import analytics, bars
 
-QUERIES = dict(bars.QUERIES)
-ORACLE_SQL = dict(bars.ORACLE_SQL)
+QUERIES = bars.QUERIES | analytics.QUERIES
+ORACLE_SQL = bars.ORACLE_SQL | analytics.ORACLE_SQL

@@ -29,7 +29,7 @@ def sessions(spark: SparkSession, start: str = "2024-01-01", end: str = "2024-01
 
 def daily_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily bars of line items: an instrument for each supplier, a trade for each line, in order of its keys."""
-    price = F.round(F.col("l_extendedprice") / F.col("l_quantity"), 2)
+    price = F.floor(F.col("l_extendedprice") / F.col("l_quantity") * 100 + 0.5) / 100  # cents, the same in every engine
     order = F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
     lines = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").cast("string").alias("instrument_id"), F.to_date("l_shipdate").alias("session_date_et"), price.alias("price"), F.col("l_quantity").cast("long").alias("q"), order.alias("o"))
     out = lines.groupBy("instrument_id", "session_date_et").agg(
