@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from barloom.plans import analytics, bars
+from barloom.plans import analytics, bars, catalogs
 
-QUERIES = bars.QUERIES | analytics.QUERIES
-ORACLE_SQL = bars.ORACLE_SQL | analytics.ORACLE_SQL
+QUERIES = bars.QUERIES | analytics.QUERIES | catalogs.QUERIES
+ORACLE_SQL = bars.ORACLE_SQL | analytics.ORACLE_SQL | catalogs.ORACLE_SQL
