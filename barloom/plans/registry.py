@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from barloom.plans import analytics, bars, catalogs
+from barloom.plans import analytics, bars, catalogs, streams, tables
 
-QUERIES = bars.QUERIES | analytics.QUERIES | catalogs.QUERIES
-ORACLE_SQL = bars.ORACLE_SQL | analytics.ORACLE_SQL | catalogs.ORACLE_SQL
+QUERIES = bars.QUERIES | analytics.QUERIES | catalogs.QUERIES | streams.QUERIES | tables.QUERIES
+ORACLE_SQL = bars.ORACLE_SQL | analytics.ORACLE_SQL | catalogs.ORACLE_SQL | streams.ORACLE_SQL | tables.ORACLE_SQL
