@@ -12,7 +12,8 @@ from barloom.operators.merge import keep_last, latest_n
 
 _REQUIRED = [("instrument_id", "string"), ("provider_symbol", "string"), ("bar_start_at", "timestamp"), ("session_date_et", "date"), ("open", "double"), ("high", "double"), ("low", "double"), ("close", "double"), ("volume", "bigint")]
 _OPTIONAL = [("trade_count", "bigint"), ("vwap", "double")]
-BAR_SCHEMA = T.StructType.fromDDL(", ".join(f"{n} {t}" for n, t in _REQUIRED + _OPTIONAL))
+_TYPES = {"string": T.StringType(), "timestamp": T.TimestampType(), "date": T.DateType(), "double": T.DoubleType(), "bigint": T.LongType()}
+BAR_SCHEMA = T.StructType([T.StructField(n, _TYPES[t]) for n, t in _REQUIRED + _OPTIONAL])
 DERIVED_SCHEMA = T.StructType(BAR_SCHEMA.fields + [T.StructField("source_minutes", T.ShortType())])
 #: Fixed value: days of history that a timeframe's projection looks back.
 LOOKBACK_DAYS = {"30m": 120, "1h": 240, "4h": 600, "1d": 900}
