@@ -26,7 +26,7 @@ from barloom.llm.common import _VALUE, each_slice, mixed, n_partitions, powers,
 LENGTH, GRAM = 100, 32
 #: Anchors that a task gathers before it merges and deals them, anchors and bytes of a range, and surroundings of one
 #: anchor from which its strings are dealt one by one, so that no range is filled by one anchor.
-GATHER, RANGE_ANCHORS, SHARD_BYTES, HOT = 400_000, 1_000_000, 2 << 20, 2000
+GATHER, RANGE_ANCHORS, SHARD_BYTES, HOT = 250_000, 500_000, 1 << 19, 2000
 SLICE = 1 << 20
 _NULL = -(2**63)
 
@@ -62,6 +62,11 @@ def anchors(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return g[at[heads]], around, lo, hi, doc[heads]
 
 
+def _range_of(g: np.ndarray, n: int) -> np.ndarray:
+    """One of n equal ranges. Anchors are the least hashes of their neighbourhood, so they are mixed anew to spread them."""
+    return (((mixed(g ^ np.uint64(0xA0761D6478BD642F)) >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)).astype(np.int64)
+
+
 def _merged(doc: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Runs of bytes [lo, hi) of each text, joined where they touch."""
     if not len(doc):
@@ -105,7 +110,8 @@ def _scan(n: int):
         k = np.flatnonzero(~first & ~itself)
         rows = [(abs(h) % n, True, i, h, d, *[None] * 7) for i, h, d in _marks(ids_, hashes_, doc[k], lo[k], hi[k] + LENGTH)]
         k = np.flatnonzero(first)
-        to = (((g[k] >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)).astype(np.int64)
+        to = _range_of(g[k], n)
+        k, to = k[np.argsort(to, kind="stable")], np.sort(to)
         cuts = np.searchsorted(to, np.arange(n + 1))
         for r in np.flatnonzero(np.diff(cuts)).tolist():
             j = k[cuts[r] : cuts[r + 1]]
@@ -195,7 +201,7 @@ def _read(n: int):
             for i, h, text, asks in zip(*(b.column(c) for c in ("id", "hash", "text", "asks"))):
                 raw = text.as_py().encode()
                 ask = np.frombuffer(b"".join(asks.as_py()), _ASK)
-                shard = (((ask["g"] >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)).astype(np.int64).tolist()
+                shard = _range_of(ask["g"], n).tolist()
                 for k, lo, more, hot in zip(shard, ask["lo"].tolist(), ask["more"].tolist(), ask["hot"].tolist()):
                     if hot:
                         for s in range(lo, lo + more + 1):
@@ -242,7 +248,7 @@ def _sort(table: pa.Table) -> pa.Table:
 
 
 def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
+    for b in (x.slice(a, 256) for x in batches for a in range(0, x.num_rows, 256)):
         out = []
         for i, text, runs in zip(*(b.column(c) for c in ("id", "text", "runs"))):
             raw, spans, gone = text.as_py().encode(), 0, 0
