@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barloom.llm.common import each_slice, lowered, n_partitions, span_hashes, word_spans, written
+from barloom.llm.common import each_slice, lowered, n_partitions, release, span_hashes, word_spans, written
 
 #: Texts whose crc32 of the id leaves 0 when divided by FOLDS are held out.
 FOLDS = 10
@@ -28,7 +28,7 @@ FOLDS = 10
 ROUNDS, SWEEPS, BURN_IN = 2, 4, 1
 STRENGTH = 1.0
 #: Pairs of a bucket, pairs that a task gathers before it deals them out, and the share from which a first word is split.
-BUCKET_PAIRS, GATHER, HOT_SHARE = 3_000_000, 1_500_000, 1 / 512
+BUCKET_PAIRS, GATHER, HOT_SHARE = 2_000_000, 600_000, 1 / 512
 SLICE = 1 << 20
 _END, _BEGIN = np.uint64(0x5DEECE66D5A10001), np.uint64(0x1B873593CC9E2D51)
 _SMALL = 32
@@ -78,12 +78,12 @@ def _gathered(batches: Iterator[pa.RecordBatch], with_rows: bool):
     got, rows, many, docs = [], [], 0, 0
     for batch, buf, offs in each_slice(batches, "text", SLICE):
         a, b, d = pairs_of(buf, offs)
-        got.append((a, b, d + docs))
+        got.append((a, b, (d + docs).astype(np.uint16)))
         docs += len(offs) - 1
         many += len(a)
         if with_rows:
             rows.append(batch.drop_columns(["text"]))
-        if many >= GATHER or docs >= 30_000:
+        if many >= GATHER or docs >= 1 << 15:
             yield (*(np.concatenate(x) for x in zip(*got)), pa.Table.from_batches(rows) if rows else None)
             got, rows, many, docs = [], [], 0, 0
     if got:
@@ -108,19 +108,27 @@ def _hot_words(docs: DataFrame) -> tuple[np.ndarray, int]:
     return np.array(sorted(r["word"] for r in hot), np.int64).view(np.uint64), total["n"]
 
 
-_DEALT = "bucket int, first binary, runs binary, second binary, train binary, uses binary, texts binary, row binary, id binary, held binary"
-_BUCKET = "bucket int, first binary, runs binary, second binary, train binary, entry binary, uses binary, texts binary, row binary, id binary, held binary, parts binary"
+_DEALT = "bucket int, first binary, runs binary, second binary, train binary, uses binary, texts binary, size binary, who binary"
+_BUCKET = "bucket int, first binary, runs binary, second binary, train binary, entry binary, uses binary, texts binary, size binary, who binary"
+_WHO = np.dtype([("row", "<i8"), ("id", "<i8"), ("held", "?")])
+_SUMS = "row long, n_tokens binary, n_known binary, base_score binary, score binary"
 
 
 def _deal(docs: DataFrame, hot: np.ndarray, n: int) -> DataFrame:
-    """Distinct pairs of each portion of texts, with the texts that have them, by bucket."""
+    """Distinct pairs of each portion of texts, with the texts that have them, by bucket.
+
+    A portion is known by the number of its first row, a text by its place in the portion. Ids, and which texts are held
+    out, go along with the portion's first bucket."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for a, b, d, rows in _gathered(batches, True):
-            row, ids, held = (rows[c].to_numpy() for c in ("row", "id", "held"))
-            k = _bucket(a, b, hot, n)
-            order = np.lexsort((d, b, a, k))
+            row, held = rows["row"].to_numpy(), rows["held"].to_numpy()
+            who = np.empty(len(row), _WHO)
+            who["row"], who["id"], who["held"] = row, rows["id"].to_numpy(), held
+            k = _bucket(a, b, hot, n).astype(np.int32)
+            order = np.lexsort((b, a, k))  # stable, so texts stay in order
             a, b, d, k = a[order], b[order], d[order], k[order]
+            del order
             new = np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1]) | (k[1:] != k[:-1])])
             heads = np.flatnonzero(new)
             uses = np.diff(np.append(heads, len(a)))
@@ -132,8 +140,8 @@ def _deal(docs: DataFrame, hot: np.ndarray, n: int) -> DataFrame:
                 x, t = slice(cuts[j], cuts[j + 1]), slice(tcuts[j], tcuts[j + 1])
                 f = ea[x]
                 fh = np.flatnonzero(np.concatenate([[True], f[1:] != f[:-1]]))
-                who, local = np.unique(d[t], return_inverse=True)
-                out.append((j, _pack(f[fh]), np.diff(np.append(fh, len(f))).astype("<u4").tobytes(), _pack(eb[x]), train[x].astype("<u4").tobytes(), uses[x].astype("<u4").tobytes(), local.astype("<u2").tobytes(), row[who].tobytes(), ids[who].tobytes(), held[who].astype(np.uint8).tobytes()))
+                size = np.array([row[0], len(row), cuts[j + 1] - cuts[j], tcuts[j + 1] - tcuts[j]], "<i8")
+                out.append((j, _pack(f[fh]), np.diff(np.append(fh, len(f))).astype("<u4").tobytes(), _pack(eb[x]), train[x].astype("<u4").tobytes(), uses[x].astype("<u4").tobytes(), d[t].astype("<u2").tobytes(), size.tobytes(), b"" if out else who.tobytes()))
             for i in range(0, len(out), 8):
                 cols = list(zip(*out[i : i + 8]))
                 yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), *[pa.array(c, pa.binary()) for c in cols[1:]]], [f.split()[0] for f in _DEALT.split(", ")])
@@ -157,15 +165,13 @@ def _merge(table: pa.Table) -> pa.Table:
     ea, eb = sa[heads], sb[heads]
     counts = np.add.reduceat(train[order], heads)
     fh = np.flatnonzero(np.concatenate([[True], ea[1:] != ea[:-1]]))
-    sizes = np.array([[len(x), len(u) // 4, len(t) // 2, len(r) // 8] for x, u, t, r in zip(firsts, c["uses"], c["texts"], c["row"])], "<i8")
     one = {
         "first": _pack(ea[fh]),
         "runs": np.diff(np.append(fh, len(ea))).astype("<u4").tobytes(),
         "second": _pack(eb),
         "train": counts.astype("<u4").tobytes(),
         "entry": np.diff(entry, prepend=0).astype("<i4").tobytes(),
-        **{x: b"".join(c[x]) for x in ("uses", "texts", "row", "id", "held")},
-        "parts": sizes.tobytes(),
+        **{x: b"".join(c[x]) for x in ("uses", "texts", "size", "who")},
     }
     return pa.table({"bucket": pa.array([table["bucket"][0].as_py()], pa.int32()), **{k: pa.array([v], pa.binary()) for k, v in one.items()}})
 
@@ -285,6 +291,8 @@ def score_texts(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     name = f"pairs_{uuid.uuid4().hex}"
     merged = _deal(rows, hot, n).groupBy("bucket").applyInArrow(_merge, _BUCKET)
     merged.write.bucketBy(n, "bucket").option("compression", "zstd").saveAsTable(name)
+    del merged
+    release(spark)
     table = spark.table(name)
 
     light = table.select("bucket", "first", "runs", "second", "train")
@@ -359,31 +367,42 @@ def score_texts(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
         replies, sums = answered(i, light.join(replies, "bucket").mapInArrow(again(sums, i), _WORDS))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Sums over a bucket's pairs for every text of a portion: a row for each portion that it has pairs of."""
         for b in batches:
             for r in b.to_pylist():
                 _, _, _, mean, uses, known, total = seated(r, sums, ROUNDS)
                 log_p = np.log10(mean)
                 log_base = np.log10((uses + 0.1) / (total + 0.1 * (known + 1)))
-                parts = np.frombuffer(r["parts"], "<i8").reshape(-1, 4)
-                entry = np.cumsum(np.frombuffer(r["entry"], "<i4").astype(np.int64))
-                each = np.repeat(entry, np.frombuffer(r["uses"], "<u4"))
-                texts = np.frombuffer(r["texts"], "<u2").astype(np.int64) + np.repeat(np.cumsum(parts[:, 3]) - parts[:, 3], parts[:, 2])
-                row, ids, held_ = np.frombuffer(r["row"], np.int64), np.frombuffer(r["id"], np.int64), np.frombuffer(r["held"], np.uint8)
-                m = len(row)
-                first_words, runs, _, _ = _pairs(r)
-                begins = np.repeat(first_words, runs) == (_BEGIN >> np.uint64(16))
-                has_begin = np.bincount(texts, begins[each], m) > 0
-                sums_of = lambda x: np.bincount(texts, x, m)
-                cols = [pa.array(row), pa.array(ids, mask=~has_begin), pa.array(held_.astype(bool), mask=~has_begin)]
-                cols += [pa.array(sums_of(x).astype(np.int64)) for x in (np.ones(len(each)), (uses > 0)[each])]
-                cols += [pa.array(sums_of(x[each])) for x in (log_base, log_p)]
-                yield pa.RecordBatch.from_arrays(cols, ["row", "id", "held", "n_tokens", "n_known", "base_score", "score"])
-
-    partial = table.join(replies, "bucket").mapInArrow(score, "row long, id long, held boolean, n_tokens long, n_known long, base_score double, score double")
-    out = partial.groupBy("row").agg(F.max("id").alias("id"), F.max("held").alias("held_out"), *[F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base_score", "score")])
+                seen = (uses > 0).astype(float)
+                entries, times, texts = np.cumsum(np.frombuffer(r["entry"], "<i4").astype(np.int64)), np.frombuffer(r["uses"], "<u4"), np.frombuffer(r["texts"], "<u2")
+                i = j = 0
+                out = []
+                for row, m, de, dt in np.frombuffer(r["size"], "<i8").reshape(-1, 4).tolist():
+                    each, text = np.repeat(entries[i : i + de], times[i : i + de]), texts[j : j + dt]
+                    out.append((row, *[np.bincount(text, x, m).astype(k).tobytes() for x, k in ((None, "<u4"), (seen[each], "<u4"), (log_base[each], "<f8"), (log_p[each], "<f8"))]))
+                    i, j = i + de, j + dt
+                for a in range(0, len(out), 256):
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64() if q == 0 else pa.binary()) for q, c in enumerate(zip(*out[a : a + 256]))], [x.split()[0] for x in _SUMS.split(", ")])
+
+    def add_up(table: pa.Table) -> pa.Table:
+        add = lambda c, k: sum(np.frombuffer(x, k) for x in table[c].to_pylist())
+        n = add("n_tokens", "<u4").astype(np.int64)
+        row = table["row"][0].as_py() + np.arange(len(n))
+        return pa.table({"row": row, "n_tokens": n, "n_known": add("n_known", "<u4").astype(np.int64), "base_score": add("base_score", "<f8"), "score": add("score", "<f8")})
+
+    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for x in b.column(0).to_pylist():
+                who = np.frombuffer(x, _WHO)
+                yield pa.RecordBatch.from_arrays([pa.array(who[c].copy()) for c in ("row", "id", "held")], ["row", "id", "held"])
+
+    names = table.select("who").mapInArrow(named, "row long, id long, held boolean")
+    partial = table.drop("who").join(replies, "bucket").mapInArrow(score, _SUMS)
+    out = partial.groupBy("row").applyInArrow(add_up, "row long, n_tokens long, n_known long, base_score double, score double")
+    out = out.join(names, "row")
     return out.select(
         F.when(F.col("id") != -(2**63), F.col("id")).cast(kind).alias(id_column),
-        "held_out",
+        F.col("held").alias("held_out"),
         "n_tokens",
         "n_known",
         F.lit(sums[3]).cast("long").alias("train_tokens"),
