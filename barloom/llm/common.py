@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -37,6 +38,13 @@ def written(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Lets Spark remove the shuffle files of steps whose results are written: its cleaner follows the driver's garbage
+    collector, which has no reason of its own to run. Changes no result."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def text_or_empty(column: str = "text"):
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
