@@ -70,9 +70,15 @@ def features(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.
     return f, np.searchsorted(w[order], np.arange(len(starts)))
 
 
-def _mean_rows(values: np.ndarray, heads: np.ndarray) -> np.ndarray:
-    n = np.diff(np.append(heads, len(values)))
-    return np.add.reduceat(values, heads, axis=0) / np.sqrt(n)[:, None]
+def _word_scores(weights: np.ndarray, f: np.ndarray, heads: np.ndarray, portion: int = 1 << 14) -> np.ndarray:
+    """Sums of the weights of each word's features over the root of their number, a portion of words at a time."""
+    ends = np.append(heads, len(f))
+    out = np.empty((len(heads), weights.shape[1]))
+    for a in range(0, len(heads), portion):
+        b = min(a + portion, len(heads))
+        rows = weights[f[ends[a] : ends[b]]]
+        out[a:b] = np.add.reduceat(rows, heads[a:b] - ends[a], axis=0) / np.sqrt(np.diff(ends[a : b + 1]))[:, None]
+    return out
 
 
 def forward_backward(scores: np.ndarray, before: np.ndarray, transitions: np.ndarray, pairs: bool = False):
@@ -155,7 +161,7 @@ def fit(rows: list[tuple[str, str]]) -> Model:
     m, v = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
     for step in range(1, STEPS + 1):
         w, lw, tr = params
-        scores = _mean_rows(w[f], heads)[which] + lw[lex_of]
+        scores = _word_scores(w, f, heads)[which] + lw[lex_of]
         gamma, pairs = forward_backward(scores, cuts, tr, pairs=True)
         miss = onehot - gamma
         by_word = np.stack([np.bincount(which, miss[:, j], len(h)) for j in range(k)], 1) / np.sqrt(n_features)[:, None]
@@ -187,7 +193,7 @@ def label(model: Model, buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray,
         return np.zeros((0, len(model.labels))), before
     h, where, which = _distinct(low, s, e)
     f, heads = features(low, s[where], e[where])
-    scores = _mean_rows(model.weights[f], heads) + model.lexicon[_lexicon_of(model.words, model.word_label, h, len(model.labels))]
+    scores = _word_scores(model.weights, f, heads) + model.lexicon[_lexicon_of(model.words, model.word_label, h, len(model.labels))]
     return forward_backward(scores[which], before, model.transitions), before
 
 
