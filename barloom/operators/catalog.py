@@ -249,3 +249,40 @@ def validate_documents(documents: DataFrame, fields: list[str], uuids: list[str]
         *[F.when(~F.coalesce(at(k).try_cast("bigint") > 0, F.lit(False)), F.lit(f"count:{k}")) for k in counts],
     )
     return d.withColumn("violation", violation).withColumn("result", F.when(F.col("violation").isNull(), "ACCEPTED").otherwise("REJECTED")).drop("_d")
+
+
+def manifest_objects(manifests: DataFrame, objects: DataFrame, storage: DataFrame) -> DataFrame:
+    """Objects of manifests with their stored files: manifest id, object id, key, hash, rows."""
+    m = manifests.select(F.col("id").alias("manifest_id"))
+    return m.join(objects, "manifest_id").join(storage, "object_id")
+
+
+def feed_mismatches(raw: DataFrame, adjusted: DataFrame, fields: list[str]) -> DataFrame:
+    """(name, fields in which the raw and the adjusted feed of a name differ, comma-joined; null if none)."""
+    a = raw.select("name", *[F.col(f).alias(f"{f}_a") for f in fields])
+    b = adjusted.select("name", *[F.col(f).alias(f"{f}_b") for f in fields])
+    differ = F.array_compact(F.array(*[F.when(~F.col(f"{f}_a").eqNullSafe(F.col(f"{f}_b")), F.lit(f)) for f in fields]))
+    return a.join(b, "name").select("name", F.when(F.size(differ) > 0, F.array_join(differ, ",")).alias("mismatch"))
+
+
+def planned_members(definitions: DataFrame, inputs: DataFrame, materialized: DataFrame) -> DataFrame:
+    """Planned (definition_id, instrument_id) that are absent or did not succeed, with what is the matter."""
+    plan = definitions.select("definition_id").crossJoin(inputs.select("instrument_id"))  # the plan is all of them
+    j = plan.join(materialized.select("definition_id", "instrument_id", "status"), ["definition_id", "instrument_id"], "left")
+    matter = F.when(F.col("status").isNull(), "ABSENT").when(F.col("status") != "SUCCEEDED", "NOT_SUCCEEDED")
+    return j.select("definition_id", "instrument_id", matter.alias("matter")).where("matter IS NOT NULL")
+
+
+def watermark_projection(feeds: DataFrame, manifests: DataFrame) -> DataFrame:
+    """(feed_id, last_source_event_at): the largest period end of the available manifests of each active feed."""
+    active = feeds.where("feed_active AND provider_active").select("feed_id")
+    return manifests.where("status = 'AVAILABLE'").join(active, "feed_id", "left_semi").groupBy("feed_id").agg(F.max("period_end").alias("last_source_event_at"))
+
+
+def readiness_incidents(gate: DataFrame) -> DataFrame:
+    """An ERROR incident for each blocked row of readiness(): of the first missing shard for missing objects, else of the manifest."""
+    shard = F.col("reason") == "DAILY_OBJECT_MISSING"
+    blocked = gate.where("state = 'BLOCKED'").withColumn("breadth", F.when(shard, "PARTITION").otherwise("MANIFEST"))
+    scope = F.when(shard, F.col("first_missing_shard"))
+    ident = deterministic_uuid(F.lit("readiness"), "feed_id", F.col("session_date").cast("string"), "reason", scope)
+    return blocked.select(ident.alias("id"), "feed_id", "session_date", F.lit("ERROR").alias("severity"), F.col("reason").alias("incident_code"), "breadth", scope.alias("shard_key"))
