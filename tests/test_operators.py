@@ -255,3 +255,34 @@ def test_results_do_not_depend_on_partitions(spark):
     one = sorted(map(tuple, resample.derive_bars(b.coalesce(1), sessions(spark), "1h", source_minutes=1).collect()))
     many = sorted(map(tuple, resample.derive_bars(b.repartition(7, "open"), sessions(spark), "1h", source_minutes=1).collect()))
     assert one == many
+
+
+def test_universe_and_instrument_map(spark):
+    one = lambda *s: spark.createDataFrame([(x,) for x in s], "symbol string")
+    assert sorted(r.symbol for r in reference.universe_resolve(one("A", "B"), one("C"), one("X"), 2).collect()) == ["A", "B", "X"]
+    assert sorted(r.symbol for r in reference.universe_resolve(one("A"), one("C", "D"), one("X"), 2).collect()) == ["C", "D", "X"]
+    with pytest.raises(ValueError):
+        reference.universe_resolve(one("A"), one("C"), one("X"), 2)
+    good = [(" brk/b", "6F9619FF-8B86-D011-B42D-00C04FC964FF")]
+    m = spark.createDataFrame(good, "provider_symbol string, instrument_id string")
+    assert tuple(reference.instrument_map(m).head()) == ("BRK.B", "6f9619ff-8b86-d011-b42d-00c04fc964ff")
+    with pytest.raises(Exception, match="not an instrument"):
+        reference.instrument_map(m.unionByName(m)).collect()
+
+
+def test_exported_instruments(spark):
+    rows = spark.createDataFrame([("m1", "i1"), ("m2", "i1"), ("m1", "i2")], "manifest_id string, instrument_id string")
+    names = spark.createDataFrame([("i1", "OLD", dt.date(2020, 1, 1)), ("i1", "NEW", dt.date(2022, 1, 1))], "instrument_id string, symbol string, effective_from date")
+    assert [tuple(r) for r in files.instrument_export(rows, reference.symbol_periods(names), "2021-06-01").collect()] == [("OLD", "i1")]
+
+
+def test_definitions_and_spans(spark):
+    table = features.definition_table(spark, features.official_definitions())
+    same, refused = features.register(table, table)
+    assert same.count() == table.count() == 7 and refused.count() == 0
+    changed = table.limit(1).withColumn("payload", F.lit("{}"))
+    assert features.register(table, changed)[1].count() == 1
+    r = spark.createDataFrame([("30m",), ("1d",), ("2h",)], "r string").select(keys.bar_span("r")).collect()
+    assert [x[0] for x in r] == [30, 390, None]
+    e = spark.createDataFrame([("A",), ("Z",)], "instrumentId string")
+    assert {x.instrumentId: x.mapped for x in ev.map_instruments(e, spark.createDataFrame([("A",)], "instrument_id string")).collect()} == {"A": True, "Z": False}
