@@ -28,7 +28,7 @@ FOLDS = 10
 ROUNDS, SWEEPS, BURN_IN = 2, 4, 1
 STRENGTH = 1.0
 #: Pairs of a bucket, pairs that a task gathers before it deals them out, and the share from which a first word is split.
-BUCKET_PAIRS, GATHER, HOT_SHARE = 2_000_000, 600_000, 1 / 512
+BUCKET_PAIRS, GATHER, HOT_SHARE = 1_000_000, 600_000, 1 / 512
 SLICE = 1 << 20
 _END, _BEGIN = np.uint64(0x5DEECE66D5A10001), np.uint64(0x1B873593CC9E2D51)
 _SMALL = 32
@@ -152,18 +152,18 @@ def _deal(docs: DataFrame, hot: np.ndarray, n: int) -> DataFrame:
 def _merge(table: pa.Table) -> pa.Table:
     """One row for a bucket: its distinct pairs in order with their training counts, and for each portion which of them
     it has and in which of its texts."""
-    c = {x: table[x].to_pylist() for x in table.column_names if x != "bucket"}
-    firsts = [np.repeat(_unpack(a), np.frombuffer(r, "<u4")) for a, r in zip(c["first"], c["runs"])]
-    a, b = np.concatenate(firsts), np.concatenate([_unpack(x) for x in c["second"]])
-    train = np.frombuffer(b"".join(c["train"]), "<u4").astype(np.int64)
-    order = np.lexsort((b, a))
-    sa, sb = a[order], b[order]
-    new = np.concatenate([[True], (sa[1:] != sa[:-1]) | (sb[1:] != sb[:-1])])
-    entry = np.empty(len(a), np.int64)
-    entry[order] = np.cumsum(new) - 1
+    column = lambda x: table[x].to_pylist()
+    a = np.concatenate([np.repeat(_unpack(a), np.frombuffer(r, "<u4")) for a, r in zip(column("first"), column("runs"))])
+    b = np.concatenate([_unpack(x) for x in column("second")])
+    order = np.lexsort((b, a)).astype(np.int32)
+    a, b = a[order], b[order]
+    new = np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
+    entry = np.empty(len(a), np.int32)
+    entry[order] = np.cumsum(new, dtype=np.int32) - 1
     heads = np.flatnonzero(new)
-    ea, eb = sa[heads], sb[heads]
-    counts = np.add.reduceat(train[order], heads)
+    ea, eb = a[heads], b[heads]
+    del a, b
+    counts = np.add.reduceat(np.frombuffer(b"".join(column("train")), "<u4")[order], heads, dtype=np.int64)
     fh = np.flatnonzero(np.concatenate([[True], ea[1:] != ea[:-1]]))
     one = {
         "first": _pack(ea[fh]),
@@ -171,7 +171,7 @@ def _merge(table: pa.Table) -> pa.Table:
         "second": _pack(eb),
         "train": counts.astype("<u4").tobytes(),
         "entry": np.diff(entry, prepend=0).astype("<i4").tobytes(),
-        **{x: b"".join(c[x]) for x in ("uses", "texts", "size", "who")},
+        **{x: b"".join(column(x)) for x in ("uses", "texts", "size", "who")},
     }
     return pa.table({"bucket": pa.array([table["bucket"][0].as_py()], pa.int32()), **{k: pa.array([v], pa.binary()) for k, v in one.items()}})
 
@@ -320,6 +320,7 @@ def score_texts(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
 
     def answered(round_: int, asked: DataFrame) -> tuple[DataFrame, tuple[int, int, float, int]]:
         replies = written(asked.groupBy("to").applyInArrow(_parent(discount, round_), _REPLY), "replies")
+        release(spark)
         t = replies.agg(*[F.sum(x) for x in ("known", "customers", "open", "total")]).head()
         got = replies.groupBy("bucket").agg(F.array_sort(F.collect_list(F.struct("to", "mass", "uses"))).alias("answers"))
         return got, tuple(x or 0 for x in t)
@@ -379,16 +380,17 @@ def score_texts(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
                 out = []
                 for row, m, de, dt in np.frombuffer(r["size"], "<i8").reshape(-1, 4).tolist():
                     each, text = np.repeat(entries[i : i + de], times[i : i + de]), texts[j : j + dt]
-                    out.append((row, *[np.bincount(text, x, m).astype(k).tobytes() for x, k in ((None, "<u4"), (seen[each], "<u4"), (log_base[each], "<f8"), (log_p[each], "<f8"))]))
+                    out.append((row, *[np.bincount(text, x, m).astype(k).tobytes() for x, k in ((None, "<u4"), (seen[each], "<u4"), (log_base[each], "<f4"), (log_p[each], "<f4"))]))
                     i, j = i + de, j + dt
                 for a in range(0, len(out), 256):
                     yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64() if q == 0 else pa.binary()) for q, c in enumerate(zip(*out[a : a + 256]))], [x.split()[0] for x in _SUMS.split(", ")])
 
     def add_up(table: pa.Table) -> pa.Table:
-        add = lambda c, k: sum(np.frombuffer(x, k) for x in table[c].to_pylist())
+        # A bucket's sums are sent in single precision (a relative error of 1e-8 of a text's score) and added in double.
+        add = lambda c, k: sum(np.frombuffer(x, k).astype(float) for x in table[c].to_pylist())
         n = add("n_tokens", "<u4").astype(np.int64)
         row = table["row"][0].as_py() + np.arange(len(n))
-        return pa.table({"row": row, "n_tokens": n, "n_known": add("n_known", "<u4").astype(np.int64), "base_score": add("base_score", "<f8"), "score": add("score", "<f8")})
+        return pa.table({"row": row, "n_tokens": n, "n_known": add("n_known", "<u4").astype(np.int64), "base_score": add("base_score", "<f4"), "score": add("score", "<f4")})
 
     def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
