@@ -7,10 +7,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from barloom.llm.common import each_slice, doc_of, lowered, mixed, n_partitions, signed, span_hashes, word_spans, written
+from barloom.llm.common import each_slice, doc_of, lowered, mixed, n_partitions, release, signed, span_hashes, word_spans, written
 from barloom.llm.components import components
 
 #: Words of a shingle, and the least likeness in percent.
@@ -20,7 +20,9 @@ WORDS, PERCENT = 5, 80
 COUNTERS = (22, 18, 18)
 #: Up to so many documents of one prefix token, each two are compared at once; larger groups go through pivots first.
 SMALL = 24
-PIVOTS = 2
+PIVOTS = 1
+#: Documents of a block, when those of a group that pivots leave apart are compared block by block.
+BLOCK = 1024
 #: log2 of the bits of the filter that picks candidates' texts before anything is shuffled, and tokens of a bucket.
 FILTER_BITS, BUCKET_TOKENS = 26, 1 << 21
 SLICE = 1 << 20
@@ -200,8 +202,8 @@ def _meet(percent: int):
     return run
 
 
-def _chosen(docs: DataFrame, pairs: DataFrame, counters, percent: int) -> DataFrame:
-    """(id, q1, q2, tokens) of the documents in pairs: their prefixes under the other orders and their whole sets.
+def _chosen(docs: DataFrame, ids: DataFrame, counters, percent: int) -> DataFrame:
+    """(id, q1, q2, tokens) of the documents in ids: their prefixes under the other orders and their whole sets.
 
     A bit filter of fixed size, broadcast, drops most other texts in the scan; what it lets by is joined away later."""
     bits = FILTER_BITS
@@ -221,7 +223,6 @@ def _chosen(docs: DataFrame, pairs: DataFrame, counters, percent: int) -> DataFr
             x |= np.frombuffer(b, np.uint8)
         return pa.table({"block": pa.array([table["block"][0].as_py()], pa.int32()), "bits": pa.array([x.tobytes()], pa.binary())})
 
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id"))
     got = ids.mapInArrow(mark, "block int, bits binary").groupBy("block").applyInArrow(merge, "block int, bits binary").collect()
     filter_ = docs.sparkSession.sparkContext.broadcast({r["block"]: np.frombuffer(r["bits"], np.uint8) for r in got})
 
@@ -244,6 +245,77 @@ def _chosen(docs: DataFrame, pairs: DataFrame, counters, percent: int) -> DataFr
     return docs.mapInArrow(run, "id long, q1 binary, q2 binary, tokens binary")
 
 
+def _counts(a: list[bytes], b: list[bytes]) -> np.ndarray:
+    """Shared tokens of each of a with each of b."""
+    out = np.zeros((len(a), len(b)), np.int32)
+    t = np.frombuffer(b"".join(b), np.uint64)
+    owner = np.repeat(np.arange(len(b)), [len(x) // 8 for x in b])
+    order = np.argsort(t, kind="stable")
+    t, owner = t[order], owner[order]
+    for i, x in enumerate(a):
+        v = np.frombuffer(x, np.uint64)
+        lo, hi = np.searchsorted(t, v, "left"), np.searchsorted(t, v, "right")
+        n = hi - lo
+        at = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+        out[i] = np.bincount(owner[at], minlength=len(b))
+    return out
+
+
+def _compare_blocks(percent: int):
+    """Two blocks of a token's documents: links between components, as many as it takes to connect them.
+
+    A pair is left to the first token of all groups that it shares, so each is compared once; those of one component, or
+    whose sizes do not fit, are not compared."""
+
+    def run(table: pa.Table) -> pa.Table:
+        c = {x: table[x].to_pylist() for x in table.column_names}
+        rows = range(len(c["id"]))
+        first = [k for k in rows if c["block"][k] == c["i"][k]]
+        second = [k for k in rows if c["block"][k] == c["j"][k]]
+        n, comp, ids = (np.array(c[x], np.int64) for x in ("n", "component", "id"))
+        root: dict[int, int] = {}
+
+        def find(x: int) -> int:
+            while root.get(x, x) != x:
+                x = root[x]
+            return x
+
+        out = []
+        f, g = np.array(first), np.array(second)
+        if len(f) and len(g) and len(np.unique(comp)) > 1:
+            fits = (100 * np.minimum(n[f][:, None], n[g][None]) >= percent * np.maximum(n[f][:, None], n[g][None])) & (comp[f][:, None] != comp[g][None])
+            need = np.flatnonzero(fits.any(1))
+            if len(need):
+                sub = [first[k] for k in need]
+                fits = fits[need] & (_counts([c["earlier"][k] for k in sub], [c["earlier"][k] for k in second]) == 0)
+                live = np.flatnonzero(fits.any(1))
+                sub, fits = [sub[k] for k in live.tolist()], fits[live]
+            if len(need) and len(sub):
+                both = _counts([c["tokens"][k] for k in sub], [c["tokens"][k] for k in second])
+                for x, y in zip(*np.nonzero(fits & (100 * both >= percent * (n[sub][:, None] + n[g][None] - both)))):
+                    a, b = sub[x], second[y]
+                    u, v = find(int(comp[a])), find(int(comp[b]))
+                    if u != v:
+                        root[max(u, v)] = min(u, v)
+                        out.append((min(ids[a], ids[b]), max(ids[a], ids[b])))
+        return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([y for _, y in out], pa.int64())})
+
+    return run
+
+
+def _block_links(open_: DataFrame, chosen: DataFrame, percent: int) -> DataFrame:
+    """The links that are left between components of a token's documents, by pairs of blocks of bounded size."""
+    earlier = F.collect_list("token").over(Window.partitionBy("id").orderBy("token").rowsBetween(Window.unboundedPreceding, -1))
+    size = open_.groupBy("token").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    rows = open_.withColumn("before", earlier).join(size, "token").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    meet = F.explode(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(F.least("block", k).alias("i"), F.greatest("block", k).alias("j"))))
+    # Tokens before this one as bytes, as sets are.
+    packed = F.unhex(F.array_join(F.transform("before", lambda x: F.lpad(F.hex(x), 16, "0")), ""))
+    rows = rows.join(chosen.select("id", "tokens"), "id").withColumn("earlier", packed).withColumn("m", meet)
+    rows = rows.select("token", "m.i", "m.j", "id", "n", "component", "block", "earlier", "tokens")
+    return rows.groupBy("token", "i", "j").applyInArrow(_compare_blocks(percent), "a long, b long")
+
+
 def _both(pairs: DataFrame, values: DataFrame, *names: str) -> DataFrame:
     for side in "ab":
         pairs = pairs.join(values.select(F.col("id").alias(side), *[F.col(x).alias(f"{x}_{side}") for x in names]), side)
@@ -277,6 +349,14 @@ def _verify(pairs: DataFrame, chosen: DataFrame, percent: int) -> DataFrame:
     return _both(near, chosen, "tokens").select("a", "b", "tokens_a", "tokens_b").mapInArrow(links, "a long, b long")
 
 
+def _still_open(groups: DataFrame, found: DataFrame) -> DataFrame:
+    """Rows of groups, with components, of tokens whose documents are in more than one."""
+    comp = components(found)
+    rows = groups.join(comp, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    apart = rows.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("token")
+    return written(rows.join(apart, "token", "left_semi"), "open")
+
+
 def jaccard_components(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", percent: int = PERCENT) -> DataFrame:
     """(id, n_shingles, component_id) for each row of docs; see links() for the links between different sets.
 
@@ -297,9 +377,9 @@ def links(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
 
     Equal sets are one representative (least id). Prefix tokens of representatives under the first order are dealt by
     ranges of the token. Where few share one, each two of fitting sizes are candidates; where many do, all are paired
-    with a pivot first, then with further pivots, and only what is still in different components is paired among itself,
-    so a large group of near copies costs its size and not its square, and no link between components is lost. Candidates
-    must also share prefix tokens under the other orders; those are verified on whole sets.
+    with a pivot first, and only what is still in different components is compared among itself, in blocks of bounded size
+    inside tasks that give back links alone; no link between components is lost. Candidates must also share prefix tokens
+    under the other orders; those are verified on whole sets.
     """
     spark = docs.sparkSession
     rows = _input(docs, id_column, text_column)
@@ -312,26 +392,26 @@ def links(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     met = written(_deal(reps.withColumnRenamed("rep", "id"), buckets).groupBy("bucket").applyInArrow(_meet(percent), "token long, a long, b long, left long"), "met")
     pairs = written(met.where("token is null").select("a", "b").distinct(), "pairs")
     groups = met.where("token is not null").select("token", F.col("a").alias("id"), F.col("b").alias("n"), "left")
-    chosen = written(_chosen(rows, pairs, counters, percent), "chosen")
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).unionByName(groups.select("id")).distinct()
+    chosen = written(_chosen(rows, ids, counters, percent), "chosen")
     found = written(_verify(pairs, chosen, percent), "links")
+    release(spark)
+    open_ = _still_open(groups, found)
     fit = F.expr(f"least(l_a, l_b) * {100 + percent} >= {percent} * (n_a + n_b)")
-    for step in range(PIVOTS + 1):
-        comp = components(found)
-        open_ = groups.join(comp, "id", "left").withColumn("component", F.coalesce("component", "id"))
-        apart = open_.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("token")
-        open_ = written(open_.join(apart, "token", "left_semi"), "open")
+    for step in range(PIVOTS):
         if open_.isEmpty():
-            break
+            return members, reps, found
         left = open_.select("token", F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("left").alias("l_a"), F.col("component").alias("c_a"))
         right = open_.select("token", F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("left").alias("l_b"), F.col("component").alias("c_b"))
-        if step < PIVOTS:
-            pick = F.min_by(F.struct("b", "n_b", "l_b", "c_b"), F.xxhash64("b", F.lit(step))).alias("p")
-            right = right.groupBy("token").agg(pick).select("token", "p.*")
-            more = left.join(right, "token").where("c_a <> c_b")
-        else:
-            more = left.join(right, "token").where("c_a < c_b")
-        more = more.where(fit).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        found = written(found.unionByName(_verify(more.join(pairs, ["a", "b"], "left_anti"), chosen, percent)), "links")
+        pick = F.min_by(F.struct("b", "n_b", "l_b", "c_b"), F.xxhash64("b", F.lit(step))).alias("p")
+        more = left.join(right.groupBy("token").agg(pick).select("token", "p.*"), "token").where("c_a <> c_b").where(fit)
+        more = more.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti")
+        new = written(_verify(more, chosen, percent), "links")
+        if not new.isEmpty():
+            found = found.unionByName(new)
+            open_ = _still_open(groups, found)
+    if not open_.isEmpty():
+        found = found.unionByName(written(_block_links(open_, chosen, percent), "links"))
     return members, reps, found
 
 
