@@ -6,7 +6,8 @@ to the uniform base. Words are 48-bit hashes inside the model (a parameter of pr
 
 All pairs of the corpus, with the texts they stand in, are dealt once to buckets by their first word; a word that begins
 more than HOT_SHARE of all pairs is dealt by both words. A round of sampling exchanges, between buckets of pairs and
-buckets of words, a table count and a count of customers for each word that a bucket has.
+buckets of words, a table count and a count of customers for each word that a bucket has. Tables of the split words are
+added up over all buckets before every draw.
 """
 
 from __future__ import annotations
@@ -222,6 +223,23 @@ def sample_tables(customers: np.ndarray, opens: np.ndarray, discount: float, rng
     return t
 
 
+def seat(train: np.ndarray, heads: np.ndarray, parent: np.ndarray, seats: np.ndarray, totals: list[np.ndarray] | None, discount: float, rng: np.random.Generator, draws: int = SWEEPS, averaged: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """(tables of each pair after the last draw, mean probability of each pair if averaged).
+
+    Pairs of a restaurant lie together and begin at heads; parent is the probability of each pair's second word at the
+    parent, seats the customers of each restaurant. totals has the tables of each restaurant before the first draw, after
+    it and so on; None if all pairs of the restaurants are here."""
+    owner = np.repeat(np.arange(len(heads)), np.diff(np.append(heads, len(train))))
+    tables, mean = np.minimum(train, 1), np.zeros(len(train) if averaged else 0)
+    for step in range(draws if len(train) else 0):
+        before = np.add.reduceat(tables, heads) if totals is None else totals[step]
+        tables = sample_tables(train, (STRENGTH + discount * before)[owner] * parent, discount, rng)
+        if averaged and step >= BURN_IN:
+            after = np.add.reduceat(tables, heads) if totals is None else totals[step + 1]
+            mean += ((train - discount * tables) + (STRENGTH + discount * after)[owner] * parent) / (STRENGTH + seats)[owner]
+    return tables, mean / (draws - BURN_IN) if averaged else mean
+
+
 def _words_out(bucket: int, second: np.ndarray, train: np.ndarray, tables: np.ndarray, n: int) -> pa.RecordBatch:
     """What a bucket of pairs tells the buckets of words: of each of its second words, uses in training and tables."""
     order = np.argsort(second, kind="stable")
@@ -316,7 +334,7 @@ def score_texts(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     stats = {r["word"]: (r["c"], r["t"]) for r in light.mapInArrow(hot_stats, "word long, customers long, tables long").groupBy("word").agg(F.sum("customers").alias("c"), F.sum("tables").alias("t")).collect()}
     once, twice = stats.get(-1, (0, 0))[0], stats.get(-2, (0, 0))[0]
     discount = min(0.95, max(0.05, once / (once + 2 * twice))) if once else 0.5
-    split = {w: x for w, x in stats.items() if w >= 0}
+    customers_of, tables_of = (np.array([stats.get(w, (0, 0))[x] for w in hot.view(np.int64).tolist()], float) for x in (0, 1))
 
     def answered(round_: int, asked: DataFrame) -> tuple[DataFrame, tuple[int, int, float, int]]:
         replies = written(asked.groupBy("to").applyInArrow(_parent(discount, round_), _REPLY), "replies")
@@ -325,53 +343,84 @@ def score_texts(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
         got = replies.groupBy("bucket").agg(F.array_sort(F.collect_list(F.struct("to", "mass", "uses"))).alias("answers"))
         return got, tuple(x or 0 for x in t)
 
-    def seated(r: dict, sums: tuple, seed: int):
-        """Draws the seating of a bucket SWEEPS times: (second words, training counts, tables, mean probability of each pair)."""
-        known, customers, open_, total = sums
+    def opened(r: dict, sums: tuple):
+        """A bucket: (second words, training counts, place of each pair's word among the bucket's, their uses, probability
+        of each pair's second word at the parent, and of the split and of the other first words: pairs, heads, words)."""
+        known, customers, open_, _ = sums
         first, runs, second, train = _pairs(r)
-        heads, owner = np.cumsum(runs) - runs, np.repeat(np.arange(len(runs)), runs)
         mass = np.frombuffer(b"".join(x["mass"] for x in r["answers"]), "<f4").astype(float)
         uses = np.frombuffer(b"".join(x["uses"] for x in r["answers"]), "<u4").astype(np.int64)
-        words = np.unique(second)
-        word = np.searchsorted(words, second)
-        parent = (mass + (STRENGTH + discount * open_) / (known + 1)) / (STRENGTH + customers)
-        parent = parent[word]
-        size = np.add.reduceat(train, heads)
-        tables = np.minimum(train, 1)
-        mine = np.add.reduceat(tables, heads)
-        scale, seats = np.ones(len(first)), size.astype(float)
-        for i in np.flatnonzero(np.isin(first, hot)).tolist():
-            c, t = split[int(first[i])]
-            seats[i], scale[i] = c, t / max(1, mine[i])
-        rng = np.random.default_rng([seed, r["bucket"]])
-        mean = np.zeros(len(second))
-        for step in range(SWEEPS):
-            all_tables = np.add.reduceat(tables, heads) * scale
-            opens = (STRENGTH + discount * all_tables)[owner] * parent
-            tables = sample_tables(train, opens, discount, rng)
-            if step >= BURN_IN:
-                back = STRENGTH + discount * np.add.reduceat(tables, heads) * scale
-                mean += ((train - discount * tables) + back[owner] * parent) / (STRENGTH + seats)[owner]
-        return second, train, tables, mean / (SWEEPS - BURN_IN), uses[word], known, total
-
-    def again(sums: tuple, seed: int):
+        word = np.searchsorted(np.unique(second), second)
+        parent = ((mass + (STRENGTH + discount * open_) / (known + 1)) / (STRENGTH + customers))[word]
+        parts = []
+        for k in (np.isin(first, hot), ~np.isin(first, hot)):
+            mine = runs[k]
+            parts.append((np.flatnonzero(np.repeat(k, runs)), np.cumsum(mine) - mine, first[k]))
+        return second, train, word, uses, parent, parts
+
+    def seat_split(r: dict, train: np.ndarray, parent: np.ndarray, part: tuple, totals: list[np.ndarray], seed: int, draws: int, averaged: bool = False):
+        """The pairs of split words in a bucket. Draws are the same ones whenever they are made again."""
+        pairs, heads, words = part
+        at = np.searchsorted(hot, words)
+        return seat(train[pairs], heads, parent[pairs], customers_of[at], [t[at] for t in totals], discount, np.random.default_rng([seed, r["bucket"], 1]), draws, averaged)
+
+    def split_tables(joined: DataFrame, sums: tuple, seed: int, draws: int) -> list[np.ndarray]:
+        """Tables of the split words over all buckets before the first draw and after each of the next ones: between two
+        draws the buckets' tables are added up, so that each draw knows the restaurants' whole numbers."""
+        totals = [tables_of]
+        while len(totals) <= draws:
+
+            def count(batches: Iterator[pa.RecordBatch], totals=tuple(totals)) -> Iterator[pa.RecordBatch]:
+                for b in batches:
+                    for r in b.to_pylist():
+                        _, train, _, _, parent, (part, _) = opened(r, sums)
+                        tables, _ = seat_split(r, train, parent, part, totals, seed, len(totals))
+                        got = np.add.reduceat(tables, part[1]) if len(tables) else tables
+                        yield pa.RecordBatch.from_arrays([pa.array(part[2].view(np.int64)), pa.array(got, pa.int64())], ["word", "tables"])
+
+            got = joined.mapInArrow(count, "word long, tables long").groupBy("word").agg(F.sum("tables").alias("t")).collect() if len(hot) else []
+            release(spark)
+            now = np.zeros(len(hot))
+            now[np.searchsorted(hot, np.array([x["word"] for x in got], np.int64).view(np.uint64))] = [x["t"] for x in got]
+            totals.append(now)
+        return totals
+
+    def seated(r: dict, sums: tuple, seed: int, totals: list[np.ndarray], averaged: bool = False):
+        """Draws the seating of a bucket SWEEPS times: (second words, training counts, tables, mean probability of each
+        pair, uses of its second word)."""
+        second, train, word, uses, parent, (split, rest) = opened(r, sums)
+        tables, mean = np.zeros(len(train), np.int64), np.zeros(len(train) if averaged else 0)
+        k, heads, _ = rest
+        whole = np.add.reduceat(train[k], heads).astype(float) if len(k) else np.zeros(0)
+        got = [seat(train[k], heads, parent[k], whole, None, discount, np.random.default_rng([seed, r["bucket"]]), SWEEPS, averaged)]
+        got.append(seat_split(r, train, parent, split, totals, seed, SWEEPS, averaged))
+        for (pairs, *_), (t, m) in zip((rest, split), got):
+            tables[pairs] = t
+            if averaged:
+                mean[pairs] = m
+        return second, train, tables, mean, uses[word]
+
+    def again(sums: tuple, seed: int, totals: list[np.ndarray]):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
                 for r in b.to_pylist():
-                    second, train, tables, *_ = seated(r, sums, seed)
+                    second, train, tables, *_ = seated(r, sums, seed, totals)
                     yield _words_out(r["bucket"], second, train, tables, n)
 
         return run
 
     replies, sums = answered(0, light.mapInArrow(seat_first, _WORDS))
     for i in range(1, ROUNDS):
-        replies, sums = answered(i, light.join(replies, "bucket").mapInArrow(again(sums, i), _WORDS))
+        joined = light.join(replies, "bucket")
+        replies, sums = answered(i, joined.mapInArrow(again(sums, i, split_tables(joined, sums, i, SWEEPS - 1)), _WORDS))
+    totals = split_tables(light.join(replies, "bucket"), sums, ROUNDS, SWEEPS)
+    known, _, _, total = sums
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Sums over a bucket's pairs for every text of a portion: a row for each portion that it has pairs of."""
         for b in batches:
             for r in b.to_pylist():
-                _, _, _, mean, uses, known, total = seated(r, sums, ROUNDS)
+                _, _, _, mean, uses = seated(r, sums, ROUNDS, totals, True)
                 log_p = np.log10(mean)
                 log_base = np.log10((uses + 0.1) / (total + 0.1 * (known + 1)))
                 seen = (uses > 0).astype(float)

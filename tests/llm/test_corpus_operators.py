@@ -150,6 +150,31 @@ def test_lm_prefers_what_it_saw(spark):
     assert got[held[0]].score > got[held[1]].score > got[held[2]].score > got[held[3]].score
 
 
+def test_lm_split_words_have_one_table_total(spark, monkeypatch):
+    # "a" and the begin mark are split over 12 buckets. Words that were never seen have one probability after "a", whichever
+    # bucket they are in.
+    rng = random.Random(3)
+    rows = [(i, " ".join(f"a w{int(rng.paretovariate(0.8)) % 3000}" for _ in range(60))) for i in range(1, 60)]
+    held = [i for i in range(1000, 3000) if zlib.crc32(str(i).encode()) % 10 == 0][:30]
+    df = spark.createDataFrame(rows + [(h, f"a unseen{h}") for h in held], "doc_id long, text string")
+    monkeypatch.setattr(hpylm, "n_partitions", lambda spark: 12)
+    got = {r.doc_id: r.score for r in hpylm.score_texts(df).collect()}
+    assert max(got[h] for h in held) - min(got[h] for h in held) < 1e-4
+
+
+def test_lm_split_restaurant_seats_as_a_whole_one():
+    rng = np.random.default_rng(1)
+    train = np.minimum((rng.pareto(0.8, 20000) + 1).astype(np.int64), 5000)
+    parent, zero = np.full(len(train), 1 / len(train)), np.zeros(1, np.int64)
+    parts = np.array_split(rng.permutation(len(train)), 40)
+    draw = lambda k, totals, seed, draws: hpylm.seat(train[k], zero, parent[k], train.sum(keepdims=True), totals, 0.7, np.random.default_rng(seed), draws)[0]
+    whole = draw(np.arange(len(train)), None, 99, 4).sum()
+    totals = [np.array([len(train)])]
+    while len(totals) <= 4:
+        totals.append(np.array([sum(draw(k, totals, i, len(totals)).sum() for i, k in enumerate(parts))]))
+    assert totals[4][0] == pytest.approx(whole, rel=0.02)
+
+
 def test_table_draws():
     rng = np.random.default_rng(0)
     c = np.array([0, 1, 2, 5, 32, 33, 1000, 100000])
