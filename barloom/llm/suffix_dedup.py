@@ -181,22 +181,35 @@ def _compare(table: pa.Table) -> pa.Table:
 
 
 _ASK = np.dtype([("g", "<u8"), ("lo", "<i8"), ("more", "u1"), ("hot", "u1")])
-_SEGMENTS = "shard int, bytes binary, lens binary, ids binary, hashes binary, starts binary"
+_SEGMENTS = "shard int, mark boolean, id long, hash long, data binary, bytes binary, lens binary, ids binary, hashes binary, starts binary"
 
 
 def _read(n: int):
-    """The bytes that are asked for, by shard: all strings of an anchor go to one, those of a hot one each to its own."""
+    """The bytes that are asked for, by shard: all strings of an anchor go to one, those of a hot one each to its own.
 
-    def flush(parts: list) -> Iterator[pa.RecordBatch]:
+    Strings of hot anchors that a task meets again are marked there and not sent."""
+
+    def flush(parts: list, alone: dict[bytes, list]) -> Iterator[pa.RecordBatch]:
         by: dict[int, list] = {}
         for p in parts:
             by.setdefault(p[0], []).append(p)
-        rows = [(k, b"".join(x[1] for x in v), *[np.array([x[j] for x in v], t).tobytes() for j, t in ((2, "<u4"), (3, "<i8"), (4, "<i8"), (5, "<i8"))]) for k, v in sorted(by.items())]
+        again = []
+        for piece, met in alone.items():
+            met = sorted(set(met))  # a text that is read twice is one text
+            again += met[1:]
+            k = int.from_bytes(hashlib.blake2b(piece, digest_size=6).digest(), "big") * n >> 48
+            by.setdefault(k, []).append((k, piece, LENGTH, *met[0]))
+        rows = [(k, False, None, None, None, b"".join(x[1] for x in v), *[np.array([x[j] for x in v], t).tobytes() for j, t in ((2, "<u4"), (3, "<i8"), (4, "<i8"), (5, "<i8"))]) for k, v in sorted(by.items())]
+        if again:
+            i, h, at = np.array(again, np.int64).T
+            who, doc = np.unique(np.stack([i, h], 1), axis=0, return_inverse=True)
+            rows += [(abs(h) % n, True, i, h, d, *[None] * 5) for i, h, d in _marks(who[:, 0], who[:, 1], doc.reshape(-1), at, at + LENGTH)]
+        kinds = [pa.int32(), pa.bool_(), pa.int64(), pa.int64(), *[pa.binary()] * 6]
         for a in range(0, len(rows), 512):
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int32() if j == 0 else pa.binary()) for j, c in enumerate(zip(*rows[a : a + 512]))], [x.split()[0] for x in _SEGMENTS.split(", ")])
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[a : a + 512]), kinds)], [x.split()[0] for x in _SEGMENTS.split(", ")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts, many = [], 0
+        parts, alone, many = [], {}, 0
         for b in batches:
             for i, h, text, asks in zip(*(b.column(c) for c in ("id", "hash", "text", "asks"))):
                 raw = text.as_py().encode()
@@ -205,22 +218,27 @@ def _read(n: int):
                 for k, lo, more, hot in zip(shard, ask["lo"].tolist(), ask["more"].tolist(), ask["hot"].tolist()):
                     if hot:
                         for s in range(lo, lo + more + 1):
-                            piece = raw[s : s + LENGTH]
-                            parts.append((int.from_bytes(hashlib.blake2b(piece, digest_size=6).digest(), "big") * n >> 48, piece, LENGTH, i.as_py(), h.as_py(), s))
+                            alone.setdefault(raw[s : s + LENGTH], []).append((i.as_py(), h.as_py(), s))
+                        many += (more + 1) * LENGTH
                     else:
                         parts.append((k, raw[lo : lo + more + LENGTH], more + LENGTH, i.as_py(), h.as_py(), lo))
-                    many += parts[-1][2]
+                        many += more + LENGTH
                 if many > 8 << 20:
-                    yield from flush(parts)
-                    parts, many = [], 0
-        if parts:
-            yield from flush(parts)
+                    yield from flush(parts, alone)
+                    parts, alone, many = [], {}, 0
+        if parts or alone:
+            yield from flush(parts, alone)
 
     return run
 
 
 def _sort(table: pa.Table) -> pa.Table:
-    """A shard: its suffixes in order, and marks for every string of LENGTH bytes that has an equal one before it."""
+    """A shard: its suffixes in order, and marks for every string of LENGTH bytes that has an equal one before it, with
+    the marks that came along."""
+    came = table.filter(table["mark"]).select(["id", "hash", "data"])
+    table = table.filter(pc.invert(table["mark"]))
+    if not len(table):
+        return came
     join = lambda c, k: np.frombuffer(b"".join(table[c].to_pylist()), k)
     raw, lens, ids, hashes, starts = join("bytes", np.uint8), join("lens", "<u4").astype(np.int64), join("ids", "<i8"), join("hashes", "<i8"), join("starts", "<i8")
     begin = np.cumsum(lens + 1) - lens - 1
@@ -244,7 +262,7 @@ def _sort(table: pa.Table) -> pa.Table:
     one[doc] = np.arange(len(doc))
     rows = _marks(ids[one], hashes[one], d[k], at[k], at[k] + LENGTH)
     cols = list(zip(*rows)) if rows else [[]] * 3
-    return pa.table([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.binary()))], ["id", "hash", "data"])
+    return pa.concat_tables([came, pa.table([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.binary()))], ["id", "hash", "data"])])
 
 
 def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -91,6 +91,23 @@ def plain_repeats(rows):
     return out
 
 
+def test_suffix_dedup_merges_strings_of_hot_anchors_in_the_task():
+    import pyarrow as pa
+
+    # 500 texts share a passage; its anchor is hot. A string goes out once, with its first place, and the others are marked.
+    shared = bytes(np.random.default_rng(0).integers(97, 122, 160, dtype=np.uint8)).decode()
+    texts = [f"{i:04d} {shared} {i:04d}" for i in range(500)]
+    ask = np.array([(7, 5, 60, 1)], suffix_dedup._ASK).tobytes()
+    ids = [*range(500), 3]  # a row stands twice
+    rows = pa.RecordBatch.from_arrays([pa.array(ids), pa.array(ids), pa.array([texts[i] for i in ids]), pa.array([[ask]] * 501)], ["id", "hash", "text", "asks"])
+    out = pa.Table.from_batches(suffix_dedup._read(8)(iter([rows]))).to_pylist()
+    sent = [r for r in out if not r["mark"]]
+    assert sum(len(r["bytes"]) for r in sent) == 61 * 100
+    assert all(set(np.frombuffer(r["ids"], "<i8")) == {0} for r in sent)
+    marked = {r["id"]: np.frombuffer(r["data"], "<i8").tolist() for r in out if r["mark"]}
+    assert marked == {i: [5, 165] for i in range(1, 500)}
+
+
 @pytest.mark.parametrize("hot", [2000, 1])
 def test_suffix_dedup(spark, docs, none, monkeypatch, hot):
     monkeypatch.setattr(suffix_dedup, "HOT", hot)
