@@ -11,7 +11,7 @@ from barloom.llm.common import n_partitions, text_or_empty, written
 
 #: Distinct hashes that a bucket holds before it splits.
 CAPACITY = 2048
-#: A hash with this share of the rows or more is hot: there are at most 1 / HOT_SHARE of them, so they may be broadcast.
+#: A hash with this share of all rows or of all bytes is hot: there are at most 2 / HOT_SHARE of them, so they may be broadcast.
 HOT_SHARE = 1 / 512
 
 
@@ -68,11 +68,12 @@ class Index:
         spark = docs.sparkSession
         text = text_or_empty(text_column)
         self.docs, self.text, self.hash_of = docs.select(F.col(id_column).alias("id"), text.alias("text")), text, hash_of
-        self.rows = written(self.docs.select("id", hash_of(F.col("text")).alias("hash"), F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256")), "rows")
-        hashes = written(self.rows.groupBy("hash").agg(F.count("*").alias("n")), "hashes")
-        total = hashes.agg(F.sum("n")).head()[0] or 0
-        #: At most 1 / HOT_SHARE rows.
-        self.hot = hashes.where(F.col("n") >= max(2, math.ceil(total * HOT_SHARE))).select("hash")
+        self.rows = written(self.docs.select("id", hash_of(F.col("text")).alias("hash"), F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"), F.octet_length("text").cast("long").alias("bytes")), "rows")
+        hashes = written(self.rows.groupBy("hash").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes")), "hashes")
+        total = hashes.agg(F.sum("n").alias("n"), F.sum("bytes").alias("bytes")).head()
+        over = [F.col(c) >= max(2, math.ceil((total[c] or 0) * HOT_SHARE)) for c in ("n", "bytes")]
+        #: At most 2 / HOT_SHARE rows.
+        self.hot = hashes.where((F.col("n") > 1) & (over[0] | over[1])).select("hash")
         self.depth, cells = directory(hashes, capacity)
         self.directory = written(cells, "directory")
         self.buckets = self._insert(n_partitions(spark))
