@@ -115,13 +115,25 @@ def mix(
     pivotal rounding, so the number of copies that a source takes is fixed up to one and documents of a source whose
     sizes are alike are set off against each other. Fractions are rounded in groups of about GROUP documents of a
     source (split by hash, so a source with a third of all rows is many groups); each group leaves one fraction at
-    most, and these meet FAN_IN at a time up a tree until each source has one, which is drawn. Draws depend on id, text
-    and seed alone, so reruns agree. Sizes count words; a null text has size 0 and takes 0; a null source is a source.
-    Rows that repeat id and text are one draw, and each takes the same.
+    most, and these meet FAN_IN at a time up a tree until each source has one, which is drawn. Draws depend on id, text,
+    source and seed alone, so reruns agree. Sizes count words; a null or empty text has size 0 and takes 0; a null source
+    is a source, null ids are drawn by their text. Rows that repeat id, text and source are one draw, and each takes the
+    same. Whole texts are counted; no rows give no rows; columns other than the three are not read. The table of sources
+    goes through windows without a key, in one task: it has a row for each source, not for each document.
     """
-    text = F.col(text_column)
+    out = _drawn(docs, id_column, text_column, source_column, weights, share, most, seed)
+    return out.select(F.col("id").alias(id_column), "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
+
+
+def _key(docs: DataFrame, id_column: str, text_column: str, source_column: str):
+    """Tells rows apart that have one id but other texts or sources."""
+    return F.xxhash64(docs[id_column], docs[text_column], docs[source_column])
+
+
+def _drawn(docs: DataFrame, id_column: str, text_column: str, source_column: str, weights: tuple[float, ...], share: float, most: float, seed: int) -> DataFrame:
+    """(id, key, size, source_size, target, copies) of each row of docs."""
     rows = written(
-        docs.select(F.col(id_column).alias("id"), F.col(source_column).cast("string").alias("source"), sizes(docs, text_column).alias("size"), F.xxhash64(F.col(id_column), text).alias("key")),
+        docs.select(F.col(id_column).alias("id"), F.col(source_column).cast("string").alias("source"), sizes(docs, text_column).alias("size"), _key(docs, id_column, text_column, source_column).alias("key")),
         "sizes",
     )
     by_source = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n"))
@@ -153,12 +165,16 @@ def mix(
     extra = drawn.where("p = 1").select(F.col("rank"), F.col("key"), F.lit(1).cast("long").alias("extra"))
     out = placed.join(extra, ["rank", "key"], "left")
     copies = F.when(F.col("size") > 0, F.floor("per").cast("long") + F.coalesce("extra", F.lit(0).cast("long"))).otherwise(F.lit(0).cast("long"))
-    return out.select(F.col("id").alias(id_column), "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
+    return out.select("id", "key", "size", "source_size", "target", copies.alias("copies"))
+
 
+def mixed_documents(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", source_column: str = "source", weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, most: float = MAX_REPEAT, seed: int = 1) -> DataFrame:
+    """docs as the mix has them: each row as often as mix() takes it, all its columns as they are, whatever their names.
 
-def mixed_documents(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", source_column: str = "source", **options) -> DataFrame:
-    """docs as the mix has them: each row as often as mix() takes it, its columns as they are."""
-    took = mix(docs, id_column, text_column, source_column, **options)
-    took = took.groupBy(F.col(id_column).alias("_id")).agg(F.max("copies").alias("_copies")).where("_copies > 0")
-    joined = docs.join(took, docs[id_column].eqNullSafe(took["_id"]))
-    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(*docs.columns)
+    Rows of one id with other texts or sources are each taken as often as they are drawn; nulls, empty texts and empty
+    tables as in mix()."""
+    took = _drawn(docs, id_column, text_column, source_column, weights, share, most, seed).where("copies > 0")
+    own, key, n = (f"{x}_{'_'.join(docs.columns)}" for x in ("own", "key", "copies"))  # longer than any name of docs
+    took = took.select(F.col("id").alias(own), F.col("key").alias(key), F.col("copies").cast("int").alias(n)).distinct()
+    joined = docs.join(took, docs[id_column].eqNullSafe(took[own]) & (_key(docs, id_column, text_column, source_column) == took[key]))
+    return joined.withColumn(own, F.explode(F.sequence(F.lit(1), F.col(n)))).select(*docs.columns)
