@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barloom.llm.common import written
+from barloom.llm.common import discard, written
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -33,5 +33,6 @@ def components(links: DataFrame) -> DataFrame:
         if mark == seen or not mark[0]:
             break
         seen = mark
-        edges = written(_small_star(_large_star(edges)), "edges")
+        last, edges = edges, written(_small_star(_large_star(edges)), "edges")
+        discard(last)
     return edges.select(F.col("a").alias("id"), F.col("b").alias("component")).unionByName(edges.select(F.col("b").alias("id"), F.col("b").alias("component"))).distinct()

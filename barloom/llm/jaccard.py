@@ -1,4 +1,10 @@
-"""N-gram Jaccard join: prefixes under several global orders of the tokens must all meet before a pair is verified."""
+"""N-gram Jaccard join: prefixes under several global orders of the tokens must all meet before a pair is verified.
+
+All orders put rare tokens first and break ties by hashes of their own. Sets are dealt by the tokens of their prefix under
+the first order. A token that many prefixes have is common, whatever its estimated count says: the sets that it holds
+together are dealt once more among themselves, with such tokens moved to the end of every order. What then still meets
+in large groups goes through a pivot, and what pivots leave apart is compared block by block inside tasks.
+"""
 
 from __future__ import annotations
 
@@ -9,8 +15,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from barloom.llm.common import each_slice, doc_of, lowered, mixed, n_partitions, release, signed, span_hashes, word_spans, written
+from barloom.llm.common import discard, doc_of, each_slice, lowered, mixed, n_partitions, release, signed, span_hashes, word_spans, written
 from barloom.llm.components import components
 
 #: Words of a shingle, and the least likeness in percent.
@@ -18,14 +25,16 @@ WORDS, PERCENT = 5, 80
 #: log2 of the counters that estimate how many documents have a token, for each global order. Fixed sizes: the orders only
 #: have to put what is common last, and a token's share shows against the others that fall into its counter at any size.
 COUNTERS = (22, 18, 18)
-#: Up to so many documents of one prefix token, each two are compared at once; larger groups go through pivots first.
-SMALL = 24
-PIVOTS = 1
+#: Up to so many documents of one prefix token, each two are compared at once; larger groups are dealt again with their
+#: token moved to the end of the orders, so many times, and what is left goes through pivots.
+SMALL, ROUNDS, PIVOTS = 24, 2, 1
 #: Documents of a block, when those of a group that pivots leave apart are compared block by block.
 BLOCK = 1024
-#: log2 of the bits of the filter that picks candidates' texts before anything is shuffled, and tokens of a bucket.
-FILTER_BITS, BUCKET_TOKENS = 26, 1 << 21
+#: log2 of the bits of the filters that tell common tokens and pick texts before anything is shuffled, from and to (32 MB
+#: at most), and tokens of a bucket.
+LEAST_BITS, MOST_BITS, BUCKET_TOKENS = 20, 28, 1 << 21
 SLICE = 1 << 20
+_SHORT = (1 << 40) - 1
 
 _PLACE = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64)
 
@@ -65,25 +74,70 @@ def _salted(tokens: np.ndarray, order: int) -> np.ndarray:
     return mixed(tokens ^ _PLACE[order])
 
 
-def prefixes(tokens: np.ndarray, before: np.ndarray, order: int, counters: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray]:
+def _short(tokens: np.ndarray) -> np.ndarray:
+    """The part of a token by which it is known within a range of tokens: the lower 40 of its upper 48 bits."""
+    return ((tokens >> np.uint64(16)) & np.uint64(_SHORT)).astype(np.int64)
+
+
+def prefixes(tokens: np.ndarray, before: np.ndarray, order: int, orders: list, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray]:
     """(first tokens of each set in the given global order end to end, tokens before each).
 
     Sets with |a and b| * 100 >= percent * |a or b| share one of the first n - ceil(n * percent / 100) + 1 tokens under
-    any order. The order is by estimated document count, then by hash."""
+    any order. Tokens that are known as common (orders[3], a bit filter, if any) come last; before them the order is by
+    estimated document count, then by hash."""
     n = np.diff(before)
     owner = doc_of(before)
     h = _salted(tokens, order)
-    seq = np.lexsort((h, counters[(h >> np.uint64(64 - COUNTERS[order])).astype(np.int64)], owner))
+    rank = orders[order][(h >> np.uint64(64 - COUNTERS[order])).astype(np.int64)].astype(np.int16)
+    if orders[3] is not None:
+        rank[passes(orders[3], _short(tokens))] += 256
+    seq = np.lexsort((h, rank, owner))
     take = np.where(n > 0, n - -(-n * percent // 100) + 1, 0)
     place = np.arange(len(tokens)) - np.repeat(before[:-1], n)
     return tokens[seq[place < np.repeat(take, n)]], np.concatenate([[0], np.cumsum(take)])
 
 
 def _blobs(values: np.ndarray, before: np.ndarray) -> pa.Array:
-    raw, b = values.tobytes(), (before * values.itemsize).tolist()
+    """Rows of bytes or of numbers, cut into binary values."""
+    raw, b = values.tobytes(), (before * (values.size * values.itemsize // max(1, len(values)))).tolist()
     return pa.array([raw[x:y] for x, y in zip(b[:-1], b[1:])], pa.binary())
 
 
+def _six(values: np.ndarray) -> np.ndarray:
+    """The upper 48 bits of tokens, as rows of six bytes."""
+    return np.ascontiguousarray((values >> np.uint64(16)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6])
+
+
+def _from_six(raw: bytes) -> np.ndarray:
+    out = np.zeros((len(raw) // 6, 8), np.uint8)
+    out[:, :6] = np.frombuffer(raw, np.uint8).reshape(-1, 6)
+    return out.reshape(-1).view("<u8")
+
+
+def _planes(x: np.ndarray) -> bytes:
+    """Whole numbers in as few bytes each as the largest needs, bytes of one weight side by side so that they compress."""
+    width = max(1, -(-int(x.max(initial=0)).bit_length() // 8)) if x.min(initial=0) >= 0 else 8
+    return x.astype("<i8").view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
+
+
+def _from_planes(raw: bytes, n: int) -> np.ndarray:
+    out = np.zeros((n, 8), np.uint8)
+    out[:, : len(raw) // n] = np.frombuffer(raw, np.uint8).reshape(-1, n).T
+    return out.reshape(-1).view("<i8")
+
+
+def _digests(tokens: np.ndarray, before: np.ndarray) -> list[np.ndarray]:
+    """Sizes of sets, and the two halves of a digest of each."""
+    n = np.diff(before)
+    full = np.flatnonzero(n)
+    digest = np.zeros((2, len(n)), np.uint64)
+    for j in range(2):
+        if len(full):
+            digest[j, full] = np.add.reduceat(_salted(tokens, 3 + j), before[full])
+    digest[1] += n.astype(np.uint64)
+    return [n, signed(digest[0]), signed(digest[1])]
+
+
 def _input(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     return docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).cast("string").alias("text"))
 
@@ -116,45 +170,98 @@ def count_tokens(docs: DataFrame) -> list[np.ndarray]:
     return out
 
 
-def _sets(docs: DataFrame, counters, percent: int) -> DataFrame:
-    """(id, n, digest of the set, its prefix under the first order)."""
+# ---- bit filters of bounded size --------------------------------------------------------------------------------
+def _places(values: np.ndarray, bits: int) -> np.ndarray:
+    return (_salted(values.view(np.uint64), 5) >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def bit_filter(values: DataFrame, rows: int) -> np.ndarray:
+    """Packed bits in which each value (one long column) has one set: 16 bits a value, 2^MOST_BITS at most.
+
+    What it lets by without being a value is dropped by a join later, or is only put later in the orders, so its size
+    decides on work and never on results."""
+    bits = min(MOST_BITS, max(LEAST_BITS, math.ceil(math.log2(16 * max(1, rows)))))
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own: dict[int, np.ndarray] = {}
+        for b in batches:
+            at = _places(b.column(0).to_numpy(), bits)
+            for i in np.unique(at >> 20).tolist():
+                own.setdefault(i, np.zeros(1 << 20, bool))[at[at >> 20 == i] & ((1 << 20) - 1)] = True
+        yield pa.RecordBatch.from_arrays([pa.array(list(own), pa.int32()), pa.array([np.packbits(x).tobytes() for x in own.values()], pa.binary())], ["block", "bits"])
+
+    def merge(table: pa.Table) -> pa.Table:
+        x = np.zeros(1 << 17, np.uint8)
+        for b in table["bits"].to_pylist():
+            x |= np.frombuffer(b, np.uint8)
+        return pa.table({"block": pa.array([table["block"][0].as_py()], pa.int32()), "bits": pa.array([x.tobytes()], pa.binary())})
+
+    out = np.zeros(1 << (bits - 3), np.uint8)
+    for r in values.mapInArrow(mark, "block int, bits binary").groupBy("block").applyInArrow(merge, "block int, bits binary").collect():
+        out[r["block"] << 17 : (r["block"] + 1) << 17] = np.frombuffer(r["bits"], np.uint8)
+    return out
+
+
+def passes(filter_: np.ndarray, values: np.ndarray) -> np.ndarray:
+    at = _places(values, len(filter_).bit_length() + 2)
+    return ((filter_[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1).astype(bool)
+
+
+def _scanned(docs: DataFrame, wanted: DataFrame | None, schema: str, make) -> DataFrame:
+    """The id and what make(tokens, tokens before) gives, over the texts of docs whose id is in wanted (id), if it is given.
+
+    A bit filter drops texts that are not wanted before they are cut into shingles; it lets a few of them by."""
+    filter_ = None if wanted is None else docs.sparkSession.sparkContext.broadcast(bit_filter(wanted, wanted.count()))
+    names = [x.split()[0] for x in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, buf, offs in each_slice(batches, "text", SLICE):
-            tokens, before = shingle_sets(buf, offs)
-            first, fb = prefixes(tokens, before, 0, counters.value[0], percent)
-            n = np.diff(before)
-            full = np.flatnonzero(n)
-            digest = np.zeros((len(n), 2), np.uint64)
-            for j in range(2):
-                if len(full):
-                    digest[full, j] = np.add.reduceat(_salted(tokens, 3 + j), before[full])
-            digest[:, 1] += n.astype(np.uint64)
-            cols = [rows.column("id"), pa.array(n, pa.int64()), pa.array(signed(digest[:, 0].copy())), pa.array(signed(digest[:, 1].copy())), _blobs(first, fb)]
-            yield pa.RecordBatch.from_arrays(cols, ["id", "n", "d1", "d2", "first"])
-
-    return docs.mapInArrow(run, "id long, n long, d1 long, d2 long, first binary")
+        def passing() -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                ids = b.column(0).fill_null(0).to_numpy(zero_copy_only=False)
+                yield b if filter_ is None else b.filter(pa.array(passes(filter_.value, ids)))
+
+        for rows, buf, offs in each_slice(passing(), "text", SLICE):
+            yield pa.RecordBatch.from_arrays([rows.column("id"), *make(*shingle_sets(buf, offs))], names)
+
+    return docs.mapInArrow(run, schema)
+
+
+# ---- candidates -------------------------------------------------------------------------------------------------
+def _firsts(docs: DataFrame, wanted: DataFrame | None, orders, percent: int) -> DataFrame:
+    """(id, n, first): of each distinct set with a token the least id, its size and its prefix under the first order.
+
+    Equal sets are merged by partial aggregates before they are sent."""
+
+    def make(tokens: np.ndarray, before: np.ndarray) -> list[pa.Array]:
+        first, fb = prefixes(tokens, before, 0, orders.value, percent)
+        return [*[pa.array(x, pa.int64()) for x in _digests(tokens, before)], _blobs(_six(first), fb)]
+
+    sets = _scanned(docs, wanted, "id long, n long, d1 long, d2 long, first binary", make).where("n > 0 and id is not null")
+    return sets.groupBy("d1", "d2").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("first").alias("first")).select("id", "n", "first")
 
 
 def _deal(sets: DataFrame, buckets: int) -> DataFrame:
-    """Prefix tokens with their sets, by ranges of the token: one row for each input batch and range that it has."""
+    """Prefix tokens with their sets, by ranges of the token: one row for each input batch and range that it has.
+
+    Within a range a token is known by 40 bits; pairs that meet by confusion are told apart when they are verified."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             blobs = b.column(2).to_pylist()
-            tokens = np.frombuffer(b"".join(blobs), np.uint64)
-            many = np.array([len(x) // 8 for x in blobs], np.int64)
+            tokens = _from_six(b"".join(blobs))
+            many = np.array([len(x) // 6 for x in blobs], np.int64)
             ids, n = b.column(0).to_numpy(), b.column(1).to_numpy()
-            order = np.argsort(tokens)
-            tokens, owner = tokens[order], np.repeat(np.arange(len(ids)), many)[order]
-            place = (np.arange(len(order)) - np.repeat(np.cumsum(many) - many, many))[order].astype(np.int32)
-            bucket = ((tokens >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
-            cuts = np.searchsorted(bucket, np.arange(buckets + 1, dtype=np.uint64))
+            short = (tokens & np.uint64(_SHORT)).astype(np.int64)
+            bucket = (((tokens >> np.uint64(16)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int64)
+            order = np.lexsort((short, bucket))
+            left = (np.repeat(n + np.cumsum(many) - many, many) - np.arange(len(tokens)))[order]
+            short, owner = short[order], np.repeat(np.arange(len(ids)), many)[order]
+            cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
             k = np.flatnonzero(np.diff(cuts))
-            part = lambda x: pa.array([x[cuts[i] : cuts[i + 1]].tobytes() for i in k.tolist()], pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(k, pa.int32()), part(tokens), part(ids[owner]), part(n[owner].astype(np.int32)), part(place)], ["bucket", "tokens", "ids", "n", "place"])
+            part = lambda x: pa.array([_planes(x[cuts[i] : cuts[i + 1]]) for i in k.tolist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(k, pa.int32()), pa.array(np.diff(cuts)[k], pa.int32()), part(short), part(ids[owner]), part(n[owner]), part(left)], ["bucket", "many", "tokens", "ids", "n", "left"])
 
-    return sets.select("id", "n", "first").mapInArrow(run, "bucket int, tokens binary, ids binary, n binary, place binary")
+    return sets.mapInArrow(run, "bucket int, many int, tokens binary, ids binary, n binary, left binary")
 
 
 def _meet(percent: int):
@@ -165,36 +272,36 @@ def _meet(percent: int):
     """
 
     def run(table: pa.Table) -> pa.Table:
-        join = lambda c, t: np.frombuffer(b"".join(table[c].to_pylist()), t)
-        tokens, ids, n, left = join("tokens", np.uint64), join("ids", np.int64), join("n", np.int32).astype(np.int64), join("place", np.int32)
-        left = n - left
+        many = table["many"].to_pylist()
+        join = lambda c: np.concatenate([_from_planes(x, k) for x, k in zip(table[c].to_pylist(), many)])
+        tokens, ids, n, left = join("tokens"), join("ids"), join("n"), join("left")
         order = np.lexsort((ids, tokens))
         tokens, ids, n, left = tokens[order], ids[order], n[order], left[order]
         heads = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]]))
         size = np.diff(np.append(heads, len(tokens)))
         pa_, pb_ = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-
-        def emit(i: np.ndarray, j: np.ndarray) -> None:
-            ok = (np.minimum(left[i], left[j]) * (100 + percent) >= percent * (n[i] + n[j])) & (ids[i] != ids[j])
-            pa_.append(ids[i[ok]])
-            pb_.append(ids[j[ok]])
-
         for d in range(1, SMALL):
             for k in range(SMALL - d):
-                h = heads[(size <= SMALL) & (size > k + d)]
-                emit(h + k, h + k + d)
+                i = heads[(size <= SMALL) & (size > k + d)] + k
+                j = i + d
+                ok = (np.minimum(left[i], left[j]) * (100 + percent) >= percent * (n[i] + n[j])) & (ids[i] != ids[j])
+                pa_.append(ids[i[ok]])
+                pb_.append(ids[j[ok]])
         big = np.flatnonzero(size > SMALL)
         member = np.concatenate([np.arange(heads[i], heads[i] + size[i]) for i in big]) if len(big) else np.zeros(0, np.int64)
-        emit(np.repeat(heads[big], size[big]), member)
         a, b = np.concatenate(pa_), np.concatenate(pb_)
         a, b = np.minimum(a, b), np.maximum(a, b)
-        pairs = np.unique(np.stack([a, b], 1), axis=0) if len(a) else np.zeros((0, 2), np.int64)
-        k = len(pairs)
+        order = np.lexsort((b, a))
+        a, b = a[order], b[order]
+        new = np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])]) if len(a) else np.zeros(0, bool)
+        a, b = a[new], b[new]
+        k = len(a)
+        token = tokens[member] | (np.int64(table["bucket"][0].as_py()) << np.int64(40))
         return pa.table(
             {
-                "token": pa.array(np.concatenate([np.zeros(k, np.int64), signed(tokens[member].copy())]), mask=np.arange(k + len(member)) < k),
-                "a": pa.array(np.concatenate([pairs[:, 0], ids[member]])),
-                "b": pa.array(np.concatenate([pairs[:, 1], n[member]])),
+                "token": pa.array(np.concatenate([np.zeros(k, np.int64), token]), mask=np.arange(k + len(member)) < k),
+                "a": pa.array(np.concatenate([a, ids[member]])),
+                "b": pa.array(np.concatenate([b, n[member]])),
                 "left": pa.array(np.concatenate([np.zeros(k, np.int64), left[member]])),
             }
         )
@@ -202,58 +309,102 @@ def _meet(percent: int):
     return run
 
 
-def _chosen(docs: DataFrame, ids: DataFrame, counters, percent: int) -> DataFrame:
-    """(id, q1, q2, tokens) of the documents in ids: their prefixes under the other orders and their whole sets.
+def _candidates(docs: DataFrame, counters: list[np.ndarray], tokens: int, percent: int) -> tuple[DataFrame, DataFrame, list]:
+    """(pairs, groups, orders): candidates, what is left in groups that are too large for all pairs, and the last orders.
 
-    A bit filter of fixed size, broadcast, drops most other texts in the scan; what it lets by is joined away later."""
-    bits = FILTER_BITS
+    If two sets share an uncommon prefix token, they meet by it; else each has a common one in its prefix. So the sets of
+    the large groups go once more, among themselves, with common tokens at the end of the orders, ROUNDS times at most:
+    a prefix is then made of common tokens only where four fifths of the set are."""
+    spark = docs.sparkSession
+    orders, wanted, rounds, common = [*counters, None], None, [], None
+    for step in range(ROUNDS + 1):
+        sent = spark.sparkContext.broadcast(orders)
+        buckets = max(n_partitions(spark), math.ceil(tokens / BUCKET_TOKENS))
+        met = _deal(_firsts(docs, wanted, sent, percent), buckets).groupBy("bucket").applyInArrow(_meet(percent), "token long, a long, b long, left long")
+        rounds.append(written(met, "met"))
+        release(spark)
+        groups = rounds[-1].where("token is not null").select("token", F.col("a").alias("id"), F.col("b").alias("n"), "left")
+        if step == ROUNDS or groups.isEmpty():
+            break
+        sets = written(groups.select("id", "n").distinct(), "population")
+        tokens = sets.agg(F.sum(F.floor(F.col("n") * (100 - percent) / 100) + 1)).head()[0]
+        wanted = sets.select("id").distinct()
+        new = groups.select(F.col("token").bitwiseAND(_SHORT).alias("short"))
+        common = new.distinct() if common is None else common.unionByName(new).distinct()
+        orders = [*counters, bit_filter(common, common.count())]
+    pairs = rounds[0]
+    for more in rounds[1:]:
+        pairs = pairs.unionByName(more)
+    return written(pairs.where("token is null").select("a", "b").distinct(), "pairs"), written(groups, "groups"), orders
+
+
+# ---- verification -----------------------------------------------------------------------------------------------
+def _both(pairs: DataFrame, values: DataFrame, *names: str) -> DataFrame:
+    for side in "ab":
+        pairs = pairs.join(values.select(F.col("id").alias(side), *[F.col(x).alias(f"{x}_{side}") for x in names]), side)
+    return pairs
 
-    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own: dict[int, np.ndarray] = {}
-        for b in batches:
-            h = _salted(b.column(0).to_numpy().view(np.uint64), 5) >> np.uint64(64 - bits)
-            for i in np.unique(h >> np.uint64(20)).tolist():
-                x = own.setdefault(i, np.zeros(1 << 20, bool))
-                x[(h[(h >> np.uint64(20)) == i] & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
-        yield pa.RecordBatch.from_arrays([pa.array(list(own), pa.int32()), pa.array([np.packbits(x).tobytes() for x in own.values()], pa.binary())], ["block", "bits"])
 
-    def merge(table: pa.Table) -> pa.Table:
-        x = np.zeros(1 << 17, np.uint8)
-        for b in table["bits"].to_pylist():
-            x |= np.frombuffer(b, np.uint8)
-        return pa.table({"block": pa.array([table["block"][0].as_py()], pa.int32()), "bits": pa.array([x.tobytes()], pa.binary())})
+def _shared(a: np.ndarray, b: np.ndarray) -> int:
+    both = np.sort(np.concatenate([a, b]))
+    return int((both[1:] == both[:-1]).sum())
 
-    got = ids.mapInArrow(mark, "block int, bits binary").groupBy("block").applyInArrow(merge, "block int, bits binary").collect()
-    filter_ = docs.sparkSession.sparkContext.broadcast({r["block"]: np.frombuffer(r["bits"], np.uint8) for r in got})
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def passing() -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                h = _salted(b.column(0).fill_null(0).to_numpy(zero_copy_only=False).view(np.uint64), 5) >> np.uint64(64 - bits)
-                keep = np.zeros(len(h), bool)
-                for i, x in filter_.value.items():
-                    k = np.flatnonzero((h >> np.uint64(20)) == i)
-                    low = (h[k] & np.uint64((1 << 20) - 1)).astype(np.int64)
-                    keep[k] = (x[low >> 3] >> (7 - (low & 7)).astype(np.uint8)) & 1
-                yield b.filter(pa.array(keep))
+def _other_prefixes(docs: DataFrame, wanted: DataFrame, orders, percent: int) -> DataFrame:
+    """(id, q1, q2): prefixes under the second and third order, 32 bits a token, which never hide a token that two share."""
 
-        for rows, buf, offs in each_slice(passing(), "text", SLICE):
-            tokens, before = shingle_sets(buf, offs)
-            cols = [rows.column("id"), *[_blobs(*prefixes(tokens, before, k, counters.value[k], percent)) for k in (1, 2)], _blobs(tokens, before)]
-            yield pa.RecordBatch.from_arrays(cols, ["id", "q1", "q2", "tokens"])
+    def make(tokens: np.ndarray, before: np.ndarray) -> list[pa.Array]:
+        out = [prefixes(tokens, before, k, orders.value, percent) for k in (1, 2)]
+        return [_blobs((t >> np.uint64(32)).astype("<u4"), b) for t, b in out]
+
+    return _scanned(docs, wanted, "id long, q1 binary, q2 binary", make)
+
+
+def _whole_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(id, tokens): all tokens of a set, 48 bits each."""
+    return _scanned(docs, wanted, "id long, tokens binary", lambda tokens, before: [_blobs(_six(tokens), before)])
+
+
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
 
-    return docs.mapInArrow(run, "id long, q1 binary, q2 binary, tokens binary")
+
+def _verify(pairs: DataFrame, docs: DataFrame, orders, percent: int) -> DataFrame:
+    """The links among pairs, as a table: those that also meet under the other orders, by a count of shared tokens."""
+
+    def meets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            c = {x: [np.frombuffer(v, "<u4") for v in b.column(i).to_pylist()] for i, x in enumerate(b.schema.names) if x[0] == "q"}
+            ok = [_shared(*x) > 0 and _shared(*y) > 0 for x, y in zip(zip(c["q1_a"], c["q1_b"]), zip(c["q2_a"], c["q2_b"]))]
+            yield b.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
+
+    def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ok = []
+            for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist()):
+                both = _shared(_from_six(x), _from_six(y))
+                ok.append(both > 0 and 100 * both >= percent * ((len(x) + len(y)) // 6 - both))
+            yield b.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
+
+    near = _both(pairs, _other_prefixes(docs, _ends(pairs), orders, percent), "q1", "q2").select("a", "b", "q1_a", "q1_b", "q2_a", "q2_b")
+    near = written(near.mapInArrow(meets, "a long, b long"), "near")
+    release(docs.sparkSession)
+    out = written(_both(near, _whole_sets(docs, _ends(near)), "tokens").select("a", "b", "tokens_a", "tokens_b").mapInArrow(links, "a long, b long"), "links")
+    release(docs.sparkSession)
+    discard(near)
+    return out
 
 
-def _counts(a: list[bytes], b: list[bytes]) -> np.ndarray:
+def _counts(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
     """Shared tokens of each of a with each of b."""
     out = np.zeros((len(a), len(b)), np.int32)
-    t = np.frombuffer(b"".join(b), np.uint64)
-    owner = np.repeat(np.arange(len(b)), [len(x) // 8 for x in b])
+    if not len(a) or not len(b):
+        return out
+    t = np.concatenate(b)
+    owner = np.repeat(np.arange(len(b)), [len(x) for x in b])
     order = np.argsort(t, kind="stable")
     t, owner = t[order], owner[order]
-    for i, x in enumerate(a):
-        v = np.frombuffer(x, np.uint64)
+    for i, v in enumerate(a):
         lo, hi = np.searchsorted(t, v, "left"), np.searchsorted(t, v, "right")
         n = hi - lo
         at = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
@@ -262,17 +413,16 @@ def _counts(a: list[bytes], b: list[bytes]) -> np.ndarray:
 
 
 def _compare_blocks(percent: int):
-    """Two blocks of a token's documents: links between components, as many as it takes to connect them.
+    """A block of documents of a group that are outside its largest component, and a block of all of the group: links
+    between components, as many as it takes to connect them.
 
-    A pair is left to the first token of all groups that it shares, so each is compared once; those of one component, or
-    whose sizes do not fit, are not compared."""
+    Pairs must fit in size and meet under the second and third order before whole sets are counted. A pair is left to the
+    first token of all groups that it shares; those of one component are not compared."""
 
     def run(table: pa.Table) -> pa.Table:
         c = {x: table[x].to_pylist() for x in table.column_names}
-        rows = range(len(c["id"]))
-        first = [k for k in rows if c["block"][k] == c["i"][k]]
-        second = [k for k in rows if c["block"][k] == c["j"][k]]
-        n, comp, ids = (np.array(c[x], np.int64) for x in ("n", "component", "id"))
+        n, comp, ids, minor, first = (np.array(c[x]) for x in ("n", "component", "id", "minor", "first"))
+        f, g = np.flatnonzero(first), np.flatnonzero(~first)
         root: dict[int, int] = {}
 
         def find(x: int) -> int:
@@ -280,20 +430,25 @@ def _compare_blocks(percent: int):
                 x = root[x]
             return x
 
+        def shared(column: str, f: np.ndarray, decode) -> np.ndarray:
+            return _counts([decode(c[column][k]) for k in f.tolist()], [decode(c[column][k]) for k in g.tolist()])
+
         out = []
-        f, g = np.array(first), np.array(second)
-        if len(f) and len(g) and len(np.unique(comp)) > 1:
+        if len(f) and len(g):
             fits = (100 * np.minimum(n[f][:, None], n[g][None]) >= percent * np.maximum(n[f][:, None], n[g][None])) & (comp[f][:, None] != comp[g][None])
-            need = np.flatnonzero(fits.any(1))
-            if len(need):
-                sub = [first[k] for k in need]
-                fits = fits[need] & (_counts([c["earlier"][k] for k in sub], [c["earlier"][k] for k in second]) == 0)
-                live = np.flatnonzero(fits.any(1))
-                sub, fits = [sub[k] for k in live.tolist()], fits[live]
-            if len(need) and len(sub):
-                both = _counts([c["tokens"][k] for k in sub], [c["tokens"][k] for k in second])
-                for x, y in zip(*np.nonzero(fits & (100 * both >= percent * (n[sub][:, None] + n[g][None] - both)))):
-                    a, b = sub[x], second[y]
+            fits &= ~minor[g][None] | (ids[f][:, None] < ids[g][None])  # two that are both outside are compared once
+            tests = [("earlier", lambda x: np.frombuffer(x, np.int64), False), *[(q, lambda x: np.frombuffer(x, "<u4"), True) for q in ("q1", "q2")]]
+            for column, decode, wanted in tests:
+                live = fits.any(1)
+                f, fits = f[live], fits[live]
+                if len(f):
+                    fits &= (shared(column, f, decode) > 0) == wanted
+            live = fits.any(1)
+            f, fits = f[live], fits[live]
+            if len(f):
+                both = shared("tokens", f, _from_six)
+                for x, y in zip(*np.nonzero(fits & (100 * both >= percent * (n[f][:, None] + n[g][None] - both)))):
+                    a, b = f[x], g[y]
                     u, v = find(int(comp[a])), find(int(comp[b]))
                     if u != v:
                         root[max(u, v)] = min(u, v)
@@ -303,50 +458,26 @@ def _compare_blocks(percent: int):
     return run
 
 
-def _block_links(open_: DataFrame, chosen: DataFrame, percent: int) -> DataFrame:
-    """The links that are left between components of a token's documents, by pairs of blocks of bounded size."""
+def _block_links(open_: DataFrame, docs: DataFrame, orders, percent: int) -> DataFrame:
+    """The links that are left between components of a token's documents, by pairs of blocks of bounded size.
+
+    In a group only documents outside its largest component meet all others: a few of them cost one pass over the group."""
+    parts = open_.groupBy("token", "component").agg(F.count("*").alias("m"))
+    size = parts.groupBy("token").agg(F.sum("m").alias("all"), F.max("m").alias("most"), F.max_by("component", F.struct("m", "component")).alias("largest"))
+    size = size.select("token", "largest", F.ceil(F.col("all") / BLOCK).cast("int").alias("blocks"), F.ceil((F.col("all") - F.col("most")) / BLOCK).cast("int").alias("minors"))
     earlier = F.collect_list("token").over(Window.partitionBy("id").orderBy("token").rowsBetween(Window.unboundedPreceding, -1))
-    size = open_.groupBy("token").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    rows = open_.withColumn("before", earlier).join(size, "token").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    meet = F.explode(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(F.least("block", k).alias("i"), F.greatest("block", k).alias("j"))))
     # Tokens before this one as bytes, as sets are.
-    packed = F.unhex(F.array_join(F.transform("before", lambda x: F.lpad(F.hex(x), 16, "0")), ""))
-    rows = rows.join(chosen.select("id", "tokens"), "id").withColumn("earlier", packed).withColumn("m", meet)
-    rows = rows.select("token", "m.i", "m.j", "id", "n", "component", "block", "earlier", "tokens")
-    return rows.groupBy("token", "i", "j").applyInArrow(_compare_blocks(percent), "a long, b long")
-
-
-def _both(pairs: DataFrame, values: DataFrame, *names: str) -> DataFrame:
-    for side in "ab":
-        pairs = pairs.join(values.select(F.col("id").alias(side), *[F.col(x).alias(f"{x}_{side}") for x in names]), side)
-    return pairs
-
-
-def _shared(x: bytes, y: bytes) -> int:
-    a, b = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-    both = np.sort(np.concatenate([a, b]))
-    return int((both[1:] == both[:-1]).sum())
-
-
-def _verify(pairs: DataFrame, chosen: DataFrame, percent: int) -> DataFrame:
-    """The links among pairs: those that also meet under the other orders, by an exact count of shared tokens."""
-
-    def meets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            c = {x: b.column(i).to_pylist() for i, x in enumerate(b.schema.names) if x[0] == "q"}
-            ok = [_shared(*x) > 0 and _shared(*y) > 0 for x, y in zip(zip(c["q1_a"], c["q1_b"]), zip(c["q2_a"], c["q2_b"]))]
-            yield b.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
-
-    def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            ok = []
-            for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist()):
-                both = _shared(x, y)
-                ok.append(both > 0 and 100 * both >= percent * ((len(x) + len(y)) // 8 - both))
-            yield b.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
-
-    near = _both(pairs, chosen, "q1", "q2").select("a", "b", "q1_a", "q1_b", "q2_a", "q2_b").mapInArrow(meets, "a long, b long")
-    return _both(near, chosen, "tokens").select("a", "b", "tokens_a", "tokens_b").mapInArrow(links, "a long, b long")
+    packed = F.unhex(F.array_join(F.transform("before", lambda x: F.concat_ws("", F.reverse(F.array(*[F.lpad(F.hex(F.shiftrightunsigned(x, 8 * k).bitwiseAND(255)), 2, "0") for k in range(7, -1, -1)])))), ""))
+    rows = open_.withColumn("before", earlier).withColumn("earlier", packed).drop("before").join(size, "token").withColumn("minor", F.col("component") != F.col("largest"))
+    block = F.pmod(F.xxhash64("id", F.lit(1)), F.col("blocks")).cast("int")
+    mine = F.pmod(F.xxhash64("id", F.lit(2)), F.col("minors")).cast("int")
+    each = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    second = F.transform(each("minors"), lambda i: F.struct(F.lit(False).alias("first"), i.alias("i"), block.alias("j")))
+    first = F.when(F.col("minor"), F.transform(each("blocks"), lambda j: F.struct(F.lit(True).alias("first"), mine.alias("i"), j.alias("j")))).otherwise(F.array().cast("array<struct<first:boolean,i:int,j:int>>"))
+    ids = written(open_.select("id").distinct(), "ids")
+    sets = _other_prefixes(docs, ids, orders, percent).join(_whole_sets(docs, ids), "id")
+    rows = rows.join(sets, "id").withColumn("m", F.explode(F.concat(second, first)))
+    return rows.select("token", "m.i", "m.j", "m.first", "id", "n", "component", "minor", "earlier", "q1", "q2", "tokens").groupBy("token", "i", "j").applyInArrow(_compare_blocks(percent), "a long, b long")
 
 
 def _still_open(groups: DataFrame, found: DataFrame) -> DataFrame:
@@ -364,6 +495,7 @@ def jaccard_components(docs: DataFrame, id_column: str = "doc_id", text_column:
     component_id is the least id that links reach, the document's own included. Null and empty texts, and texts without
     words, have n_shingles 0 and link with nothing. Rows that repeat an id give a row each; if their texts differ, the id
     has the links of all of them. A null id is reported with the component of its set's other rows, else null.
+    Empty tables give no rows; texts of any length are whole; columns other than the two are not read.
     """
     members, reps, found = links(docs, id_column, text_column, percent)
     comp = components(found)
@@ -375,27 +507,21 @@ def jaccard_components(docs: DataFrame, id_column: str = "doc_id", text_column:
 def links(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", percent: int = PERCENT) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(members, representatives, links): links between representatives of different sets that connect all that link.
 
-    Equal sets are one representative (least id). Prefix tokens of representatives under the first order are dealt by
-    ranges of the token. Where few share one, each two of fitting sizes are candidates; where many do, all are paired
-    with a pivot first, and only what is still in different components is compared among itself, in blocks of bounded size
-    inside tasks that give back links alone; no link between components is lost. Candidates must also share prefix tokens
-    under the other orders; those are verified on whole sets.
+    members: (id, n, d1, d2) of each row; representatives: (d1, d2, rep), the least id of equal sets. Candidates are
+    found by _candidates(). In the groups that stay large all are paired with a pivot, and only what is still in different
+    components is compared among itself, in blocks of bounded size inside tasks that give back links alone; no link
+    between components is lost. Every candidate must share prefix tokens under the second and third order as well, and
+    is then verified on whole sets.
     """
     spark = docs.sparkSession
     rows = _input(docs, id_column, text_column)
-    counters = spark.sparkContext.broadcast(count_tokens(rows))
-    sets = written(_sets(rows, counters, percent), "sets")
-    members = sets.select("id", "n", "d1", "d2")
-    reps = written(sets.where("n > 0 and id is not null").groupBy("d1", "d2").agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("first").alias("first")), "reps")
-    tokens = reps.agg(F.sum(F.octet_length("first"))).head()[0] or 0
-    buckets = max(n_partitions(spark), math.ceil(tokens / 8 / BUCKET_TOKENS))
-    met = written(_deal(reps.withColumnRenamed("rep", "id"), buckets).groupBy("bucket").applyInArrow(_meet(percent), "token long, a long, b long, left long"), "met")
-    pairs = written(met.where("token is null").select("a", "b").distinct(), "pairs")
-    groups = met.where("token is not null").select("token", F.col("a").alias("id"), F.col("b").alias("n"), "left")
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).unionByName(groups.select("id")).distinct()
-    chosen = written(_chosen(rows, ids, counters, percent), "chosen")
-    found = written(_verify(pairs, chosen, percent), "links")
-    release(spark)
+    counters = count_tokens(rows)
+    members = written(_scanned(rows, None, "id long, n long, d1 long, d2 long", lambda t, b: [pa.array(x, pa.int64()) for x in _digests(t, b)]), "members")
+    reps = written(members.where("n > 0 and id is not null").groupBy("d1", "d2").agg(F.min("id").alias("rep"), F.first("n").alias("n")), "reps")
+    tokens = reps.agg(F.sum(F.floor(F.col("n") * (100 - percent) / 100) + 1)).head()[0] or 0
+    pairs, groups, orders = _candidates(rows, counters, tokens, percent)
+    orders = spark.sparkContext.broadcast(orders)
+    found = _verify(pairs, rows, orders, percent)
     open_ = _still_open(groups, found)
     fit = F.expr(f"least(l_a, l_b) * {100 + percent} >= {percent} * (n_a + n_b)")
     for step in range(PIVOTS):
@@ -405,18 +531,37 @@ def links(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
         right = open_.select("token", F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("left").alias("l_b"), F.col("component").alias("c_b"))
         pick = F.min_by(F.struct("b", "n_b", "l_b", "c_b"), F.xxhash64("b", F.lit(step))).alias("p")
         more = left.join(right.groupBy("token").agg(pick).select("token", "p.*"), "token").where("c_a <> c_b").where(fit)
-        more = more.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti")
-        new = written(_verify(more, chosen, percent), "links")
+        more = written(more.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti"), "pivots")
+        new = _verify(more, rows, orders, percent)
         if not new.isEmpty():
             found = found.unionByName(new)
             open_ = _still_open(groups, found)
     if not open_.isEmpty():
-        found = found.unionByName(written(_block_links(open_, chosen, percent), "links"))
+        found = found.unionByName(written(_block_links(open_, rows, orders, percent), "links"))
+        release(spark)
     return members, reps, found
 
 
 def keep_one(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", percent: int = PERCENT) -> DataFrame:
-    """docs with one document of each component, the one with the least id; documents without words all stay."""
-    out = jaccard_components(docs, id_column, text_column, percent)
-    gone = out.where(F.col(id_column) != F.col("component_id")).select(F.col(id_column).alias("_id")).distinct()
-    return docs.join(gone, docs[id_column] == gone["_id"], "left_anti")
+    """docs with one document of each component, the one with the least id; documents without words all stay.
+
+    Rows that repeat an id are told apart by their texts: a row goes if its own set belongs to a component with a smaller
+    id. Rows that repeat the kept id with a text of the same component stay, as they cannot be told from it; so do rows
+    with a null id, unless another row with the same set has an id. All columns of docs stay as they are, whatever
+    their names; empty tables give no rows; texts of any length are compared whole."""
+    names = [f"set_{k}_{'_'.join(docs.columns)}" for k in range(3)]  # longer than any name of docs
+    members, reps, found = links(docs, id_column, text_column, percent)
+    rep_of = reps.join(components(found).withColumnRenamed("id", "rep"), "rep", "left").select("d1", "d2", F.coalesce("component", "rep").alias("component"))
+    gone = members.where("n > 0").join(rep_of, ["d1", "d2"]).where(~F.col("id").eqNullSafe(F.col("component")))
+    gone = gone.select(*[F.col(x).alias(y) for x, y in zip(("id", "d1", "d2"), names)]).distinct()
+    place = docs.columns.index(text_column)
+    told = T.StructType([*docs.schema.fields, *[T.StructField(x, T.LongType()) for x in names[1:]]])
+
+    def tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, buf, offs in each_slice(batches, place, SLICE):
+            _, d1, d2 = _digests(*shingle_sets(buf, offs))
+            yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(d1), pa.array(d2)], told.names)
+
+    rows = docs.mapInArrow(tell, told).withColumnRenamed(names[1], f"own_{names[1]}").withColumnRenamed(names[2], f"own_{names[2]}")
+    same = F.col(id_column).cast("long").eqNullSafe(F.col(names[0])) & (F.col(f"own_{names[1]}") == F.col(names[1])) & (F.col(f"own_{names[2]}") == F.col(names[2]))
+    return rows.join(gone, same, "left_anti").select(*docs.columns)
