@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from barloom.llm import bpe
+from barloom.llm.common import written
 
 #: Lengths that one task sums up; blocks of lengths are joined by the sums of the blocks after them.
 BLOCK = 4096
@@ -57,8 +58,11 @@ def suffix_sums(hist: DataFrame) -> DataFrame:
 
 
 def token_counts(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", by: str | None = "source", path: str | None = None) -> DataFrame:
-    """suffix_sums() of histogram(), `by` under its own name. Rows of docs count each, repeated ones too; a null group is a group."""
-    out = suffix_sums(histogram(docs, id_column, text_column, by, path))
+    """suffix_sums() of histogram(), `by` under its own name. Rows of docs count each, repeated ones too; a null group is a group.
+
+    Texts are encoded once: the histogram, a row for each group and length, is written. Null and empty texts have length
+    0, texts of any length are encoded whole, no rows give no rows, and columns of docs other than the two are not read."""
+    out = suffix_sums(written(histogram(docs, id_column, text_column, by, path), "histogram"))
     return out.withColumnRenamed("by", by) if by else out.drop("by")
 
 
