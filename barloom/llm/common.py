@@ -12,8 +12,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Texts are worked on in slices of about this many bytes, so that a task's memory does not follow the batch size.
-SLICE_BYTES = 2 << 20
+#: Texts are worked on in slices of about this many bytes and at most this many rows, so that a task's memory does not
+#: follow the batch size, whatever spark.sql.execution.arrow.maxRecordsPerBatch is.
+SLICE_BYTES, SLICE_ROWS = 2 << 20, 1 << 14
 
 WORD = "[^\\x20\\x09-\\x0D]+"
 
@@ -65,7 +66,8 @@ def n_partitions(spark: SparkSession) -> int:
 
 
 def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(first row, last row + 1, bytes of their texts end to end, offsets) for runs of rows of about `limit` bytes; null is empty.
+    """(first row, last row + 1, bytes of their texts end to end, offsets) for runs of at most SLICE_ROWS rows of about `limit`
+    bytes; null is empty.
 
     A text longer than the limit is a slice of its own and is kept whole."""
     col = batch.column(column)
@@ -80,7 +82,7 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iter
     a = 0
     while a < n:
         b = max(a + 1, int(np.searchsorted(offs, offs[a] + limit, "right")) - 1)
-        b = min(b, n)
+        b = min(b, n, a + SLICE_ROWS)
         yield a, b, data[offs[a] : offs[b]], offs[a : b + 1] - offs[a]
         a = b
 
@@ -153,6 +155,19 @@ def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     return mixed(h + (ends - starts).astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
 
 
+def planes(x: np.ndarray) -> bytes:
+    """Whole numbers in as few bytes each as the largest needs, bytes of one weight side by side so that they compress."""
+    width = max(1, -(-int(x.max(initial=0)).bit_length() // 8)) if x.min(initial=0) >= 0 else 8
+    return x.astype("<i8").view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
+
+
+def from_planes(raw: bytes, n: int) -> np.ndarray:
+    out = np.zeros((n, 8), np.uint8)
+    if n:
+        out[:, : len(raw) // n] = np.frombuffer(raw, np.uint8).reshape(-1, n).T
+    return out.reshape(-1).view("<i8")
+
+
 def doc_of(counts_before: np.ndarray) -> np.ndarray:
     """For each item, the text it stands in, from the number of items before each text."""
     return np.repeat(np.arange(len(counts_before) - 1), np.diff(counts_before))

@@ -5,7 +5,7 @@ sends one customer to the parent, the one restaurant of single words that all of
 to the uniform base. Words are 48-bit hashes inside the model (a parameter of precision, not of size).
 
 All pairs of the corpus, with the texts they stand in, are dealt once to buckets by their first word; a word that begins
-more than HOT_SHARE of all pairs is dealt by both words. A round of sampling exchanges, between buckets of pairs and
+more than a share of all pairs is dealt by both words. A round of sampling exchanges, between buckets of pairs and
 buckets of words, a table count and a count of customers for each word that a bucket has. Tables of the split words are
 added up over all buckets before every draw.
 """
@@ -21,15 +21,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barloom.llm.common import each_slice, lowered, n_partitions, release, span_hashes, word_spans, written
+from barloom.llm.common import SLICE_ROWS, each_slice, from_planes, lowered, n_partitions, planes, release, span_hashes, word_spans, written
 
 #: Texts whose crc32 of the id leaves 0 when divided by FOLDS are held out.
 FOLDS = 10
 #: Exchanges between the levels, seatings drawn in each, and of the last exchange those that come before averaging.
 ROUNDS, SWEEPS, BURN_IN = 2, 4, 1
 STRENGTH = 1.0
-#: Pairs of a bucket, pairs that a task gathers before it deals them out, and the share from which a first word is split.
-BUCKET_PAIRS, GATHER, HOT_SHARE = 1_000_000, 600_000, 1 / 512
+#: Pairs of a bucket, pairs that a task gathers before it deals them out.
+BUCKET_PAIRS, GATHER = 1_000_000, 600_000
+#: A first word is split when it begins a quarter of a bucket's pairs, or, so that their number stays bounded, the lesser
+#: of these shares of all pairs; at most 1 / LEAST_SHARE words are split.
+HOT_SHARE, LEAST_SHARE = 1 / 512, 1 / 65536
+#: Texts of a portion; a text is known by its place in the portion, in two bytes.
+PORTION = 1 << 15
+assert PORTION + SLICE_ROWS <= 1 << 16
 SLICE = 1 << 20
 _END, _BEGIN = np.uint64(0x5DEECE66D5A10001), np.uint64(0x1B873593CC9E2D51)
 _SMALL = 32
@@ -84,7 +90,7 @@ def _gathered(batches: Iterator[pa.RecordBatch], with_rows: bool):
         many += len(a)
         if with_rows:
             rows.append(batch.drop_columns(["text"]))
-        if many >= GATHER or docs >= 1 << 15:
+        if many >= GATHER or docs >= PORTION:
             yield (*(np.concatenate(x) for x in zip(*got)), pa.Table.from_batches(rows) if rows else None)
             got, rows, many, docs = [], [], 0, 0
     if got:
@@ -92,12 +98,15 @@ def _gathered(batches: Iterator[pa.RecordBatch], with_rows: bool):
 
 
 def _hot_words(docs: DataFrame) -> tuple[np.ndarray, int]:
-    """First words with HOT_SHARE of all pairs or more (so at most 1 / HOT_SHARE), and the number of pairs."""
+    """First words that are split, and the number of pairs."""
+    # A word and the space after it take about six bytes; the share only has to be of the right size.
+    size = docs.agg(F.sum(F.octet_length("text"))).head()[0] or 0
+    share = min(HOT_SHARE, max(LEAST_SHARE, BUCKET_PAIRS / 4 / max(1, size / 6)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for a, _, _, _ in _gathered(batches, False):
             w, c = np.unique(a, return_counts=True)
-            keep = c >= len(a) * HOT_SHARE / 2
+            keep = c >= len(a) * share / 2
             yield pa.RecordBatch.from_arrays([pa.array(np.append(w[keep].view(np.int64), -1)), pa.array(np.append(c[keep], len(a)))], ["word", "n"])
 
     counted = docs.select("text").mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
@@ -105,7 +114,7 @@ def _hot_words(docs: DataFrame) -> tuple[np.ndarray, int]:
     total = counted.where("word = -1").head()
     if total is None:
         return np.zeros(0, np.uint64), 0
-    hot = counted.where((F.col("word") >= 0) & (F.col("n") >= total["n"] * HOT_SHARE)).collect()
+    hot = counted.where((F.col("word") >= 0) & (F.col("n") >= total["n"] * share)).collect()
     return np.array(sorted(r["word"] for r in hot), np.int64).view(np.uint64), total["n"]
 
 
@@ -170,7 +179,7 @@ def _merge(table: pa.Table) -> pa.Table:
         "first": _pack(ea[fh]),
         "runs": np.diff(np.append(fh, len(ea))).astype("<u4").tobytes(),
         "second": _pack(eb),
-        "train": counts.astype("<u4").tobytes(),
+        "train": planes(counts),
         "entry": np.diff(entry, prepend=0).astype("<i4").tobytes(),
         **{x: b"".join(column(x)) for x in ("uses", "texts", "size", "who")},
     }
@@ -179,7 +188,8 @@ def _merge(table: pa.Table) -> pa.Table:
 
 def _pairs(r: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(first words, pairs of each, second words, training counts) of a bucket."""
-    return _unpack(r["first"]), np.frombuffer(r["runs"], "<u4").astype(np.int64), _unpack(r["second"]), np.frombuffer(r["train"], "<u4").astype(np.int64)
+    second = _unpack(r["second"])
+    return _unpack(r["first"]), np.frombuffer(r["runs"], "<u4").astype(np.int64), second, from_planes(r["train"], len(second))
 
 
 # ---- seating ----------------------------------------------------------------------------------------------------
@@ -248,9 +258,8 @@ def _words_out(bucket: int, second: np.ndarray, train: np.ndarray, tables: np.nd
     w, c, t = s[heads], np.add.reduceat(train[order], heads), np.add.reduceat(tables[order], heads)
     cuts = np.searchsorted(_spread(w, n), np.arange(n + 1))
     k = np.flatnonzero(np.diff(cuts)).tolist()
-    part = lambda x: pa.array([x[cuts[i] : cuts[i + 1]].tobytes() for i in k], pa.binary())
-    packed = pa.array([_pack(w[cuts[i] : cuts[i + 1]]) for i in k], pa.binary())
-    return pa.RecordBatch.from_arrays([pa.array(k, pa.int32()), pa.array([bucket] * len(k), pa.int32()), packed, part(c.astype("<u4")), part(t.astype("<u4"))], ["to", "bucket", "words", "uses", "tables"])
+    part = lambda x, how: pa.array([how(x[cuts[i] : cuts[i + 1]]) for i in k], pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array(k, pa.int32()), pa.array([bucket] * len(k), pa.int32()), part(w, _pack), part(c, planes), part(t, planes)], ["to", "bucket", "words", "uses", "tables"])
 
 
 _WORDS = "to int, bucket int, words binary, uses binary, tables binary"
@@ -263,7 +272,8 @@ def _parent(discount: float, seed: int):
     def run(table: pa.Table) -> pa.Table:
         asked = [_unpack(x) for x in table["words"].to_pylist()]
         words, which = np.unique(np.concatenate(asked), return_inverse=True)
-        add = lambda c: np.bincount(which, np.frombuffer(b"".join(table[c].to_pylist()), "<u4"), len(words)).astype(np.int64)
+        sent = lambda c: np.concatenate([from_planes(x, len(w)) for x, w in zip(table[c].to_pylist(), asked)])
+        add = lambda c: np.bincount(which, sent(c), len(words)).astype(np.int64)
         uses, customers = add("uses"), add("tables")
         rng = np.random.default_rng([seed, table["to"][0].as_py()])
         seats, mean = np.minimum(customers, 1), np.zeros(len(words))
@@ -275,10 +285,10 @@ def _parent(discount: float, seed: int):
                 mean += seats / (SWEEPS - BURN_IN)
         mass = (customers - discount * mean).astype("<f4")
         cuts = np.cumsum([0, *map(len, asked)])
-        cut = lambda x: pa.array([x[which[a:b]].tobytes() for a, b in zip(cuts[:-1], cuts[1:])], pa.binary())
+        cut = lambda x, how: pa.array([how(x[which[a:b]]) for a, b in zip(cuts[:-1], cuts[1:])], pa.binary())
         first = np.arange(len(asked)) == 0  # the sums of the range, once
         return pa.table(
-            {"bucket": table["bucket"], "to": table["to"], "mass": cut(mass), "uses": cut(uses.astype("<u4"))}
+            {"bucket": table["bucket"], "to": table["to"], "mass": cut(mass, lambda x: x.tobytes()), "uses": cut(uses, planes)}
             | {k: pa.array(np.where(first, int(round(v)), 0)) for k, v in (("known", known), ("customers", customers.sum()), ("open", mean.sum()), ("total", uses.sum()))}
         )
 
@@ -296,7 +306,9 @@ def score_texts(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     Tokens of a text are its words, A-Z lower-cased, and an end. score is the model's log10 probability of the text,
     perplexity that per token; base_score that of smoothed single-word counts. The model learns from the rows that are
     not held out. Null and empty texts have the end alone. A null id counts as the empty text when folds are dealt;
-    rows that repeat an id are scored each, and learnt from each. No rows give no rows.
+    rows that repeat an id are scored each, and learnt from each. No rows give no rows. Texts of any length are scored
+    whole; columns other than the two are not read, so their names cannot clash. The result is a table in the shared
+    folder, as the table of pairs is dropped when it is made.
     """
     spark = docs.sparkSession
     held = F.crc32(F.coalesce(F.col(id_column).cast("string"), F.lit("")).cast("binary")) % FOLDS == 0
@@ -349,7 +361,7 @@ def score_texts(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
         known, customers, open_, _ = sums
         first, runs, second, train = _pairs(r)
         mass = np.frombuffer(b"".join(x["mass"] for x in r["answers"]), "<f4").astype(float)
-        uses = np.frombuffer(b"".join(x["uses"] for x in r["answers"]), "<u4").astype(np.int64)
+        uses = np.concatenate([from_planes(x["uses"], len(x["mass"]) // 4) for x in r["answers"]])
         word = np.searchsorted(np.unique(second), second)
         parent = ((mass + (STRENGTH + discount * open_) / (known + 1)) / (STRENGTH + customers))[word]
         parts = []
@@ -451,7 +463,7 @@ def score_texts(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     partial = table.drop("who").join(replies, "bucket").mapInArrow(score, _SUMS)
     out = partial.groupBy("row").applyInArrow(add_up, "row long, n_tokens long, n_known long, base_score double, score double")
     out = out.join(names, "row")
-    return out.select(
+    out = out.select(
         F.when(F.col("id") != -(2**63), F.col("id")).cast(kind).alias(id_column),
         F.col("held").alias("held_out"),
         "n_tokens",
@@ -461,3 +473,6 @@ def score_texts(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
         "score",
         F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")).alias("perplexity"),
     )
+    out = written(out, "scores")
+    spark.sql(f"DROP TABLE {name}")
+    return out

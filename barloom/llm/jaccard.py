@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barloom.llm.common import discard, doc_of, each_slice, lowered, mixed, n_partitions, release, signed, span_hashes, word_spans, written
+from barloom.llm.common import discard, doc_of, each_slice, from_planes, lowered, mixed, n_partitions, planes, release, signed, span_hashes, word_spans, written
 from barloom.llm.components import components
 
 #: Words of a shingle, and the least likeness in percent.
@@ -114,18 +114,6 @@ def _from_six(raw: bytes) -> np.ndarray:
     return out.reshape(-1).view("<u8")
 
 
-def _planes(x: np.ndarray) -> bytes:
-    """Whole numbers in as few bytes each as the largest needs, bytes of one weight side by side so that they compress."""
-    width = max(1, -(-int(x.max(initial=0)).bit_length() // 8)) if x.min(initial=0) >= 0 else 8
-    return x.astype("<i8").view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
-
-
-def _from_planes(raw: bytes, n: int) -> np.ndarray:
-    out = np.zeros((n, 8), np.uint8)
-    out[:, : len(raw) // n] = np.frombuffer(raw, np.uint8).reshape(-1, n).T
-    return out.reshape(-1).view("<i8")
-
-
 def _digests(tokens: np.ndarray, before: np.ndarray) -> list[np.ndarray]:
     """Sizes of sets, and the two halves of a digest of each."""
     n = np.diff(before)
@@ -258,7 +246,7 @@ def _deal(sets: DataFrame, buckets: int) -> DataFrame:
             short, owner = short[order], np.repeat(np.arange(len(ids)), many)[order]
             cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
             k = np.flatnonzero(np.diff(cuts))
-            part = lambda x: pa.array([_planes(x[cuts[i] : cuts[i + 1]]) for i in k.tolist()], pa.binary())
+            part = lambda x: pa.array([planes(x[cuts[i] : cuts[i + 1]]) for i in k.tolist()], pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(k, pa.int32()), pa.array(np.diff(cuts)[k], pa.int32()), part(short), part(ids[owner]), part(n[owner]), part(left)], ["bucket", "many", "tokens", "ids", "n", "left"])
 
     return sets.mapInArrow(run, "bucket int, many int, tokens binary, ids binary, n binary, left binary")
@@ -273,7 +261,7 @@ def _meet(percent: int):
 
     def run(table: pa.Table) -> pa.Table:
         many = table["many"].to_pylist()
-        join = lambda c: np.concatenate([_from_planes(x, k) for x, k in zip(table[c].to_pylist(), many)])
+        join = lambda c: np.concatenate([fromplanes(x, k) for x, k in zip(table[c].to_pylist(), many)])
         tokens, ids, n, left = join("tokens"), join("ids"), join("n"), join("left")
         order = np.lexsort((ids, tokens))
         tokens, ids, n, left = tokens[order], ids[order], n[order], left[order]
