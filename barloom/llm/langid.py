@@ -1,4 +1,8 @@
-"""Language ID by a linear-chain conditional random field over the words of a text, each word labelled by forward-backward."""
+"""Language ID by a linear-chain conditional random field over the words of a text, each word labelled by forward-backward.
+
+Labelled texts have one language each, so half of the training sequences are made of the halves of two of them: the field
+learns from these what a switch of language looks like, and how rare it is.
+"""
 
 from __future__ import annotations
 
@@ -7,15 +11,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barloom.llm.common import each_slice, lowered, span_hashes, word_spans
 
 UNDETERMINED = "und"
-#: Labelled rows that the model is fitted on, at most: those whose id and text hash lowest.
-SAMPLE_ROWS = 600
+#: Labelled rows that the model is fitted on, at most, shared out evenly over the languages, and characters of each: of a
+#: longer text a window at a place chosen by its hash. So the fit has at most SAMPLE_ROWS * SAMPLE_CHARS characters.
+SAMPLE_ROWS, SAMPLE_CHARS = 600, 20_000
 #: log2 of the feature table, words of a training sequence, steps and step size of the fit, weight of the penalty.
 BITS, SEQUENCE, STEPS, RATE, PENALTY = 17, 48, 40, 0.15, 1e-4
 #: A word is in a language's lexicon if it stands in the sample this often, with this share of its uses there.
@@ -127,10 +132,25 @@ def _lexicon_of(model_words: np.ndarray, labels: np.ndarray, h: np.ndarray, none
     return np.where(model_words[k] == h, labels[k], none)
 
 
+def switched(cuts: np.ndarray, seed: int = 1) -> tuple[np.ndarray, np.ndarray]:
+    """(places of words, cuts) of as many sequences of the same words: half of them as they are, and of the others, two by
+    two, the first half of one followed by the second half of the other."""
+    order = np.random.default_rng(seed).permutation(len(cuts) - 1)
+    a, b, half = cuts[:-1], cuts[1:], (cuts[:-1] + cuts[1:] + 1) // 2
+    whole = len(order) - len(order) // 4 * 2
+    parts = [[(a[i], b[i])] for i in order[:whole]]
+    for p, q in zip(order[whole::2], order[whole + 1 :: 2]):
+        parts += [[(a[p], half[p]), (half[q], b[q])], [(a[q], half[q]), (half[p], b[p])]]
+    take = np.concatenate([np.arange(x, z) for part in parts for x, z in part]) if parts else np.zeros(0, np.int64)
+    lens = np.array([sum(z - x for x, z in part) for part in parts], np.int64)
+    return take, np.concatenate([[0], np.cumsum(lens[lens > 0])]).astype(np.int64)
+
+
 def fit(rows: list[tuple[str, str]]) -> Model:
-    """Fits the field to (text, language) rows by gradient steps on the likelihood; whole texts, in runs of SEQUENCE words.
+    """Fits the field to (text, language) rows by gradient steps on the likelihood, in runs of SEQUENCE words.
 
-    Every word of a text is taken to be in the text's language. Without rows the model has no label."""
+    Every word of a text is taken to be in the text's language; switched() makes runs with two. Without rows the model
+    has no label."""
     labels = sorted({lang for _, lang in rows})
     k = len(labels)
     texts = [t.encode() for t, _ in rows]
@@ -150,6 +170,8 @@ def fit(rows: list[tuple[str, str]]) -> Model:
     n_features = np.diff(np.append(heads, len(f)))
     word_of_feature = np.repeat(np.arange(len(h)), n_features)
     cuts = np.unique(np.concatenate([before, *[np.arange(a, b, SEQUENCE) for a, b in zip(before[:-1], before[1:])]])).astype(np.int64)
+    take, cuts = switched(cuts)
+    which, y = which[take], y[take]
     plain = np.repeat(np.arange(len(cuts) - 1) % 2 == 0, np.diff(cuts))
     lex_of = np.where(plain, k, lex[which])
     onehot = np.eye(k)[y]
@@ -212,20 +234,35 @@ def judged(m: Model, buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.
     return best, score, gamma, before
 
 
-def sample(labelled: DataFrame, text_column: str, lang_column: str, rows: int = SAMPLE_ROWS) -> list[tuple[str, str]]:
-    """At most `rows` of the labelled rows with a text, by the least hash of text and label: the same ones at each run.
-
-    Rows with a hash above a line that lets about four times as many by are left out before the sort, so that what the
-    tasks send does not grow with their number."""
-    t, lang = F.col(text_column).cast("string").alias("t"), F.col(lang_column).cast("string").alias("l")
-    known = labelled.select(t, lang).where("t is not null and l is not null").withColumn("h", F.xxhash64("t", "l"))
-    most = known.count()
-    lines = [int(-(2**63) + 2**64 * 4 * rows / most)] if most > 8 * rows else []
-    for line in [*lines, 2**63 - 1]:
-        got = known.where(F.col("h") <= F.lit(min(line, 2**63 - 1))).orderBy("h", "t", "l").limit(rows).collect()
-        if len(got) >= min(rows, most):
+def sample(labelled: DataFrame, text_column: str, lang_column: str, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS) -> list[tuple[str, str]]:
+    """At most `rows` different labelled texts, as many of each language as of any other where there are so many: those of
+    least hash of text and label, the same ones at each run. Of a text of more than `chars` characters, a window.
+
+    Only the `rows` most frequent languages can have a text. Rows with a hash above a line that lets about four times as
+    many of their language by are left out before anything is sent, so that this does not grow with the number of rows."""
+    known = labelled.select(F.col(text_column).cast("string").alias("t"), F.col(lang_column).cast("string").alias("l")).where("t is not null and l is not null")
+    known = known.withColumn("h", F.xxhash64("t", "l"))
+    langs = known.groupBy("l").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "l").limit(rows).collect()
+    if not langs:
+        return []
+    each = rows // len(langs)
+    window = F.substr("t", F.lit(1) + F.pmod(F.col("h"), F.greatest(F.lit(1), F.length("t") - F.lit(chars))).cast("int"), F.lit(chars))
+    out = []
+    for slack in (4, 64, None):  # copies have one hash, so a line may let too few different texts by
+        missing = [r for r in langs if r["l"] not in {lang for _, lang in out}]
+        if not missing:
             break
-    return [(r[0], r[1]) for r in got]
+        below = F.lit(False)
+        for r in missing:
+            line = 2**63 - 1 if slack is None or r["n"] <= slack * each else int(-(2**63) + 2**64 * slack * each / r["n"])
+            below = below | ((F.col("l") == r["l"]) & (F.col("h") <= F.lit(line)))
+        got = known.where(below).groupBy("l", "h").agg(F.min(window).alias("t"))
+        got = got.withColumn("k", F.row_number().over(Window.partitionBy("l").orderBy("h"))).where(F.col("k") <= each).collect()
+        for r in missing:
+            mine = [(x["t"], x["l"]) for x in sorted(got, key=lambda x: x["k"]) if x["l"] == r["l"]]
+            if slack is None or r["n"] <= slack * each or len(mine) >= each:
+                out += mine
+    return sorted(out, key=lambda x: (x[1], x[0]))
 
 
 def held_out(id_column: str) -> Column:
@@ -238,7 +275,8 @@ def identify(docs: DataFrame, model: Model, id_column: str = "doc_id", text_colu
 
     lang_pred is the label with the largest mean marginal over the text's words, score is that mean; of equal ones the
     first by name. A text that is null or has no letter is `und` with score 1, and so is every text under a model
-    without labels. Rows are independent; no shuffle."""
+    without labels. Rows are independent, repeated ones give a row each; no shuffle. Texts of any length are labelled
+    whole, empty tables give no rows, and columns other than the two are not read."""
     spark = docs.sparkSession
     fitted = spark.sparkContext.broadcast(model)
     fields = [T.StructField(id_column, docs.schema[id_column].dataType), T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
@@ -259,7 +297,9 @@ def identify(docs: DataFrame, model: Model, id_column: str = "doc_id", text_colu
 
 
 def keep_identified(docs: DataFrame, model: Model, least: float, text_column: str = "text") -> DataFrame:
-    """The rows of docs, all columns as they are, whose text is in one of the model's languages with a score of `least`."""
+    """The rows of docs, all columns as they are, whose text is in one of the model's languages with a score of `least`.
+
+    Null texts and texts without a letter go; repeated rows stay or go together; empty tables give no rows."""
     fitted = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
