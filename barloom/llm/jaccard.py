@@ -261,7 +261,7 @@ def _meet(percent: int):
 
     def run(table: pa.Table) -> pa.Table:
         many = table["many"].to_pylist()
-        join = lambda c: np.concatenate([fromplanes(x, k) for x, k in zip(table[c].to_pylist(), many)])
+        join = lambda c: np.concatenate([from_planes(x, k) for x, k in zip(table[c].to_pylist(), many)])
         tokens, ids, n, left = join("tokens"), join("ids"), join("n"), join("left")
         order = np.lexsort((ids, tokens))
         tokens, ids, n, left = tokens[order], ids[order], n[order], left[order]
