@@ -26,8 +26,8 @@ WORDS, PERCENT = 5, 80
 #: have to put what is common last, and a token's share shows against the others that fall into its counter at any size.
 COUNTERS = (22, 18, 18)
 #: Up to so many documents of one prefix token, each two are compared at once; larger groups are dealt again with their
-#: token moved to the end of the orders, so many times, and what is left goes through pivots.
-SMALL, ROUNDS, PIVOTS = 24, 2, 1
+#: token moved to the end of the orders, so many times, and what is left goes through a pivot.
+SMALL, ROUNDS = 24, 1
 #: Documents of a block, when those of a group that pivots leave apart are compared block by block.
 BLOCK = 1024
 #: log2 of the bits of the filters that tell common tokens and pick texts before anything is shuffled, from and to (32 MB
@@ -195,11 +195,11 @@ def passes(filter_: np.ndarray, values: np.ndarray) -> np.ndarray:
     return ((filter_[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1).astype(bool)
 
 
-def _scanned(docs: DataFrame, wanted: DataFrame | None, schema: str, make) -> DataFrame:
-    """The id and what make(tokens, tokens before) gives, over the texts of docs whose id is in wanted (id), if it is given.
+def _scanned(docs: DataFrame, wanted: np.ndarray | None, schema: str, make) -> DataFrame:
+    """The id and what make(tokens, tokens before) gives, over the texts of docs whose id passes `wanted`, if it is given.
 
-    A bit filter drops texts that are not wanted before they are cut into shingles; it lets a few of them by."""
-    filter_ = None if wanted is None else docs.sparkSession.sparkContext.broadcast(bit_filter(wanted, wanted.count()))
+    That bit filter drops texts that are not wanted before they are cut into shingles; it lets a few of them by."""
+    filter_ = None if wanted is None else docs.sparkSession.sparkContext.broadcast(wanted)
     names = [x.split()[0] for x in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -215,7 +215,7 @@ def _scanned(docs: DataFrame, wanted: DataFrame | None, schema: str, make) -> Da
 
 
 # ---- candidates -------------------------------------------------------------------------------------------------
-def _firsts(docs: DataFrame, wanted: DataFrame | None, orders, percent: int) -> DataFrame:
+def _firsts(docs: DataFrame, wanted: np.ndarray | None, orders, percent: int) -> DataFrame:
     """(id, n, first): of each distinct set with a token the least id, its size and its prefix under the first order.
 
     Equal sets are merged by partial aggregates before they are sent."""
@@ -314,16 +314,20 @@ def _candidates(docs: DataFrame, counters: list[np.ndarray], tokens: int, percen
         groups = rounds[-1].where("token is not null").select("token", F.col("a").alias("id"), F.col("b").alias("n"), "left")
         if step == ROUNDS or groups.isEmpty():
             break
-        sets = written(groups.select("id", "n").distinct(), "population")
-        tokens = sets.agg(F.sum(F.floor(F.col("n") * (100 - percent) / 100) + 1)).head()[0]
-        wanted = sets.select("id").distinct()
+        sets = groups.groupBy("id").agg(F.max("n").alias("n")).agg(F.count("*").alias("sets"), F.sum(F.floor(F.col("n") * (100 - percent) / 100) + 1).alias("tokens")).head()
+        tokens, wanted = sets["tokens"], bit_filter(groups.select("id"), sets["sets"])
         new = groups.select(F.col("token").bitwiseAND(_SHORT).alias("short"))
-        common = new.distinct() if common is None else common.unionByName(new).distinct()
-        orders = [*counters, bit_filter(common, common.count())]
+        common = new if common is None else common.unionByName(new)
+        orders = [*counters, bit_filter(common, common.distinct().count())]
     pairs = rounds[0]
     for more in rounds[1:]:
         pairs = pairs.unionByName(more)
-    return written(pairs.where("token is null").select("a", "b").distinct(), "pairs"), written(groups, "groups"), orders
+    pairs = pairs.where("token is null").select("a", "b")
+    # In a group that is still too large all meet one of its sets; what that leaves apart is found block by block.
+    pivot = F.min_by(F.struct("id", "n", "left"), F.xxhash64("id")).alias("p")
+    met = groups.join(groups.groupBy("token").agg(pivot), "token").where(f"id <> p.id and least(left, p.left) * {100 + percent} >= {percent} * (n + p.n)")
+    pairs = pairs.unionByName(met.select(F.least("id", "p.id").alias("a"), F.greatest("id", "p.id").alias("b")))
+    return written(pairs.distinct(), "pairs"), groups, orders
 
 
 # ---- verification -----------------------------------------------------------------------------------------------
@@ -338,23 +342,23 @@ def _shared(a: np.ndarray, b: np.ndarray) -> int:
     return int((both[1:] == both[:-1]).sum())
 
 
-def _other_prefixes(docs: DataFrame, wanted: DataFrame, orders, percent: int) -> DataFrame:
+def _other_prefixes(docs: DataFrame, wanted: np.ndarray, orders, percent: int) -> DataFrame:
     """(id, q1, q2): prefixes under the second and third order, 32 bits a token, which never hide a token that two share."""
+    return _scanned(docs, wanted, "id long, q1 binary, q2 binary", lambda tokens, before: _others(tokens, before, orders.value, percent))
 
-    def make(tokens: np.ndarray, before: np.ndarray) -> list[pa.Array]:
-        out = [prefixes(tokens, before, k, orders.value, percent) for k in (1, 2)]
-        return [_blobs((t >> np.uint64(32)).astype("<u4"), b) for t, b in out]
 
-    return _scanned(docs, wanted, "id long, q1 binary, q2 binary", make)
+def _others(tokens: np.ndarray, before: np.ndarray, orders: list, percent: int) -> list[pa.Array]:
+    out = [prefixes(tokens, before, k, orders, percent) for k in (1, 2)]
+    return [_blobs((t >> np.uint64(32)).astype("<u4"), b) for t, b in out]
 
 
-def _whole_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+def _whole_sets(docs: DataFrame, wanted: np.ndarray) -> DataFrame:
     """(id, tokens): all tokens of a set, 48 bits each."""
     return _scanned(docs, wanted, "id long, tokens binary", lambda tokens, before: [_blobs(_six(tokens), before)])
 
 
-def _ends(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+def _ends(pairs: DataFrame) -> np.ndarray:
+    return bit_filter(pairs.select(F.explode(F.array("a", "b")).alias("id")), 2 * pairs.count())
 
 
 def _verify(pairs: DataFrame, docs: DataFrame, orders, percent: int) -> DataFrame:
@@ -462,22 +466,21 @@ def _block_links(open_: DataFrame, docs: DataFrame, orders, percent: int) -> Dat
     each = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
     second = F.transform(each("minors"), lambda i: F.struct(F.lit(False).alias("first"), i.alias("i"), block.alias("j")))
     first = F.when(F.col("minor"), F.transform(each("blocks"), lambda j: F.struct(F.lit(True).alias("first"), mine.alias("i"), j.alias("j")))).otherwise(F.array().cast("array<struct<first:boolean,i:int,j:int>>"))
-    ids = written(open_.select("id").distinct(), "ids")
-    sets = _other_prefixes(docs, ids, orders, percent).join(_whole_sets(docs, ids), "id")
+    ids = bit_filter(open_.select("id"), open_.select("id").distinct().count())
+    sets = _scanned(docs, ids, "id long, q1 binary, q2 binary, tokens binary", lambda tokens, before: [*_others(tokens, before, orders.value, percent), _blobs(_six(tokens), before)])
     rows = rows.join(sets, "id").withColumn("m", F.explode(F.concat(second, first)))
     return rows.select("token", "m.i", "m.j", "m.first", "id", "n", "component", "minor", "earlier", "q1", "q2", "tokens").groupBy("token", "i", "j").applyInArrow(_compare_blocks(percent), "a long, b long")
 
 
-def _still_open(groups: DataFrame, found: DataFrame) -> DataFrame:
+def _still_open(groups: DataFrame, comp: DataFrame) -> DataFrame:
     """Rows of groups, with components, of tokens whose documents are in more than one."""
-    comp = components(found)
     rows = groups.join(comp, "id", "left").withColumn("component", F.coalesce("component", "id"))
     apart = rows.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("token")
     return written(rows.join(apart, "token", "left_semi"), "open")
 
 
 def jaccard_components(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", percent: int = PERCENT) -> DataFrame:
-    """(id, n_shingles, component_id) for each row of docs; see links() for the links between different sets.
+    """(id, n_shingles, component_id) for each row of docs; see linked() for the links between different sets.
 
     A document's set is its distinct shingles of WORDS words; two documents link when 100 * |both| >= percent * |either|.
     component_id is the least id that links reach, the document's own included. Null and empty texts, and texts without
@@ -485,21 +488,20 @@ def jaccard_components(docs: DataFrame, id_column: str = "doc_id", text_column:
     has the links of all of them. A null id is reported with the component of its set's other rows, else null.
     Empty tables give no rows; texts of any length are whole; columns other than the two are not read.
     """
-    members, reps, found = links(docs, id_column, text_column, percent)
-    comp = components(found)
-    rep_of = reps.select("d1", "d2", "rep").join(comp.withColumnRenamed("id", "rep"), "rep", "left").select("d1", "d2", F.coalesce("component", "rep").alias("component_id"))
+    members, reps, comp = linked(docs, id_column, text_column, percent)
+    rep_of = reps.join(comp.withColumnRenamed("id", "rep"), "rep", "left").select("d1", "d2", F.coalesce("component", "rep").alias("component_id"))
     out = members.join(rep_of, ["d1", "d2"], "left")
     return out.select(F.col("id").alias(id_column), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"))
 
 
-def links(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", percent: int = PERCENT) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(members, representatives, links): links between representatives of different sets that connect all that link.
+def linked(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", percent: int = PERCENT) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(members, representatives, components) of the sets of docs.
 
-    members: (id, n, d1, d2) of each row; representatives: (d1, d2, rep), the least id of equal sets. Candidates are
-    found by _candidates(). In the groups that stay large all are paired with a pivot, and only what is still in different
-    components is compared among itself, in blocks of bounded size inside tasks that give back links alone; no link
-    between components is lost. Every candidate must share prefix tokens under the second and third order as well, and
-    is then verified on whole sets.
+    members: (id, n, d1, d2) of each row; representatives: (d1, d2, rep), the least id of equal sets; components: (id,
+    component) of representatives that link with another set. Candidates are found by _candidates(); every candidate must
+    share prefix tokens under the second and third order as well, and is then verified on whole sets. Groups whose
+    documents are still in different components are compared among themselves, in blocks of bounded size inside tasks
+    that give back links alone; no link between components is lost.
     """
     spark = docs.sparkSession
     rows = _input(docs, id_column, text_column)
@@ -509,25 +511,13 @@ def links(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     tokens = reps.agg(F.sum(F.floor(F.col("n") * (100 - percent) / 100) + 1)).head()[0] or 0
     pairs, groups, orders = _candidates(rows, counters, tokens, percent)
     orders = spark.sparkContext.broadcast(orders)
-    found = _verify(pairs, rows, orders, percent)
-    open_ = _still_open(groups, found)
-    fit = F.expr(f"least(l_a, l_b) * {100 + percent} >= {percent} * (n_a + n_b)")
-    for step in range(PIVOTS):
-        if open_.isEmpty():
-            return members, reps, found
-        left = open_.select("token", F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("left").alias("l_a"), F.col("component").alias("c_a"))
-        right = open_.select("token", F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("left").alias("l_b"), F.col("component").alias("c_b"))
-        pick = F.min_by(F.struct("b", "n_b", "l_b", "c_b"), F.xxhash64("b", F.lit(step))).alias("p")
-        more = left.join(right.groupBy("token").agg(pick).select("token", "p.*"), "token").where("c_a <> c_b").where(fit)
-        more = written(more.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti"), "pivots")
-        new = _verify(more, rows, orders, percent)
-        if not new.isEmpty():
-            found = found.unionByName(new)
-            open_ = _still_open(groups, found)
+    comp = components(_verify(pairs, rows, orders, percent))
+    open_ = _still_open(groups, comp)
     if not open_.isEmpty():
-        found = found.unionByName(written(_block_links(open_, rows, orders, percent), "links"))
+        more = written(_block_links(open_, rows, orders, percent), "links")
         release(spark)
-    return members, reps, found
+        comp = components(comp.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(more))
+    return members, reps.drop("n"), comp
 
 
 def keep_one(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", percent: int = PERCENT) -> DataFrame:
@@ -538,8 +528,8 @@ def keep_one(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
     with a null id, unless another row with the same set has an id. All columns of docs stay as they are, whatever
     their names; empty tables give no rows; texts of any length are compared whole."""
     names = [f"set_{k}_{'_'.join(docs.columns)}" for k in range(3)]  # longer than any name of docs
-    members, reps, found = links(docs, id_column, text_column, percent)
-    rep_of = reps.join(components(found).withColumnRenamed("id", "rep"), "rep", "left").select("d1", "d2", F.coalesce("component", "rep").alias("component"))
+    members, reps, comp = linked(docs, id_column, text_column, percent)
+    rep_of = reps.join(comp.withColumnRenamed("id", "rep"), "rep", "left").select("d1", "d2", F.coalesce("component", "rep").alias("component"))
     gone = members.where("n > 0").join(rep_of, ["d1", "d2"]).where(~F.col("id").eqNullSafe(F.col("component")))
     gone = gone.select(*[F.col(x).alias(y) for x, y in zip(("id", "d1", "d2"), names)]).distinct()
     place = docs.columns.index(text_column)
