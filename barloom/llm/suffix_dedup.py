@@ -81,6 +81,11 @@ def _merged(doc: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray
     return doc[heads], lo[heads], reach[last] - doc[heads] * far
 
 
+def _spread(ids: np.ndarray, n: int) -> np.ndarray:
+    """One of n tasks for the marks of each text, by its id alone: copies of one text do not fill one task."""
+    return (mixed(ids.astype(np.int64).view(np.uint64)) % np.uint64(n)).astype(np.int64)
+
+
 _FOUND = "id long, hash long, ask boolean, data binary"
 _SCAN = "range int, mark boolean, id long, hash long, data binary, anchors binary, around binary, text binary, start binary, more binary, ids binary, hashes binary"
 
@@ -108,7 +113,8 @@ def _scan(n: int):
         lead = np.maximum.accumulate(np.where(first, np.arange(len(g)), 0))
         itself = (ids_[doc] == ids_[doc[lead]]) & (hashes_[doc] == hashes_[doc[lead]]) & (lo == lo[lead])
         k = np.flatnonzero(~first & ~itself)
-        rows = [(abs(h) % n, True, i, h, d, *[None] * 7) for i, h, d in _marks(ids_, hashes_, doc[k], lo[k], hi[k] + LENGTH)]
+        marks = _marks(ids_, hashes_, doc[k], lo[k], hi[k] + LENGTH)
+        rows = [(to, True, *m, *[None] * 7) for to, m in zip(_spread(np.array([m[0] for m in marks], np.int64), n).tolist(), marks)]
         k = np.flatnonzero(first)
         to = _range_of(g[k], n)
         k, to = k[np.argsort(to, kind="stable")], np.sort(to)
@@ -203,7 +209,8 @@ def _read(n: int):
         if again:
             i, h, at = np.array(again, np.int64).T
             who, doc = np.unique(np.stack([i, h], 1), axis=0, return_inverse=True)
-            rows += [(abs(h) % n, True, i, h, d, *[None] * 5) for i, h, d in _marks(who[:, 0], who[:, 1], doc.reshape(-1), at, at + LENGTH)]
+            marks = _marks(who[:, 0], who[:, 1], doc.reshape(-1), at, at + LENGTH)
+            rows += [(to, True, *m, *[None] * 5) for to, m in zip(_spread(np.array([m[0] for m in marks], np.int64), n).tolist(), marks)]
         kinds = [pa.int32(), pa.bool_(), pa.int64(), pa.int64(), *[pa.binary()] * 6]
         for a in range(0, len(rows), 512):
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[a : a + 512]), kinds)], [x.split()[0] for x in _SEGMENTS.split(", ")])
@@ -265,21 +272,24 @@ def _sort(table: pa.Table) -> pa.Table:
     return pa.concat_tables([came, pa.table([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.binary()))], ["id", "hash", "data"])])
 
 
-def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in (x.slice(a, 256) for x in batches for a in range(0, x.num_rows, 256)):
-        out = []
-        for i, text, runs in zip(*(b.column(c) for c in ("id", "text", "runs"))):
-            raw, spans, gone = text.as_py().encode(), 0, 0
-            kept = [raw]
-            if runs.as_py():
-                r = np.concatenate([np.frombuffer(x, "<i8").reshape(-1, 2) for x in runs.as_py()])
-                _, lo, hi = _merged(np.zeros(len(r), np.int64), r[:, 0], r[:, 1])
-                spans, gone = len(lo), int((hi - lo).sum())
-                kept = [raw[a:z] for a, z in zip([0, *hi.tolist()], [*lo.tolist(), len(raw)])]
-            out.append((i.as_py(), len(raw), gone, spans, hashlib.sha256(b"".join(kept)).hexdigest(), b"".join(kept)))
-        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary())
-        cols = list(zip(*out)) if out else [[]] * 6
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], ["id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
+def _kept(with_kept: bool):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in (x.slice(a, 256) for x in batches for a in range(0, x.num_rows, 256)):
+            out = []
+            for i, text, runs in zip(*(b.column(c) for c in ("id", "text", "runs"))):
+                raw, spans, gone = text.as_py().encode(), 0, 0
+                kept = raw
+                if runs.as_py():
+                    r = np.concatenate([np.frombuffer(x, "<i8").reshape(-1, 2) for x in runs.as_py()])
+                    _, lo, hi = _merged(np.zeros(len(r), np.int64), r[:, 0], r[:, 1])
+                    spans, gone = len(lo), int((hi - lo).sum())
+                    kept = b"".join([raw[a:z] for a, z in zip([0, *hi.tolist()], [*lo.tolist(), len(raw)])])
+                out.append((i.as_py(), len(raw), gone, spans, hashlib.sha256(kept).hexdigest(), kept if with_kept else None))
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary())
+            cols = list(zip(*out)) if out else [[]] * 6
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], ["id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
+
+    return run
 
 
 def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", with_kept: bool = True) -> DataFrame:
@@ -288,7 +298,8 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
     Texts count as UTF-8 bytes, null as empty. Every byte is removed that lies in a string of LENGTH bytes which also
     starts earlier: in a text with a smaller id, or earlier in the same text; strings never cross texts, they may overlap
     and are judged on the input. Ids are integers; a null id is smaller than any other. Texts that share an id are ordered
-    by a hash of theirs; rows that repeat id and text are one text and give a row each. No rows give no rows.
+    by a hash of theirs; rows that repeat id and text are one text and give a row each. No rows give no rows. Texts of any
+    length are whole, columns other than the two are not read.
     """
     spark = docs.sparkSession
     text = F.coalesce(F.col(text_column).cast("string"), F.lit(""))
@@ -303,6 +314,6 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
     segments = rows.join(asks, ["id", "hash"]).mapInArrow(_read(shards), _SEGMENTS)
     sorted_ = segments.groupBy("shard").applyInArrow(_sort, "id long, hash long, data binary")
     marks = found.where("not ask").select("id", "hash", "data").unionByName(sorted_).groupBy("id", "hash").agg(F.collect_list("data").alias("runs"))
-    out = rows.join(marks, ["id", "hash"], "left").mapInArrow(_kept, "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+    out = rows.join(marks, ["id", "hash"], "left").mapInArrow(_kept(with_kept), "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
     own = F.when(F.col("id") != _NULL, F.col("id")).cast(docs.schema[id_column].dataType).alias(id_column)
     return out.select(own, "n_bytes", "n_removed", "n_spans", "kept_sha256", *["kept"] * with_kept)
