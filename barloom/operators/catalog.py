@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from barloom.functions.keys import deterministic_uuid, interval_overlap, partition_end, partition_start, shard_key, stable_shard
+from barloom.functions.keys import deterministic_uuid, interval_overlap, iso_utc, partition_end, partition_start, shard_key, stable_shard
 from barloom.functions.values import canonical_json, set_hash, sha256
 from barloom.operators.merge import keep_last
+from barloom.sources.shared import written
 
 # The datasets that are published, as price type, layer and resolution.
 CONTRACTS = [("raw", "RAW", "30m"), ("adjusted", "ADJUSTED", "30m"), ("raw", "RAW", "1m")] + [(p, "DERIVED", r) for p in ("raw", "adjusted") for r in ("1h", "4h", "1d")]
@@ -25,10 +27,13 @@ def contracts(spark: SparkSession, price_type: str = "all", resolution: str = "a
 def object_stats(bars: DataFrame, granularity: str, shards: int, span_minutes: Column | int) -> DataFrame:
     """One object for each partition and shard: rows, least and greatest instrument, and the period that its bars cover.
 
-    content_hash is of the number of rows and the sum of their hashes: it is the same for the same rows in any order, and
-    is summed per task before the shuffle."""
+    content_hash is SHA-256 of the number of rows and the sum of their hashes (the first 60 bits of SHA-256 of the row's
+    text, prices in units of 1e-6): it is the same for the same rows in any order, and is summed per task before the
+    shuffle."""
     span = F.lit(span_minutes) if isinstance(span_minutes, int) else span_minutes
-    row = F.xxhash64("instrument_id", "bar_start_at", "open", "high", "low", "close", "volume", "trade_count", "vwap").cast("decimal(38,0)")
+    price = lambda c: F.round(F.col(c) * 1000000).cast("bigint").cast("string")
+    text = F.concat_ws("|", "instrument_id", F.unix_timestamp("bar_start_at").cast("string"), *[F.coalesce(price(c), F.lit("")) for c in ("open", "high", "low", "close")], F.col("volume").cast("string"), F.coalesce(F.col("trade_count").cast("string"), F.lit("")))
+    row = F.conv(F.substring(sha256(text), 1, 15), 16, 10).cast("decimal(20,0)")
     day = F.col("session_date_et")
     end = F.timestamp_seconds(F.unix_timestamp("bar_start_at") + span * 60)
     return bars.groupBy(partition_start(day, granularity).alias("partition_start"), partition_end(day, granularity).alias("partition_end"), shard_key("instrument_id", shards).alias("shard_key")).agg(
@@ -41,14 +46,22 @@ def object_stats(bars: DataFrame, granularity: str, shards: int, span_minutes: C
     ).withColumn("partition_granularity", F.lit(granularity))
 
 
-def object_key(*parts: Column) -> Column:
-    """A Hive-style key from name=value parts."""
-    return F.concat_ws("/", *parts)
+def object_key(provider: str, revision: Column, part: Column, **named: Column) -> Column:
+    """The Hive-style key of an object; revisions and parts count from 1, others raise an error.
+
+    named: feed, dataset, layer, resolution, granularity, partition_start, partition_end and shard."""
+    at = lambda *names: [F.concat(F.lit(f"{k}="), named[k].cast("string")) for k in names]
+    tail = F.concat(F.lit("part-"), F.lpad(part.cast("string"), 5, "0"), F.lit(".parquet"))
+    middle = at("layer", "resolution", "granularity", "partition_start", "partition_end", "shard")
+    key = F.concat_ws("/", F.lit("market-data"), F.lit(f"provider={provider}"), *at("feed", "dataset"), F.concat(F.lit("revision="), revision.cast("string")), *middle, tail)
+    return F.when((revision > 0) & (part > 0), key).otherwise(F.raise_error(F.lit("revisions and parts count from 1")))
 
 
 def dataset_hash(objects: DataFrame, by: list[str]) -> DataFrame:
     """For each group, SHA-256 of the canonical JSON of its objects' eleven keys, in the order of that JSON."""
-    have = {k: (F.col(k) if k in objects.columns else F.lit(None).cast("string")) for k in HASH_KEYS}
+    kinds = dict(objects.dtypes)
+    shown = lambda k: iso_utc(k) if kinds[k] == "timestamp" else F.col(k).cast("string") if kinds[k] == "date" else F.col(k)
+    have = {k: (shown(k) if k in kinds else F.lit(None).cast("string")) for k in HASH_KEYS}
     return objects.groupBy(*by).agg(set_hash(canonical_json(**have)).alias("dataset_hash"))
 
 
@@ -57,21 +70,41 @@ def latest_available(manifests: DataFrame, identity: list[str]) -> DataFrame:
     return keep_last(manifests.where("status = 'AVAILABLE'"), identity, "revision_number")
 
 
+def _years(start: str, end: str) -> Column:
+    """The years that a period touches; its end is open."""
+    last = F.year(F.timestamp_micros(F.unix_micros(F.col(end)) - 1))
+    return F.sequence(F.year(start), F.greatest(F.year(start), last))
+
+
 def lineage(derived: DataFrame, source: DataFrame) -> DataFrame:
-    """(derived_id, source_id) of objects of one shard whose periods overlap."""
-    d = derived.select(F.col("id").alias("derived_id"), "shard_key", F.col("period_start").alias("a"), F.col("period_end").alias("b"))
-    s = source.select(F.col("id").alias("source_id"), "shard_key", F.col("period_start").alias("c"), F.col("period_end").alias("d"))
-    return d.join(s, "shard_key").where(interval_overlap(F.col("a"), F.col("b"), F.col("c"), F.col("d"))).select("derived_id", "source_id")
+    """(derived_id, source_id) of objects of one shard whose periods overlap, which meet by shard and year."""
+    d = derived.select(F.col("id").alias("derived_id"), "shard_key", F.col("period_start").alias("a"), F.col("period_end").alias("b"), F.explode(_years("period_start", "period_end")).alias("year"))
+    s = source.select(F.col("id").alias("source_id"), "shard_key", F.col("period_start").alias("c"), F.col("period_end").alias("d"), F.explode(_years("period_start", "period_end")).alias("year"))
+    return d.join(s, ["shard_key", "year"]).where(interval_overlap(F.col("a"), F.col("b"), F.col("c"), F.col("d"))).select("derived_id", "source_id").distinct()
+
+
+def reused_sources(derived: DataFrame, edges: DataFrame, objects: DataFrame, manifests: DataFrame) -> DataFrame:
+    """(object_id, manifest_id): for each object the accepted manifests that it belongs to by itself or through a manifest
+    that is composed from its own one.
+
+    derived: object_id. edges: target_manifest_id, source_manifest_id, kind. objects: object_id, manifest_id. manifests:
+    manifest_id, status."""
+    own = derived.join(objects.select("object_id", "manifest_id"), "object_id")
+    composed = edges.where("kind = 'COMPOSED_FROM'").select(F.col("source_manifest_id").alias("manifest_id"), F.col("target_manifest_id").alias("_via"))
+    through = own.join(composed, "manifest_id").select("object_id", F.col("_via").alias("manifest_id"))
+    good = manifests.where("status = 'AVAILABLE'").select("manifest_id")
+    return own.select("object_id", "manifest_id").unionByName(through).distinct().join(good, "manifest_id", "left_semi")
 
 
 def publish_revision(previous: DataFrame, new: DataFrame, replaced: DataFrame, errors: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(objects of the next revision, its status): previous objects that overlap no replaced period, and the new ones.
 
-    replaced: period_start, period_end. The status is AVAILABLE if there are objects and no finding is an ERROR, else
-    QUARANTINED; one row."""
-    r = replaced.select(F.col("period_start").alias("_c"), F.col("period_end").alias("_d"))
-    kept = previous.join(r, interval_overlap(F.col("period_start"), F.col("period_end"), F.col("_c"), F.col("_d")), "left_anti")
-    objects = kept.unionByName(new)
+    replaced: period_start, period_end; they meet objects by year, with the overlap as a filter of the join. The status is
+    AVAILABLE if there are objects and no finding is an ERROR, else QUARANTINED; one row."""
+    r = replaced.select(F.col("period_start").alias("_c"), F.col("period_end").alias("_d"), F.explode(_years("period_start", "period_end")).alias("_year"))
+    at = previous.select("id", "period_start", "period_end", F.explode(_years("period_start", "period_end")).alias("_year"))
+    hit = at.join(r, "_year").where(interval_overlap(F.col("period_start"), F.col("period_end"), F.col("_c"), F.col("_d"))).select("id").distinct()
+    objects = previous.join(hit, "id", "left_anti").unionByName(new)
     bad = errors.groupBy().agg(F.coalesce(F.bool_or(F.col("severity") == "ERROR"), F.lit(False)).alias("bad"))
     status = F.when((F.col("n") > 0) & ~F.col("bad"), "AVAILABLE").otherwise("QUARANTINED")
     return objects, objects.groupBy().agg(F.count("*").alias("n")).crossJoin(bad).select(F.col("n").alias("objects"), status.alias("status"))
@@ -97,8 +130,9 @@ def compaction_plan(inputs: DataFrame, sessions: DataFrame, granularity: str, sh
     day = F.col("partition_start")
     target = lambda d: partition_start(d, granularity)
     due = sessions.where("opens_at IS NOT NULL").select(F.col("session_date").alias("partition_start"))
-    need = due.select("partition_start").crossJoin(F.broadcast(inputs.select("shard_key").distinct()))  # sessions times shards
-    have = inputs.groupBy("shard_key", "partition_start").agg(F.count("*").alias("n"), F.sum("row_count").alias("row_count"))
+    # A row for each shard and day, read twice, so it is written.
+    have = written(inputs.groupBy("shard_key", "partition_start").agg(F.count("*").alias("n"), F.sum("row_count").alias("row_count")), "inputs")
+    need = due.crossJoin(F.broadcast(have.select("shard_key").distinct()))  # sessions times shards
     j = need.join(have, ["shard_key", "partition_start"], "left")
     out = j.groupBy("shard_key", target(day).alias("target_start"), partition_end(day, granularity).alias("target_end")).agg(
         F.sum(F.coalesce("n", F.lit(0))).alias("inputs"), F.sum(F.coalesce("row_count", F.lit(0))).alias("row_count"), F.count_if(F.col("n").isNull()).alias("missing_days"), F.count_if(F.col("n") > 1).alias("double_days")
@@ -160,27 +194,33 @@ def scanned_files(spark: SparkSession, path: str) -> DataFrame:
 def time_boundary_parts(bars: DataFrame, shards: int, most: int) -> DataFrame:
     """bars with shard and part_number: parts of at most `most` rows, in order of time, none of which splits an instant.
 
-    Instants of a shard with their row counts are one ordered array, folded once; the rows themselves only get the part
-    number by a join."""
+    Where a part begins depends on all parts before it, so a shard's instants with their row counts (two numbers each, not
+    the rows) are walked in order; the rows themselves only get the part number by a join."""
     b = bars.withColumn("shard", stable_shard("instrument_id", shards))
-    counts = b.groupBy("shard", "bar_start_at").agg(F.count("*").alias("n"))
-    ordered = F.array_sort(F.collect_list(F.struct("bar_start_at", "n")))
-    zero = F.struct(F.lit(0).cast("long").alias("rows"), F.lit(0).alias("part"), F.array().cast("array<int>").alias("parts"))
-
-    def step(acc: Column, x: Column) -> Column:
-        fresh = acc["rows"] + x["n"] > most
-        part = F.when(fresh & (acc["rows"] > 0), acc["part"] + 1).otherwise(acc["part"])
-        return F.struct(F.when(fresh, x["n"]).otherwise(acc["rows"] + x["n"]).alias("rows"), part.alias("part"), F.concat(acc["parts"], F.array(part)).alias("parts"))
-
-    folded = counts.groupBy("shard").agg(ordered.alias("x")).withColumn("p", F.aggregate("x", zero, step)["parts"])
-    parts = folded.select("shard", F.explode(F.arrays_zip("x", "p")).alias("z")).select("shard", F.col("z.x.bar_start_at").alias("bar_start_at"), F.col("z.p").alias("part_number"))
+    counts = b.groupBy("shard", F.unix_micros("bar_start_at").alias("at")).agg(F.count("*").alias("n"))
+
+    def walk(table: pa.Table) -> pa.Table:
+        table = table.sort_by("at")
+        rows, part, parts = 0, 0, []
+        for n in table["n"].to_pylist():
+            part += bool(rows) and rows + n > most
+            rows = n if rows + n > most else rows + n
+            parts.append(part)
+        return table.drop_columns(["n"]).append_column("part_number", pa.array(parts, pa.int32()))
+
+    parts = counts.groupBy("shard").applyInArrow(walk, "shard int, at bigint, part_number int").select("shard", F.timestamp_micros("at").alias("bar_start_at"), "part_number")
     return b.join(parts, ["shard", "bar_start_at"])
 
 
 def input_fingerprint(objects: DataFrame, by: list[str]) -> DataFrame:
-    """Order-free SHA-256 of source objects for each group; a repeated object raises an error."""
-    row = canonical_json(content_hash=F.col("content_hash"), dataset_object_id=F.col("id"), partition_end=F.col("partition_end").cast("string"), partition_start=F.col("partition_start").cast("string"), row_count=F.col("row_count"))
-    g = objects.groupBy(*by).agg(set_hash(row).alias("fingerprint"), F.count("*").alias("objects"), F.countDistinct("id").alias("_d"))
+    """(by, objects, fingerprint): SHA-256 over the canonical JSON of each group's source objects, in the order of that JSON,
+    under the version of the bundle; a repeated object raises an error, and a group without objects has no row.
+
+    objects: id, manifest_id, content_hash, partition_start, partition_end, row_count."""
+    entry = {k: F.col(k).cast("string") for k in ("content_hash", "partition_end", "partition_start")}
+    row = canonical_json(dataset_manifest_id=F.col("manifest_id"), dataset_object_id=F.col("id"), row_count=F.col("row_count"), **entry)
+    payload = F.concat(F.lit('{"bundle_schema_version":1,"objects":['), F.array_join(F.array_sort(F.collect_list(row)), ","), F.lit("]}"))
+    g = objects.groupBy(*by).agg(sha256(payload).alias("fingerprint"), F.count("*").alias("objects"), F.countDistinct("id").alias("_d"))
     twice = F.raise_error(F.lit("a source object stands twice"))
     return g.select(*by, "objects", F.when(F.col("_d") == F.col("objects"), F.col("fingerprint")).otherwise(twice).alias("fingerprint"))
 

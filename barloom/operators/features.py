@@ -4,15 +4,16 @@ from __future__ import annotations
 
 import hashlib
 import json
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from barloom.functions.keys import iso_utc
-from barloom.functions.values import half_even_ratio, quantize
+from barloom.functions.keys import UUID_NAMESPACE, deterministic_uuid, iso_utc
+from barloom.functions.values import canonical_json, half_even_ratio, quantize, sha256
 
 #: Prices in units of 1e-8, so that sums are exact.
 _UNITS = "decimal(30,0)"
@@ -98,7 +99,7 @@ class Calculator:
 
 
 def _line_rows(p: dict) -> int:
-    return p["slow"] if p["line"] == "MACD" else p["slow"] + p["signal"] - 1
+    return p["slow_period"] if p["output_line"] == "MACD" else p["slow_period"] + p["signal_period"] - 1
 
 
 def _return_units(x: list[int], p: dict) -> list[int]:
@@ -112,16 +113,27 @@ def _signed_half_even(n: int, d: int) -> int:
     return _half_even(n, d) if d > 0 else _half_even(-n, -d)
 
 
+# Codes and versions of calculators, and the names of their parameters.
 CALCULATORS = {
     (c.code, c.version): c
     for c in (
-        Calculator("SMA", "1.0.0", ("price", "window"), lambda p: p["window"], lambda x, p: [_half_even(sum(x[i - p["window"] : i]), p["window"]) for i in range(p["window"], len(x) + 1)]),
-        Calculator("EMA", "1.0.0", ("price", "window"), lambda p: p["window"], lambda x, p: ema_units(x, p["window"])),
-        Calculator("RETURN_PCT", "1.0.0", ("lag", "price"), lambda p: p["lag"] + 1, _return_units),
-        Calculator("RSI", "1.0.0", ("period", "price"), lambda p: p["period"] + 1, lambda x, p: rsi_units(x, p["period"])),
-        Calculator("MACD", "1.0.0", ("fast", "line", "price", "signal", "slow"), _line_rows, lambda x, p: macd_units(x, p["fast"], p["slow"], p["signal"])[p["line"]]),
+        Calculator("SMA", "1.0.0", ("price_field", "window"), lambda p: p["window"], lambda x, p: [_half_even(sum(x[i - p["window"] : i]), p["window"]) for i in range(p["window"], len(x) + 1)]),
+        Calculator("EMA", "1.0.0", ("price_field", "window"), lambda p: p["window"], lambda x, p: ema_units(x, p["window"])),
+        Calculator("RETURN_PCT", "1.0.0", ("lag", "price_field"), lambda p: p["lag"] + 1, _return_units),
+        Calculator("RSI", "1.0.0", ("period", "price_field"), lambda p: p["period"] + 1, lambda x, p: rsi_units(x, p["period"])),
+        Calculator("MACD", "1.0.0", ("fast_period", "output_line", "price_field", "signal_period", "slow_period"), _line_rows, lambda x, p: macd_units(x, p["fast_period"], p["slow_period"], p["signal_period"])[p["output_line"]]),
     )
 }
+# What the hashed payloads of definitions, results and batches hold besides their content.
+OUTPUT_TYPE, SCHEMA_VERSION = "DECIMAL", 1
+
+
+def _uuid(*values: str) -> str:
+    return str(uuid.uuid5(uuid.UUID(UUID_NAMESPACE), "|".join(values)))
+
+
+#: The version of the catalog of definitions that is taken where none is named.
+CATALOG_VERSION = _uuid("feature-catalog", "1")
 
 
 @dataclass(frozen=True)
@@ -130,6 +142,7 @@ class Definition:
     parameters: tuple[tuple[str, object], ...]
     resolution: str = "1d"
     version: str = "1.0.0"
+    catalog_version: str = CATALOG_VERSION
 
     @property
     def calculator(self) -> Calculator:
@@ -140,31 +153,56 @@ class Definition:
             raise ValueError(f"{self.code} takes {found.parameters}")
         return found
 
+    @property
+    def rows_needed(self) -> int:
+        return self.calculator.rows_needed(dict(self.parameters))
+
     @property
     def payload(self) -> str:
-        return json.dumps({"code": self.code, "parameters": dict(self.parameters), "resolution": self.resolution, "version": self.version}, sort_keys=True, separators=(",", ":"))
+        """The canonical JSON that is hashed."""
+        content = {
+            "calculator_version": self.version,
+            "element_catalog_version_id": self.catalog_version,
+            "feature_code": self.code,
+            "normalized_parameters": dict(self.parameters),
+            "output_value_type": OUTPUT_TYPE,
+            "required_history_points": self.rows_needed,
+            "resolution": self.resolution,
+            "schema_version": SCHEMA_VERSION,
+        }
+        return json.dumps(content, sort_keys=True, separators=(",", ":"))
 
     @property
-    def id(self) -> str:
-        """SHA-256 of the definition's canonical JSON."""
+    def hash(self) -> str:
         return hashlib.sha256(self.payload.encode()).hexdigest()
 
+    @property
+    def id(self) -> str:
+        """The version 5 UUID of the hash."""
+        return _uuid("feature-definition", self.hash)
 
-def definition(code: str, resolution: str = "1d", **parameters) -> Definition:
-    d = Definition(code, tuple(sorted(parameters.items())), resolution)
+    @property
+    def definition_version(self) -> str:
+        return f"fdv1:{self.code}:{self.version}:{self.hash[:16]}"
+
+
+def definition(code: str, resolution: str = "1d", catalog_version: str = CATALOG_VERSION, **parameters) -> Definition:
+    d = Definition(code, tuple(sorted(parameters.items())), resolution, catalog_version=catalog_version)
     d.calculator
     return d
 
 
-def official_definitions(resolution: str = "1d") -> list[Definition]:
-    """The published set: SMA 20, EMA 12 and 26, RSI 14 and the three lines of MACD 12/26/9, all of the close."""
-    macd = [definition("MACD", resolution, price="close", fast=12, slow=26, signal=9, line=x) for x in ("MACD", "SIGNAL", "HISTOGRAM")]
-    return [definition("SMA", resolution, price="close", window=20), definition("EMA", resolution, price="close", window=12), definition("EMA", resolution, price="close", window=26), definition("RSI", resolution, price="close", period=14), *macd]
+def official_definitions(resolution: str | None = None) -> list[Definition]:
+    """The published set, all of the close: SMA 20, EMA 12 and 26, the three lines of MACD 12/26/9 of days and RSI 14 of
+    minutes; with a resolution, all of that one."""
+    day, minute = resolution or "1d", resolution or "1m"
+    macd = [definition("MACD", day, price_field="close", fast_period=12, slow_period=26, signal_period=9, output_line=x) for x in ("MACD", "SIGNAL", "HISTOGRAM")]
+    return [definition("SMA", day, price_field="close", window=20), definition("EMA", day, price_field="close", window=12), definition("EMA", day, price_field="close", window=26), definition("RSI", minute, price_field="close", period=14), *macd]
 
 
 def definition_table(spark: SparkSession, definitions: list[Definition]) -> DataFrame:
-    rows = [(d.id, d.code, d.version, d.resolution, d.payload, d.calculator.rows_needed(dict(d.parameters))) for d in definitions]
-    return spark.createDataFrame(rows, "definition_id string, code string, version string, resolution string, payload string, required_history_points int")
+    rows = [(d.id, d.hash, d.code, d.version, d.resolution, d.payload, d.rows_needed) for d in definitions]
+    return spark.createDataFrame(rows, "definition_id string, definition_hash string, code string, version string, resolution string, payload string, required_history_points int")
 
 
 def register(existing: DataFrame, new: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -179,7 +217,7 @@ def compute(bars: DataFrame, definitions: list[Definition]) -> DataFrame:
     """(definition_id, instrument_id, bar_start_at, value decimal(38,8)): all definitions in one pass over each instrument.
 
     Rows before a definition is warm are left out; an instrument that is too short for it has none."""
-    prices = sorted({str(dict(d.parameters)["price"]) for d in definitions})
+    prices = sorted({str(dict(d.parameters)["price_field"]) for d in definitions})
     rows = bars.select("instrument_id", F.unix_micros("bar_start_at").alias("t"), *[units(p).cast("bigint").alias(p) for p in prices])
     plan = [(d.id, d.code, d.version, dict(d.parameters)) for d in definitions]
 
@@ -187,7 +225,7 @@ def compute(bars: DataFrame, definitions: list[Definition]) -> DataFrame:
         table = table.sort_by("t")
         t, out = table["t"], []
         for ident, code, version, p in plan:
-            got = CALCULATORS[code, version].series(table[p["price"]].to_pylist(), p)
+            got = CALCULATORS[code, version].series(table[p["price_field"]].to_pylist(), p)
             if got:
                 n = len(got)
                 out.append(pa.table({"definition_id": pa.array([ident] * n), "instrument_id": table["instrument_id"][-n:].cast(pa.string()), "t": t[len(t) - n :], "v": pa.array(got, pa.int64())}))
@@ -212,26 +250,60 @@ def validate_series(bars: DataFrame, start: str | None = None, end: str | None =
     return b.withColumn("reason", reason).where("reason IS NOT NULL").groupBy("instrument_id").agg(F.min("reason").alias("reason"))
 
 
-def materialize(bars: DataFrame, definitions: list[Definition]) -> DataFrame:
-    """One row for each definition and instrument: SUCCEEDED with row count and hash of its rows, or FAILED if too short.
+def materialize(bars: DataFrame, definitions: list[Definition], input_hash: str, period_start: str, period_end: str) -> DataFrame:
+    """One row for each definition and instrument: SUCCEEDED with row count and result hash, or FAILED if it is too short.
 
-    The hash is SHA-256 of the rows `instant|value` in order, a line each, so a second run gives the same one."""
+    The hash is SHA-256 of canonical JSON with the definition's hash, the fingerprint of the input, the instrument, the
+    period (ISO instants) and the rows in order, so a second run gives the same one. A series is one text for its hash,
+    as it is in its file; an instrument's bars bound it."""
     spark = bars.sparkSession
-    values = compute(bars, definitions)
-    line = F.concat_ws("|", iso_utc("bar_start_at"), F.col("value").cast("string"))
-    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("bar_start_at", line.alias("line")))), lambda x: x["line"]), "\n")
-    done = values.groupBy("definition_id", "instrument_id").agg(F.count("*").alias("row_count"), F.sha2(text.cast("binary"), 256).alias("result_hash"))
-    asked = definition_table(spark, definitions).select("definition_id", "required_history_points").crossJoin(bars.groupBy("instrument_id").agg(F.count("*").alias("bars")))  # definitions times instruments is what is asked for
-    out = asked.join(done, ["definition_id", "instrument_id"], "left")
+    asked = definition_table(spark, definitions).select("definition_id", "definition_hash")
+    done = result_hashes(compute(bars, definitions).join(F.broadcast(asked), "definition_id"), input_hash, period_start, period_end)
+    pairs = asked.crossJoin(bars.select("instrument_id").distinct())  # definitions times instruments is what is asked for
+    out = pairs.join(done.drop("definition_hash"), ["definition_id", "instrument_id"], "left")
     status = F.when(F.col("result_hash").isNull(), "FAILED").otherwise("SUCCEEDED")
-    return out.select("definition_id", "instrument_id", status.alias("status"), F.coalesce("row_count", F.lit(0)).alias("row_count"), "result_hash")
+    version = F.concat_ws(":", F.lit("fmv1:m"), F.substring("definition_hash", 1, 16), F.lit(input_hash[:16]), F.substring("result_hash", 1, 16))
+    version = F.when(F.col("result_hash").isNotNull(), version).alias("materialization_version")
+    return out.select("definition_id", "definition_hash", "instrument_id", status.alias("status"), F.coalesce("row_count", F.lit(0)).alias("row_count"), F.lit(input_hash).alias("input_dataset_set_hash"), "result_hash", version)
+
+
+def result_hashes(values: DataFrame, input_hash: str, period_start: str, period_end: str) -> DataFrame:
+    """(definition_id, definition_hash, instrument_id, row_count, result_hash) of series with those three keys, bar_start_at and value."""
+    row = canonical_json(at=iso_utc("bar_start_at"), value=F.col("value").cast("string"))
+    rows = F.transform(F.array_sort(F.collect_list(F.struct("bar_start_at", row.alias("row")))), lambda x: x["row"])
+    done = values.groupBy("definition_id", "definition_hash", "instrument_id").agg(F.count("*").alias("row_count"), F.array_join(rows, ",").alias("_rows"))
+    text = lambda name, value: F.concat(F.lit(f'"{name}":"'), value, F.lit('",'))
+    head = F.concat(text("definition_hash", F.col("definition_hash")), text("input_dataset_set_hash", F.lit(input_hash)), text("instrument_id", F.col("instrument_id")), text("period_end", F.lit(period_end)), text("period_start", F.lit(period_start)))
+    payload = F.concat(F.lit("{"), head, F.lit(f'"result_schema_version":{SCHEMA_VERSION},"rows":['), F.col("_rows"), F.lit("]}"))
+    return done.select("definition_id", "definition_hash", "instrument_id", "row_count", sha256(payload).alias("result_hash"))
+
+
+def _hash_of_all(rows: DataFrame, text: Column, before: str, after: str) -> DataFrame:
+    """One row: SHA-256 of before, the texts in order joined by commas, and after."""
+    return rows.groupBy().agg(sha256(F.concat(F.lit(before), F.array_join(F.array_sort(F.collect_list(text)), ","), F.lit(after))).alias("hash"))
+
 
+def snapshot_batch(planned: DataFrame, materialized: DataFrame, period_start: str, period_end: str, start_watermark: str, end_watermark: str) -> DataFrame:
+    """One row: the batch's id and key, members, whether every planned one succeeded, and if so rows and hash of the batch.
 
-def snapshot_batch(planned: DataFrame, materialized: DataFrame) -> DataFrame:
-    """One row: whether every planned (definition_id, instrument_id) succeeded, rows, and the hash of the members if so."""
-    j = planned.join(materialized, ["definition_id", "instrument_id"], "left")
+    planned: definition_hash, instrument_id, input_dataset_set_hash. The hashes are over canonical JSON of sets in order:
+    of definitions, of inputs, and of members; the batch document itself holds these lists, so they are one row."""
+    j = planned.join(materialized.select("definition_hash", "instrument_id", "status", "row_count", "result_hash"), ["definition_hash", "instrument_id"], "left")
     ok = F.coalesce(F.col("status") == "SUCCEEDED", F.lit(False))
-    member = F.concat_ws(":", "definition_id", "instrument_id", "result_hash")
-    out = j.groupBy().agg(F.count("*").alias("members"), F.count_if(~ok).alias("unready"), F.sum("row_count").alias("row_count"), F.sha2(F.array_join(F.array_sort(F.collect_list(member)), "\n").cast("binary"), 256).alias("_hash"))
+    quoted = F.concat(F.lit('"'), F.col("definition_hash"), F.lit('"'))
+    feature_set = _hash_of_all(planned.select("definition_hash").distinct(), quoted, '{"definition_hashes":[', f'],"feature_set_schema_version":{SCHEMA_VERSION}}}')
+    market = canonical_json(input_dataset_set_hash=F.col("input_dataset_set_hash"), instrument_id=F.col("instrument_id"))
+    market_set = _hash_of_all(planned.select("input_dataset_set_hash", "instrument_id").distinct(), market, '{"market_inputs":[', f'],"market_set_schema_version":{SCHEMA_VERSION}}}')
+    member = canonical_json(definition_hash=F.col("definition_hash"), input_dataset_set_hash=F.col("input_dataset_set_hash"), instrument_id=F.col("instrument_id"), result_hash=F.col("result_hash"))
+    members = F.array_join(F.array_sort(F.collect_list(member)), ",")
+    out = j.groupBy().agg(F.count("*").alias("members"), F.count_if(~ok).alias("unready"), F.sum("row_count").alias("row_count"), members.alias("_members"))
+    out = out.crossJoin(feature_set.withColumnRenamed("hash", "feature_set_hash")).crossJoin(market_set.withColumnRenamed("hash", "input_market_set_hash"))  # one row each
+    pair = lambda name, value: F.concat(F.lit(f'"{name}":"'), value, F.lit('"'))
+    sets = F.concat_ws(",", pair("feature_set_hash", F.col("feature_set_hash")), pair("input_market_set_hash", F.col("input_market_set_hash")))
+    period = (("period_end", period_end), ("period_start", period_start), ("source_end_watermark", end_watermark), ("source_start_watermark", start_watermark))
+    payload = F.concat(F.lit(f'{{"batch_schema_version":{SCHEMA_VERSION},'), sets, F.lit(',"members":['), F.col("_members"), F.lit("],"), F.concat_ws(",", *[pair(k, F.lit(v)) for k, v in period]), F.lit("}"))
+    compact = lambda x: "".join(c for c in x if c not in "-:")
+    key = F.concat_ws(":", F.lit("fsb1"), F.substring("feature_set_hash", 1, 16), F.substring("input_market_set_hash", 1, 16), F.lit(compact(period_start)), F.lit(compact(period_end)))
     sealed = (F.col("members") > 0) & (F.col("unready") == 0)
-    return out.select("members", "unready", sealed.alias("sealed"), F.when(sealed, F.col("row_count")).alias("row_count"), F.when(sealed, F.col("_hash")).alias("batch_hash"))
+    out = out.withColumn("idempotency_key", key).withColumn("id", deterministic_uuid(F.lit("feature-snapshot-batch"), "idempotency_key"))
+    return out.select("id", "idempotency_key", "members", "unready", sealed.alias("sealed"), F.when(sealed, F.col("row_count")).alias("row_count"), F.when(sealed, sha256(payload)).alias("batch_hash"))

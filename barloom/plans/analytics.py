@@ -8,20 +8,11 @@ from pyspark.sql import functions as F
 from barloom.functions.keys import et_midnight, session_date_et
 from barloom.operators import actions, features
 from barloom.plans.bars import DAILY
+from barloom.plans.registration import new_registry
 from barloom.sources.market import daily_bars, table
+from barloom.sources.shared import written
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
-
-
-def query(sql: str | None = None):
-    def add(f):
-        QUERIES[f.__name__] = f
-        if sql is not None:
-            ORACLE_SQL[f.__name__] = sql
-        return f
-
-    return add
+QUERIES, ORACLE_SQL, query = new_registry()
 
 
 def _he(n: str, d: str) -> str:
@@ -60,7 +51,7 @@ def feature_return_pct(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""{_REC}, {_ema_cte('ema', 'n', 12)} SELECT e.instrument_id, CAST(n.d AS VARCHAR) AS day, CAST(e.e AS BIGINT) AS value_units FROM ema e JOIN n USING (instrument_id, n)""")
 def feature_ema_12(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return series(features.compute(daily_bars(spark, sf_dir), [features.definition("EMA", price="close", window=12)]))
+    return series(features.compute(daily_bars(spark, sf_dir), [features.definition("EMA", price_field="close", window=12)]))
 
 
 _RSI = f"""{_REC}, m AS (SELECT *, u - lag(u) OVER (PARTITION BY instrument_id ORDER BY n) AS c FROM n),
@@ -75,7 +66,7 @@ _RSI = f"""{_REC}, m AS (SELECT *, u - lag(u) OVER (PARTITION BY instrument_id O
 
 @query(_RSI)
 def feature_rsi_14(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return series(features.compute(daily_bars(spark, sf_dir), [features.definition("RSI", price="close", period=14)]))
+    return series(features.compute(daily_bars(spark, sf_dir), [features.definition("RSI", price_field="close", period=14)]))
 
 
 _MACD = f"""{_REC}, {_ema_cte('fast', 'n', 12)}, {_ema_cte('slow', 'n', 26)},
@@ -87,31 +78,84 @@ _MACD = f"""{_REC}, {_ema_cte('fast', 'n', 12)}, {_ema_cte('slow', 'n', 26)},
 
 @query(_MACD)
 def feature_macd(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = {x: features.definition("MACD", price="close", fast=12, slow=26, signal=9, line=x) for x in ("MACD", "SIGNAL", "HISTOGRAM")}
+    lines = {x: features.definition("MACD", price_field="close", fast_period=12, slow_period=26, signal_period=9, output_line=x) for x in ("MACD", "SIGNAL", "HISTOGRAM")}
     out = features.compute(daily_bars(spark, sf_dir), list(lines.values()))
     name = F.coalesce(*[F.when(F.col("definition_id") == d.id, F.lit(x)) for x, d in lines.items()])
     units = (F.col("value").cast("decimal(28,8)") * F.lit(100000000).cast("decimal(9,0)")).cast("bigint")
     return out.select(name.alias("line"), "instrument_id", session_date_et("bar_start_at").cast("string").alias("day"), units.alias("value_units"))
 
 
-@query(
-    f"""{DAILY}, d AS (SELECT unnest(['SMA_20', 'EMA_12', 'EMA_26', 'RSI_14', 'MACD_MACD', 'MACD_SIGNAL', 'MACD_HISTOGRAM']) AS feature, unnest([20, 12, 26, 15, 26, 34, 34]) AS need),
-    i AS (SELECT instrument_id, count(*) AS n FROM daily GROUP BY ALL)
-    SELECT feature, instrument_id, CASE WHEN n >= need THEN 'SUCCEEDED' ELSE 'FAILED' END AS status, CAST(greatest(n - need + 1, 0) AS BIGINT) AS row_count FROM d, i"""
-)
+# ---- results with their hashes ----------------------------------------------------------------------------------
+INPUT = "c0" * 32  # the fingerprint of the input, as it would be handed over
+PERIOD = ("1995-01-01T05:00:00Z", "2002-01-01T05:00:00Z")
+
+
+_NS = "unhex('05a27d5a75d84d57bc9a31cedf90d791')"
+
+
+def uuid_sql(name: str) -> str:
+    h = f"sha1({_NS} || encode({name}))"
+    return f"{h}[1:8] || '-' || {h}[9:12] || '-5' || {h}[14:16] || '-' || substr('89ab', CAST(CAST('0x' || {h}[17] AS INTEGER) % 4 + 1 AS BIGINT), 1) || {h}[18:20] || '-' || {h}[21:32]"
+
+
+def _payload_sql(code: str, parameters: str, points: int) -> str:
+    return (
+        f"""'{{"calculator_version":"1.0.0","element_catalog_version_id":"' || (SELECT {uuid_sql("'feature-catalog|1'")}) || '","feature_code":"{code}","normalized_parameters":{{{parameters}}},"""
+        f""""output_value_type":"DECIMAL","required_history_points":{points},"resolution":"1d","schema_version":1}}'"""
+    )
+
+
+def _macd_sql(line: str, points: int) -> str:
+    return _payload_sql("MACD", f'"fast_period":12,"output_line":"{line}","price_field":"close","signal_period":9,"slow_period":26', points)
+
+
+# New York's offset by the rules of 1987 to 2006: summer time from the first Sunday of April to the last of October.
+MIDNIGHT = """CASE WHEN d > make_date(year(d), 4, 1) + CAST((7 - isodow(make_date(year(d), 4, 1))) % 7 AS INTEGER) AND d <= make_date(year(d), 10, 31) - CAST(isodow(make_date(year(d), 10, 31)) % 7 AS INTEGER) THEN 4 ELSE 5 END"""
+
+# Every official series of days: feature, instrument, row, day, value in units of 1e-8; then its canonical JSON and its hash.
+RESULTS = f"""{_REC}, {_ema_cte('ema12', 'n', 12)}, {_ema_cte('ema26', 'n', 26)},
+    m AS (SELECT *, u - lag(u) OVER (PARTITION BY instrument_id ORDER BY n) AS c FROM n),
+    z AS (SELECT instrument_id, sum(greatest(c, 0)) AS g, sum(greatest(-c, 0)) AS l FROM m WHERE n BETWEEN 2 AND 15 GROUP BY ALL HAVING count(*) = 14),
+    rsi AS (SELECT instrument_id, CAST(15 AS BIGINT) AS n, CAST({_he('g', '14')} AS HUGEINT) AS g, CAST({_he('l', '14')} AS HUGEINT) AS l FROM z
+      UNION ALL SELECT m.instrument_id, m.n, CAST(rsi.g + {_he('greatest(m.c, 0) - rsi.g', '14')} AS HUGEINT), CAST(rsi.l + {_he('greatest(-m.c, 0) - rsi.l', '14')} AS HUGEINT) FROM rsi JOIN m ON m.instrument_id = rsi.instrument_id AND m.n = rsi.n + 1),
+    line AS (SELECT s.instrument_id, s.n AS k, s.n - 25 AS n, f.e - s.e AS u FROM ema26 s JOIN ema12 f ON f.instrument_id = s.instrument_id AND f.n = s.n), {_ema_cte('sig', 'line', 9)},
+    w AS (SELECT *, sum(u) OVER (PARTITION BY instrument_id ORDER BY d ROWS 19 PRECEDING) AS c FROM n),
+    v AS (SELECT 'SMA_20' AS feature, instrument_id, n, {_he('c', '20')} AS v FROM w WHERE n >= 20 UNION ALL SELECT 'EMA_12', instrument_id, n, e FROM ema12 UNION ALL SELECT 'EMA_26', instrument_id, n, e FROM ema26
+      UNION ALL SELECT 'RSI_14', instrument_id, n, CASE WHEN g = 0 AND l = 0 THEN 5000000000 WHEN l = 0 THEN 10000000000 ELSE {_he('10000000000 * g', '(g + l)')} END FROM rsi
+      UNION ALL SELECT 'MACD_MACD', instrument_id, k, u FROM line UNION ALL SELECT 'MACD_SIGNAL', instrument_id, n + 25, e FROM sig UNION ALL SELECT 'MACD_HISTOGRAM', l.instrument_id, l.k, l.u - g.e FROM line l JOIN sig g USING (instrument_id, n)),
+    f AS (SELECT unnest(['SMA_20', 'EMA_12', 'EMA_26', 'RSI_14', 'MACD_MACD', 'MACD_SIGNAL', 'MACD_HISTOGRAM']) AS feature, unnest([{', '.join(f"sha256({x})" for x in (
+        _payload_sql('SMA', '"price_field":"close","window":20', 20), _payload_sql('EMA', '"price_field":"close","window":12', 12), _payload_sql('EMA', '"price_field":"close","window":26', 26), _payload_sql('RSI', '"period":14,"price_field":"close"', 15),
+        _macd_sql('MACD', 26), _macd_sql('SIGNAL', 34), _macd_sql('HISTOGRAM', 34)))}]) AS definition_hash),
+    t1 AS (SELECT v.feature, v.instrument_id, count(*) AS row_count, string_agg('{{"at":"' || strftime(d, '%Y-%m-%d') || 'T0' || {MIDNIGHT} || ':00:00Z","value":"' || CAST(CAST(CAST(v.v AS DECIMAL(28,0)) * 0.00000001 AS DECIMAL(38,8)) AS VARCHAR) || '"}}', ',' ORDER BY v.n) AS rows FROM v JOIN n USING (instrument_id, n) GROUP BY ALL),
+    h AS (SELECT feature, definition_hash, instrument_id, row_count, sha256('{{"definition_hash":"' || definition_hash || '","input_dataset_set_hash":"{INPUT}","instrument_id":"' || instrument_id || '","period_end":"{PERIOD[1]}","period_start":"{PERIOD[0]}","result_schema_version":1,"rows":[' || rows || ']}}') AS result_hash FROM t1 JOIN f USING (feature)),
+    i AS (SELECT DISTINCT instrument_id FROM daily)"""
+
+
+@query(f"""{RESULTS} SELECT feature, f.definition_hash, {uuid_sql("('feature-definition|' || f.definition_hash)")} AS definition_id, i.instrument_id, CASE WHEN result_hash IS NULL THEN 'FAILED' ELSE 'SUCCEEDED' END AS status, coalesce(row_count, 0) AS row_count, result_hash,
+    'fmv1:m:' || f.definition_hash[1:16] || ':{INPUT[:16]}:' || result_hash[1:16] AS materialization_version FROM f CROSS JOIN i LEFT JOIN h USING (feature, instrument_id)""")
 def feature_materialize(spark: SparkSession, sf_dir: str) -> DataFrame:
-    defs = features.official_definitions()
+    defs = features.official_definitions("1d")
     names = ["SMA_20", "EMA_12", "EMA_26", "RSI_14", "MACD_MACD", "MACD_SIGNAL", "MACD_HISTOGRAM"]
-    out = features.materialize(daily_bars(spark, sf_dir), defs)
-    return out.select(F.coalesce(*[F.when(F.col("definition_id") == d.id, F.lit(n)) for d, n in zip(defs, names)]).alias("feature"), "instrument_id", "status", "row_count")
+    out = features.materialize(written(daily_bars(spark, sf_dir), "daily"), defs, INPUT, *PERIOD)
+    name = F.coalesce(*[F.when(F.col("definition_id") == d.id, F.lit(n)) for d, n in zip(defs, names)])
+    return out.select(name.alias("feature"), "definition_hash", "definition_id", "instrument_id", "status", "row_count", "result_hash", "materialization_version")
+
+
+_BATCH = f"""{RESULTS}, p AS (SELECT f.definition_hash, i.instrument_id, row_count, result_hash FROM f CROSS JOIN i LEFT JOIN h USING (feature, instrument_id) WHERE f.feature IN ('SMA_20', 'EMA_12')),
+    s AS (SELECT sha256('{{"definition_hashes":[' || (SELECT string_agg('"' || definition_hash || '"', ',' ORDER BY definition_hash) FROM (SELECT DISTINCT definition_hash FROM p)) || '],"feature_set_schema_version":1}}') AS fs,
+      sha256('{{"market_inputs":[' || (SELECT string_agg('{{"input_dataset_set_hash":"{INPUT}","instrument_id":"' || instrument_id || '"}}', ',' ORDER BY '{{"input_dataset_set_hash":"{INPUT}","instrument_id":"' || instrument_id || '"}}') FROM i) || '],"market_set_schema_version":1}}') AS ms),
+    y AS (SELECT '{{"definition_hash":"' || definition_hash || '","input_dataset_set_hash":"{INPUT}","instrument_id":"' || instrument_id || '","result_hash":"' || result_hash || '"}}' AS y, row_count, result_hash FROM p),
+    g AS (SELECT count(*) AS members, count(*) FILTER (result_hash IS NULL) AS unready, CAST(sum(row_count) AS BIGINT) AS row_count, string_agg(y, ',' ORDER BY y) AS ys FROM y),
+    k AS (SELECT *, 'fsb1:' || fs[1:16] || ':' || ms[1:16] || ':19950101T050000Z:20020101T050000Z' AS idempotency_key FROM g, s)"""
 
 
-@query(f"{DAILY}, i AS (SELECT instrument_id, count(*) AS n FROM daily GROUP BY ALL) SELECT 2 * count(*) AS members, CAST(0 AS BIGINT) AS unready, true AS sealed, CAST(sum(2 * n - 30) AS BIGINT) AS row_count FROM i")
+@query(f"""{_BATCH} SELECT {uuid_sql("('feature-snapshot-batch|' || idempotency_key)")} AS id, idempotency_key, members, unready, unready = 0 AS sealed, CASE WHEN unready = 0 THEN row_count END AS row_count,
+    CASE WHEN unready = 0 THEN sha256('{{"batch_schema_version":1,"feature_set_hash":"' || fs || '","input_market_set_hash":"' || ms || '","members":[' || ys || '],"period_end":"{PERIOD[1]}","period_start":"{PERIOD[0]}","source_end_watermark":"daily@2","source_start_watermark":"daily@1"}}') END AS batch_hash FROM k""")
 def feature_snapshot_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    defs = [features.definition("SMA", price="close", window=20), features.definition("EMA", price="close", window=12)]
-    b = daily_bars(spark, sf_dir)
-    planned = features.definition_table(spark, defs).select("definition_id").crossJoin(b.select("instrument_id").distinct())
-    return features.snapshot_batch(planned, features.materialize(b, defs)).drop("batch_hash")
+    defs = [features.definition("SMA", price_field="close", window=20), features.definition("EMA", price_field="close", window=12)]
+    b = written(daily_bars(spark, sf_dir), "daily")
+    planned = features.definition_table(spark, defs).select("definition_hash").crossJoin(b.select("instrument_id").distinct()).withColumn("input_dataset_set_hash", F.lit(INPUT))
+    return features.snapshot_batch(planned, features.materialize(b, defs, INPUT, *PERIOD), *PERIOD, "daily@1", "daily@2")
 
 
 @query(f"""{DAILY} SELECT instrument_id, 'OUTSIDE_PERIOD' AS reason FROM daily WHERE d < DATE '1995-02-01' OR d >= DATE '2001-06-01' GROUP BY ALL""")
@@ -173,14 +217,6 @@ def action_dedup_conflict(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.select("ticker", F.col("effective_date").cast("string"), "source_id", "terms", "versions")
 
 
-_NS = "unhex('05a27d5a75d84d57bc9a31cedf90d791')"
-
-
-def uuid_sql(name: str) -> str:
-    h = f"sha1({_NS} || encode({name}))"
-    return f"{h}[1:8] || '-' || {h}[9:12] || '-5' || {h}[14:16] || '-' || substr('89ab', CAST(CAST('0x' || {h}[17] AS INTEGER) % 4 + 1 AS BIGINT), 1) || {h}[18:20] || '-' || {h}[21:32]"
-
-
 @query(
     f"""{_FOUND}, k AS (SELECT *, source_id || ':CASH_DIVIDEND:' || ticker || ':' || d AS key FROM g WHERE n = 1)
     SELECT key AS provider_event_key, {uuid_sql("'corporate-action|' || key")} AS id,

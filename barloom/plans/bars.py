@@ -8,20 +8,10 @@ from pyspark.sql import functions as F
 from barloom.functions import keys
 from barloom.operators import merge, quality, resample
 from barloom.operators import sessions as ses
+from barloom.plans.registration import new_registry
 from barloom.sources.market import bars_30m, daily_bars, secs, sessions, table, ticks
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
-
-
-def query(sql: str | None = None):
-    def add(f):
-        QUERIES[f.__name__] = f
-        if sql is not None:
-            ORACLE_SQL[f.__name__] = sql
-        return f
-
-    return add
+QUERIES, ORACLE_SQL, query = new_registry()
 
 
 # The inputs again, as SQL.
@@ -263,13 +253,13 @@ def missing_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"""{_EXPECTED}, e AS (SELECT count(*) AS e FROM x), i AS (SELECT DISTINCT instrument_id FROM bars),
     m AS (SELECT instrument_id, count(*) AS m FROM i, x WHERE NOT EXISTS (FROM bars b WHERE b.instrument_id = i.instrument_id AND b.s = x.s) GROUP BY ALL),
     u AS (SELECT instrument_id, count(*) AS u FROM bars WHERE s NOT IN (SELECT s FROM x) GROUP BY ALL)
-    SELECT b.instrument_id, count(*) AS rows, count(DISTINCT s) AS distinct_starts, any_value(e) AS expected, any_value(m) AS missing, any_value(u) AS unexpected,
-           round((any_value(e) - any_value(m)) / any_value(e) * 100, 6) AS coverage_pct, min(s) AS first_at, max(s) AS last_at, 'warning' AS status
+    SELECT b.instrument_id, count(*) AS rows, count(DISTINCT s) AS distinct_starts, any_value(e) AS expected, any_value(m) AS missing, any_value(u) AS unexpected, count(*) - count(DISTINCT s) AS duplicates,
+           count(*) FILTER (least(open, high, low, close) <= 0 OR high < greatest(open, low, close) OR low > least(open, high, close) OR volume < 0) AS invalid_rows, count(*) FILTER (volume = 0) AS zero_volume_rows, round((any_value(e) - any_value(m)) / any_value(e) * 100, 6) AS coverage_pct, min(s) AS first_at, max(s) AS last_at, 'warning' AS status
     FROM bars b, e, m, u WHERE m.instrument_id = b.instrument_id AND u.instrument_id = b.instrument_id GROUP BY b.instrument_id"""
 )
 def coverage_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     a = quality.coverage_audit(bars_30m(spark, sf_dir), sessions(spark))
-    return a.select("instrument_id", "rows", "distinct_starts", "expected", "missing", "unexpected", "coverage_pct", secs("first_at"), secs("last_at"), "status")
+    return a.select("instrument_id", "rows", "distinct_starts", "expected", "missing", "unexpected", "duplicates", "invalid_rows", "zero_volume_rows", "coverage_pct", secs("first_at"), secs("last_at"), "status")
 
 
 @query(
@@ -346,11 +336,10 @@ def latest_n_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"""{BARS}, q AS (SELECT event_id, event_type, ts FROM events WHERE event_id % 20 = 0)
-    SELECT q.event_id, q.event_type AS instrument_id, arg_max(b.close, b.s) AS previous_close FROM q LEFT JOIN bars b ON b.instrument_id = q.event_type AND b.s < epoch(q.ts) GROUP BY ALL"""
+    f"""{BARS} SELECT q.event_id, q.event_type AS instrument_id, b.close AS previous_close FROM (SELECT event_id, event_type, epoch(ts) AS e FROM events) q ASOF LEFT JOIN bars b ON b.instrument_id = q.event_type AND q.e > b.s"""
 )
 def asof_previous_close(spark: SparkSession, sf_dir: str) -> DataFrame:
-    q = ticks(spark, sf_dir).where("event_id % 20 = 0").select("event_id", F.col("event_type").alias("instrument_id"), "ts")
+    q = ticks(spark, sf_dir).select("event_id", F.col("event_type").alias("instrument_id"), "ts")
     return merge.asof_before(q, bars_30m(spark, sf_dir), "instrument_id", "ts", "bar_start_at", "close", "previous_close").select("event_id", "instrument_id", "previous_close")
 
 

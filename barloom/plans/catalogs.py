@@ -2,27 +2,19 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barloom.functions import keys, values
 from barloom.operators import catalog, merge
-from barloom.plans.analytics import uuid_sql
+from barloom.plans.analytics import MIDNIGHT, uuid_sql
 from barloom.plans.bars import BARS, DAILY
+from barloom.plans.registration import new_registry
 from barloom.sources.market import bars_30m, daily_bars, secs, sessions, table
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
-
-
-def query(sql: str | None = None):
-    def add(f):
-        QUERIES[f.__name__] = f
-        if sql is not None:
-            ORACLE_SQL[f.__name__] = sql
-        return f
-
-    return add
+QUERIES, ORACLE_SQL, query = new_registry()
 
 
 def shard_sql(x: str, n: int) -> str:
@@ -75,29 +67,35 @@ def decode_decimal_map(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ---- objects ----------------------------------------------------------------------------------------------------
+def midnight(c: str, plus: int = 0) -> str:
+    """The instant of New York's midnight of day c, `plus` days of 24 hours later, as ISO text."""
+    return f"(strftime({c} + {plus}, '%Y-%m-%d') || 'T0' || ({re.sub(r'\bd\b', c, MIDNIGHT)}) || ':00:00Z')"
+
+
+_ROW = f"""sha256(instrument_id || '|' || (CAST(epoch(d) AS BIGINT) + 3600 * ({MIDNIGHT})) || '|' || CAST(round(open * 1000000) AS BIGINT) || '|' || CAST(round(high * 1000000) AS BIGINT) || '|' || CAST(round(low * 1000000) AS BIGINT) || '|' || CAST(round(close * 1000000) AS BIGINT) || '|' || volume || '|' || trade_count)"""
 _OBJECTS = f"""{DAILY}, o AS (SELECT CAST(date_trunc('month', d) AS DATE) AS ps, {shard_key_sql('instrument_id', 8)} AS shard_key, count(*) AS row_count,
-    min(instrument_id) AS min_i, max(instrument_id) AS max_i, min(d) AS a, max(d) AS b FROM daily GROUP BY ALL)"""
+    min(instrument_id) AS min_i, max(instrument_id) AS max_i, min(d) AS a, max(d) AS b, sha256(count(*) || ':' || sum(CAST(CAST('0x' || {_ROW}[1:15] AS BIGINT) AS HUGEINT))) AS content_hash FROM daily GROUP BY ALL)"""
 
 
 def objects(spark: SparkSession, sf_dir: str, granularity: str = "MONTH") -> DataFrame:
     o = catalog.object_stats(daily_bars(spark, sf_dir), granularity, 8, 24 * 60)
+    o = o.withColumn("object_kind", F.lit("MARKET_DATA")).withColumn("part_number", F.lit(1)).withColumn("schema_version", F.lit("market-bars-v2"))
     return o.withColumn("id", F.concat_ws("/", F.col("partition_start").cast("string"), "shard_key"))
 
 
-@query(f"{_OBJECTS} SELECT CAST(ps AS VARCHAR) AS partition_start, CAST(CAST(ps + INTERVAL 1 MONTH AS DATE) AS VARCHAR) AS partition_end, shard_key, row_count, min_i AS min_instrument_id, max_i AS max_instrument_id, CAST(a AS VARCHAR) AS first_day, CAST(b AS VARCHAR) AS last_day FROM o")
+@query(f"{_OBJECTS} SELECT CAST(ps AS VARCHAR) AS partition_start, CAST(CAST(ps + INTERVAL 1 MONTH AS DATE) AS VARCHAR) AS partition_end, shard_key, row_count, min_i AS min_instrument_id, max_i AS max_instrument_id, {midnight('a')} AS period_start, {midnight('b', 1)} AS period_end, content_hash FROM o")
 def object_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    day = lambda c, minus=0: keys.session_date_et(F.timestamp_seconds(F.unix_timestamp(c) - minus)).cast("string")
-    return objects(spark, sf_dir).select(F.col("partition_start").cast("string"), F.col("partition_end").cast("string"), "shard_key", "row_count", "min_instrument_id", "max_instrument_id", day("period_start").alias("first_day"), day("period_end", 7200).alias("last_day"))
+    o = objects(spark, sf_dir)
+    return o.select(F.col("partition_start").cast("string"), F.col("partition_end").cast("string"), "shard_key", "row_count", "min_instrument_id", "max_instrument_id", keys.iso_utc("period_start").alias("period_start"), keys.iso_utc("period_end").alias("period_end"), "content_hash")
 
 
 @query(
-    f"""{_OBJECTS}, j AS (SELECT ps, '{{"content_hash":null,"object_kind":null,"part_number":null,"partition_end":"' || CAST(ps + INTERVAL 1 MONTH AS DATE) || '","partition_granularity":"MONTH","partition_start":"' || ps ||
-      '","period_end":null,"period_start":null,"row_count":' || row_count || ',"schema_version":"market-bars-v2","shard_key":"' || shard_key || '"}}' AS j FROM o)
+    f"""{_OBJECTS}, j AS (SELECT ps, '{{"content_hash":"' || content_hash || '","object_kind":"MARKET_DATA","part_number":1,"partition_end":"' || CAST(ps + INTERVAL 1 MONTH AS DATE) || '","partition_granularity":"MONTH","partition_start":"' || ps ||
+      '","period_end":"' || {midnight('b', 1)} || '","period_start":"' || {midnight('a')} || '","row_count":' || row_count || ',"schema_version":"market-bars-v2","shard_key":"' || shard_key || '"}}' AS j FROM o)
     SELECT CAST(ps AS VARCHAR) AS partition_start, sha256('[' || string_agg(j, ',' ORDER BY j) || ']') AS dataset_hash FROM j GROUP BY ps"""
 )
 def dataset_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = objects(spark, sf_dir).drop("content_hash", "period_start", "period_end").withColumn("schema_version", F.lit("market-bars-v2")).withColumn("partition_end", F.col("partition_end").cast("string"))
-    return catalog.dataset_hash(o.withColumn("partition_start", F.col("partition_start").cast("string")), ["partition_start"])
+    return catalog.dataset_hash(objects(spark, sf_dir), ["partition_start"]).withColumn("partition_start", F.col("partition_start").cast("string"))
 
 
 @query(f"""{_OBJECTS}, w AS (SELECT CAST(date_trunc('year', d) AS DATE) AS ys, {shard_key_sql('instrument_id', 8)} AS shard_key, min(d) AS a, max(d) AS b FROM daily GROUP BY ALL)
@@ -243,9 +241,11 @@ def document_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.drop("document")
 
 
-@query(f"{_OBJECTS}, f AS (SELECT ps, row_count, shard_key FROM o) SELECT CAST(ps AS VARCHAR) AS partition_start, count(*) AS objects FROM f GROUP BY ps")
+@query(f"""{_OBJECTS}, j AS (SELECT ps, '{{"content_hash":"' || content_hash || '","dataset_manifest_id":"m-' || year(ps) || '","dataset_object_id":"' || ps || '/' || shard_key || '","partition_end":"' || CAST(ps + INTERVAL 1 MONTH AS DATE) || '","partition_start":"' || ps || '","row_count":' || row_count || '}}' AS j FROM o)
+    SELECT CAST(ps AS VARCHAR) AS partition_start, count(*) AS objects, sha256('{{"bundle_schema_version":1,"objects":[' || string_agg(j, ',' ORDER BY j) || ']}}') AS fingerprint FROM j GROUP BY ps""")
 def input_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return catalog.input_fingerprint(objects(spark, sf_dir), ["partition_start"]).select(F.col("partition_start").cast("string"), "objects")
+    o = objects(spark, sf_dir).withColumn("manifest_id", F.concat(F.lit("m-"), F.year("partition_start").cast("string")))
+    return catalog.input_fingerprint(o, ["partition_start"]).withColumn("partition_start", F.col("partition_start").cast("string"))
 
 
 @query(

@@ -7,23 +7,14 @@ from pyspark.sql import functions as F
 
 from barloom.functions import keys
 from barloom.operators import catalog, merge, quality, resample
+from barloom.plans.analytics import uuid_sql
 from barloom.plans.bars import BARS, DAILY, findings
 from barloom.plans.catalogs import QUERIES as CATALOGS, ORACLE_SQL as CATALOG_SQL
+from barloom.plans.registration import new_registry
 from barloom.sources import files
 from barloom.sources.market import bars_30m, daily_bars, secs, sessions, table, ticks
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
-
-
-def query(sql: str | None = None):
-    def add(f):
-        QUERIES[f.__name__] = f
-        if sql is not None:
-            ORACLE_SQL[f.__name__] = sql
-        return f
-
-    return add
+QUERIES, ORACLE_SQL, query = new_registry()
 
 
 @query(f"""{BARS}, h AS (SELECT instrument_id, o, c, k, min(s) AS s, 30 * count(*) AS m FROM (SELECT *, (s - o) // 3600 AS k FROM ib) GROUP BY ALL),
@@ -44,11 +35,11 @@ def bar_value_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.where("violations IS NOT NULL")
 
 
-@query(f"""{DAILY}, o AS (SELECT CAST(date_trunc('month', d) AS DATE) AS p, instrument_id, count(*) AS n FROM daily GROUP BY ALL) SELECT 'MONTH' AS partition_granularity, count(*) AS objects, count(DISTINCT n % 5) AS parts, CAST(sum(n) AS BIGINT) AS row_count, min(n * 10) AS min_bytes, max(n * 10) AS max_bytes FROM o""")
+@query(f"""{DAILY}, o AS (SELECT CAST(date_trunc('month', d) AS DATE) AS p, instrument_id, count(*) AS n FROM daily GROUP BY ALL) SELECT 'MONTH' AS partition_granularity, count(*) AS objects, count(DISTINCT n % 5) AS parts, CAST(sum(n) AS BIGINT) AS row_count, min(n * 10) AS min_bytes, round(avg(n * 10), 6) AS mean_bytes, max(n * 10) AS max_bytes FROM o""")
 def storage_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = daily_bars(spark, sf_dir).groupBy("instrument_id", F.trunc("session_date_et", "month")).agg(F.count("*").alias("row_count"))
     o = o.select(F.lit("MONTH").alias("partition_granularity"), (F.col("row_count") % 5).alias("part_number"), "row_count", (F.col("row_count") * 10).alias("byte_size"))
-    return files.storage_profile(o).drop("mean_bytes")
+    return files.storage_profile(o).withColumn("mean_bytes", F.round("mean_bytes", 6))
 
 
 @query("""WITH m AS (SELECT o_orderkey AS k, o_custkey AS c FROM orders WHERE o_orderstatus = 'F') SELECT k AS manifest_id, count(*) AS objects, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS row_count FROM m JOIN lineitem ON l_orderkey = k JOIN part ON p_partkey = l_partkey GROUP BY k""")
@@ -84,9 +75,9 @@ def manifest_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
     return catalog.watermark_projection(feeds, m).select("feed_id", F.col("last_source_event_at").cast("string").alias("head"))
 
 
-@query(f"""WITH g AS ({CATALOG_SQL['readiness_gate']}) SELECT feed_id, session_date, reason AS incident_code, CASE WHEN reason = 'DAILY_OBJECT_MISSING' THEN 'PARTITION' ELSE 'MANIFEST' END AS breadth, CASE WHEN reason = 'DAILY_OBJECT_MISSING' THEN first_missing_shard END AS shard_key FROM g WHERE state = 'BLOCKED'""")
+@query(f"""WITH g AS ({CATALOG_SQL['readiness_gate']}) SELECT {uuid_sql("('readiness|' || feed_id || '|' || session_date || '|' || reason || '|' || CASE WHEN reason = 'DAILY_OBJECT_MISSING' THEN first_missing_shard ELSE 'None' END)")} AS id, feed_id, session_date, reason AS incident_code, CASE WHEN reason = 'DAILY_OBJECT_MISSING' THEN 'PARTITION' ELSE 'MANIFEST' END AS breadth, CASE WHEN reason = 'DAILY_OBJECT_MISSING' THEN first_missing_shard END AS shard_key FROM g WHERE state = 'BLOCKED'""")
 def readiness_record(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return catalog.readiness_incidents(CATALOGS["readiness_gate"](spark, sf_dir)).select("feed_id", "session_date", "incident_code", "breadth", "shard_key")
+    return catalog.readiness_incidents(CATALOGS["readiness_gate"](spark, sf_dir)).select("id", "feed_id", "session_date", "incident_code", "breadth", "shard_key")
 
 
 @query("""SELECT event_type AS instrument_id, CAST(floor(epoch(ts) / 1800) AS BIGINT) * 1800 AS bar_start_at, count(*) AS n FROM events WHERE event_id % 10 <> 0 GROUP BY ALL

@@ -5,22 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from barloom.plans.registration import new_registry
 from barloom.sources.market import secs, table, ticks
-from barloom.sources.shared import written
+from barloom.sources.shared import shared_path, written
 from barloom.streaming import events as ev
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
-
-
-def query(sql: str | None = None):
-    def add(f):
-        QUERIES[f.__name__] = f
-        if sql is not None:
-            ORACLE_SQL[f.__name__] = sql
-        return f
-
-    return add
+QUERIES, ORACLE_SQL, query = new_registry()
 
 
 def _messages(e: DataFrame) -> DataFrame:
@@ -64,22 +54,46 @@ def stream_parse_route(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.run_to_table(out, "routes")
 
 
-@query(f"""{_E.replace('WITH e', 'WITH RECURSIVE e', 1)}, b AS (SELECT *, row_number() OVER (PARTITION BY ins, hr ORDER BY i) AS k, row_number() OVER (PARTITION BY ins, hr, id ORDER BY i) AS again FROM e WHERE refusal IS NULL AND route IS NULL),
-    r AS (SELECT ins, hr, CAST(0 AS BIGINT) AS k, CAST(-1 AS BIGINT) AS cur, CAST(NULL AS BIGINT) AS i, CAST(NULL AS VARCHAR) AS decision FROM (SELECT DISTINCT ins, hr FROM b)
-      UNION ALL SELECT b.ins, b.hr, b.k, CASE WHEN b.again = 1 AND b.rev > r.cur THEN b.rev ELSE r.cur END, b.i,
-        CASE WHEN b.again > 1 THEN 'DUPLICATE_EVENT' WHEN r.cur < 0 THEN 'ACCEPTED' WHEN b.rev > r.cur THEN 'CORRECTION_APPLIED' WHEN b.rev < r.cur THEN 'SUPERSEDED_REVISION' ELSE 'REVISION_CONFLICT' END
-      FROM r JOIN b ON b.ins = r.ins AND b.hr = r.hr AND b.k = r.k + 1)
-    SELECT i AS sequence, ins AS "instrumentId", CAST(epoch(hr) AS BIGINT) AS bar_start_at, decision FROM r WHERE k > 0""")
-def stream_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = ev.parse(_messages(_stream(spark, sf_dir)))
+# A shard's events one by one, with what it remembers as lists.
+_DECISIONS = f"""{_E.replace('WITH e', 'WITH RECURSIVE e', 1)}, b0 AS (SELECT *, CAST(CAST('0x' || substr(sha256(ins), 1, 16) AS UBIGINT) % 16 AS INTEGER) AS shard, epoch_us(hr) AS us, CAST(hr - INTERVAL 5 HOUR AS DATE) AS s FROM e WHERE refusal IS NULL AND route IS NULL),
+    b AS (SELECT *, ins || '|' || us AS slot, row_number() OVER (PARTITION BY shard ORDER BY i) AS k FROM b0),
+    r AS (SELECT shard, CAST(0 AS BIGINT) AS k, CAST(-1 AS BIGINT) AS ha, CAST(-1 AS BIGINT) AS hi, CAST([] AS STRUCT(id VARCHAR, s DATE)[]) AS seen, CAST([] AS STRUCT(slot VARCHAR, rev BIGINT, s DATE)[]) AS slots, CAST(NULL AS BIGINT) AS i, CAST(NULL AS VARCHAR) AS decision FROM (SELECT DISTINCT shard FROM b)
+      UNION ALL SELECT shard, k, CASE WHEN good AND newer THEN us ELSE ha END, CASE WHEN good AND newer THEN i ELSE hi END,
+        CASE WHEN good THEN list_append(list_filter(seen, lambda x: x.s >= low), {{'id': id, 's': s}}) ELSE seen END, CASE WHEN good THEN list_append(list_filter(slots, lambda x: x.s >= low AND x.slot <> slot), {{'slot': slot, 'rev': rev, 's': s}}) ELSE slots END, i, decision
+      FROM (SELECT *, decision IN ('CORRECTION_APPLIED', 'ACCEPTED_NEW', 'ACCEPTED_LATE') AS good, list_reverse_sort(list_distinct(list_concat([s], list_transform(seen, lambda x: x.s), list_transform(slots, lambda x: x.s)))) AS days, coalesce(days[2], days[1]) AS low
+        FROM (SELECT b.*, r.ha, r.hi, r.seen, r.slots, list_filter(r.slots, lambda x: x.slot = b.slot)[1].rev AS held, (b.us, b.i) > (r.ha, r.hi) AS newer,
+          CASE WHEN list_contains(list_transform(r.seen, lambda x: x.id), b.id) THEN 'DUPLICATE_EVENT' WHEN b.rev < held THEN 'SUPERSEDED_REVISION' WHEN b.rev = held THEN 'REVISION_CONFLICT' WHEN b.rev > 0 THEN 'CORRECTION_APPLIED' WHEN newer THEN 'ACCEPTED_NEW' ELSE 'ACCEPTED_LATE' END AS decision
+          FROM r JOIN b ON b.shard = r.shard AND b.k = r.k + 1)))
+    SELECT r.i AS sequence, b.ins AS "instrumentId", CAST(b.us // 1000000 AS BIGINT) AS bar_start_at, r.decision FROM r JOIN b ON b.i = r.i"""
+
+
+def _decided(spark: SparkSession, source: DataFrame, path: str | None = None) -> DataFrame:
+    p = ev.parse(_messages(source))
     bars = p.where(F.col("refusal").isNull() & ev.route("p", "f").isNull())
-    return ev.run_to_table(ev.decide(bars), "decisions").select("sequence", "instrumentId", secs("occurredAt", "bar_start_at"), "decision")
+    return ev.run_to_table(ev.decide(bars), "decisions", path=path).select("sequence", "instrumentId", secs("occurredAt", "bar_start_at"), "decision")
+
+
+@query(_DECISIONS)
+def stream_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _decided(spark, _stream(spark, sf_dir))
+
+
+@query(_DECISIONS)
+def stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same decisions when the stream is stopped after a half of the events and started again."""
+    source, path = shared_path(spark, "source"), shared_path(spark, "resumed")
+    e = ticks(spark, sf_dir)
+    middle = e.agg(F.max("event_id") / 2).head()[0]
+    for part in (F.col("event_id") <= middle, F.col("event_id") > middle):
+        e.where(part).write.mode("append").parquet(source)
+        out = _decided(spark, spark.readStream.schema(e.schema).parquet(source), path)
+    return out
 
 
 @query("SELECT event_type AS \"instrumentId\", 'view' AS \"eventType\", 'e' || arg_max(event_id, (ts, event_id)) AS \"eventId\", CAST(floor(epoch(max(ts))) AS BIGINT) AS at FROM events GROUP BY ALL")
 def stream_latest_observation(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = _stream(spark, sf_dir).select(F.col("event_type").alias("instrumentId"), F.lit("view").alias("eventType"), F.concat(F.lit("e"), F.col("event_id").cast("string")).alias("eventId"), F.col("ts").alias("occurredAt"), F.col("event_id").alias("sequence"))
-    return ev.run_to_table(ev.latest_observation(e), "latest", "update").select("instrumentId", "eventType", "eventId", secs("occurredAt", "at"))
+    return ev.run_to_table(ev.latest_observation(e), "latest", "update", keys=["instrumentId", "eventType"]).select("instrumentId", "eventType", "eventId", secs("occurredAt", "at"))
 
 
 @query(

@@ -8,23 +8,14 @@ from pyspark.sql import types as T
 
 from barloom.functions import keys
 from barloom.operators import actions, features, merge, quality, reference
+from barloom.plans.analytics import INPUT, PERIOD, RESULTS
 from barloom.plans.bars import BARS, DAILY
+from barloom.plans.registration import new_registry
 from barloom.sources import files
 from barloom.sources.market import bars_30m, daily_bars, secs, sessions, table, ticks
 from barloom.sources.shared import shared_path
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
-
-
-def query(sql: str | None = None):
-    def add(f):
-        QUERIES[f.__name__] = f
-        if sql is not None:
-            ORACLE_SQL[f.__name__] = sql
-        return f
-
-    return add
+QUERIES, ORACLE_SQL, query = new_registry()
 
 
 def _full(b: DataFrame) -> DataFrame:
@@ -88,14 +79,15 @@ def history_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("instrument_id", "bars", F.aggregate("x", F.lit(0).cast("long"), lambda a, y: a + y["volume"]).alias("volume"))
 
 
-@query(f"{DAILY}, i AS (SELECT instrument_id, count(*) AS n FROM daily GROUP BY ALL) SELECT instrument_id, n - 19 AS row_count, true AS increasing, true AS same_hash FROM i WHERE n >= 20")
+@query(f"{RESULTS} SELECT instrument_id, row_count, true AS increasing, result_hash FROM h WHERE feature = 'SMA_20'")
 def feature_series_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
-    b, d = daily_bars(spark, sf_dir), features.definition("SMA", price="close", window=20)
+    """The hash is of the series as it is read back."""
+    b, d = daily_bars(spark, sf_dir), features.definition("SMA", price_field="close", window=20)
     path = shared_path(spark, "series")
     files.write_series(features.compute(b, [d]), path)
     back = spark.read.schema("bar_start_at timestamp, value decimal(38,8), definition_id string, instrument_id string").parquet(path)
-    first = features.materialize(b, [d]).select("instrument_id", F.col("result_hash").alias("h"))
-    return files.series_hash(back).join(first, "instrument_id").select("instrument_id", "row_count", "increasing", (F.col("h") == F.col("result_hash")).alias("same_hash"))
+    hashed = features.result_hashes(back.withColumn("definition_hash", F.lit(d.hash)), INPUT, *PERIOD)
+    return hashed.join(files.series_facts(back), ["definition_id", "instrument_id"]).select("instrument_id", "row_count", "increasing", "result_hash")
 
 
 @query("SELECT o_orderkey, o_orderstatus, o_custkey FROM orders WHERE o_orderstatus = 'F' AND o_custkey = 7")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barloom.functions.keys import iso_utc, session_date_et, shard_key
+from barloom.functions.keys import session_date_et, shard_key
 from barloom.functions.values import sha256
 from barloom.operators.merge import keep_last, latest_n
 
@@ -45,19 +45,29 @@ def legacy_scan(spark: SparkSession, path: str, columns: str) -> DataFrame:
     lacking = {"symbol", "timestamp"} - set(schema.names)
     if lacking:
         raise ValueError(f"key columns are missing: {sorted(lacking)}")
-    return spark.read.schema(schema).option("header", True).csv(path) if path.endswith((".csv", ".csv.gz")) or "csv" in path else spark.read.schema(schema).parquet(path)
+    text = path.rstrip("/").endswith((".csv", ".csv.gz"))
+    return spark.read.schema(schema).option("header", True).csv(path) if text else spark.read.schema(schema).parquet(path)
 
 
 def parse_mixed_timestamp(df: DataFrame, column: str, out: str = "bar_start_at") -> DataFrame:
     """Text that is ISO 8601 or a number since 1970, one kind for the whole column, as an instant.
 
     A number's unit follows from the median of their sizes: below 1e11 seconds, 1e14 milliseconds, 1e17 microseconds, else
-    nanoseconds. One aggregate over the column decides; text that is neither becomes null."""
+    nanoseconds. The median is not looked for: counts, least and largest sizes of the four classes tell where it lies, and
+    one aggregate over the column gives them. Text that is neither becomes null."""
     n = F.col(column).try_cast("decimal(38,9)")
-    facts = df.agg(F.count_if(n.isNull() & F.col(column).isNotNull()).alias("texts"), F.median(F.abs(n.cast("double"))).alias("size")).head()
-    if facts["texts"] or facts["size"] is None:
+    size = F.abs(n.cast("double"))
+    limits = [0.0, 1e11, 1e14, 1e17, float("inf")]
+    inside = [(size >= a) & (size < b) for a, b in zip(limits, limits[1:])]
+    parts = [x for k, c in enumerate(inside) for x in (F.count_if(c).alias(f"n{k}"), F.min(F.when(c, size)).alias(f"lo{k}"), F.max(F.when(c, size)).alias(f"hi{k}"))]
+    facts = df.agg(F.count_if(n.isNull() & F.col(column).isNotNull()).alias("texts"), *parts).head()
+    total = sum(facts[f"n{k}"] for k in range(4))
+    if facts["texts"] or not total:
         return df.withColumn(out, F.expr(f"try_to_timestamp(`{column}`)"))
-    per_micro = next((u for limit, u in ((1e11, 1_000_000), (1e14, 1_000), (1e17, 1)) if facts["size"] < limit), None)
+    upto = lambda rank: next(k for k in range(4) if sum(facts[f"n{j}"] for j in range(k + 1)) > rank)
+    low, high = upto((total - 1) // 2), upto(total // 2)  # classes of the middle value, or of the two
+    middle = low if low == high else next(k for k in range(4) if (facts[f"hi{low}"] + facts[f"lo{high}"]) / 2 < limits[k + 1])
+    per_micro = {0: 1_000_000, 1: 1_000, 2: 1}.get(middle)
     micros = n * F.lit(per_micro) if per_micro else n / F.lit(1000)
     return df.withColumn(out, F.timestamp_micros(F.floor(micros).cast("bigint")))
 
@@ -86,12 +96,19 @@ def explode_bar_pages(pages: DataFrame, column: str = "page") -> tuple[DataFrame
     return rows.where(ok), rows.where(~ok)
 
 
-def write_bars(bars: DataFrame, path: str, shards: int = 16) -> None:
+def write_bars(bars: DataFrame, path: str, shards: int = 16, most: int | None = None) -> None:
     """Bars under year and shard, each file in the order of instrument and time, uncompressed and without dictionary.
 
-    One shuffle by year and shard; a partition that is written again replaces itself. The rows are counted again."""
+    One shuffle by year and shard; with `most`, rows go to files of at most so many by parts of the time, so that a large
+    shard is many tasks. A partition that is written again replaces itself."""
     b = bars.withColumn("year", F.year("session_date_et")).withColumn("shard", shard_key("instrument_id", shards))
-    b = b.repartition("year", "shard").sortWithinPartitions("year", "shard", "instrument_id", "bar_start_at")
+    keys = ["year", "shard"]
+    if most:
+        before = F.sum("_rows").over(Window.partitionBy("year", "shard").orderBy("bar_start_at"))
+        instants = b.groupBy("year", "shard", "bar_start_at").agg(F.count("*").alias("_rows")).withColumn("_part", F.floor((before - 1) / most)).drop("_rows")
+        b = b.join(instants, ["year", "shard", "bar_start_at"])
+        keys.append("_part")
+    b = b.repartition(*keys).sortWithinPartitions(*keys, "instrument_id", "bar_start_at").drop("_part")
     options = {"compression": "none", "parquet.enable.dictionary": "false", "partitionOverwriteMode": "dynamic"}
     b.write.mode("overwrite").options(**options).partitionBy("year", "shard").parquet(path)
 
@@ -121,13 +138,11 @@ def write_series(values: DataFrame, path: str) -> None:
     v.write.option("compression", "zstd").partitionBy("definition_id", "instrument_id").parquet(path)
 
 
-def series_hash(values: DataFrame) -> DataFrame:
-    """(definition_id, instrument_id, row_count, increasing, result_hash) of a series as it was written."""
+def series_facts(values: DataFrame) -> DataFrame:
+    """(definition_id, instrument_id, increasing) of a series as it was written: whether its instants only rise."""
     w = Window.partitionBy("definition_id", "instrument_id").orderBy("bar_start_at")
     v = values.withColumn("_up", F.col("bar_start_at") > F.lag("bar_start_at").over(w))
-    line = F.concat_ws("|", iso_utc("bar_start_at"), F.col("value").cast("string"))
-    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("bar_start_at", line.alias("l")))), lambda x: x["l"]), "\n")
-    return v.groupBy("definition_id", "instrument_id").agg(F.count("*").alias("row_count"), F.coalesce(F.bool_and("_up"), F.lit(True)).alias("increasing"), sha256(text).alias("result_hash"))
+    return v.groupBy("definition_id", "instrument_id").agg(F.coalesce(F.bool_and("_up"), F.lit(True)).alias("increasing"))
 
 
 def history_documents(bars: DataFrame, timeframe: str, n: int, now: str) -> DataFrame:
@@ -168,8 +183,10 @@ def warmup_series(events: DataFrame, requirements: DataFrame) -> DataFrame:
     """For each requirement and instrument its last `required` observations as one list, and a hash of it.
 
     events: instrument_id, bar_start_at, close. requirements: requirement, required."""
-    n = Window.partitionBy("requirement", "instrument_id").orderBy(F.desc("bar_start_at"))
-    rows = events.crossJoin(F.broadcast(requirements)).withColumn("_n", F.row_number().over(n)).where(F.col("_n") <= F.col("required"))  # requirements are a short list
+    n = Window.partitionBy("instrument_id").orderBy(F.desc("bar_start_at"))
+    most = requirements.agg(F.max("required").alias("_most"))
+    last = events.withColumn("_n", F.row_number().over(n)).join(F.broadcast(most), F.col("_n") <= F.col("_most")).drop("_most")  # one row
+    rows = last.join(F.broadcast(requirements), F.col("_n") <= F.col("required"))  # requirements are a short list
     series = F.to_json(F.array_sort(F.collect_list(F.struct(F.unix_timestamp("bar_start_at").alias("t"), F.col("close").alias("c")))))
     out = rows.groupBy("requirement", "instrument_id").agg(F.count("*").alias("observed"), series.alias("series"))
     return out.withColumn("series_hash", sha256(F.col("series")))
