@@ -326,3 +326,50 @@ def readiness_incidents(gate: DataFrame) -> DataFrame:
     scope = F.when(shard, F.col("first_missing_shard"))
     ident = deterministic_uuid(F.lit("readiness"), "feed_id", F.col("session_date").cast("string"), "reason", scope)
     return blocked.select(ident.alias("id"), "feed_id", "session_date", F.lit("ERROR").alias("severity"), F.col("reason").alias("incident_code"), "breadth", scope.alias("shard_key"))
+
+
+def fixture_mismatches(declared: DataFrame, actual: DataFrame) -> DataFrame:
+    """(id, code) where an object's file is not what its document declares.
+
+    declared: id, layer, object_key, content_hash, row_count, first_bar, last_bar, instruments (array). actual: id and the
+    same facts as read. Codes, in this order: LAYER_NOT_IN_KEY, FILE_MISSING, HASH, ROW_COUNT, INSTRUMENTS, FIRST_BAR, LAST_BAR."""
+    facts = ["content_hash", "row_count", "first_bar", "last_bar"]
+    a = actual.select("id", F.lit(True).alias("_is"), *[F.col(c).alias(f"_{c}") for c in facts], F.array_sort("instruments").alias("_instruments"))
+    j = declared.join(a, "id", "left")
+    differs = lambda c: F.col("_is") & ~F.col(c).eqNullSafe(F.col(f"_{c}"))
+    rules = {
+        "LAYER_NOT_IN_KEY": ~F.contains("object_key", F.concat(F.lit("/layer="), F.col("layer"), F.lit("/"))),
+        "FILE_MISSING": F.col("_is").isNull(),
+        "HASH": differs("content_hash"),
+        "ROW_COUNT": differs("row_count"),
+        "INSTRUMENTS": F.col("_is") & (F.array_sort("instruments") != F.col("_instruments")),
+        "FIRST_BAR": differs("first_bar"),
+        "LAST_BAR": differs("last_bar"),
+    }
+    return j.select("id", F.explode(F.array_compact(F.array(*[F.when(v, F.lit(k)) for k, v in rules.items()]))).alias("code"))
+
+
+def validate_requests(documents: DataFrame, column: str = "document") -> DataFrame:
+    """Backtest requests as ACCEPTED or REJECTED with the first violation: complete, ids and fingerprint well formed, a period
+    that begins before it ends, at least one instrument."""
+    fields = ["request_id", "strategy_id", "input_bundle_fingerprint", "period_start", "period_end", "instrument_count"]
+    d = validate_documents(documents, fields, ["request_id", "strategy_id"], ["input_bundle_fingerprint"], ["period_start", "period_end"], ["instrument_count"], column)
+    return _also(d, column, {"period:not_rising": lambda at: at("period_end") <= at("period_start")})
+
+
+def validate_snapshots(documents: DataFrame, column: str = "document") -> DataFrame:
+    """Snapshot documents as ACCEPTED or REJECTED: complete, hashes, a SUCCEEDED status, a rising period, counts, and a
+    version that is made of its hashes."""
+    fields = ["feature_set_hash", "input_market_set_hash", "batch_hash", "status", "period_start", "period_end", "member_count", "row_count", "version"]
+    hashes = fields[:3]
+    d = validate_documents(documents, fields, [], hashes, ["period_start", "period_end"], ["member_count", "row_count"], column)
+    version = lambda at: F.concat_ws(":", F.lit("fmv1:b"), *[F.substring(at(h), 1, 16) for h in hashes])
+    return _also(d, column, {"status": lambda at: at("status") != "SUCCEEDED", "period:not_rising": lambda at: at("period_end") <= at("period_start"), "version": lambda at: at("version") != version(at)})
+
+
+def _also(validated: DataFrame, column: str, rules: dict) -> DataFrame:
+    """validated with further rules, which are asked where it found no violation."""
+    d = validated.withColumn("_d", F.from_json(column, "map<string,string>"))
+    at = lambda k: F.col("_d")[k]
+    violation = F.coalesce("violation", *[F.when(rule(at), F.lit(name)) for name, rule in rules.items()])
+    return d.withColumn("violation", violation).withColumn("result", F.when(F.col("violation").isNull(), "ACCEPTED").otherwise("REJECTED")).drop("_d")

@@ -18,10 +18,12 @@ def keep_last(df: DataFrame, keys: list[str], arrival: str | Column) -> DataFram
     return out.select(*keys, *[F.col("_row")[c].alias(c) for c in rest]).select(*df.columns)
 
 
-def upsert_keep_last(existing: DataFrame, new: DataFrame, keys: list[str], time: str | None = None, since: str | None = None) -> DataFrame:
-    """Rows of both; of one key the new one, or the last of several new ones if `arrival` tells. Older than `since` goes."""
+def upsert_keep_last(existing: DataFrame, new: DataFrame, keys: list[str], time: str | None = None, since: str | None = None, arrival: str | None = None) -> DataFrame:
+    """Rows of both; of one key the new one, of several the last by `arrival`, of equal ones the one that is largest as a
+    row, so that the same input gives the same output. Older than `since` goes."""
     both = existing.withColumn("_rank", F.lit(0)).unionByName(new.withColumn("_rank", F.lit(1)))
-    out = keep_last(both, keys, "_rank").drop("_rank")
+    rest = [c for c in existing.columns if c not in keys]
+    out = keep_last(both, keys, F.struct("_rank", *[arrival] * bool(arrival), F.xxhash64(*rest), *[F.col(c).cast("string") for c in rest])).drop("_rank")
     return out.where(F.col(time) >= F.lit(since).cast("timestamp")) if since else out
 
 

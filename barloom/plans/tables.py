@@ -8,8 +8,9 @@ from pyspark.sql import types as T
 
 from barloom.functions import keys
 from barloom.operators import actions, features, merge, quality, reference
-from barloom.plans.analytics import INPUT, PERIOD, RESULTS
+from barloom.plans.analytics import INPUT, PERIOD, RESULTS, uuid_sql
 from barloom.plans.bars import BARS, DAILY
+from barloom.plans.catalogs import shard_key_sql
 from barloom.plans.registration import new_registry
 from barloom.sources import files
 from barloom.sources.market import bars_30m, daily_bars, secs, sessions, table, ticks
@@ -175,9 +176,13 @@ def report_row_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge.replace_rows(o, o.where("k % 4 = 0").withColumn("v", F.lit(-1.0)), ["k"], o.where("k % 6 = 0"))
 
 
-@query(f"""{BARS}, f AS (SELECT instrument_id, s FROM bars WHERE (high - low) / low > 0.20) SELECT instrument_id, 'PRICE_OUTLIER_RANGE' AS incident_code, count(*) AS incidents, count(*) AS distinct_ids FROM (
-    SELECT DISTINCT instrument_id, s - 1800 * row_number() OVER (PARTITION BY instrument_id ORDER BY s) AS g FROM f) GROUP BY instrument_id""")
+_INCIDENT = uuid_sql("('quality-incident|m1|PRICE_OUTLIER_RANGE|INSTRUMENT_PERIOD|' || instrument_id || '|' || shard_key || '|2023-12-31|2024-02-01|' || strftime(make_timestamp(a * 1000000), '%Y-%m-%dT%H:%M:%SZ') || '|' || strftime(make_timestamp(b * 1000000), '%Y-%m-%dT%H:%M:%SZ') || '|None')")
+
+
+@query(f"""{BARS}, f AS (SELECT instrument_id, s, s - 1800 * row_number() OVER (PARTITION BY instrument_id ORDER BY s) AS g FROM bars WHERE (high - low) / low > 0.20),
+    r AS (SELECT instrument_id, {shard_key_sql('instrument_id', 4)} AS shard_key, min(s) AS a, max(s) + 1800 AS b, count(*) AS affected_rows FROM f GROUP BY instrument_id, g)
+    SELECT {_INCIDENT} AS id, instrument_id, 'PRICE_OUTLIER_RANGE' AS incident_code, shard_key, a AS period_start, b AS period_end, affected_rows FROM r""")
 def scope_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality.contiguous_spans(quality.range_outliers(bars_30m(spark, sf_dir)), 30)
     out = quality.scope_findings(found, F.lit("m1"), keys.shard_key("instrument_id", 4), "2023-12-31", "2024-02-01")
-    return out.groupBy("instrument_id", "incident_code").agg(F.count("*").alias("incidents"), F.countDistinct("id").alias("distinct_ids"))
+    return out.select("id", "instrument_id", "incident_code", "shard_key", secs("period_start"), secs("period_end"), "affected_rows")

@@ -108,7 +108,7 @@ def write_bars(bars: DataFrame, path: str, shards: int = 16, most: int | None =
         instants = b.groupBy("year", "shard", "bar_start_at").agg(F.count("*").alias("_rows")).withColumn("_part", F.floor((before - 1) / most)).drop("_rows")
         b = b.join(instants, ["year", "shard", "bar_start_at"])
         keys.append("_part")
-    b = b.repartition(*keys).sortWithinPartitions(*keys, "instrument_id", "bar_start_at").drop("_part")
+    b = b.repartition(*keys).sortWithinPartitions("year", "shard", "instrument_id", "bar_start_at").drop("_part")
     options = {"compression": "none", "parquet.enable.dictionary": "false", "partitionOverwriteMode": "dynamic"}
     b.write.mode("overwrite").options(**options).partitionBy("year", "shard").parquet(path)
 
