@@ -5,13 +5,15 @@ sends one customer to the parent, the one restaurant of single words that all of
 to the uniform base. Words are 48-bit hashes inside the model (a parameter of precision, not of size).
 
 All pairs of the corpus, with the texts they stand in, are dealt once to buckets by their first word; a word that begins
-more than a share of all pairs is dealt by both words. A round of sampling exchanges, between buckets of pairs and
-buckets of words, a table count and a count of customers for each word that a bucket has. Tables of the split words are
-added up over all buckets before every draw.
+more than a share of all pairs is dealt by both words, and a pair that is itself such a share by the portion of texts as well.
+A round of sampling exchanges, between buckets of pairs and buckets of words, a table count and a count of customers for
+each word that a bucket has. Tables of the split words are added up over all buckets before every draw. A split pair is
+known by all its customers in every bucket that has it, drawn by the same numbers in each, and counted in one of them.
 """
 
 from __future__ import annotations
 
+import functools
 import math
 import uuid
 from collections.abc import Iterator
@@ -21,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barloom.llm.common import SLICE_ROWS, each_slice, from_planes, lowered, n_partitions, planes, release, span_hashes, word_spans, written
+from barloom.llm.common import SLICE_ROWS, each_slice, from_planes, lowered, mixed, n_partitions, planes, release, span_hashes, word_spans, written
 
 #: Texts whose crc32 of the id leaves 0 when divided by FOLDS are held out.
 FOLDS = 10
@@ -75,9 +77,15 @@ def _spread(h: np.ndarray, n: int) -> np.ndarray:
     return (((h >> np.uint64(16)) * np.uint64(n)) >> np.uint64(32)).astype(np.int64)
 
 
-def _bucket(first: np.ndarray, second: np.ndarray, hot: np.ndarray, n: int) -> np.ndarray:
-    both = (first ^ (second * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(16))) & np.uint64((1 << 48) - 1)
-    return _spread(np.where(np.isin(first, hot), both, first), n)
+def _both(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """A 48-bit hash of pairs of words."""
+    return (first ^ (second * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(16))) & np.uint64((1 << 48) - 1)
+
+
+def _bucket(first: np.ndarray, second: np.ndarray, hot: np.ndarray, hot_pairs: np.ndarray, portion: int, n: int) -> np.ndarray:
+    both = _both(first, second)
+    salt = mixed(np.array([portion], np.uint64))[0] >> np.uint64(16)
+    return _spread(np.where(np.isin(first, hot), np.where(np.isin(both, hot_pairs), both ^ salt, both), first), n)
 
 
 def _gathered(batches: Iterator[pa.RecordBatch], with_rows: bool):
@@ -97,25 +105,31 @@ def _gathered(batches: Iterator[pa.RecordBatch], with_rows: bool):
         yield (*(np.concatenate(x) for x in zip(*got)), pa.Table.from_batches(rows) if rows else None)
 
 
-def _hot_words(docs: DataFrame) -> tuple[np.ndarray, int]:
-    """First words that are split, and the number of pairs."""
+def _hot_words(docs: DataFrame) -> tuple[np.ndarray, np.ndarray, int]:
+    """First words that are split, hashes of pairs that are split (at most 1 / HOT_SHARE), and the number of pairs."""
     # A word and the space after it take about six bytes; the share only has to be of the right size.
     size = docs.agg(F.sum(F.octet_length("text"))).head()[0] or 0
     share = min(HOT_SHARE, max(LEAST_SHARE, BUCKET_PAIRS / 4 / max(1, size / 6)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for a, _, _, _ in _gathered(batches, False):
+        for a, b, _, _ in _gathered(batches, False):
             w, c = np.unique(a, return_counts=True)
             keep = c >= len(a) * share / 2
-            yield pa.RecordBatch.from_arrays([pa.array(np.append(w[keep].view(np.int64), -1)), pa.array(np.append(c[keep], len(a)))], ["word", "n"])
+            p, m = np.unique(_both(a, b), return_counts=True)
+            often = m >= len(a) * HOT_SHARE / 2
+            word = np.concatenate([w[keep].view(np.int64), p[often].view(np.int64), [-1]])
+            kind = np.repeat([0, 1, 2], [keep.sum(), often.sum(), 1])
+            yield pa.RecordBatch.from_arrays([pa.array(kind, pa.int32()), pa.array(word), pa.array(np.concatenate([c[keep], m[often], [len(a)]]))], ["kind", "word", "n"])
 
-    counted = docs.select("text").mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    counted = docs.select("text").mapInArrow(run, "kind int, word long, n long").groupBy("kind", "word").agg(F.sum("n").alias("n"))
     counted = written(counted, "frequent")
-    total = counted.where("word = -1").head()
+    total = counted.where("kind = 2").head()
     if total is None:
-        return np.zeros(0, np.uint64), 0
-    hot = counted.where((F.col("word") >= 0) & (F.col("n") >= total["n"] * share)).collect()
-    return np.array(sorted(r["word"] for r in hot), np.int64).view(np.uint64), total["n"]
+        return np.zeros(0, np.uint64), np.zeros(0, np.uint64), 0
+    at_least = F.when(F.col("kind") == 0, share).otherwise(HOT_SHARE) * total["n"]
+    hot = counted.where((F.col("kind") < 2) & (F.col("n") >= at_least)).collect()
+    words, pairs = (np.array(sorted(r["word"] for r in hot if r["kind"] == k), np.int64).view(np.uint64) for k in (0, 1))
+    return words, pairs, total["n"]
 
 
 _DEALT = "bucket int, first binary, runs binary, second binary, train binary, uses binary, texts binary, size binary, who binary"
@@ -124,7 +138,7 @@ _WHO = np.dtype([("row", "<i8"), ("id", "<i8"), ("held", "?")])
 _SUMS = "row long, n_tokens binary, n_known binary, base_score binary, score binary"
 
 
-def _deal(docs: DataFrame, hot: np.ndarray, n: int) -> DataFrame:
+def _deal(docs: DataFrame, hot: np.ndarray, hot_pairs: np.ndarray, n: int) -> DataFrame:
     """Distinct pairs of each portion of texts, with the texts that have them, by bucket.
 
     A portion is known by the number of its first row, a text by its place in the portion. Ids, and which texts are held
@@ -135,7 +149,7 @@ def _deal(docs: DataFrame, hot: np.ndarray, n: int) -> DataFrame:
             row, held = rows["row"].to_numpy(), rows["held"].to_numpy()
             who = np.empty(len(row), _WHO)
             who["row"], who["id"], who["held"] = row, rows["id"].to_numpy(), held
-            k = _bucket(a, b, hot, n).astype(np.int32)
+            k = _bucket(a, b, hot, hot_pairs, int(row[0]), n).astype(np.int32)
             order = np.lexsort((b, a, k))  # stable, so texts stay in order
             a, b, d, k = a[order], b[order], d[order], k[order]
             del order
@@ -193,6 +207,7 @@ def _pairs(r: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
 
 
 # ---- seating ----------------------------------------------------------------------------------------------------
+@functools.lru_cache(maxsize=8)
 def _arrangements(discount: float, most: int = _SMALL) -> np.ndarray:
     """Logarithms of the weights of c customers at t tables (generalised Stirling numbers), c and t from 0 to most."""
     s = np.zeros((most + 1, most + 1))
@@ -233,17 +248,21 @@ def sample_tables(customers: np.ndarray, opens: np.ndarray, discount: float, rng
     return t
 
 
-def seat(train: np.ndarray, heads: np.ndarray, parent: np.ndarray, seats: np.ndarray, totals: list[np.ndarray] | None, discount: float, rng: np.random.Generator, draws: int = SWEEPS, averaged: bool = False) -> tuple[np.ndarray, np.ndarray]:
+def seat(train: np.ndarray, heads: np.ndarray, parent: np.ndarray, seats: np.ndarray, totals: list[np.ndarray] | None, discount: float, rng: np.random.Generator, draws: int = SWEEPS, averaged: bool = False, shared: tuple = ((), (), 0)) -> tuple[np.ndarray, np.ndarray]:
     """(tables of each pair after the last draw, mean probability of each pair if averaged).
 
     Pairs of a restaurant lie together and begin at heads; parent is the probability of each pair's second word at the
     parent, seats the customers of each restaurant. totals has the tables of each restaurant before the first draw, after
-    it and so on; None if all pairs of the restaurants are here."""
+    it and so on; None if all pairs of the restaurants are here. shared: places of pairs that other buckets have too, their
+    numbers, and a seed; their draws depend on nothing else, so they are the same in every bucket."""
     owner = np.repeat(np.arange(len(heads)), np.diff(np.append(heads, len(train))))
     tables, mean = np.minimum(train, 1), np.zeros(len(train) if averaged else 0)
     for step in range(draws if len(train) else 0):
         before = np.add.reduceat(tables, heads) if totals is None else totals[step]
-        tables = sample_tables(train, (STRENGTH + discount * before)[owner] * parent, discount, rng)
+        opens = (STRENGTH + discount * before)[owner] * parent
+        tables = sample_tables(train, opens, discount, rng)
+        for at, number in zip(*shared[:2]):
+            tables[at] = sample_tables(train[at : at + 1], opens[at : at + 1], discount, np.random.default_rng([shared[2], step, number]))[0]
         if averaged and step >= BURN_IN:
             after = np.add.reduceat(tables, heads) if totals is None else totals[step + 1]
             mean += ((train - discount * tables) + (STRENGTH + discount * after)[owner] * parent) / (STRENGTH + seats)[owner]
@@ -314,12 +333,12 @@ def score_texts(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     held = F.crc32(F.coalesce(F.col(id_column).cast("string"), F.lit("")).cast("binary")) % FOLDS == 0
     kind = docs.schema[id_column].dataType
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.coalesce(F.col(id_column).cast("long"), F.lit(-(2**63))).alias("id"), held.alias("held"), F.col(text_column).cast("string").alias("text"))
-    hot, pairs = _hot_words(rows)
+    hot, hot_pairs, pairs = _hot_words(rows)
     n = max(n_partitions(spark), math.ceil(pairs / BUCKET_PAIRS))
 
     # One row for each bucket, in files of its own, so that later rounds join the table where it lies.
     name = f"pairs_{uuid.uuid4().hex}"
-    merged = _deal(rows, hot, n).groupBy("bucket").applyInArrow(_merge, _BUCKET)
+    merged = _deal(rows, hot, hot_pairs, n).groupBy("bucket").applyInArrow(_merge, _BUCKET)
     merged.write.bucketBy(n, "bucket").option("compression", "zstd").saveAsTable(name)
     del merged
     release(spark)
@@ -327,18 +346,50 @@ def score_texts(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
 
     light = table.select("bucket", "first", "runs", "second", "train")
 
-    def seat_first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def split_pairs(r: dict, first: np.ndarray, runs: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(places, numbers) of the split pairs that a bucket has."""
+        if not len(hot_pairs):
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        both = _both(np.repeat(first, runs), second)
+        at = np.flatnonzero(np.isin(both, hot_pairs))
+        return at, np.searchsorted(hot_pairs, both[at])
+
+    def of_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for r in b.to_pylist():
                 first, runs, second, train = _pairs(r)
-                yield _words_out(r["bucket"], second, train, np.minimum(train, 1), n)
+                at, number = split_pairs(r, first, runs, second)
+                yield pa.RecordBatch.from_arrays([pa.array(number), pa.array(train[at]), pa.array(np.full(len(at), r["bucket"], np.int64))], ["number", "customers", "bucket"])
+
+    # Of each split pair its customers, and the one bucket that counts it.
+    pair_customers, pair_bucket = np.zeros(len(hot_pairs), np.int64), np.zeros(len(hot_pairs), np.int64)
+    if len(hot_pairs):
+        for r in light.mapInArrow(of_pairs, "number long, customers long, bucket long").groupBy("number").agg(F.sum("customers").alias("c"), F.min("bucket").alias("b")).collect():
+            pair_customers[r["number"]], pair_bucket[r["number"]] = r["c"], r["b"]
+
+    def known_pairs(r: dict):
+        """(first words, pairs of each, second words, customers with all those of split pairs, places and numbers of these,
+        and whether each pair counts here)."""
+        first, runs, second, train = _pairs(r)
+        at, number = split_pairs(r, first, runs, second)
+        train = train.copy()
+        train[at] = pair_customers[number]
+        counts = np.ones(len(train), bool)
+        counts[at] = pair_bucket[number] == r["bucket"]
+        return first, runs, second, train, (at, number), counts
+
+    def seat_first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for r in b.to_pylist():
+                _, _, second, train, _, counts = known_pairs(r)
+                yield _words_out(r["bucket"], second, train * counts, np.minimum(train, 1) * counts, n)
 
     def hot_stats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Of the split first words their customers and tables; under -1 and -2 how many pairs were seen once and twice."""
         for b in batches:
             for r in b.to_pylist():
-                first, runs, _, train = _pairs(r)
-                heads = np.cumsum(runs) - runs
+                first, runs, _, train, _, counts = known_pairs(r)
+                heads, train = np.cumsum(runs) - runs, train * counts
                 out = _hot_rows(first, np.add.reduceat(train, heads), np.add.reduceat(np.minimum(train, 1), heads), hot)
                 out += [(-1, int((train == 1).sum()), 0), (-2, int((train == 2).sum()), 0)]
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out)], ["word", "customers", "tables"])
@@ -356,10 +407,11 @@ def score_texts(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
         return got, tuple(x or 0 for x in t)
 
     def opened(r: dict, sums: tuple):
-        """A bucket: (second words, training counts, place of each pair's word among the bucket's, their uses, probability
-        of each pair's second word at the parent, and of the split and of the other first words: pairs, heads, words)."""
+        """A bucket: (second words, training counts, whether each pair counts here, place of each pair's word among the
+        bucket's, their uses, probability of each pair's second word at the parent, and of the split and of the other first
+        words: pairs, heads, words, and the split pairs among them)."""
         known, customers, open_, _ = sums
-        first, runs, second, train = _pairs(r)
+        first, runs, second, train, split, counts = known_pairs(r)
         mass = np.frombuffer(b"".join(x["mass"] for x in r["answers"]), "<f4").astype(float)
         uses = np.concatenate([from_planes(x["uses"], len(x["mass"]) // 4) for x in r["answers"]])
         word = np.searchsorted(np.unique(second), second)
@@ -367,14 +419,15 @@ def score_texts(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
         parts = []
         for k in (np.isin(first, hot), ~np.isin(first, hot)):
             mine = runs[k]
-            parts.append((np.flatnonzero(np.repeat(k, runs)), np.cumsum(mine) - mine, first[k]))
-        return second, train, word, uses, parent, parts
+            pairs = np.flatnonzero(np.repeat(k, runs))
+            parts.append((pairs, np.cumsum(mine) - mine, first[k], (np.searchsorted(pairs, split[0]), split[1])))
+        return second, train, counts, word, uses, parent, parts
 
     def seat_split(r: dict, train: np.ndarray, parent: np.ndarray, part: tuple, totals: list[np.ndarray], seed: int, draws: int, averaged: bool = False):
         """The pairs of split words in a bucket. Draws are the same ones whenever they are made again."""
-        pairs, heads, words = part
+        pairs, heads, words, shared = part
         at = np.searchsorted(hot, words)
-        return seat(train[pairs], heads, parent[pairs], customers_of[at], [t[at] for t in totals], discount, np.random.default_rng([seed, r["bucket"], 1]), draws, averaged)
+        return seat(train[pairs], heads, parent[pairs], customers_of[at], [t[at] for t in totals], discount, np.random.default_rng([seed, r["bucket"], 1]), draws, averaged, (*shared, seed))
 
     def split_tables(joined: DataFrame, sums: tuple, seed: int, draws: int) -> list[np.ndarray]:
         """Tables of the split words over all buckets before the first draw and after each of the next ones: between two
@@ -385,9 +438,9 @@ def score_texts(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
             def count(batches: Iterator[pa.RecordBatch], totals=tuple(totals)) -> Iterator[pa.RecordBatch]:
                 for b in batches:
                     for r in b.to_pylist():
-                        _, train, _, _, parent, (part, _) = opened(r, sums)
+                        _, train, counts, _, _, parent, (part, _) = opened(r, sums)
                         tables, _ = seat_split(r, train, parent, part, totals, seed, len(totals))
-                        got = np.add.reduceat(tables, part[1]) if len(tables) else tables
+                        got = np.add.reduceat(tables * counts[part[0]], part[1]) if len(tables) else tables
                         yield pa.RecordBatch.from_arrays([pa.array(part[2].view(np.int64)), pa.array(got, pa.int64())], ["word", "tables"])
 
             got = joined.mapInArrow(count, "word long, tables long").groupBy("word").agg(F.sum("tables").alias("t")).collect() if len(hot) else []
@@ -399,10 +452,10 @@ def score_texts(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
 
     def seated(r: dict, sums: tuple, seed: int, totals: list[np.ndarray], averaged: bool = False):
         """Draws the seating of a bucket SWEEPS times: (second words, training counts, tables, mean probability of each
-        pair, uses of its second word)."""
-        second, train, word, uses, parent, (split, rest) = opened(r, sums)
+        pair, uses of its second word); a split pair has counts and tables in one bucket."""
+        second, train, counts, word, uses, parent, (split, rest) = opened(r, sums)
         tables, mean = np.zeros(len(train), np.int64), np.zeros(len(train) if averaged else 0)
-        k, heads, _ = rest
+        k, heads, *_ = rest
         whole = np.add.reduceat(train[k], heads).astype(float) if len(k) else np.zeros(0)
         got = [seat(train[k], heads, parent[k], whole, None, discount, np.random.default_rng([seed, r["bucket"]]), SWEEPS, averaged)]
         got.append(seat_split(r, train, parent, split, totals, seed, SWEEPS, averaged))
@@ -410,7 +463,7 @@ def score_texts(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
             tables[pairs] = t
             if averaged:
                 mean[pairs] = m
-        return second, train, tables, mean, uses[word]
+        return second, train * counts, tables * counts, mean, uses[word]
 
     def again(sums: tuple, seed: int, totals: list[np.ndarray]):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
