@@ -151,9 +151,9 @@ def record_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.groupBy("id", "status").agg(F.count("*").alias("rows"))
 
 
-@query(f"""{DAILY}, i AS (SELECT instrument_id, count(DISTINCT year(d)) AS n FROM daily GROUP BY ALL), t AS (SELECT count(DISTINCT year(d)) AS t FROM daily)
+@query(f"""{DAILY}, i AS (SELECT instrument_id, count(DISTINCT year(d)) AS n FROM daily GROUP BY ALL), tt AS (SELECT count(DISTINCT year(d)) AS t FROM daily)
     SELECT instrument_id, 'NOT_AUTHORITATIVE' AS problem FROM i WHERE CAST(instrument_id AS INTEGER) % 10 = 3 UNION ALL SELECT 'Z' || s_suppkey, 'MISSING' FROM supplier WHERE s_suppkey % 25 = 0
-    UNION ALL SELECT instrument_id, 'COVERAGE_GAP' FROM i, t WHERE n < t OR CAST(instrument_id AS INTEGER) % 11 = 0 UNION ALL SELECT DISTINCT instrument_id, 'CONFLICTING_BARS' FROM daily WHERE CAST(instrument_id AS INTEGER) % 13 = 0 AND year(d) = 1999""")
+    UNION ALL SELECT instrument_id, 'COVERAGE_GAP' FROM i, tt WHERE n < t OR CAST(instrument_id AS INTEGER) % 11 = 0 UNION ALL SELECT DISTINCT instrument_id, 'CONFLICTING_BARS' FROM daily WHERE CAST(instrument_id AS INTEGER) % 13 = 0 AND year(d) = 1999""")
 def feature_input(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A manifest of each year in two revisions; one year comes twice with other prices for some, and some lack a year."""
     b = daily_bars(spark, sf_dir).withColumn("dataset_id", F.year("session_date_et"))
