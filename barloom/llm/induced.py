@@ -4,26 +4,30 @@ The order of all suffixes follows from that of the leftmost-S suffixes (those at
 rising): two passes over the buckets of first bytes, upwards and downwards, move suffix tuples (position, common prefix
 with the one before) into the queue of the byte that stands to their left. The leftmost-S suffixes themselves are sorted
 by the same induction over their substrings, whose ranks are named and paired, level by level, until a name stands for
-as many bytes as matter. Buckets are taken whole, as arrays.
+as many bytes as matter. The queues are a priority queue whose key is a first byte: the least (or greatest) byte that has tuples is
+served first, and tuples of one byte in the order in which they came, which is that of their suffixes. They are taken in
+portions, and what is over the limit lies in a file of the task's own, so that a pass holds a few portions in memory.
 """
 
 from __future__ import annotations
 
+import collections
 import tempfile
 
 import numpy as np
 
-#: Tuples that the queues of a pass hold in memory; more go to a file of the task's own, which ends with it.
-IN_MEMORY = 4 << 20
+#: Tuples that the queues of a pass hold in memory, and that are taken at once; more go to a file of the task's own, which
+#: ends with it.
+IN_MEMORY, PORTION = 1 << 17, 1 << 15
 _KIND = np.dtype([("at", "<i8"), ("lcp", "<i4")])
 
 
 class Queues:
     """One queue for each first byte. Tuples leave a queue in the order in which they came."""
 
-    def __init__(self, n: int, in_memory: int = IN_MEMORY):
-        self.parts: list[list] = [[] for _ in range(n)]
-        self.held, self.limit, self.file = 0, in_memory, None
+    def __init__(self, n: int, in_memory: int | None = None):
+        self.parts: list[collections.deque] = [collections.deque() for _ in range(n)]
+        self.held, self.limit, self.file = 0, IN_MEMORY if in_memory is None else in_memory, None
 
     def push(self, key: int, part: np.ndarray) -> None:
         self.parts[key].append(part)
@@ -41,19 +45,37 @@ class Queues:
                     self.file.write(part.tobytes())
         self.held = 0
 
-    def pop(self, key: int) -> np.ndarray:
-        """All that the queue holds now."""
-        out = []
-        for part in self.parts[key]:
+    def _read(self, at: int, n: int) -> np.ndarray:
+        self.file.seek(at)
+        return np.frombuffer(self.file.read(n * _KIND.itemsize), _KIND)
+
+    def pop(self, key: int, most: int | None = None) -> np.ndarray:
+        """The first tuples of a queue, PORTION at most, or none if it is empty."""
+        queue, out, room = self.parts[key], [], PORTION if most is None else most
+        while queue and room:
+            part = queue.popleft()
             if isinstance(part, tuple):
-                self.file.seek(part[0])
-                part = np.frombuffer(self.file.read(part[1] * _KIND.itemsize), _KIND)
+                at, n = part
+                if n > room:
+                    queue.appendleft((at + room * _KIND.itemsize, n - room))
+                part = self._read(at, min(n, room))
             else:
-                self.held -= len(part)
+                self.held -= min(len(part), room)
+                if len(part) > room:
+                    queue.appendleft(part[room:])
+                    part = part[:room]
             out.append(part)
-        self.parts[key] = []
+            room -= len(part)
         return np.concatenate(out) if out else np.zeros(0, _KIND)
 
+    def backwards(self, key: int, most: int | None = None):
+        """All tuples of a queue from the last to the first, in portions; the queue keeps them."""
+        for part in reversed(self.parts[key]):
+            n = part[1] if isinstance(part, tuple) else len(part)
+            for z in range(n, 0, -(most or PORTION)):
+                a = max(0, z - (most or PORTION))
+                yield (self._read(part[0] + a * _KIND.itemsize, z - a) if isinstance(part, tuple) else part[a:z])[::-1]
+
 
 def _range_min(values: np.ndarray):
     """A function for the least of values[a..b], for arrays of a <= b."""
@@ -83,7 +105,7 @@ def types(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return s, np.flatnonzero(s[1:] & ~s[:-1]) + 1
 
 
-def _pass(text: np.ndarray, small: np.ndarray, seeds: Queues, up: bool, symbols: int, cap: int) -> list[np.ndarray]:
+def _pass(text: np.ndarray, small: np.ndarray, seeds: Queues, up: bool, symbols: int, cap: int) -> Queues:
     """One pass of the induction: the suffixes of one type by bucket, each with the common prefix to the one taken before.
 
     Upwards, a bucket's own tuples are taken and then its seeds; every tuple sends the position to its left on if that
@@ -91,7 +113,7 @@ def _pass(text: np.ndarray, small: np.ndarray, seeds: Queues, up: bool, symbols:
     prefix met since its last tuple, so that what is carried is right across buckets."""
     queues = Queues(symbols)
     last = np.full(symbols, -1, np.int64)  # -1: the queue has had nothing, so there is nothing to have in common
-    out = [np.zeros(0, _KIND)] * symbols
+    out = Queues(symbols)
 
     def send(part: np.ndarray) -> None:
         m = len(part)
@@ -136,21 +158,31 @@ def _pass(text: np.ndarray, small: np.ndarray, seeds: Queues, up: bool, symbols:
         return part
 
     for c in range(symbols) if up else range(symbols - 1, -1, -1):
-        got = []
         part = queues.pop(c)
         first = True
         while len(part):
-            got.append(part)
+            out.push(c, part)
             send(cross(part, 0) if first else part)
             first = False
             part = queues.pop(c)
-        out[c] = np.concatenate(got) if got else out[c]
         part = seeds.pop(c)
-        if len(part):
-            send(cross(part, 0))
+        first = True
+        while len(part):
+            send(cross(part, 0) if first else part)
+            first = False
+            part = seeds.pop(c)
     return out
 
 
+def _turned(portions):
+    """Portions of tuples in reverse order, with the common prefix that each then has with the one before it."""
+    carried = 0
+    for part in portions:
+        part = part.copy()
+        part["lcp"], carried = np.concatenate([[carried], part["lcp"][:-1]]), part["lcp"][-1]
+        yield part
+
+
 def _common(text: np.ndarray, a: np.ndarray, b: np.ndarray, cap: int) -> np.ndarray:
     """Common prefixes of the suffixes at a and at b, up to cap, compared symbol by symbol while they are equal."""
     n = len(text)
@@ -187,17 +219,13 @@ def _induce(text: np.ndarray, small: np.ndarray, at: np.ndarray, lcp: np.ndarray
     # Downwards every bucket's larger suffixes come after its smaller ones, in reverse.
     seeds = Queues(symbols)
     for c in range(symbols):
-        if len(large[c]):
-            part = large[c][::-1].copy()
-            part["lcp"] = np.concatenate([[0], large[c]["lcp"][::-1][:-1]])
+        for part in _turned(large.backwards(c)):
             seeds.push(c, part)
     less = _pass(text, small, seeds, False, symbols, cap)
     out = []
     for c in range(symbols):
-        part = less[c][::-1].copy()
-        if len(part):
-            part["lcp"] = np.concatenate([[0], less[c]["lcp"][::-1][:-1]])
-        out += [large[c], part]
+        out.append(large.pop(c, len(text)))
+        out += _turned(less.backwards(c))
     both = np.concatenate(out)
     # The end stands to the right of nothing, so no pass sends it on: it is the first of all.
     return np.append(len(text) - 1, both["at"]), np.append(0, both["lcp"]).astype(np.int64)
