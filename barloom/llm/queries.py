@@ -69,6 +69,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_suffix_dedup": """
+        WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+        w AS (SELECT doc_id, i, substr(h, 2 * i + 1, 200) AS s FROM (SELECT doc_id, h, unnest(generate_series(0, len(h) // 2 - 100)) AS i FROM d WHERE len(h) >= 200)),
+        r AS (SELECT doc_id, i FROM w QUALIFY row_number() OVER (PARTITION BY s ORDER BY doc_id, i) > 1),
+        n AS (SELECT *, CASE WHEN i <= lag(i) OVER o + 100 THEN 0 ELSE 1 END AS new FROM r WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+        g AS (SELECT doc_id, min(i) AS lo, max(i) + 100 AS hi FROM (SELECT *, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS g FROM n) GROUP BY doc_id, g),
+        k AS (SELECT doc_id, lo, hi, coalesce(lag(hi) OVER (PARTITION BY doc_id ORDER BY lo), 0) AS before FROM g),
+        t AS (SELECT doc_id, string_agg(substr(h, 2 * before + 1, 2 * (lo - before)), '' ORDER BY lo) || substr(any_value(h), 2 * max(hi) + 1) AS kept, sum(hi - lo) AS removed, count(*) AS spans FROM k JOIN d USING (doc_id) GROUP BY doc_id)
+        SELECT d.doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(spans, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(kept, h))) AS kept_sha256
+        FROM d LEFT JOIN t USING (doc_id)""",
     "op3_jaccard_join": r"""
         WITH RECURSIVE
         w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
