@@ -1,13 +1,15 @@
 """Operators on small tables whose results are written by hand."""
 
 import datetime as dt
+import hashlib
+import uuid
 from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
 from barloom.functions import keys, values
-from barloom.operators import actions, catalog, features, merge, quality, reference, resample
+from barloom.operators import actions, catalog, features, jobs, merge, quality, reference, resample
 from barloom.operators.sessions import completed_sessions, nth_last_session, session_calendar
 from barloom.sources import files
 from barloom.streaming import events as ev
@@ -83,23 +85,69 @@ def test_close_is_outside_the_session(spark):
 
 
 def test_indicators(spark):
-    days = [("A", at(f"2026-01-{5 + i:02d} 05:00:00"), c, c, c, c, 1, 1, c) for i, c in enumerate([100.0, 104.0, 108.0, 111.0, 107.0])]
+    days = [("A", at(f"2026-01-{5 + i:02d} 05:00:00"), c, c, c, c, 1, 1, c) for i, c in enumerate([50.0, 53.0, 49.0, 58.0, 60.0])]
     b = bars(spark, days)
-    assert [str(r.value) for r in features.sma(b, "close", 3).orderBy("bar_start_at").collect()] == ["104.00000000", "107.66666667", "108.66666667"]
-    assert [str(r.value) for r in features.return_pct(b, "close").orderBy("bar_start_at").collect()] == ["4.00000000", "3.84615385", "2.77777778", "-3.60360360"]
-    ema = features.compute(b, [features.definition("EMA", price="close", window=3)]).orderBy("bar_start_at").collect()
-    assert [str(r.value) for r in ema] == ["104.00000000", "107.50000000", "107.25000000"]
-    rsi = features.compute(b, [features.definition("RSI", price="close", period=3)]).orderBy("bar_start_at").collect()
-    gain, loss = Decimal("3.66666667"), Decimal("0")
-    assert str(rsi[0].value) == "100.00000000"
-    gain += ((0 - gain) / 3).quantize(Decimal("1e-8"))
-    loss += (Decimal(4) / 3).quantize(Decimal("1e-8"))
+    shown = lambda df: [str(r.value) for r in df.orderBy("bar_start_at").collect()]
+    assert shown(features.sma(b, "close", 3)) == ["50.66666667", "53.33333333", "55.66666667"]
+    assert shown(features.return_pct(b, "close")) == ["6.00000000", "-7.54716981", "18.36734694", "3.44827586"]
+    ema = shown(features.compute(b, [features.definition("EMA", price_field="close", window=3)]))
+    assert ema == ["50.66666667", "54.33333333", "57.16666667"]  # steps of a half, ties to the even last place
+    rsi = features.compute(b, [features.definition("RSI", price_field="close", period=3)]).orderBy("bar_start_at").collect()
+    gain, loss = Decimal("4.00000000"), Decimal("1.33333333")
+    assert rsi[0].value == (100 * gain / (gain + loss)).quantize(Decimal("1e-8"))
+    gain += ((2 - gain) / 3).quantize(Decimal("1e-8"))
+    loss += ((0 - loss) / 3).quantize(Decimal("1e-8"))
     assert rsi[1].value == (100 * gain / (gain + loss)).quantize(Decimal("1e-8"))
     assert features.rsi_units([5, 5, 5, 5], 2) == [50 * 10**8] * 2
-    out = features.materialize(b, [features.definition("SMA", price="close", window=3), features.definition("SMA", price="close", window=9)]).orderBy("status").collect()
+    defs = [features.definition("SMA", price_field="close", window=w) for w in (3, 9)]
+    period = ("2026-01-05T05:00:00Z", "2026-01-10T05:00:00Z")
+    out = features.materialize(b, defs, "f" * 64, *period).orderBy("status").collect()
     assert [(r.status, r.row_count) for r in out] == [("FAILED", 0), ("SUCCEEDED", 3)]
+    rows = ",".join(f'{{"at":"2026-01-{7 + i:02d}T05:00:00Z","value":"{v}"}}' for i, v in enumerate(["50.66666667", "53.33333333", "55.66666667"]))
+    payload = f'{{"definition_hash":"{defs[0].hash}","input_dataset_set_hash":"{"f" * 64}","instrument_id":"A","period_end":"{period[1]}","period_start":"{period[0]}","result_schema_version":1,"rows":[{rows}]}}'
+    digest = hashlib.sha256(payload.encode()).hexdigest()
+    assert out[1].result_hash == digest and out[1].materialization_version == f"fmv1:m:{defs[0].hash[:16]}:{'f' * 16}:{digest[:16]}"
     with pytest.raises(KeyError):
-        features.definition("NONE", price="close")
+        features.definition("NONE", price_field="close")
+
+
+def test_definition_is_hashed_over_its_canonical_payload():
+    d = features.definition("SMA", "30m", "0a000000-0000-4000-8000-000000000009", price_field="close", window=4)
+    assert d.payload == (
+        '{"calculator_version":"1.0.0","element_catalog_version_id":"0a000000-0000-4000-8000-000000000009","feature_code":"SMA",'
+        '"normalized_parameters":{"price_field":"close","window":4},"output_value_type":"DECIMAL","required_history_points":4,"resolution":"30m","schema_version":1}'
+    )
+    assert d.hash == hashlib.sha256(d.payload.encode()).hexdigest() and d.definition_version == f"fdv1:SMA:1.0.0:{d.hash[:16]}"
+    assert d.id == str(uuid.uuid5(uuid.UUID(keys.UUID_NAMESPACE), f"feature-definition|{d.hash}"))
+    assert {x.code: x.resolution for x in features.official_definitions()} == {"SMA": "1d", "EMA": "1d", "RSI": "1m", "MACD": "1d"}
+
+
+def test_batch_is_sealed_only_when_whole(spark):
+    planned = spark.createDataFrame([("d1", "A", "x"), ("d1", "B", "x")], "definition_hash string, instrument_id string, input_dataset_set_hash string")
+    done = lambda *rows: spark.createDataFrame(rows, "definition_hash string, instrument_id string, status string, row_count long, result_hash string")
+    period = ("2026-01-05T14:30:00Z", "2026-01-05T21:00:00Z", "w1", "w2")
+    half = features.snapshot_batch(planned, done(("d1", "A", "SUCCEEDED", 3, "h1")), *period).head()
+    assert (half.members, half.unready, half.sealed, half.batch_hash) == (2, 1, False, None)
+    whole = features.snapshot_batch(planned, done(("d1", "A", "SUCCEEDED", 3, "h1"), ("d1", "B", "SUCCEEDED", 4, "h2")), *period).head()
+    sha = lambda x: hashlib.sha256(x.encode()).hexdigest()
+    fs = sha('{"definition_hashes":["d1"],"feature_set_schema_version":1}')
+    ms = sha('{"market_inputs":[' + ",".join(f'{{"input_dataset_set_hash":"x","instrument_id":"{i}"}}' for i in "AB") + '],"market_set_schema_version":1}')
+    assert whole.idempotency_key == f"fsb1:{fs[:16]}:{ms[:16]}:20260105T143000Z:20260105T210000Z"
+    members = ",".join(f'{{"definition_hash":"d1","input_dataset_set_hash":"x","instrument_id":"{i}","result_hash":"{h}"}}' for i, h in (("A", "h1"), ("B", "h2")))
+    want = f'{{"batch_schema_version":1,"feature_set_hash":"{fs}","input_market_set_hash":"{ms}","members":[{members}],"period_end":"{period[1]}","period_start":"{period[0]}","source_end_watermark":"w2","source_start_watermark":"w1"}}'
+    assert whole.sealed and whole.row_count == 7 and whole.batch_hash == sha(want)
+
+
+def test_input_fingerprint(spark):
+    rows = [("b", "m", "h2", "2026-01-06", "2026-01-07", 2), ("a", "m", "h1", "2026-01-05", "2026-01-06", 1)]
+    o = lambda r: spark.createDataFrame(r, "id string, manifest_id string, content_hash string, partition_start string, partition_end string, row_count long").withColumn("g", F.lit(1))
+    entry = lambda i, h, a, z, n: f'{{"content_hash":"{h}","dataset_manifest_id":"m","dataset_object_id":"{i}","partition_end":"{z}","partition_start":"{a}","row_count":{n}}}'
+    text = ",".join([entry("a", "h1", "2026-01-05", "2026-01-06", 1), entry("b", "h2", "2026-01-06", "2026-01-07", 2)])
+    want = hashlib.sha256(f'{{"bundle_schema_version":1,"objects":[{text}]}}'.encode()).hexdigest()
+    assert [r.fingerprint for r in catalog.input_fingerprint(o(rows), ["g"]).collect()] == [want] == [r.fingerprint for r in catalog.input_fingerprint(o(rows[::-1]), ["g"]).collect()]
+    assert catalog.input_fingerprint(o([]), ["g"]).count() == 0
+    with pytest.raises(Exception, match="stands twice"):
+        catalog.input_fingerprint(o(rows + rows[:1]), ["g"]).collect()
 
 
 def test_macd_lines():
@@ -187,6 +235,9 @@ def test_effective_instant_is_strict(spark):
 def test_merge(spark):
     old = spark.createDataFrame([(1, 1.0), (2, 2.0)], "k long, v double")
     new = spark.createDataFrame([(2, 3.0), (3, 4.0)], "k long, v double")
+    twice = new.withColumn("n", F.lit(1)).unionByName(new.withColumn("v", F.col("v") + 10).withColumn("n", F.lit(2)))
+    later = merge.upsert_keep_last(old.withColumn("n", F.lit(0)), twice, ["k"], arrival="n")
+    assert {r.k: r.n for r in later.collect()} == {1: 0} | {r.k: 2 for r in new.collect()}
     assert sorted(map(tuple, merge.upsert_keep_last(old, new, ["k"]).collect())) == [(1, 1.0), (2, 3.0), (3, 4.0)]
     assert {r.k: r.action for r in merge.snapshot_diff(new, old, ["k"]).collect()} == {1: "conflict", 2: "conflict", 3: "append"}
     assert merge.snapshot_diff(new, old, ["k"], allow_extra=True).where("k = 1").head().action == "extra"
@@ -199,11 +250,12 @@ def test_merge(spark):
 
 def test_catalog_steps(spark):
     assert catalog.contracts(spark).count() == 9 and catalog.contracts(spark, "raw", "1h").count() == 1
-    o = spark.createDataFrame([("a", 0, 5), ("b", 5, 9)], "id string, period_start long, period_end long")
-    gone = spark.createDataFrame([(4, 5)], "period_start long, period_end long")
+    span = "id string, period_start timestamp, period_end timestamp"
+    o = spark.createDataFrame([("a", at("2025-11-01"), at("2026-01-05")), ("b", at("2026-01-05"), at("2026-01-09")), ("c", at("2024-01-01"), at("2024-02-01"))], span)
+    gone = spark.createDataFrame([("x", at("2026-01-04"), at("2026-01-05"))], span).drop("id")
     none = spark.createDataFrame([], "severity string")
     objects, status = catalog.publish_revision(o, o.where("id = 'x'"), gone, none)
-    assert [r.id for r in objects.collect()] == ["b"] and status.head().status == "AVAILABLE"
+    assert sorted(r.id for r in objects.collect()) == ["b", "c"] and status.head().status == "AVAILABLE"
     bad = spark.createDataFrame([("ERROR",)], "severity string")
     assert catalog.publish_revision(o, o.where("id = 'x'"), gone, bad)[1].head().status == "QUARANTINED"
     empty = o.where("id = 'x'")
@@ -226,6 +278,11 @@ def test_files(spark, tmp_path):
     assert files.schema_mismatch(out.drop("vwap").withColumn("open", F.lit("x"))) == ["open", "vwap"]
     with pytest.raises(ValueError):
         files.legacy_scan(spark, "x.csv", "symbol string, open double")
+    odd = str(tmp_path / "csv-files" / "bars.parquet")  # the folder's name says nothing of the format
+    spark.createDataFrame([("A", at("2026-01-05"), 1.0)], "symbol string, timestamp timestamp, open double").write.parquet(odd)
+    assert files.legacy_scan(spark, odd, "symbol string, timestamp timestamp, open double").head().open == 1.0
+    mixed = spark.createDataFrame([("1767623400",), ("1767623400000",), ("1767623460000",), ("-5",)], "timestamp string")
+    assert str(files.parse_mixed_timestamp(mixed, "timestamp").where("timestamp = '1767623400000'").head().bar_start_at) == "2026-01-05 14:30:00"
     moved, lost = files.migrate_legacy(spark.createDataFrame([("/d/BRK-B_1.parquet",), ("/d/NO.parquet",)], "path string"), spark.createDataFrame([("BRK.B", "i2")], "provider_symbol string, instrument_id string"))
     assert [r.instrument_id for r in moved.collect()] == ["i2"] and [r.symbol for r in lost.collect()] == ["NO"]
 
@@ -286,3 +343,40 @@ def test_definitions_and_spans(spark):
     assert [x[0] for x in r] == [30, 390, None]
     e = spark.createDataFrame([("A",), ("Z",)], "instrumentId string")
     assert {x.instrumentId: x.mapped for x in ev.map_instruments(e, spark.createDataFrame([("A",)], "instrument_id string")).collect()} == {"A": True, "Z": False}
+
+
+# ---- streams that stop and go on --------------------------------------------------------------------------------
+def _bar_events(spark, rows):
+    """rows: (arrival, eventId, instrument, day of January, revision)."""
+    e = spark.createDataFrame(rows, "arrival long, eventId string, instrumentId string, day int, revision int")
+    return e.withColumn("occurredAt", F.timestamp_seconds(F.lit(1767625200) + F.col("day") * 86400)).withColumn("sequence", F.col("arrival")).withColumn("correctionOfEventId", F.when(F.col("revision") > 0, F.lit("x")))
+
+
+def test_stream_goes_on_where_it_stopped(spark, tmp_path):
+    rows = [(1, "a", "A", 0, 0), (2, "a", "A", 1, 0), (3, "b", "A", 1, 0), (4, "c", "A", 1, 0), (5, "d", "A", 1, 2), (6, "e", "A", 1, 1), (7, "f", "A", 0, 1)]
+    more = [(8, "a", "A", 0, 0), (9, "g", "A", 2, 0), (10, "h", "A", 3, 0), (11, "a", "A", 0, 0), (12, "d", "A", 1, 2)]
+    source, path = str(tmp_path / "in"), str(tmp_path / "out")
+    want = {1: "ACCEPTED_NEW", 2: "DUPLICATE_EVENT", 3: "ACCEPTED_NEW", 4: "REVISION_CONFLICT", 5: "CORRECTION_APPLIED", 6: "SUPERSEDED_REVISION", 7: "CORRECTION_APPLIED"}
+    for part in (rows, more):
+        e = _bar_events(spark, part)
+        e.coalesce(1).write.mode("append").parquet(source)
+        out = ev.run_to_table(ev.decide(spark.readStream.schema(e.schema).parquet(source)), "d", path=path)
+        got = {r.sequence: r.decision for r in out.collect()}
+        assert got == want
+        # The first session is remembered at first; after two later ones its ids are forgotten, and the bar comes late.
+        want = want | {8: "DUPLICATE_EVENT", 9: "ACCEPTED_NEW", 10: "ACCEPTED_NEW", 11: "ACCEPTED_LATE", 12: "CORRECTION_APPLIED"}
+
+
+def test_last_observation_over_two_batches(spark, tmp_path):
+    source, path = str(tmp_path / "in"), str(tmp_path / "out")
+    for k, event in enumerate(("old", "new")):
+        e = spark.createDataFrame([("A", "TRADE", event, at(f"2026-01-0{5 + k}"), k), ("B", "TRADE", "b", at("2026-01-05"), 0)][: 2 - k], "instrumentId string, eventType string, eventId string, occurredAt timestamp, sequence long")
+        e.coalesce(1).write.mode("append").parquet(source)
+        out = ev.run_to_table(ev.latest_observation(spark.readStream.schema(e.schema).parquet(source)), "l", "update", path, ["instrumentId", "eventType"])
+    assert sorted((r.instrumentId, r.eventId) for r in out.collect()) == [("A", "new"), ("B", "b")]
+
+
+def test_incident_without_a_scope_is_refused(spark):
+    new = spark.createDataFrame([("i", None, None)], "id string, period_start timestamp, period_end timestamp")
+    with pytest.raises(Exception, match="no scope"):
+        jobs.record_incidents(new.limit(0), new).collect()
