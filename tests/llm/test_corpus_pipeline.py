@@ -34,3 +34,66 @@ def test_pipeline(spark, tmp_path):
     texts = {r[0]: r[1] for r in rows}
     assert all(r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest() for r in out)
     assert langid.UNDETERMINED not in {r.lang_pred for r in langid.fit_and_identify(one).collect()}
+
+
+def test_pipeline_against_plain_stages_on_hard_rows(spark, tmp_path):
+    """Each stage against a plain version of it over what the stage before kept; columns with clashing names go along."""
+    import collections
+    import random
+    import struct
+
+    import pytest
+    from pyspark.sql import functions as F
+
+    from barloom.llm import bpe, mixing
+    from test_corpus_edges import near_rows, plain_components
+    from test_corpus_operators import plain_targets
+
+    tiktoken = pytest.importorskip("tiktoken")
+    tables = pytest.importorskip("public_tokenizers")
+    rng = random.Random(9)
+    rows = [(i, t, "en", rng.choice(["a", "b", "c", None])) for i, t in near_rows(120, 7)]
+    rows += [(500 + i, rows[i % 40][1], "en", "b") for i in range(60)] + [(700, None, "en", "a"), (701, "", "en", "a"), (702, "?? 12", "en", "a"), (703, "w" * 300_000 + " end", "en", "c")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").withColumns({n: F.lit(1) for n in ("id", "_id", "hash", "key", "n", "d1", "size", "ids", "component")})
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    stages = corpus_pipeline.STAGES
+    now = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    kept = [now]
+    for name, stage in stages[:-1]:
+        now = stage(spark, now, str(tmp_path))
+        assert now.columns == docs.columns
+        now.write.parquet(str(tmp_path / name))
+        now = spark.read.parquet(str(tmp_path / name))
+        kept.append(now)
+    read = [[(r.doc_id, r.text, r.source) for r in df.collect()] for df in kept]
+    # Texts with letters are all in the one language there is; the others go.
+    assert sorted(i for i, *_ in read[1]) == sorted(i for i, t, *_ in rows if t and any(c.isalpha() for c in t))
+    last = {}
+    for i, t, _ in read[1]:
+        last[t] = max(i, last.get(t, -1))
+    assert sorted(i for i, *_ in read[2]) == sorted(last.values())
+    comp = plain_components([(i, t) for i, t, _ in read[2]])
+    assert sorted(i for i, *_ in read[3]) == sorted(i for i, c in comp.items() if i == c)
+    sizes = collections.Counter()
+    for _, t, s in read[3]:
+        sizes[s] += len(t.split())
+    target, taken = plain_targets(sizes), collections.Counter()
+    copies = collections.Counter(i for i, *_ in read[4])
+    for i, t, s in read[3]:
+        assert int(target[s] / sizes[s]) <= copies[i] <= min(2, int(target[s] / sizes[s]) + 1)
+        taken[s] += copies[i] * len(t.split())
+    longest = max(len(t.split()) for _, t, _ in read[3])
+    assert all(abs(taken[s] - target[s]) <= longest for s in sizes) and set(copies) <= {i for i, *_ in read[3]}
+    encoder = tiktoken.Encoding("own", pat_str=tables.PATTERN, mergeable_ranks=bpe.read_ranks(bpe.default_path()), special_tokens={})
+    out = stages[-1][1](spark, kept[-1], str(tmp_path)).collect()
+    texts = {i: t for i, t, _ in read[4]}
+    assert collections.Counter(r.doc_id for r in out) == copies
+    for r in out:
+        assert r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest()
+        if r.doc_id != 703:  # one word of 300,000 letters is slow to encode plainly
+            ids = encoder.encode_ordinary(texts[r.doc_id])
+            assert r.n_tokens == len(ids) and r.ids_sha256 == hashlib.sha256(struct.pack(f"<{len(ids)}I", *ids)).hexdigest()
+    assert mixing.SHARE == 1.5
+    empty = docs.limit(0)
+    for _, stage in stages:
+        assert stage(spark, empty, str(tmp_path)).count() == 0
