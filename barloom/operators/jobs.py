@@ -31,10 +31,7 @@ def derive(bars: DataFrame, manifests: DataFrame, asked: DataFrame, sessions: Da
     SOURCE_MANIFEST_MISSING, or with NO_BARS if nothing was derived."""
     native = catalog.latest_available(manifests, ["price_type", "year"]).select("manifest_id", "price_type", "year").join(asked, ["price_type", "year"])
     rows = bars.join(native, "manifest_id")
-    key = F.concat_ws("|", "price_type", "instrument_id")  # a price type's instruments are instruments of their own
-    out = [resample.derive_bars(rows.withColumn("instrument_id", key), sessions, r).withColumn("resolution", F.lit(r)) for r in resolutions]
-    both = F.split("instrument_id", "[|]", 2)
-    derived = _all(out).withColumn("price_type", both[0]).withColumn("instrument_id", both[1]).withColumn("year", F.year("session_date_et"))
+    derived = resample.derive_all(rows, sessions, resolutions, ["price_type"]).withColumn("year", F.year("session_date_et"))
     n = derived.groupBy("price_type", "year", "resolution").agg(F.count("*").alias("rows"))
     plan = asked.withColumn("resolution", F.explode(F.array(*[F.lit(r) for r in resolutions])))
     j = plan.join(native.select("price_type", "year", "manifest_id"), ["price_type", "year"], "left").join(n, ["price_type", "year", "resolution"], "left")
@@ -52,9 +49,7 @@ def backfill(staged: DataFrame, sessions: DataFrame, resolutions: tuple[str, ...
     bad = quality.invalid_values(native.withColumn("instrument_id", F.concat_ws("|", group, "instrument_id"))).where("severity = 'ERROR'")
     failed = bad.select(F.split("instrument_id", "[|]")[0].alias("price_type"), F.split("instrument_id", "[|]")[1].cast("int").alias("year")).distinct()
     good = native.join(failed, ["price_type", "year"], "left_anti")
-    out = [resample.derive_bars(good.withColumn("instrument_id", F.concat_ws("|", "price_type", "instrument_id")), sessions, r).withColumn("resolution", F.lit(r)) for r in resolutions]
-    both = F.split("instrument_id", "[|]", 2)
-    derived = _all(out).withColumn("price_type", both[0]).withColumn("instrument_id", both[1]).withColumn("year", F.year("session_date_et"))
+    derived = resample.derive_all(good, sessions, resolutions, ["price_type"]).withColumn("year", F.year("session_date_et"))
     counts = native.groupBy("price_type", "year").agg(F.count("*").alias("native_rows"))
     made = derived.groupBy("price_type", "year").agg(F.count("*").alias("derived_rows"))
     marked = counts.join(failed.withColumn("_failed", F.lit(True)), ["price_type", "year"], "left").join(made, ["price_type", "year"], "left")

@@ -153,7 +153,8 @@ def missing_intervals(bars: DataFrame, sessions: DataFrame, minutes: int = 30) -
     Columns: instrument_id, session_date, start, last_start, bar_count, previous_observed, next_observed."""
     seen = bars.select("instrument_id", "bar_start_at").distinct()
     span = seen.groupBy("instrument_id").agg(F.min("bar_start_at").alias("lo"), F.max("bar_start_at").alias("hi"), F.count("*").alias("n")).where("n >= 2")
-    due = span.join(expected_bars(sessions, minutes), F.col("bar_start_at").between(F.col("lo"), F.col("hi"))).select("instrument_id", "session_date", "bar_start_at")
+    days = span.withColumn("session_date", F.explode(F.sequence(session_date_et("lo"), session_date_et("hi"))))
+    due = days.join(expected_bars(sessions, minutes), "session_date").where(F.col("bar_start_at").between(F.col("lo"), F.col("hi"))).select("instrument_id", "session_date", "bar_start_at")
     marks = due.join(seen.withColumn("seen", F.lit(True)), ["instrument_id", "bar_start_at"], "full_outer").withColumn("seen", F.coalesce("seen", F.lit(False)))
     w = Window.partitionBy("instrument_id").orderBy("bar_start_at")
     marks = marks.withColumn("_prev", F.last(F.when(F.col("seen"), F.col("bar_start_at")), ignorenulls=True).over(w))
@@ -215,15 +216,15 @@ def scope_findings(findings: DataFrame, manifest_id: Column, shard: Column, star
 
 def coverage_audit(bars: DataFrame, sessions: DataFrame, minutes: int = 30) -> DataFrame:
     """For each instrument: rows, distinct starts, expected, missing, unexpected, duplicates, share covered, first and last."""
-    missing, unexpected = missing_and_unexpected(bars, sessions, minutes)
-    n_expected = expected_bars(sessions, minutes).groupBy().agg(F.count("*").alias("expected"))
-    base = bars.groupBy("instrument_id").agg(
-        F.count("*").alias("rows"), F.countDistinct("bar_start_at").alias("distinct_starts"), F.min("bar_start_at").alias("first_at"), F.max("bar_start_at").alias("last_at"),
+    due = expected_bars(sessions, minutes)
+    n_expected = due.groupBy().agg(F.count("*").alias("expected"))
+    b = bars.join(F.broadcast(due.select("bar_start_at", F.lit(True).alias("_due"))), "bar_start_at", "left")  # a calendar
+    base = b.groupBy("instrument_id").agg(
+        F.count("*").alias("rows"), F.countDistinct("bar_start_at").alias("distinct_starts"), F.countDistinct(F.when(F.col("_due"), F.col("bar_start_at"))).alias("_met"), F.min("bar_start_at").alias("first_at"), F.max("bar_start_at").alias("last_at"),
         F.count_if(invalid_row_reasons().isNotNull()).alias("invalid_rows"), F.count_if(F.col("volume") == 0).alias("zero_volume_rows"),
     )
-    m = missing.groupBy("instrument_id").agg(F.count("*").alias("missing"))
-    u = unexpected.groupBy("instrument_id").agg(F.count("*").alias("unexpected"))
-    out = base.join(m, "instrument_id", "left").join(u, "instrument_id", "left").crossJoin(F.broadcast(n_expected)).fillna(0, ["missing", "unexpected"])
+    out = base.crossJoin(F.broadcast(n_expected))  # one row
+    out = out.withColumn("missing", F.col("expected") - F.col("_met")).withColumn("unexpected", F.col("distinct_starts") - F.col("_met")).drop("_met")
     covered = F.round((F.col("expected") - F.col("missing")) / F.col("expected") * 100, 6)
     clean = (F.col("missing") == 0) & (F.col("unexpected") == 0) & (F.col("invalid_rows") == 0) & (F.col("rows") == F.col("distinct_starts"))
     return out.withColumn("duplicates", F.col("rows") - F.col("distinct_starts")).withColumn("coverage_pct", covered).withColumn("status", F.when(clean, "ok").otherwise("warning"))

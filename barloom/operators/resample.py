@@ -48,12 +48,16 @@ def derive_bars(
     Buckets begin at the session's open. label: the start of the first bar observed, or `bucket_start`. vwap is weighted
     by volume over bars that have one, null without weight; trade_count is null if no bar has one, or 0 on request.
     """
-    duration = minutes or DURATIONS[resolution]
-    b = in_session(bars, sessions)
-    bucket = F.floor((F.unix_timestamp("bar_start_at") - F.unix_timestamp("opens_at")) / (duration * 60))
+    b = in_session(bars, sessions).withColumn("_minutes", F.lit(minutes or DURATIONS[resolution]))
+    return _grouped(b, [], label, source_minutes, weigh_zero_volume, trade_count_or_zero)
+
+
+def _grouped(b: DataFrame, keys: list[str], label: str, source_minutes: int = 30, weigh_zero_volume: bool = True, trade_count_or_zero: bool = False) -> DataFrame:
+    """Bars with their session and the length of their bucket (_minutes) as one bar for each bucket, instrument and keys."""
+    bucket = F.floor((F.unix_timestamp("bar_start_at") - F.unix_timestamp("opens_at")) / (F.col("_minutes") * 60))
     weight = F.when(F.col("vwap").isNotNull() & (F.lit(weigh_zero_volume) | (F.col("volume") > 0)), F.col("volume"))
     count = F.sum("trade_count")
-    out = b.groupBy("instrument_id", session_date_et("bar_start_at").alias("session_date_et"), "opens_at", bucket.alias("bucket")).agg(
+    out = b.groupBy(*keys, "instrument_id", session_date_et("bar_start_at").alias("session_date_et"), "opens_at", "_minutes", bucket.alias("bucket")).agg(
         F.min("bar_start_at").alias("first_at"),
         F.min_by("open", "bar_start_at").alias("open"),
         F.max("high").alias("high"),
@@ -65,12 +69,18 @@ def derive_bars(
         (F.count("*") * source_minutes).cast("smallint").alias("source_minutes"),
         F.count("*").cast("smallint").alias("source_bar_count"),
     )
-    start = F.col("first_at") if label == "first_observed" else F.timestamp_seconds(F.unix_timestamp("opens_at") + F.col("bucket") * duration * 60)
-    return out.withColumn("bar_start_at", start).drop("first_at", "opens_at", "bucket")
+    start = F.col("first_at") if label == "first_observed" else F.timestamp_seconds(F.unix_timestamp("opens_at") + F.col("bucket") * F.col("_minutes") * 60)
+    return out.withColumn("bar_start_at", start).drop("first_at", "opens_at", "bucket", "_minutes")
+
+
+def derive_all(bars: DataFrame, sessions: DataFrame, resolutions: tuple[str, ...], keys: list[str] | None = None, label: str = "first_observed") -> DataFrame:
+    """The bars of several resolutions, by resolution and by further keys, in one pass: each bar is looked up in its session
+    once and counts in one bucket of each resolution; partial sums keep what is shuffled small."""
+    each = F.explode(F.array(*[F.struct(F.lit(r).alias("resolution"), F.lit(DURATIONS[r]).alias("minutes")) for r in resolutions]))
+    b = in_session(bars, sessions).withColumn("_each", each)
+    return _grouped(b.withColumn("resolution", F.col("_each.resolution")).withColumn("_minutes", F.col("_each.minutes")).drop("_each"), ["resolution", *(keys or [])], label)
 
 
 def long_term_outputs(bars: DataFrame, sessions: DataFrame) -> DataFrame:
     """The 1h, 4h and 1d bars of bars with volume, by resolution."""
-    base = bars.where("volume > 0")
-    out = [derive_bars(base, sessions, r, label="bucket_start").withColumn("resolution", F.lit(r)) for r in DURATIONS]
-    return out[0].unionByName(out[1]).unionByName(out[2])
+    return derive_all(bars.where("volume > 0"), sessions, tuple(DURATIONS), label="bucket_start")

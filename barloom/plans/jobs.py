@@ -12,7 +12,7 @@ from barloom.plans.bars import BARS, DAILY
 from barloom.plans.catalogs import _OBJECTS, midnight, objects, shard_key_sql
 from barloom.plans.registration import new_registry
 from barloom.sources.market import bars_30m, daily_bars, sessions, table, ticks
-from barloom.sources.shared import shared_path
+from barloom.sources.shared import shared_path, written
 
 QUERIES, ORACLE_SQL, query = new_registry()
 
@@ -56,7 +56,7 @@ def backfill_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM x LEFT JOIN n ON n.d = x.d LEFT JOIN h ON h.d = x.d LEFT JOIN v ON v.d = x.d""")
 def incremental_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two sessions and a Saturday are fetched; an earlier bar of one instrument comes with another price."""
-    b = bars_30m(spark, sf_dir)
+    b = written(bars_30m(spark, sf_dir), "bars")
     stored = b.where("session_date_et < '2024-01-18'")
     late = b.where("instrument_id = 'view' AND session_date_et = '2024-01-10'").withColumn("close", F.col("close") + 1)
     fetched = b.where("session_date_et BETWEEN '2024-01-18' AND '2024-01-20'").unionByName(late)
