@@ -125,10 +125,10 @@ def events_instrument_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.map_instruments(t, known)
 
 
-@query(f"""{BARS}, h AS (SELECT max(s) AS head FROM bars WHERE volume > 3) SELECT CAST(d AS VARCHAR) AS session_date, CAST(o AS BIGINT) AS opens_at, CAST(c AS BIGINT) AS closes_at FROM ses, h WHERE c > head - 864000 AND c <= head""")
+@query(f"""{BARS}, h AS (SELECT max(s) AS head FROM bars) SELECT CAST(d AS VARCHAR) AS session_date, CAST(o AS BIGINT) AS opens_at, CAST(c AS BIGINT) AS closes_at FROM ses, h WHERE c > head - 864000 AND c <= head""")
 def completed_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sessions that closed in the ten days before the last busy bar."""
-    head = bars_30m(spark, sf_dir).where("volume > 3").agg(F.max(F.unix_timestamp("bar_start_at"))).head()[0]
+    """Sessions that closed in the ten days before the last bar."""
+    head = bars_30m(spark, sf_dir).agg(F.max(F.unix_timestamp("bar_start_at"))).head()[0]
     at = lambda x: spark.sql(f"SELECT CAST(timestamp_seconds({x}) AS STRING)").head()[0]
     out = ses.completed_sessions(sessions(spark), at(head - 864000), at(head))
     return out.select(F.col("session_date").cast("string"), secs("opens_at"), secs("closes_at"))
