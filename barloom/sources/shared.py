@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A new path in spark.checkpoint.dir; in a temporary folder only where that is unset, as in local tests."""
+    """A new path in spark.checkpoint.dir; in a temporary folder only where that is unset and all run on one machine."""
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="spark-shared-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
