@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import bpe, exact_dedup, fingerprints, hpylm, jaccard, langid, mixing, suffix_dedup, token_counts, warc
+from barloom.llm import bpe, collocations, exact_dedup, fingerprints, hpylm, jaccard, langid, mixing, nra, simhash, suffix_dedup, token_counts, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,6 +55,18 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash_components(_table(spark, sf_dir, "documents"))
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nra.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_lm_scoring": op2_lm_scoring,
@@ -66,6 +78,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_warc": op9_warc,
     "op10_mixing": op10_mixing,
+    "op11_collocations": op11_collocations,
+    "op12_simhash": op12_simhash,
+    "op13_lexical_search": op13_lexical_search,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -103,4 +118,29 @@ ORACLE_SQL: dict[str, str] = {
                CASE WHEN strlen(html) >= 1000 AND page_id <> keep THEN 'revisit' ELSE 'response' END AS record_type,
                CASE WHEN strlen(html) >= 1000 AND page_id <> keep THEN keep END AS refers_to
         FROM k""",
+    "op11_collocations": r"""
+        WITH w AS (SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w
+                   FROM (SELECT lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)),
+        g AS (SELECT lang, k, w[i:i + k - 1] AS p, count(*) AS f
+              FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, (SELECT unnest([1, 2, 3, 4]) AS k)) GROUP BY ALL),
+        n AS (SELECT lang, sum(f) AS n FROM g WHERE k = 1 GROUP BY lang),
+        c AS (SELECT * FROM g WHERE k > 1 AND f >= 30),
+        inner_of AS (SELECT DISTINCT lang, f, p[i:i + m - 1] AS p FROM (SELECT lang, f, p, m, unnest(range(1, k - m + 2)) AS i FROM c, (SELECT unnest([2, 3]) AS m) WHERE m < k)),
+        gone AS (SELECT DISTINCT c.lang, c.p FROM c JOIN inner_of o ON o.lang = c.lang AND o.p = c.p WHERE 100 * o.f >= 80 * c.f),
+        cuts AS (SELECT c.lang, c.p, c.f AS a, j, x.f AS l, y.f AS r, CAST(2000000 * CAST(c.f AS HUGEINT) // (x.f + y.f) AS BIGINT) AS score
+                 FROM (SELECT *, unnest(range(1, k)) AS j FROM c) c JOIN g x ON x.lang = c.lang AND x.p = c.p[1:j] JOIN g y ON y.lang = c.lang AND y.p = c.p[j + 1:]),
+        best AS (SELECT * FROM cuts ANTI JOIN gone USING (lang, p) QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, j) = 1)
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(p, ' ')) AS rank, array_to_string(p, ' ') AS phrase, a, l, r, CAST(n AS BIGINT) AS n, score
+        FROM best JOIN n USING (lang) QUALIFY rank <= 2000""",
+    "op13_lexical_search": r"""
+        WITH d AS (SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM documents),
+        p AS (SELECT doc_id, t, count(*) AS tf FROM d GROUP BY ALL),
+        len AS (SELECT doc_id, CAST(sum(tf) AS BIGINT) AS n FROM p GROUP BY doc_id),
+        s AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM len),
+        w AS (SELECT t, CAST(floor(1000 * ln(CAST(2 * (SELECT docs FROM s) + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w FROM p GROUP BY t),
+        q AS (SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM benchmark),
+        m AS (SELECT item_id, t, count(*) AS times FROM q GROUP BY ALL),
+        x AS (SELECT item_id, doc_id, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // terms)))) AS BIGINT) AS score
+              FROM m JOIN w USING (t) JOIN p USING (t) JOIN len USING (doc_id), s GROUP BY item_id, doc_id)
+        SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score FROM x WHERE score > 0 QUALIFY rank <= 10""",
 }
