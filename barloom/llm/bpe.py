@@ -305,12 +305,25 @@ class Encoder:
         self.keys, self.start, self.count, self.ids = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
 
     def encode(self, buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(ids end to end, the number of ids before each text)."""
+        """(ids end to end, the number of ids before each text).
+
+        What is remembered is found by hashes; the ids stand for bytes, so they are compared with the texts. If two
+        pre-tokens have one hash, those of this call are told apart by their bytes instead."""
         starts = pre_tokens(buf, offs)
         if not len(starts):
             return np.zeros(0, np.int32), np.zeros(len(offs), np.int64)
         ends = np.append(starts[1:], len(buf))
-        h = span_hashes(buf, starts, ends)
+        out, before = self._encode(buf, starts, ends, span_hashes(buf, starts, ends))
+        if not np.array_equal(decode(self.ranks, out, before)[0], buf):
+            raw, numbers = buf.tobytes(), {}
+            own = np.array([numbers.setdefault(raw[a:b], len(numbers)) for a, b in zip(starts.tolist(), ends.tolist())], np.uint64)
+            self.forget()
+            out, before = self._encode(buf, starts, ends, own)
+            self.forget()
+        return out, before[np.searchsorted(starts, offs, "left")]
+
+    def _encode(self, buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids end to end, the number of ids before each pre-token and in all)."""
         distinct, where, which = np.unique(h, return_index=True, return_inverse=True)
         if len(self.keys) > REMEMBERED:
             self.forget()
@@ -330,8 +343,7 @@ class Encoder:
         at, many = self.start[k][which], self.count[k][which]
         total = np.cumsum(many)
         out = self.ids[np.repeat(at - (total - many), many) + np.arange(total[-1])]
-        before = np.concatenate([[0], total])
-        return out, before[np.searchsorted(starts, offs, "left")]
+        return out, np.concatenate([[0], total])
 
 
 def decode(ranks: Ranks, ids: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

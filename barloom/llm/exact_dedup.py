@@ -11,7 +11,7 @@ from barloom.llm.common import n_partitions, text_or_empty, written
 
 #: Distinct hashes that a bucket holds before it splits.
 CAPACITY = 2048
-#: A hash with this share of all rows or of all bytes is hot: there are at most 2 / HOT_SHARE of them, so they may be broadcast.
+#: Rows of a hash with this share of all rows meet their entry by a broadcast: there are at most 1 / HOT_SHARE of them.
 HOT_SHARE = 1 / 512
 
 
@@ -68,12 +68,11 @@ class Index:
         spark = docs.sparkSession
         text = text_or_empty(text_column)
         self.docs, self.text, self.hash_of = docs.select(F.col(id_column).alias("id"), text.alias("text")), text, hash_of
-        self.rows = written(self.docs.select("id", hash_of(F.col("text")).alias("hash"), F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"), F.octet_length("text").cast("long").alias("bytes")), "rows")
-        hashes = written(self.rows.groupBy("hash").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes")), "hashes")
-        total = hashes.agg(F.sum("n").alias("n"), F.sum("bytes").alias("bytes")).head()
-        over = [F.col(c) >= max(2, math.ceil((total[c] or 0) * HOT_SHARE)) for c in ("n", "bytes")]
-        #: At most 2 / HOT_SHARE rows.
-        self.hot = hashes.where((F.col("n") > 1) & (over[0] | over[1])).select("hash")
+        self.rows = written(self.docs.select("id", hash_of(F.col("text")).alias("hash"), F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256")), "rows")
+        hashes = written(self.rows.groupBy("hash").agg(F.count("*").alias("n")), "hashes")
+        total = hashes.agg(F.sum("n")).head()[0] or 0
+        #: At most 1 / HOT_SHARE rows.
+        self.hot = written(hashes.where(F.col("n") >= max(2, math.ceil(total * HOT_SHARE))).select("hash"), "hot")
         self.depth, cells = directory(hashes, capacity)
         self.directory = written(cells, "directory")
         self.buckets = self._insert(n_partitions(spark))
@@ -84,17 +83,18 @@ class Index:
 
     def _insert(self, owners: int) -> DataFrame:
         rows = self.docs.withColumn("hash", self.hash_of(F.col("text")))
-        hot = F.broadcast(self.hot)
-        # Copies of hot texts are merged where they are read, before their bucket's owner gets them.
-        merged = rows.join(hot, "hash", "left_semi").groupBy("hash", "text").agg(F.max("id").alias("keep_id"), F.count("*").alias("group_size"))
-        others = rows.join(hot, "hash", "left_anti").select("hash", "text", F.col("id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"))
-        owned = self.placed(others.unionByName(merged)).repartition(owners, "bucket")
-        # An owner compares the bytes of what has one hash: the chain's texts are those that differ.
-        entries = owned.groupBy("bucket", "hash", "text").agg(F.max("keep_id").alias("keep_id"), F.sum("group_size").alias("group_size"))
-        chain = Window.partitionBy("bucket", "hash")
-        entries = entries.withColumn("chain_length", F.count("*").over(chain)).withColumn("chain", F.row_number().over(chain.orderBy("text")))
-        entries = entries.withColumn("text", F.when(F.col("chain_length") > 1, F.col("text")))
-        return written(entries.select("bucket", "hash", "chain", "chain_length", "text", "keep_id", "group_size"), "buckets")
+        # Copies are merged where they are read and then by hash, whatever their number: the least and the greatest text
+        # of a hash are one text exactly when all its bytes agree.
+        by_hash = rows.groupBy("hash").agg(F.min("text").alias("low"), F.max("text").alias("high"), F.max("id").alias("keep_id"), F.count("*").alias("group_size"))
+        merged = written(by_hash.select("hash", (F.col("low") == F.col("high")).alias("one_text"), "keep_id", "group_size"), "merged")
+        single = merged.where("one_text").select("hash", F.lit(1).alias("chain"), F.lit(1).cast("long").alias("chain_length"), F.lit(None).cast("string").alias("text"), "keep_id", "group_size")
+        # Hashes with several texts: the chain has each of them, told apart by their bytes.
+        chained = rows.join(merged.where("not one_text").select("hash"), "hash", "left_semi").groupBy("hash", "text").agg(F.max("id").alias("keep_id"), F.count("*").alias("group_size"))
+        chain = Window.partitionBy("hash")
+        chained = chained.withColumn("chain_length", F.count("*").over(chain)).withColumn("chain", F.row_number().over(chain.orderBy("text")))
+        entries = single.unionByName(chained)
+        owned = self.placed(entries).repartition(owners, "bucket").sortWithinPartitions("bucket", "hash")
+        return written(owned.select("bucket", "hash", "chain", "chain_length", "text", "keep_id", "group_size"), "buckets")
 
     def look_up(self) -> DataFrame:
         """(id, hash, text_sha256, keep_id, group_size) of every row that was put in.

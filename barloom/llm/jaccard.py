@@ -195,10 +195,14 @@ def passes(filter_: np.ndarray, values: np.ndarray) -> np.ndarray:
     return ((filter_[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1).astype(bool)
 
 
-def _scanned(docs: DataFrame, wanted: np.ndarray | None, schema: str, make) -> DataFrame:
+def _scanned(docs: DataFrame, wanted: np.ndarray | None, schema: str, make, once: bool = False) -> DataFrame:
     """The id and what make(tokens, tokens before) gives, over the texts of docs whose id passes `wanted`, if it is given.
 
-    That bit filter drops texts that are not wanted before they are cut into shingles; it lets a few of them by."""
+    That bit filter drops texts that are not wanted before they are cut into shingles; it lets a few of them by. With
+    `once`, for tables where rows repeat an id, rows of one id with the same set give one row."""
+    if once:
+        whole = _scanned(docs, wanted, f"{schema}, set_n long, set_1 long, set_2 long", lambda t, b: [*make(t, b), *[pa.array(x, pa.int64()) for x in _digests(t, b)]])
+        return whole.dropDuplicates(["id", "set_n", "set_1", "set_2"]).drop("set_n", "set_1", "set_2")
     filter_ = None if wanted is None else docs.sparkSession.sparkContext.broadcast(wanted)
     names = [x.split()[0] for x in schema.split(", ")]
 
@@ -342,9 +346,9 @@ def _shared(a: np.ndarray, b: np.ndarray) -> int:
     return int((both[1:] == both[:-1]).sum())
 
 
-def _other_prefixes(docs: DataFrame, wanted: np.ndarray, orders, percent: int) -> DataFrame:
+def _other_prefixes(docs: DataFrame, wanted: np.ndarray, orders, percent: int, once: bool) -> DataFrame:
     """(id, q1, q2): prefixes under the second and third order, 32 bits a token, which never hide a token that two share."""
-    return _scanned(docs, wanted, "id long, q1 binary, q2 binary", lambda tokens, before: _others(tokens, before, orders.value, percent))
+    return _scanned(docs, wanted, "id long, q1 binary, q2 binary", lambda tokens, before: _others(tokens, before, orders.value, percent), once)
 
 
 def _others(tokens: np.ndarray, before: np.ndarray, orders: list, percent: int) -> list[pa.Array]:
@@ -352,16 +356,16 @@ def _others(tokens: np.ndarray, before: np.ndarray, orders: list, percent: int)
     return [_blobs((t >> np.uint64(32)).astype("<u4"), b) for t, b in out]
 
 
-def _whole_sets(docs: DataFrame, wanted: np.ndarray) -> DataFrame:
+def _whole_sets(docs: DataFrame, wanted: np.ndarray, once: bool) -> DataFrame:
     """(id, tokens): all tokens of a set, 48 bits each."""
-    return _scanned(docs, wanted, "id long, tokens binary", lambda tokens, before: [_blobs(_six(tokens), before)])
+    return _scanned(docs, wanted, "id long, tokens binary", lambda tokens, before: [_blobs(_six(tokens), before)], once)
 
 
 def _ends(pairs: DataFrame) -> np.ndarray:
     return bit_filter(pairs.select(F.explode(F.array("a", "b")).alias("id")), 2 * pairs.count())
 
 
-def _verify(pairs: DataFrame, docs: DataFrame, orders, percent: int) -> DataFrame:
+def _verify(pairs: DataFrame, docs: DataFrame, orders, percent: int, once: bool = False) -> DataFrame:
     """The links among pairs, as a table: those that also meet under the other orders, by a count of shared tokens."""
 
     def meets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -378,10 +382,11 @@ def _verify(pairs: DataFrame, docs: DataFrame, orders, percent: int) -> DataFram
                 ok.append(both > 0 and 100 * both >= percent * ((len(x) + len(y)) // 6 - both))
             yield b.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    near = _both(pairs, _other_prefixes(docs, _ends(pairs), orders, percent), "q1", "q2").select("a", "b", "q1_a", "q1_b", "q2_a", "q2_b")
-    near = written(near.mapInArrow(meets, "a long, b long"), "near")
+    near = _both(pairs, _other_prefixes(docs, _ends(pairs), orders, percent, once), "q1", "q2").select("a", "b", "q1_a", "q1_b", "q2_a", "q2_b")
+    near = near.mapInArrow(meets, "a long, b long")
+    near = written(near.distinct() if once else near, "near")
     release(docs.sparkSession)
-    out = written(_both(near, _whole_sets(docs, _ends(near)), "tokens").select("a", "b", "tokens_a", "tokens_b").mapInArrow(links, "a long, b long"), "links")
+    out = written(_both(near, _whole_sets(docs, _ends(near), once), "tokens").select("a", "b", "tokens_a", "tokens_b").mapInArrow(links, "a long, b long"), "links")
     release(docs.sparkSession)
     discard(near)
     return out
@@ -450,7 +455,7 @@ def _compare_blocks(percent: int):
     return run
 
 
-def _block_links(open_: DataFrame, docs: DataFrame, orders, percent: int) -> DataFrame:
+def _block_links(open_: DataFrame, docs: DataFrame, orders, percent: int, once: bool = False) -> DataFrame:
     """The links that are left between components of a token's documents, by pairs of blocks of bounded size.
 
     In a group only documents outside its largest component meet all others: a few of them cost one pass over the group."""
@@ -467,7 +472,7 @@ def _block_links(open_: DataFrame, docs: DataFrame, orders, percent: int) -> Dat
     second = F.transform(each("minors"), lambda i: F.struct(F.lit(False).alias("first"), i.alias("i"), block.alias("j")))
     first = F.when(F.col("minor"), F.transform(each("blocks"), lambda j: F.struct(F.lit(True).alias("first"), mine.alias("i"), j.alias("j")))).otherwise(F.array().cast("array<struct<first:boolean,i:int,j:int>>"))
     ids = bit_filter(open_.select("id"), open_.select("id").distinct().count())
-    sets = _scanned(docs, ids, "id long, q1 binary, q2 binary, tokens binary", lambda tokens, before: [*_others(tokens, before, orders.value, percent), _blobs(_six(tokens), before)])
+    sets = _scanned(docs, ids, "id long, q1 binary, q2 binary, tokens binary", lambda tokens, before: [*_others(tokens, before, orders.value, percent), _blobs(_six(tokens), before)], once)
     rows = rows.join(sets, "id").withColumn("m", F.explode(F.concat(second, first)))
     return rows.select("token", "m.i", "m.j", "m.first", "id", "n", "component", "minor", "earlier", "q1", "q2", "tokens").groupBy("token", "i", "j").applyInArrow(_compare_blocks(percent), "a long, b long")
 
@@ -508,13 +513,15 @@ def linked(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text"
     counters = count_tokens(rows)
     members = written(_scanned(rows, None, "id long, n long, d1 long, d2 long", lambda t, b: [pa.array(x, pa.int64()) for x in _digests(t, b)]), "members")
     reps = written(members.where("n > 0 and id is not null").groupBy("d1", "d2").agg(F.min("id").alias("rep"), F.first("n").alias("n")), "reps")
+    # Rows that repeat an id with the same set count once where sets meet.
+    once = not members.where("n > 0 and id is not null").groupBy("id", "d1", "d2").agg(F.count("*").alias("rows")).where("rows > 1").isEmpty()
     tokens = reps.agg(F.sum(F.floor(F.col("n") * (100 - percent) / 100) + 1)).head()[0] or 0
     pairs, groups, orders = _candidates(rows, counters, tokens, percent)
     orders = spark.sparkContext.broadcast(orders)
-    comp = components(_verify(pairs, rows, orders, percent))
+    comp = components(_verify(pairs, rows, orders, percent, once))
     open_ = _still_open(groups, comp)
     if not open_.isEmpty():
-        more = written(_block_links(open_, rows, orders, percent), "links")
+        more = written(_block_links(open_, rows, orders, percent, once), "links")
         release(spark)
         comp = components(comp.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(more))
     return members, reps.drop("n"), comp
