@@ -17,7 +17,8 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from barloom.llm.common import discard, n_partitions, release, written
+from barloom.llm.common import discard, mixed, n_partitions, release, signed, written
+from barloom.llm.jaccard import bit_filter, passes
 
 #: Least count of a phrase, longest phrase, and phrases that are reported for each language.
 LEAST, LONGEST, TOP = 30, 4, 2000
@@ -26,7 +27,7 @@ SHARE = 80
 #: The language of texts that have none.
 NO_LANG = "und"
 #: Bytes of text in a chunk; a longer text is a chunk of its own.
-CHUNK = 8 << 20
+CHUNK = 4 << 20
 #: Ids along a tile's side, and the pairs of a chunk that make a tile worth a dense array.
 SIDE, DENSE = 512, 512 * 512 // 16
 
@@ -130,17 +131,35 @@ def _pairs(ids: np.ndarray) -> np.ndarray:
     return np.flatnonzero((ids[:-1] >= 0) & (ids[1:] >= 0))
 
 
-def pair_counts(coded: DataFrame) -> DataFrame:
-    """(chunk, a, b, n): the different pairs of neighbouring ids of each chunk."""
+def _keys(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """A number for each pair, by which filters know it."""
+    return signed(mixed(a.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + mixed(b.astype(np.uint64))))
+
+
+def pair_filter(pairs: DataFrame) -> np.ndarray:
+    """A bit filter of bounded size that all pairs (a, b) pass, and few others."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for x in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(_keys(*(x.column(c).to_numpy() for c in ("a", "b"))))], ["key"])
+
+    return bit_filter(pairs.select("a", "b").mapInArrow(run, "key long"), pairs.count())
+
+
+def pair_counts(coded: DataFrame, wanted: np.ndarray | None = None) -> DataFrame:
+    """(chunk, a, b, n): the different pairs of neighbouring ids of each chunk; with a filter, those that pass it."""
+    filter_ = None if wanted is None else coded.sparkSession.sparkContext.broadcast(wanted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for chunk, raw in zip(batch.column("chunk").to_pylist(), batch.column("ids")):
                 ids = np.frombuffer(raw.as_buffer(), "<i8")
                 at = _pairs(ids)
+                if filter_ is not None:
+                    at = at[passes(filter_.value, _keys(ids[at], ids[at + 1]))]
                 a, b, n = tiled_counts(ids[at], ids[at + 1])
-                for x in range(0, len(a), 1 << 17):
-                    y = min(len(a), x + (1 << 17))
+                for x in range(0, len(a), 1 << 16):
+                    y = min(len(a), x + (1 << 16))
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(y - x, chunk, np.int64)), pa.array(a[x:y]), pa.array(b[x:y]), pa.array(n[x:y])], ["chunk", "a", "b", "n"])
 
     return coded.mapInArrow(run, "chunk long, a long, b long, n long")
@@ -214,18 +233,19 @@ def levels(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, text_col
     coded = _recode(read.where("local is null").select("chunk", "ids"), book, _recode_words)
     discard(read, by_word)
     for length in range(2, longest + 1):
-        pairs = written(pair_counts(coded), "pairs")
-        frequent = written(ranked(pairs.groupBy("a", "b").agg(F.sum("n").alias("f")).where(F.col("f") >= least), "a", "b"), "frequent")
+        counted = pair_counts(coded).groupBy("a", "b").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
+        frequent = written(ranked(written(counted, "counted"), "a", "b"), "frequent")
         last = found[-1]
         left = last.select(F.col("id").alias("a"), "lang", F.col("phrase").alias("begin"), F.col("heads").alias("of_a"))
         right = last.select(F.col("id").alias("b"), F.substring_index("phrase", " ", -1).alias("end"), F.col("tails").alias("of_b"))
         joined = frequent.join(left, "a").join(right, "b")
         found.append(written(joined.select("id", "lang", F.concat_ws(" ", "begin", "end").alias("phrase"), "f", F.concat("of_a", F.array("f")).alias("heads"), F.concat("of_b", F.array("f")).alias("tails"), "a", "b"), "phrases"))
         if length < longest:
-            book = pairs.select("chunk", "a", "b").join(frequent.select("a", "b", "id"), ["a", "b"])
+            # Only pairs that a filter lets through are looked up.
+            book = pair_counts(coded, pair_filter(frequent)).select("chunk", "a", "b").join(frequent.select("a", "b", "id"), ["a", "b"])
             coded, before = _recode(coded, book, _recode_pairs), coded
             discard(before)
-        discard(pairs, frequent)
+        discard(frequent)
         release(spark)
     return totals, found
 
