@@ -1,9 +1,11 @@
 """Ranked lexical search by NRA: impact-sorted lists are read from the top, with lower and upper scores of documents.
 
 Every term of the items has a list of its documents by falling impact. Lists are cut into steps of growing size, and a
-round reads the next step of the lists of all open items. A document's lower score is what its terms read so far give;
-its upper score adds, for each term not met yet, the highest impact that is left in that list. Documents that cannot
-enter an item's best are dropped; an item is done when no document outside can enter and no score inside can change.
+round reads the next step of lists. A document's lower score is what its terms read so far give; its upper score adds,
+for each term not met yet, the highest impact that is left in that list. A document that only the weakest lists hold,
+whose best impacts together stay below the score to reach, cannot enter; so while an item may still get documents, only
+its other lists are read. After that all lists are read on, for the documents that the item has. Documents that cannot
+be among the best are dropped; an item is done when no document outside can enter and no score inside can change.
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from barloom.llm.common import discard, each_slice, new_path, release, written
 
@@ -24,7 +27,7 @@ from barloom.llm.common import discard, each_slice, new_path, release, written
 BEST = 10
 #: Parts of the longest saturation (a whole number below 1,000,000) by which lists are sorted into steps, the documents
 #: that a list's first step holds at least, and how much longer each step is than all before it.
-GRADES, FIRST, GROWTH = 512, 64, 3
+GRADES, FIRST, GROWTH = 512, 128, 8
 #: Bits of the filter of terms: a fixed size, whatever the items hold; terms that it lets through are joined exactly.
 FILTER_BITS = 1 << 24
 
@@ -128,8 +131,11 @@ class Lists:
         discard(found, counts)
         release(spark)
 
-    def read(self, step: int) -> DataFrame:
-        return self.spark.read.schema(self.schema).parquet(f"{self.path}/step={step}")
+    def read(self, step: int | None = None) -> DataFrame:
+        """One step, or all of them with a column `step`, by which Spark picks folders."""
+        if step is not None:
+            return self.spark.read.schema(self.schema).parquet(f"{self.path}/step={step}")
+        return self.spark.read.schema(T.StructType([*self.schema.fields, T.StructField("step", T.IntegerType())])).parquet(self.path)
 
 
 def _best(rows: DataFrame, best: int) -> DataFrame:
@@ -149,41 +155,58 @@ def search(docs: DataFrame, items: DataFrame, best: int = BEST, doc_columns: tup
     spark = docs.sparkSession
     wanted = written(item_terms(items, *item_columns), "wanted")
     lists = Lists(docs, wanted, *doc_columns, first)
+    ids = wanted.select("item", "item_id").distinct()
+    long = lambda x: F.lit(x).cast("long")
+    if not lists.n_steps:
+        return ids.select("item_id", F.lit(0).alias("rank"), long(0).alias("doc_id"), long(0).alias("score")).where(F.lit(False))
+    # Where each list of an item stands: the step to read next and the highest gain that is left, 0 at its end.
+    heads = lists.steps.select("term", F.col("step").alias("step"), "impact", "rest")
+    at = wanted.select("item", "term", "times").join(heads.where("step = 0"), "term").select("item", "term", "times", "step", (F.col("times") * F.col("impact")).alias("bound"))
+    at = written(at.withColumn("bar", long(1)).withColumn("enterable", F.lit(True)), "at")
     # What is known: (item, doc, doc_id, term, gain), a row for each term met in a document that may still be among the best.
-    known, open_items, shut_items, answers = None, wanted, None, []
-    for step in range(lists.n_steps):
-        # What each item's lists still hold at best: of a list that has no such step, nothing.
-        left = lists.steps.where(F.col("step") == step).select("term", "rest")
-        bounds = written(open_items.join(left, "term", "left").select("item", "item_id", "term", "times", (F.col("times") * F.coalesce("rest", F.lit(0).cast("long"))).alias("bound")), "bounds")
-        most = bounds.groupBy("item").agg(F.sum("bound").alias("unseen"))
-        read = lists.read(step).join(bounds.select("item", "term", "times"), "term").select("item", "doc", "doc_id", "term", (F.col("impact") * F.col("times")).alias("gain"))
+    known, held, answers = None, None, []
+    mine = Window.partitionBy("item")  # the terms of one item
+    while True:
+        # The weakest lists, together below the bar, hold no document that could enter by them alone. At first the
+        # strongest half is read, as there is no bar yet.
+        weakest = F.sum("bound").over(mine.orderBy("bound", "term").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        strong = (weakest >= F.col("bar")) if known is not None else (2 * F.col("bound") >= F.max("bound").over(mine))
+        plan = written(at.withColumn("reads", (F.col("bound") > 0) & (~F.col("enterable") | strong)), "plan")
+        next_ = plan.where("reads").select("item", "term", "step", "times", "enterable")
+        steps = [r[0] for r in next_.select("step").distinct().collect()]  # at most as many as lists have steps
+        postings_ = lists.read().where(F.col("step").isin(steps))
+        gain = (F.col("impact") * F.col("times")).alias("gain")
+        read = next_.where("enterable").join(postings_, ["term", "step"]).select("item", "doc", "doc_id", "term", gain)
         if known is not None:
-            # Items that no new document can enter read on for the documents they have.
-            shut = read.join(shut_items, "item", "left_semi").join(known.select("item", "doc").distinct(), ["item", "doc"], "left_semi")
-            read = known.unionByName(read.join(shut_items, "item", "left_anti")).unionByName(shut)
+            # Items that no new document can enter look up the documents that they have.
+            lacking = held.select("item", "doc").join(next_.where("not enterable"), "item").join(known.select("item", "doc", "term"), ["item", "doc", "term"], "left_anti")
+            read = known.unionByName(read).unionByName(lacking.join(postings_, ["term", "step", "doc"]).select("item", "doc", "doc_id", "term", gain))
         read = written(read, "read")
-        scored = read.join(bounds.select("item", "term", "bound"), ["item", "term"]).groupBy("item", "doc", "doc_id").agg(F.sum("gain").alias("lower"), F.sum("bound").alias("met"))
-        scored = written(scored.join(most, "item").withColumn("upper", F.col("lower") + F.col("unseen") - F.col("met")), "scored")
-        # The score that a document must reach, equal ones included as ids decide among them.
-        bar = written(_best(scored, best).groupBy("item").agg(F.count("*").alias("n"), F.min("lower").alias("least")).select("item", F.when(F.col("n") == best, F.col("least")).otherwise(1).alias("bar")), "bar")
-        bar = most.join(bar, "item", "left").select("item", "unseen", F.coalesce("bar", F.lit(1).cast("long")).alias("bar"))
-        held = scored.join(bar.select("item", "bar"), "item").where("upper >= bar")
+        # The lists that were read stand one step further on.
+        moved = plan.join(heads.select("term", "step", "rest"), ["term", "step"], "left")
+        moved = moved.select("item", "term", "times", (F.col("step") + F.col("reads").cast("int")).alias("step"), F.when(F.col("reads"), F.col("times") * F.coalesce("rest", long(0))).otherwise(F.col("bound")).alias("bound"), "enterable")
+        moved = written(moved, "moved")
+        unseen = moved.groupBy("item").agg(F.sum("bound").alias("unseen"), F.bool_and("enterable").alias("enterable"))
+        scored = read.join(moved.select("item", "term", "bound"), ["item", "term"]).groupBy("item", "doc", "doc_id").agg(F.sum("gain").alias("lower"), F.sum("bound").alias("met"))
+        scored = written(scored.join(unseen.select("item", "unseen"), "item").withColumn("upper", F.col("lower") + F.col("unseen") - F.col("met")), "scored")
+        # The score that a document must reach; equal ones are kept, as ids decide among them.
+        least = _best(scored, best).groupBy("item").agg(F.count("*").alias("n"), F.min("lower").alias("least"))
+        bar = unseen.join(least, "item", "left").select("item", "unseen", "enterable", F.when(F.col("n") == best, F.col("least")).otherwise(1).cast("long").alias("bar"))
+        bar = written(bar, "bar")
+        held, last_held = written(scored.join(bar.select("item", "bar"), "item").where("upper >= bar").drop("bar"), "held"), held
         loose = held.groupBy("item").agg(F.bool_or(F.col("upper") > F.col("lower")).alias("loose"))
-        state = written(bar.join(loose, "item", "left").select("item", (F.col("unseen") >= F.col("bar")).alias("enterable"), F.coalesce("loose", F.lit(False)).alias("loose")), "state")
-        done = state.where("not enterable and not loose").select("item")
-        answers.append(written(_best(held.join(done, "item", "left_semi"), best).select("item", "rank", "doc_id", "lower"), "answers"))
-        shut_items = state.where("not enterable and loose").select("item")
-        still = state.where("enterable or loose").select("item")
-        if step + 1 == lists.n_steps or still.isEmpty():
+        state = bar.join(loose, "item", "left").select("item", "bar", (F.col("enterable") & (F.col("unseen") >= F.col("bar"))).alias("enterable"), F.coalesce("loose", F.lit(False)).alias("loose"))
+        state = written(state, "state")
+        answers.append(written(_best(held.join(state.where("not enterable and not loose"), "item", "left_semi"), best).select("item", "rank", "doc_id", "lower"), "answers"))
+        still = state.where("enterable or loose").select("item", "bar", "enterable")
+        if still.isEmpty():
             break
-        known, last = written(read.join(held.select("item", "doc"), ["item", "doc"], "left_semi").join(still, "item", "left_semi"), "known"), known
-        open_items = bounds.join(still, "item", "left_semi").select("item", "item_id", "term", "times")
-        discard(read, scored, *([last] if last is not None else []))
+        last_known, last_at = known, at
+        known = written(read.join(held.select("item", "doc"), ["item", "doc"], "left_semi").join(still, "item", "left_semi"), "known")
+        at = written(moved.drop("enterable").join(still, "item"), "at")
+        discard(read, scored, moved, plan, last_at, *[x for x in (last_known, last_held) if x is not None])
         release(spark)
-    if not answers:
-        return wanted.select("item_id", F.lit(0).alias("rank"), F.lit(0).cast("long").alias("doc_id"), F.lit(0).cast("long").alias("score")).where(F.lit(False))
     out = answers[0]
     for more in answers[1:]:
         out = out.unionByName(more)
-    ids = wanted.select("item", "item_id").distinct()
     return out.join(ids, "item").select("item_id", "rank", "doc_id", F.col("lower").alias("score"))
