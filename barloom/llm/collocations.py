@@ -139,11 +139,7 @@ def _keys(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 def pair_filter(pairs: DataFrame) -> np.ndarray:
     """A bit filter of bounded size that all pairs (a, b) pass, and few others."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for x in batches:
-            yield pa.RecordBatch.from_arrays([pa.array(_keys(*(x.column(c).to_numpy() for c in ("a", "b"))))], ["key"])
-
-    return bit_filter(pairs.select("a", "b").mapInArrow(run, "key long"), pairs.count())
+    return bit_filter(pairs.select("a", "b"), pairs.count(), lambda x: _keys(x.column(0).to_numpy(), x.column(1).to_numpy()))
 
 
 def pair_counts(coded: DataFrame, wanted: np.ndarray | None = None) -> DataFrame:

@@ -163,8 +163,9 @@ def _places(values: np.ndarray, bits: int) -> np.ndarray:
     return (_salted(values.view(np.uint64), 5) >> np.uint64(64 - bits)).astype(np.int64)
 
 
-def bit_filter(values: DataFrame, rows: int) -> np.ndarray:
-    """Packed bits in which each value (one long column) has one set: 16 bits a value, 2^MOST_BITS at most.
+def bit_filter(values: DataFrame, rows: int, of=lambda batch: batch.column(0).to_numpy()) -> np.ndarray:
+    """Packed bits in which each value (one long column, or what `of` makes of a batch) has one set: 16 bits a value,
+    2^MOST_BITS at most.
 
     What it lets by without being a value is dropped by a join later, or is only put later in the orders, so its size
     decides on work and never on results."""
@@ -173,7 +174,7 @@ def bit_filter(values: DataFrame, rows: int) -> np.ndarray:
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own: dict[int, np.ndarray] = {}
         for b in batches:
-            at = _places(b.column(0).to_numpy(), bits)
+            at = _places(of(b), bits)
             for i in np.unique(at >> 20).tolist():
                 own.setdefault(i, np.zeros(1 << 20, bool))[at[at >> 20 == i] & ((1 << 20) - 1)] = True
         yield pa.RecordBatch.from_arrays([pa.array(list(own), pa.int32()), pa.array([np.packbits(x).tobytes() for x in own.values()], pa.binary())], ["block", "bits"])
