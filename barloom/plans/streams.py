@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from barloom.plans.registration import new_registry
 from barloom.sources.market import secs, table, ticks
 from barloom.sources.shared import shared_path, written
+from barloom.streaming import decisions, flush
 from barloom.streaming import events as ev
 
 QUERIES, ORACLE_SQL, query = new_registry()
@@ -54,23 +55,40 @@ def stream_parse_route(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.run_to_table(out, "routes")
 
 
-# A shard's events one by one, with what it remembers as lists.
-_DECISIONS = f"""{_E.replace('WITH e', 'WITH RECURSIVE e', 1)}, b0 AS (SELECT *, CAST(CAST('0x' || substr(sha256(ins), 1, 16) AS UBIGINT) % 16 AS INTEGER) AS shard, epoch_us(hr) AS us, CAST(hr - INTERVAL 5 HOUR AS DATE) AS s FROM e WHERE refusal IS NULL AND route IS NULL),
-    b AS (SELECT *, ins || '|' || us AS slot, row_number() OVER (PARTITION BY shard ORDER BY i) AS k FROM b0),
-    r AS (SELECT shard, CAST(0 AS BIGINT) AS k, CAST(-1 AS BIGINT) AS ha, CAST(-1 AS BIGINT) AS hi, CAST([] AS STRUCT(id VARCHAR, s DATE)[]) AS seen, CAST([] AS STRUCT(slot VARCHAR, rev BIGINT, s DATE)[]) AS slots, CAST(NULL AS BIGINT) AS i, CAST(NULL AS VARCHAR) AS decision FROM (SELECT DISTINCT shard FROM b)
-      UNION ALL SELECT shard, k, CASE WHEN good AND newer THEN us ELSE ha END, CASE WHEN good AND newer THEN i ELSE hi END,
-        CASE WHEN good THEN list_append(list_filter(seen, lambda x: x.s >= low), {{'id': id, 's': s}}) ELSE seen END, CASE WHEN good THEN list_append(list_filter(slots, lambda x: x.s >= low AND x.slot <> slot), {{'slot': slot, 'rev': rev, 's': s}}) ELSE slots END, i, decision
-      FROM (SELECT *, decision IN ('CORRECTION_APPLIED', 'ACCEPTED_NEW', 'ACCEPTED_LATE') AS good, list_reverse_sort(list_distinct(list_concat([s], list_transform(seen, lambda x: x.s), list_transform(slots, lambda x: x.s)))) AS days, coalesce(days[2], days[1]) AS low
-        FROM (SELECT b.*, r.ha, r.hi, r.seen, r.slots, list_filter(r.slots, lambda x: x.slot = b.slot)[1].rev AS held, (b.us, b.i) > (r.ha, r.hi) AS newer,
-          CASE WHEN list_contains(list_transform(r.seen, lambda x: x.id), b.id) THEN 'DUPLICATE_EVENT' WHEN b.rev < held THEN 'SUPERSEDED_REVISION' WHEN b.rev = held THEN 'REVISION_CONFLICT' WHEN b.rev > 0 THEN 'CORRECTION_APPLIED' WHEN newer THEN 'ACCEPTED_NEW' ELSE 'ACCEPTED_LATE' END AS decision
-          FROM r JOIN b ON b.shard = r.shard AND b.k = r.k + 1)))
-    SELECT r.i AS sequence, b.ins AS "instrumentId", CAST(b.us // 1000000 AS BIGINT) AS bar_start_at, r.decision FROM r JOIN b ON b.i = r.i"""
+def _in_parts(spark: SparkSession, rows: DataFrame, part, parts: int) -> str:
+    """A folder with a file for each part of rows, written one after the other: a stream takes them in this order."""
+    source = shared_path(spark, "source")
+    rows = written(rows.withColumn("_part", part), "rows")
+    for k in range(parts):
+        rows.where(F.col("_part") == k).drop("_part").coalesce(1).write.mode("append").parquet(source)
+    return source
+
+
+def _read_parts(spark: SparkSession, source: str, schema) -> DataFrame:
+    """One file a batch: what a batch holds in memory is bounded by the files, not by the backlog."""
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source)
+
+
+def _decisions_sql(events: str) -> str:
+    """Decisions about `events` (i, k: their order, id, slot, us, ins, rev): ids by the first bar that they name, bars one
+    event after the other, heads of shards by a running maximum."""
+    return f"""WITH RECURSIVE {events},
+    b AS (SELECT *, slot <> first_value(slot) OVER (PARTITION BY id ORDER BY k) AS elsewhere, row_number() OVER (PARTITION BY slot ORDER BY k) AS n, CAST(CAST('0x' || substr(sha256(ins), 1, 16) AS UBIGINT) % 16 AS INTEGER) AS shard FROM v),
+    r AS (SELECT DISTINCT slot, CAST(0 AS BIGINT) AS n, CAST(-1 AS BIGINT) AS held, CAST([] AS VARCHAR[]) AS ids, CAST(NULL AS BIGINT) AS i, CAST(NULL AS VARCHAR) AS d FROM b
+      UNION ALL SELECT slot, n, CASE WHEN d IS NULL THEN rev ELSE held END, CASE WHEN d IS NULL THEN list_append(ids, id) ELSE ids END, i, coalesce(d, 'TAKEN')
+      FROM (SELECT b.slot, b.n, b.i, b.id, b.rev, r.held, r.ids, CASE WHEN elsewhere OR list_contains(r.ids, b.id) THEN 'DUPLICATE_EVENT' WHEN b.rev < r.held THEN 'SUPERSEDED_REVISION' WHEN b.rev = r.held THEN 'REVISION_CONFLICT' END AS d FROM r JOIN b ON b.slot = r.slot AND b.n = r.n + 1)),
+    t AS (SELECT b.*, r.d, CASE WHEN r.d = 'TAKEN' THEN CAST(us AS HUGEINT) * 10000000000 + b.i END AS p FROM b JOIN r ON r.i = b.i),
+    h AS (SELECT *, max(p) OVER (PARTITION BY shard ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS head FROM t)
+    SELECT i AS sequence, ins AS "instrumentId", CAST(us // 1000000 AS BIGINT) AS bar_start_at, CASE WHEN d <> 'TAKEN' THEN d WHEN rev > 0 THEN 'CORRECTION_APPLIED' WHEN head IS NULL OR p > head THEN 'ACCEPTED_NEW' ELSE 'ACCEPTED_LATE' END AS decision FROM h"""
+
+
+_DECISIONS = _decisions_sql(f"{_E.removeprefix('WITH ')}, v AS (SELECT i, i AS k, id, ins || '|' || epoch_us(hr) AS slot, epoch_us(hr) AS us, ins, rev FROM e WHERE refusal IS NULL AND route IS NULL)")
 
 
 def _decided(spark: SparkSession, source: DataFrame, path: str | None = None) -> DataFrame:
     p = ev.parse(_messages(source))
     bars = p.where(F.col("refusal").isNull() & ev.route("p", "f").isNull())
-    return ev.run_to_table(ev.decide(bars), "decisions", path=path).select("sequence", "instrumentId", secs("occurredAt", "bar_start_at"), "decision")
+    return ev.run_to_table(decisions.decide(bars), "decisions", path=path).select("sequence", "instrumentId", secs("occurredAt", "bar_start_at"), "decision")
 
 
 @query(_DECISIONS)
@@ -85,11 +103,41 @@ def stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = ticks(spark, sf_dir)
     middle = e.agg(F.max("event_id") / 2).head()[0]
     for part in (F.col("event_id") <= middle, F.col("event_id") > middle):
-        e.where(part).write.mode("append").parquet(source)
-        out = _decided(spark, spark.readStream.schema(e.schema).parquet(source), path)
+        e.where(part).coalesce(2).write.mode("append").parquet(source)
+        out = _decided(spark, _read_parts(spark, source, e.schema), path)
     return out
 
 
+# Some events arrive 40 places late; messages are complete with the batch of their last event.
+_PARTS = """, a AS (SELECT *, i + CASE WHEN i % 11 = 0 THEN 40 ELSE 0 END AS a, i // 5 AS m, (SELECT count(*) FROM events) AS n FROM e), f AS (SELECT *, CASE WHEN 3 * a < n THEN 0 WHEN 3 * a < 2 * n THEN 1 ELSE 2 END AS part FROM a),
+    w AS (SELECT *, max(part) OVER (PARTITION BY m) AS batch, bool_and(refusal IS NULL) OVER (PARTITION BY m) AS ok FROM f)"""
+
+
+def _late_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parsed events of three files, some late, with the number of events of their message; complete messages only go on."""
+    t = ticks(spark, sf_dir)
+    n = t.count()
+    i = F.col("event_id")
+    late = i + F.when(i % 11 == 0, 40).otherwise(0)
+    rows = _messages(t).withColumn("arrival", F.col("arrival") + F.when(F.col("arrival") % 11 == 0, 40).otherwise(0)).withColumn("events", F.least(F.lit(5), F.lit(n) - F.col("message_id") * 5).cast("int"))
+    source = _in_parts(spark, rows, F.when(3 * F.col("arrival") < n, 0).when(3 * F.col("arrival") < 2 * n, 1).otherwise(2), 3)
+    return decisions.whole_messages(ev.parse(_read_parts(spark, source, rows.schema)).drop("body", "values"))
+
+
+@query(f"{_E}{_PARTS} SELECT i AS sequence, m AS message_id, ok AS message_ok FROM w")
+def stream_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All or none of a message, also where its bad event comes in a later batch."""
+    return ev.run_to_table(_late_messages(spark, sf_dir).select("sequence", "message_id", "message_ok"), "messages")
+
+
+@query(_decisions_sql(f"{_E.removeprefix('WITH ')}{_PARTS}, v AS (SELECT i, (batch + 1) * 1000000000000 + a * 1000 + CASE WHEN i % 11 = 0 THEN 1 ELSE 0 END AS k, id, ins || '|' || epoch_us(hr) AS slot, epoch_us(hr) AS us, ins, rev FROM w WHERE ok AND route IS NULL)"))
+def stream_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Decisions about the events of good messages; heads of shards are kept over batches and never go back."""
+    # Late events that arrive beside others come after them.
+    good = _late_messages(spark, sf_dir).where(F.col("message_ok") & ev.route("p", "f").isNull()).withColumn("arrival", F.col("arrival") * 2 + F.when(F.col("sequence") % 11 == 0, 1).otherwise(0))
+    return ev.run_to_table(decisions.decide(good, timed=False), "ledger").select("sequence", "instrumentId", secs("occurredAt", "bar_start_at"), "decision")
+
+
 @query("SELECT event_type AS \"instrumentId\", 'view' AS \"eventType\", 'e' || arg_max(event_id, (ts, event_id)) AS \"eventId\", CAST(floor(epoch(max(ts))) AS BIGINT) AS at FROM events GROUP BY ALL")
 def stream_latest_observation(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = _stream(spark, sf_dir).select(F.col("event_type").alias("instrumentId"), F.lit("view").alias("eventType"), F.concat(F.lit("e"), F.col("event_id").cast("string")).alias("eventId"), F.col("ts").alias("occurredAt"), F.col("event_id").alias("sequence"))
@@ -157,8 +205,24 @@ def latest_per_event_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return last.join(n, ["instrumentId", "providerEventId"], "left").select("instrumentId", F.col("providerEventId").alias("user_id"), F.col("eventId").alias("event_id"), F.coalesce("conflicts", F.lit(0).cast("long")).alias("conflicts"))
 
 
+def _flushed(spark: SparkSession, sf_dir: str, granularity: str) -> flush.Store:
+    """Bars by hour in three files: the last event of an hour counts, and earlier ones come in later files, too."""
+    price = F.col("value")
+    t = ticks(spark, sf_dir).select(
+        F.col("event_type").alias("instrument_id"), F.date_trunc("hour", "ts").alias("bar_start_at"), F.to_date("ts").alias("session_date_et"),
+        *[price.alias(c) for c in ("open", "high", "low", "close")], F.lit(1).cast("long").alias("volume"), F.lit(1).cast("long").alias("trade_count"), F.col("event_id").alias("revision"),
+    )
+    part = F.when(F.col("session_date_et") >= "2024-01-20", 2).otherwise((F.col("revision") % 2).cast("int"))
+    return flush.flush_stream(_read_parts(spark, _in_parts(spark, t, part, 3), t.schema), shared_path(spark, "flushed"), granularity, shards=2)
+
+
 @query("""SELECT event_type AS instrument_id, CAST(epoch(date_trunc('hour', ts)) AS BIGINT) AS bar_start_at, max(event_id) AS revision, arg_max(value, event_id) AS close FROM events GROUP BY ALL""")
 def stream_flush_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = ticks(spark, sf_dir).select(F.col("event_type").alias("instrument_id"), F.date_trunc("hour", "ts").alias("bar_start_at"), F.col("event_id").alias("revision"), F.col("value").alias("close"))
-    stored = written(t.where("revision % 2 = 0"), "stored")
-    return ev.flush_bars(stored, t.where("revision % 2 = 1")).select("instrument_id", secs("bar_start_at"), "revision", "close")
+    return _flushed(spark, sf_dir, "DAY").rows().select("instrument_id", secs("bar_start_at"), "revision", "close")
+
+
+@query("""WITH e AS (SELECT *, CAST(ts AS DATE) AS d, CASE WHEN ts >= TIMESTAMP '2024-01-20' THEN 2 ELSE event_id % 2 END AS part, CAST(date_trunc('week', ts) AS DATE) AS w, CAST(CAST('0x' || substr(sha256(event_type), 1, 16) AS UBIGINT) % 2 AS INTEGER) AS shard FROM events),
+    b AS (SELECT part AS batch, count(DISTINCT (event_type, date_trunc('hour', ts))) AS row_count, count(DISTINCT w) AS partitions, CAST(epoch(date_trunc('hour', max(ts))) AS BIGINT) AS watermark FROM e GROUP BY part)
+    SELECT batch, CAST(batch + 1 AS INTEGER) AS revision, 'AVAILABLE' AS status, row_count, partitions, (SELECT count(DISTINCT (w, shard)) FROM e WHERE e.part <= b.batch) AS objects, watermark FROM b""")
+def stream_flush_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _flushed(spark, sf_dir, "WEEK").ledger().withColumn("watermark", F.unix_timestamp("watermark"))
