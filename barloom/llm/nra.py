@@ -1,15 +1,16 @@
 """Ranked lexical search by NRA: impact-sorted lists are read from the top, with lower and upper scores of documents.
 
-Every term of the items has a list of its documents by falling impact. Lists are cut into steps of growing size, and a
-round reads the next step of lists. A document's lower score is what its terms read so far give; its upper score adds,
-for each term not met yet, the highest impact that is left in that list. A document that only the weakest lists hold,
-whose best impacts together stay below the score to reach, cannot enter; so while an item may still get documents, only
-its other lists are read. After that all lists are read on, for the documents that the item has. Documents that cannot
-be among the best are dropped; an item is done when no document outside can enter and no score inside can change.
+Documents are searched in shards, any of which may hold the best. In a shard every term of the items has a list of its
+documents by falling impact. A document's lower score is what its terms read so far give; its upper score adds, for each
+term not met yet, the highest impact that is left in that list. A document that only the weakest lists hold, whose best
+impacts together stay below the score to reach, cannot enter; so while an item may still get documents, only its other
+lists are read. After that all lists are read on, and an item is done when no document outside can enter and no score
+inside can change. The score to reach is that of the best documents of all shards that a task has searched.
 """
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
 from collections import Counter
@@ -17,18 +18,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from barloom.llm.common import discard, each_slice, new_path, release, written
+from barloom.llm.common import each_slice, written
 
-#: Documents of an item's answer.
-BEST = 10
-#: Parts of the longest saturation (a whole number below 1,000,000) by which lists are sorted into steps, the documents
-#: that a list's first step holds at least, and how much longer each step is than all before it.
-GRADES, FIRST, GROWTH = 512, 128, 8
-#: Bits of the filter of terms: a fixed size, whatever the items hold; terms that it lets through are joined exactly.
+#: Documents of an item's answer, and the first entries of a list that are read at once; each later read is as long as all before it.
+BEST, FIRST = 10, 64
+#: Postings of a shard, and terms of a block of items, beyond one item: what a task holds of documents and of the items.
+SHARD_POSTINGS, BLOCK_TERMS = 1 << 19, 1 << 18
+#: Bits of the filter of terms: a fixed size, whatever the items hold; what it lets by without being a term is dropped later.
 FILTER_BITS = 1 << 24
 
 #: A term: a maximal run of ASCII letters and digits and of all that is not ASCII; on UTF-8 bytes.
@@ -41,18 +41,24 @@ def terms_of(text: bytes) -> list[bytes]:
     return TERM.findall(text.lower())
 
 
-def item_terms(items: DataFrame, id_column: str = "item_id", text_column: str = "text") -> DataFrame:
-    """(item, item_id, term, times) of each different row of items; `item` is a number of our own, as ids may repeat."""
+def item_terms(items: DataFrame, id_column: str = "item_id", text_column: str = "text", most: int = BLOCK_TERMS) -> DataFrame:
+    """(block, item, item_id, term, times) of each different row of items; `item` is a number of our own, as ids may repeat.
+    A block has at most `most` terms beyond its first item."""
     rows = items.select(F.col(id_column).cast("long").alias("item_id"), F.col(text_column).cast("string").alias("text")).distinct()
     rows = written(rows.withColumn("item", F.monotonically_increasing_id()), "items")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, held = TaskContext.get().partitionId() << 32, 0
         for batch in batches:
             for item, item_id, text in zip(*(batch.column(c).to_pylist() for c in ("item", "item_id", "text"))):
                 found = Counter(terms_of((text or "").encode()))
-                yield pa.RecordBatch.from_arrays([pa.array([item] * len(found), pa.int64()), pa.array([item_id] * len(found), pa.int64()), pa.array([t.decode() for t in found], pa.string()), pa.array(list(found.values()), pa.int64())], ["item", "item_id", "term", "times"])
+                if held and held + len(found) > most:
+                    block, held = block + 1, 0
+                held += len(found)
+                k = len(found)
+                yield pa.RecordBatch.from_arrays([pa.array([block] * k, pa.int64()), pa.array([item] * k, pa.int64()), pa.array([item_id] * k, pa.int64()), pa.array([t.decode() for t in found], pa.string()), pa.array(list(found.values()), pa.int64())], ["block", "item", "item_id", "term", "times"])
 
-    return rows.mapInArrow(run, "item long, item_id long, term string, times long")
+    return rows.mapInArrow(run, "block long, item long, item_id long, term string, times long")
 
 
 def term_filter(terms: DataFrame) -> np.ndarray:
@@ -64,8 +70,8 @@ def term_filter(terms: DataFrame) -> np.ndarray:
 
 
 def postings(docs: DataFrame, terms: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """(doc, doc_id, n, term, tf): for each row of docs with a term one row with a null term, and one for each of its
-    terms that the filter of `terms` lets through. `doc` is a number of our own, as ids may repeat or be null."""
+    """(doc, doc_id, n, terms, tfs) of each row of docs that has a term: how many it has with repeats, and those that the
+    filter of `terms` lets through with their counts. `doc` is a number of our own, as ids may repeat or be null."""
     bits = docs.sparkSession.sparkContext.broadcast(term_filter(terms))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -75,138 +81,145 @@ def postings(docs: DataFrame, terms: DataFrame, id_column: str = "doc_id", text_
             out: tuple[list, ...] = ([], [], [], [], [])
             for i, (doc, doc_id) in enumerate(zip(rows.column("doc").to_pylist(), rows.column("doc_id").to_pylist())):
                 found = Counter(terms_of(raw[offs[i] : offs[i + 1]]))
-                if not found:
-                    continue
-                mine = [(t, tf) for t, tf in found.items() if held[zlib.crc32(t) & _BIT]]
-                k = len(mine) + 1
-                for column, values in zip(out, ([doc] * k, [doc_id] * k, [found.total()] * k, [None, *(t.decode() for t, _ in mine)], [0, *(tf for _, tf in mine)])):
-                    column += values
-            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out, (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64()))], ["doc", "doc_id", "n", "term", "tf"])
+                if found:
+                    mine = [(t.decode(), tf) for t, tf in found.items() if held[zlib.crc32(t) & _BIT]]
+                    for column, value in zip(out, (doc, doc_id, found.total(), [t for t, _ in mine], [tf for _, tf in mine])):
+                        column.append(value)
+            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out, (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.int64())))], ["doc", "doc_id", "n", "terms", "tfs"])
 
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
-    return rows.withColumn("doc", F.monotonically_increasing_id()).mapInArrow(run, "doc long, doc_id long, n long, term string, tf long")
-
-
-def weight(n_docs: int, df: Column) -> Column:
-    """A term's weight; a whole number. The quotient and its logarithm are doubles."""
-    return F.floor(F.lit(1000.0) * F.log(F.lit(float(2 * n_docs + 2)) / (2 * df + 1).cast("double")))
-
-
-def saturation(n_docs: int, n_terms: int) -> Column:
-    """What a term's occurrences in a document are worth, below 1,000,000; all in whole numbers."""
-    m = f"(25 + (75 * n * {n_docs}L) div {max(1, n_terms)}L)"
-    return F.expr(f"(1000000000L * tf) div (1000L * tf + 8 * {m})")
-
-
-class Lists:
-    """The impact-sorted lists of terms: `steps` (term, step, impact of its best document, `rest`: the best impact after
-    it) and `files`, in folders by step and sorted by term: (doc, doc_id, term, impact)."""
-
-    def __init__(self, docs: DataFrame, terms: DataFrame, id_column: str = "doc_id", text_column: str = "text", first: int = FIRST):
-        spark = docs.sparkSession
-        found = written(postings(docs, terms, id_column, text_column), "postings")
-        whole = found.where("term is null").agg(F.count("*").alias("docs"), F.sum("n").alias("terms")).head()
-        self.n_docs, self.n_terms = whole["docs"], whole["terms"] or 0
-        # A grade is a range of saturations: counts of grades tell how far down a step must go, without ranking documents.
-        grade = (F.lit(GRADES - 1) - F.floor(saturation(self.n_docs, self.n_terms) * GRADES / 1000000)).cast("int")
-        graded = found.where("term is not null").join(terms.select("term").distinct(), "term").select("doc", "doc_id", "term", saturation(self.n_docs, self.n_terms).alias("worth"), grade.alias("grade"))
-        counts = written(graded.groupBy("term", "grade").agg(F.count("*").alias("n"), F.max("worth").alias("worth")), "grades")
-        # At most GRADES rows a term.
-        down = Window.partitionBy("term").orderBy("grade")
-        df = F.sum("n").over(Window.partitionBy("term"))
-        before = F.sum("n").over(down) - F.col("n")
-        step = F.floor(F.log(F.greatest(before / first, F.lit(1.0))) / F.log(F.lit(float(GROWTH)))).cast("int")
-        steps = counts.select("term", "grade", "worth", step.alias("step"), weight(self.n_docs, df).alias("w")).where("w > 0")
-        # A list that ends early skips steps; those it has are numbered as its own rounds.
-        own = F.dense_rank().over(Window.partitionBy("term").orderBy("step")) - 1
-        self.grades = written(steps.withColumn("step", own), "steps")
-        heads = self.grades.groupBy("term", "step").agg((F.max("worth") * F.max("w")).alias("impact"))
-        rest = F.coalesce(F.lead("impact").over(Window.partitionBy("term").orderBy("step")), F.lit(0).cast("long"))
-        self.steps = written(heads.withColumn("rest", rest), "heads")
-        self.n_steps = (self.steps.agg(F.max("step")).head()[0] if not self.steps.isEmpty() else -1) + 1
-        path = new_path(spark, "lists")
-        listed = graded.join(self.grades.select("term", "grade", "step", "w"), ["term", "grade"]).select("doc", "doc_id", "term", (F.col("worth") * F.col("w")).alias("impact"), "step")
-        listed.sortWithinPartitions("step", "term").write.partitionBy("step").parquet(path)
-        self.path, self.schema, self.spark = path, listed.select("doc", "doc_id", "term", "impact").schema, spark
-        discard(found, counts)
-        release(spark)
-
-    def read(self, step: int | None = None) -> DataFrame:
-        """One step, or all of them with a column `step`, by which Spark picks folders."""
-        if step is not None:
-            return self.spark.read.schema(self.schema).parquet(f"{self.path}/step={step}")
-        return self.spark.read.schema(T.StructType([*self.schema.fields, T.StructField("step", T.IntegerType())])).parquet(self.path)
-
-
-def _best(rows: DataFrame, best: int) -> DataFrame:
-    """The `best` rows of each item by lower score; Spark keeps as many of each task before the shuffle."""
-    w = Window.partitionBy("item").orderBy(F.desc("lower"), F.col("doc_id").asc_nulls_last(), F.col("doc"))
-    return rows.where("lower > 0").withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= best)
-
-
-def search(docs: DataFrame, items: DataFrame, best: int = BEST, doc_columns: tuple[str, str] = ("doc_id", "text"), item_columns: tuple[str, str] = ("item_id", "text"), first: int = FIRST) -> DataFrame:
+    return rows.withColumn("doc", F.monotonically_increasing_id()).mapInArrow(run, "doc long, doc_id long, n long, terms array<string>, tfs array<long>")
+
+
+def weight(n_docs: int, df: int) -> int:
+    """A term's weight. The quotient and its logarithm are doubles, all else is in whole numbers."""
+    return math.floor(1000 * math.log(float(2 * n_docs + 2) / float(2 * df + 1)))
+
+
+def saturation(tf: np.ndarray, n: np.ndarray, n_docs: int, n_terms: int) -> np.ndarray:
+    """What a term's occurrences in a document of n terms are worth, below 1,000,000."""
+    m = 25 + 75 * n * n_docs // n_terms
+    return 1000000000 * tf // (1000 * tf + 8 * m)
+
+
+class Shard:
+    """Impact-sorted lists of some documents: list t holds places start[t] to start[t + 1] of `doc` and `impact`."""
+
+    def __init__(self, n_lists: int, n_docs: int, term: np.ndarray, doc: np.ndarray, impact: np.ndarray):
+        order = np.lexsort((doc, -impact, term))
+        self.n_docs, self.doc, self.impact = n_docs, doc[order], impact[order]
+        self.start = np.searchsorted(term[order], np.arange(n_lists + 1))
+
+    def left(self, lists: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """The highest impact from each list's place on, 0 at its end."""
+        end = self.start[lists + 1]
+        return np.where(at < end, self.impact[np.minimum(at, len(self.impact) - 1)], 0) if len(self.impact) else np.zeros(len(lists), np.int64)
+
+    def best(self, lists: np.ndarray, times: np.ndarray, bar: int, best: int, first: int = FIRST) -> tuple[np.ndarray, np.ndarray]:
+        """(documents, scores) that can be among the `best` of an item with these lists, if `bar` must be reached (1 at
+        least); their scores are final. Ties at the bar are all there."""
+        begin, at = self.start[lists], self.start[lists].copy()
+        lower, met = np.zeros(self.n_docs, np.int64), np.zeros((len(lists), self.n_docs), bool)
+        bound = self.left(lists, at) * times
+        enterable = True
+        while True:
+            unseen = int(bound.sum())
+            upper = lower + unseen - bound @ met
+            if np.count_nonzero(lower) >= best:
+                bar = max(bar, int(np.partition(lower, -best)[-best]))
+            enterable = enterable and unseen >= bar
+            inside = np.flatnonzero((lower > 0) & (upper >= bar))
+            if not enterable and (upper[inside] == lower[inside]).all():
+                return inside, lower[inside]
+            reads = bound > 0
+            if enterable:
+                # Together the weakest lists must stay below the bar; of the others the strongest are read first.
+                order = np.argsort(bound, kind="stable")
+                weakest = np.empty(len(bound), np.int64)
+                weakest[order] = np.cumsum(bound[order])
+                reads &= (weakest >= bar) & (2 * bound >= bound.max())
+            for i in np.flatnonzero(reads):
+                a, b = at[i], min(at[i] + max(first, at[i] - begin[i]), self.start[lists[i] + 1])
+                lower[self.doc[a:b]] += self.impact[a:b] * times[i]
+                met[i, self.doc[a:b]] = True
+                at[i] = b
+            bound = self.left(lists, at) * times
+
+
+def _search_block(wanted: dict, weights: dict, n_docs: int, n_terms: int, best: int, first: int, most: int):
+    """The best documents of each item of a block: wanted is item -> [(term, times)], weights is term -> weight."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        items, weight_of = wanted.value, weights.value
+        number = {t: i for i, t in enumerate(weight_of)}
+        w = np.array(list(weight_of.values()), np.int64)
+        lists = {item: (np.array([number[t] for t, _ in terms]), np.array([k for _, k in terms], np.int64)) for item, terms in items.items()}
+        found: dict[int, list] = {item: [] for item in items}  # (-score, no id, id, doc), the best so far
+        cols: tuple[list, ...] = ([], [], [], [], [], [])
+
+        def flush():
+            doc, doc_id, n, own, term, tf = (np.concatenate(c) for c in cols)
+            if not len(term):
+                return
+            shard = Shard(len(w), len(doc), term, own, w[term] * saturation(tf, n[own], n_docs, n_terms))
+            for item, (mine, times) in lists.items():
+                top = found[item]
+                inside, score = shard.best(mine, times, max(1, -top[-1][0]) if len(top) == best else 1, best, first)
+                top += [(-int(s), doc_id[i] is None, doc_id[i] if doc_id[i] is not None else 0, int(doc[i])) for i, s in zip(inside, score)]
+                found[item] = sorted(top)[:best]
+
+        held = docs = 0
+        for batch in batches:
+            terms, tfs = batch.column("terms"), batch.column("tfs")
+            flat, tf = terms.flatten(), tfs.flatten()
+            size = np.diff(terms.offsets.to_numpy()) if batch.num_rows else np.zeros(0, np.int64)
+            words = flat.dictionary_encode()
+            to = np.array([number.get(t, -1) for t in words.dictionary.to_pylist()] + [-1], np.int64)[words.indices.to_numpy()] if len(flat) else np.zeros(0, np.int64)
+            keep = to >= 0
+            own = np.repeat(np.arange(batch.num_rows), size) + docs
+            for c, v in zip(cols, (batch.column("doc").to_numpy(), np.array(batch.column("doc_id").to_pylist(), object), batch.column("n").to_numpy(), own[keep], to[keep], tf.to_numpy()[keep] if len(tf) else to)):
+                c.append(v)
+            held, docs = held + int(keep.sum()), docs + batch.num_rows
+            if held >= most:
+                flush()
+                held = docs = 0
+                for c in cols:
+                    c.clear()
+        if docs:
+            flush()
+        rows = [(item, None if none else i, doc, -s) for item, top in found.items() for s, none, i, doc in top]
+        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.int64()) for k in range(4)], ["item", "doc_id", "doc", "score"])
+
+    return run
+
+
+def search(docs: DataFrame, items: DataFrame, best: int = BEST, doc_columns: tuple[str, str] = ("doc_id", "text"), item_columns: tuple[str, str] = ("item_id", "text"), first: int = FIRST, shard: int = SHARD_POSTINGS, block: int = BLOCK_TERMS) -> DataFrame:
     """(item_id, rank, doc_id, score): the `best` rows of docs for each item, by score and then the smaller doc_id.
 
     Rows of docs count each, also those that repeat an id or a text; null ids come last among equal scores; null and empty
     texts have no terms and are never found. Items that repeat id and text count once, an id with two texts is two items
-    with the same item_id; items without terms have no rows. Empty tables give no rows. Texts are read whole; other
-    columns are not read.
+    with the same item_id; items without terms have no rows. Empty tables give no rows. Texts are read whole, once; other
+    columns are not read. Items go to the tasks in blocks of bounded size, each against all documents.
     """
     spark = docs.sparkSession
-    wanted = written(item_terms(items, *item_columns), "wanted")
-    lists = Lists(docs, wanted, *doc_columns, first)
-    ids = wanted.select("item", "item_id").distinct()
-    long = lambda x: F.lit(x).cast("long")
-    if not lists.n_steps:
-        return ids.select("item_id", F.lit(0).alias("rank"), long(0).alias("doc_id"), long(0).alias("score")).where(F.lit(False))
-    # Where each list of an item stands: the step to read next and the highest gain that is left, 0 at its end.
-    heads = lists.steps.select("term", F.col("step").alias("step"), "impact", "rest")
-    at = wanted.select("item", "term", "times").join(heads.where("step = 0"), "term").select("item", "term", "times", "step", (F.col("times") * F.col("impact")).alias("bound"))
-    at = written(at.withColumn("bar", long(1)).withColumn("enterable", F.lit(True)), "at")
-    # What is known: (item, doc, doc_id, term, gain), a row for each term met in a document that may still be among the best.
-    known, held, answers = None, None, []
-    mine = Window.partitionBy("item")  # the terms of one item
-    while True:
-        # The weakest lists, together below the bar, hold no document that could enter by them alone. At first the
-        # strongest half is read, as there is no bar yet.
-        weakest = F.sum("bound").over(mine.orderBy("bound", "term").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        strong = (weakest >= F.col("bar")) if known is not None else (2 * F.col("bound") >= F.max("bound").over(mine))
-        plan = written(at.withColumn("reads", (F.col("bound") > 0) & (~F.col("enterable") | strong)), "plan")
-        next_ = plan.where("reads").select("item", "term", "step", "times", "enterable")
-        steps = [r[0] for r in next_.select("step").distinct().collect()]  # at most as many as lists have steps
-        postings_ = lists.read().where(F.col("step").isin(steps))
-        gain = (F.col("impact") * F.col("times")).alias("gain")
-        read = next_.where("enterable").join(postings_, ["term", "step"]).select("item", "doc", "doc_id", "term", gain)
-        if known is not None:
-            # Items that no new document can enter look up the documents that they have.
-            lacking = held.select("item", "doc").join(next_.where("not enterable"), "item").join(known.select("item", "doc", "term"), ["item", "doc", "term"], "left_anti")
-            read = known.unionByName(read).unionByName(lacking.join(postings_, ["term", "step", "doc"]).select("item", "doc", "doc_id", "term", gain))
-        read = written(read, "read")
-        # The lists that were read stand one step further on.
-        moved = plan.join(heads.select("term", "step", "rest"), ["term", "step"], "left")
-        moved = moved.select("item", "term", "times", (F.col("step") + F.col("reads").cast("int")).alias("step"), F.when(F.col("reads"), F.col("times") * F.coalesce("rest", long(0))).otherwise(F.col("bound")).alias("bound"), "enterable")
-        moved = written(moved, "moved")
-        unseen = moved.groupBy("item").agg(F.sum("bound").alias("unseen"), F.bool_and("enterable").alias("enterable"))
-        scored = read.join(moved.select("item", "term", "bound"), ["item", "term"]).groupBy("item", "doc", "doc_id").agg(F.sum("gain").alias("lower"), F.sum("bound").alias("met"))
-        scored = written(scored.join(unseen.select("item", "unseen"), "item").withColumn("upper", F.col("lower") + F.col("unseen") - F.col("met")), "scored")
-        # The score that a document must reach; equal ones are kept, as ids decide among them.
-        least = _best(scored, best).groupBy("item").agg(F.count("*").alias("n"), F.min("lower").alias("least"))
-        bar = unseen.join(least, "item", "left").select("item", "unseen", "enterable", F.when(F.col("n") == best, F.col("least")).otherwise(1).cast("long").alias("bar"))
-        bar = written(bar, "bar")
-        held, last_held = written(scored.join(bar.select("item", "bar"), "item").where("upper >= bar").drop("bar"), "held"), held
-        loose = held.groupBy("item").agg(F.bool_or(F.col("upper") > F.col("lower")).alias("loose"))
-        state = bar.join(loose, "item", "left").select("item", "bar", (F.col("enterable") & (F.col("unseen") >= F.col("bar"))).alias("enterable"), F.coalesce("loose", F.lit(False)).alias("loose"))
-        state = written(state, "state")
-        answers.append(written(_best(held.join(state.where("not enterable and not loose"), "item", "left_semi"), best).select("item", "rank", "doc_id", "lower"), "answers"))
-        still = state.where("enterable or loose").select("item", "bar", "enterable")
-        if still.isEmpty():
-            break
-        last_known, last_at = known, at
-        known = written(read.join(held.select("item", "doc"), ["item", "doc"], "left_semi").join(still, "item", "left_semi"), "known")
-        at = written(moved.drop("enterable").join(still, "item"), "at")
-        discard(read, scored, moved, plan, last_at, *[x for x in (last_known, last_held) if x is not None])
-        release(spark)
-    out = answers[0]
-    for more in answers[1:]:
-        out = out.unionByName(more)
-    return out.join(ids, "item").select("item_id", "rank", "doc_id", F.col("lower").alias("score"))
+    wanted = written(item_terms(items, *item_columns, block), "wanted")
+    found = written(postings(docs, wanted, *doc_columns), "postings")
+    whole = found.agg(F.count("*").alias("docs"), F.sum("n").alias("terms")).head()
+    counts = written(found.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("df")).join(wanted.select("block", "term").distinct(), "term"), "counts")
+    out = None
+    for number in sorted(r[0] for r in counts.select("block").distinct().collect()):  # one for each block of items
+        weights = {r["term"]: weight(whole["docs"], r["df"]) for r in counts.where(F.col("block") == number).toLocalIterator()}
+        weights = {t: w for t, w in weights.items() if w > 0}
+        terms: dict[int, list] = {}
+        for r in wanted.where(F.col("block") == number).toLocalIterator():
+            if r["term"] in weights:
+                terms.setdefault(r["item"], []).append((r["term"], r["times"]))
+        if terms:
+            run = _search_block(spark.sparkContext.broadcast(terms), spark.sparkContext.broadcast(weights), whole["docs"], whole["terms"], best, first, shard)
+            some = found.mapInArrow(run, "item long, doc_id long, doc long, score long")
+            out = some if out is None else out.unionByName(some)
+    if out is None:
+        return wanted.select("item_id", F.lit(0).alias("rank"), F.lit(0).cast("long").alias("doc_id"), F.lit(0).cast("long").alias("score")).where(F.lit(False))
+    order = Window.partitionBy("item").orderBy(F.desc("score"), F.col("doc_id").asc_nulls_last(), F.col("doc"))
+    top = out.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= best)
+    return top.join(wanted.select("item", "item_id").distinct(), "item").select("item_id", "rank", "doc_id", "score")

@@ -262,14 +262,3 @@ def simhash_components(docs: DataFrame, id_column: str = "doc_id", text_column:
     busy = prints.join(F.broadcast(hot), "fp")
     out = busy.unionByName(prints.join(F.broadcast(hot.select("fp")), "fp", "left_anti").join(rest, "fp"))
     return out.select(F.col("id").alias(id_column), F.lower(F.lpad(F.hex("fp"), BITS // 4, "0")).alias("fingerprint"), "component_id")
-
-
-def keep_one(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """docs without the rows whose component has a smaller id; rows without words all stay, rows that repeat the kept id too.
-
-    All columns of docs stay as they are, whatever their names."""
-    names = [f"near_{k}_{'_'.join(docs.columns)}" for k in (1, 2)]  # longer than any name of docs
-    out = simhash_components(docs, id_column, text_column)
-    gone = out.where(~F.col(id_column).eqNullSafe(F.col("component_id")) & (F.col("fingerprint") != "0" * (BITS // 4)))
-    gone = gone.select(F.col(id_column).alias(names[0])).distinct()
-    return docs.join(gone, docs[id_column].cast("long").eqNullSafe(gone[names[0]]), "left_anti")

@@ -179,14 +179,6 @@ def test_rows_of_a_key_over_many_batches_are_dealt_again_once():
         assert sorted(out.column("a").to_pylist()) == list(range(50)) and out.column("b").null_count == 50
 
 
-def test_simhash_keep_one(docs):
-    kept = simhash.keep_one(docs)
-    assert kept.columns == docs.columns
-    ids = {r.doc_id: r.component_id for r in simhash.simhash_components(docs).collect() if int(r.fingerprint, 16)}
-    gone = {i for i, c in ids.items() if i != c}
-    assert {r.doc_id for r in kept.collect()} == {r.doc_id for r in docs.collect()} - gone
-
-
 # ---- ranked search ----------------------------------------------------------------------------------------------
 TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 
@@ -214,9 +206,9 @@ def items(spark):
     return spark.createDataFrame(rows, "item_id long, text string").withColumns({c: F.lit(-7) for c in ("item", "term", "times", "doc_id")})
 
 
-@pytest.mark.parametrize("best, first", [(10, 64), (10, 1), (3, 2), (200, 5)])
-def test_search(docs, items, best, first):
-    got = nra.search(docs, items, best=best, first=first)
+@pytest.mark.parametrize("best, first, shard, block", [(10, 64, 1 << 19, 1 << 18), (10, 1, 1, 5), (3, 2, 300, 40), (200, 5, 2000, 1)])
+def test_search(docs, items, best, first, shard, block):
+    got = nra.search(docs, items, best=best, first=first, shard=shard, block=block)
     assert got.columns == ["item_id", "rank", "doc_id", "score"]
     want = plain_search([(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()], [(r.item_id, r.text) for r in items.select("item_id", "text").collect()], best)
     assert collections.Counter(tuple(r) for r in got.collect()) == want
@@ -231,8 +223,20 @@ def test_ties_go_to_the_smaller_id_and_lists_are_read_by_impact(spark):
     items = spark.createDataFrame([(1, "alpha beta"), (2, "delta")], "item_id long, text string")
     got = sorted(tuple(r) for r in nra.search(df, items, best=4, first=2).collect())
     assert [r[2] for r in got] == [41, 43, 45, 47, 42, 44, 46, 48] and len({r[3] for r in got[:4]}) == 1
-    lists = nra.Lists(df, nra.item_terms(items), first=2)
-    heads = {(r.term, r.step): (r.impact, r.rest) for r in lists.steps.collect()}
-    for (term, step), (impact, rest) in heads.items():
-        assert rest == heads.get((term, step + 1), (0, 0))[0] and rest < impact
-        assert max(r.impact for r in lists.read(step).where(F.col("term") == term).collect()) == impact
+
+
+def test_lists_are_read_by_impact_until_scores_are_final():
+    rng = np.random.default_rng(7)
+    for _ in range(200):
+        n_docs, n_lists = int(rng.integers(1, 60)), int(rng.integers(1, 8))
+        dense = rng.random((n_lists, n_docs)) < rng.random((n_lists, 1))
+        impact = np.where(dense, rng.integers(1, 6, (n_lists, n_docs)) * rng.integers(1, 50, (n_lists, 1)), 0)
+        term, doc = np.nonzero(dense)
+        shard = nra.Shard(n_lists, n_docs, term, doc, impact[term, doc])
+        assert all((np.diff(shard.impact[shard.start[t] : shard.start[t + 1]]) <= 0).all() for t in range(n_lists))
+        lists = rng.permutation(n_lists)[: rng.integers(1, n_lists + 1)]
+        times, best, bar = rng.integers(1, 4, len(lists)), int(rng.integers(1, 6)), int(rng.integers(1, 80))
+        inside, score = shard.best(lists, times, bar, best, int(rng.integers(1, 9)))
+        whole = times @ impact[lists]
+        least = max(bar, np.sort(whole)[-best] if (whole > 0).sum() >= best else 1)
+        assert set(np.flatnonzero(whole >= least)) <= set(inside.tolist()) and (score == whole[inside]).all()
