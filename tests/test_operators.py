@@ -346,27 +346,6 @@ def test_definitions_and_spans(spark):
 
 
 # ---- streams that stop and go on --------------------------------------------------------------------------------
-def _bar_events(spark, rows):
-    """rows: (arrival, eventId, instrument, day of January, revision)."""
-    e = spark.createDataFrame(rows, "arrival long, eventId string, instrumentId string, day int, revision int")
-    return e.withColumn("occurredAt", F.timestamp_seconds(F.lit(1767625200) + F.col("day") * 86400)).withColumn("sequence", F.col("arrival")).withColumn("correctionOfEventId", F.when(F.col("revision") > 0, F.lit("x")))
-
-
-def test_stream_goes_on_where_it_stopped(spark, tmp_path):
-    rows = [(1, "a", "A", 0, 0), (2, "a", "A", 1, 0), (3, "b", "A", 1, 0), (4, "c", "A", 1, 0), (5, "d", "A", 1, 2), (6, "e", "A", 1, 1), (7, "f", "A", 0, 1)]
-    more = [(8, "a", "A", 0, 0), (9, "g", "A", 2, 0), (10, "h", "A", 3, 0), (11, "a", "A", 0, 0), (12, "d", "A", 1, 2)]
-    source, path = str(tmp_path / "in"), str(tmp_path / "out")
-    want = {1: "ACCEPTED_NEW", 2: "DUPLICATE_EVENT", 3: "ACCEPTED_NEW", 4: "REVISION_CONFLICT", 5: "CORRECTION_APPLIED", 6: "SUPERSEDED_REVISION", 7: "CORRECTION_APPLIED"}
-    for part in (rows, more):
-        e = _bar_events(spark, part)
-        e.coalesce(1).write.mode("append").parquet(source)
-        out = ev.run_to_table(ev.decide(spark.readStream.schema(e.schema).parquet(source)), "d", path=path)
-        got = {r.sequence: r.decision for r in out.collect()}
-        assert got == want
-        # The first session is remembered at first; after two later ones its ids are forgotten, and the bar comes late.
-        want = want | {8: "DUPLICATE_EVENT", 9: "ACCEPTED_NEW", 10: "ACCEPTED_NEW", 11: "ACCEPTED_LATE", 12: "CORRECTION_APPLIED"}
-
-
 def test_last_observation_over_two_batches(spark, tmp_path):
     source, path = str(tmp_path / "in"), str(tmp_path / "out")
     for k, event in enumerate(("old", "new")):
