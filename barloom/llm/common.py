@@ -43,11 +43,15 @@ def written(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     return out
 
 
+def remove(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def discard(*tables: DataFrame) -> None:
     """Removes the files of tables from written() that no later step reads."""
     for t in tables:
-        path = t.sparkSession._jvm.org.apache.hadoop.fs.Path(t.written_to)
-        path.getFileSystem(t.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+        remove(t.sparkSession, t.written_to)
 
 
 def release(spark: SparkSession) -> None:

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barloom.llm.common import SLICE_ROWS, each_slice, from_planes, lowered, mixed, n_partitions, planes, release, span_hashes, word_spans, written
+from barloom.llm.common import SLICE_ROWS, each_slice, from_planes, lowered, mixed, n_partitions, new_path, planes, release, remove, span_hashes, word_spans, written
 
 #: Texts whose crc32 of the id leaves 0 when divided by FOLDS are held out.
 FOLDS = 10
@@ -32,8 +32,8 @@ ROUNDS, SWEEPS, BURN_IN = 2, 4, 1
 STRENGTH = 1.0
 #: Pairs of a bucket, pairs that a task gathers before it deals them out.
 BUCKET_PAIRS, GATHER = 1_000_000, 600_000
-#: A first word is split when it begins a quarter of a bucket's pairs, or, so that their number stays bounded, the lesser
-#: of these shares of all pairs; at most 1 / LEAST_SHARE words are split.
+#: A first word, or a pair, is split when it has a quarter of a bucket's pairs, or, so that their number stays bounded, the
+#: lesser of these shares of all pairs; at most 1 / LEAST_SHARE words and as many pairs are split.
 HOT_SHARE, LEAST_SHARE = 1 / 512, 1 / 65536
 #: Texts of a portion; a text is known by its place in the portion, in two bytes.
 PORTION = 1 << 15
@@ -106,7 +106,7 @@ def _gathered(batches: Iterator[pa.RecordBatch], with_rows: bool):
 
 
 def _hot_words(docs: DataFrame) -> tuple[np.ndarray, np.ndarray, int]:
-    """First words that are split, hashes of pairs that are split (at most 1 / HOT_SHARE), and the number of pairs."""
+    """First words that are split, hashes of pairs that are split, and the number of pairs."""
     # A word and the space after it take about six bytes; the share only has to be of the right size.
     size = docs.agg(F.sum(F.octet_length("text"))).head()[0] or 0
     share = min(HOT_SHARE, max(LEAST_SHARE, BUCKET_PAIRS / 4 / max(1, size / 6)))
@@ -116,7 +116,7 @@ def _hot_words(docs: DataFrame) -> tuple[np.ndarray, np.ndarray, int]:
             w, c = np.unique(a, return_counts=True)
             keep = c >= len(a) * share / 2
             p, m = np.unique(_both(a, b), return_counts=True)
-            often = m >= len(a) * HOT_SHARE / 2
+            often = m >= len(a) * share / 2
             word = np.concatenate([w[keep].view(np.int64), p[often].view(np.int64), [-1]])
             kind = np.repeat([0, 1, 2], [keep.sum(), often.sum(), 1])
             yield pa.RecordBatch.from_arrays([pa.array(kind, pa.int32()), pa.array(word), pa.array(np.concatenate([c[keep], m[often], [len(a)]]))], ["kind", "word", "n"])
@@ -126,8 +126,7 @@ def _hot_words(docs: DataFrame) -> tuple[np.ndarray, np.ndarray, int]:
     total = counted.where("kind = 2").head()
     if total is None:
         return np.zeros(0, np.uint64), np.zeros(0, np.uint64), 0
-    at_least = F.when(F.col("kind") == 0, share).otherwise(HOT_SHARE) * total["n"]
-    hot = counted.where((F.col("kind") < 2) & (F.col("n") >= at_least)).collect()
+    hot = counted.where((F.col("kind") < 2) & (F.col("n") >= share * total["n"])).collect()
     words, pairs = (np.array(sorted(r["word"] for r in hot if r["kind"] == k), np.int64).view(np.uint64) for k in (0, 1))
     return words, pairs, total["n"]
 
@@ -330,6 +329,17 @@ def score_texts(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     folder, as the table of pairs is dropped when it is made.
     """
     spark = docs.sparkSession
+    name, path = f"pairs_{uuid.uuid4().hex}", new_path(spark, "pairs")
+    try:
+        return _scores(docs, id_column, text_column, name, path)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        remove(spark, path)
+
+
+def _scores(docs: DataFrame, id_column: str, text_column: str, name: str, path: str) -> DataFrame:
+    """score_texts() with a table of pairs of this name, whose files lie at path."""
+    spark = docs.sparkSession
     held = F.crc32(F.coalesce(F.col(id_column).cast("string"), F.lit("")).cast("binary")) % FOLDS == 0
     kind = docs.schema[id_column].dataType
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.coalesce(F.col(id_column).cast("long"), F.lit(-(2**63))).alias("id"), held.alias("held"), F.col(text_column).cast("string").alias("text"))
@@ -337,9 +347,8 @@ def score_texts(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     n = max(n_partitions(spark), math.ceil(pairs / BUCKET_PAIRS))
 
     # One row for each bucket, in files of its own, so that later rounds join the table where it lies.
-    name = f"pairs_{uuid.uuid4().hex}"
     merged = _deal(rows, hot, hot_pairs, n).groupBy("bucket").applyInArrow(_merge, _BUCKET)
-    merged.write.bucketBy(n, "bucket").option("compression", "zstd").saveAsTable(name)
+    merged.write.bucketBy(n, "bucket").option("compression", "zstd").option("path", path).saveAsTable(name)
     del merged
     release(spark)
     table = spark.table(name)
@@ -526,6 +535,4 @@ def score_texts(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
         "score",
         F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")).alias("perplexity"),
     )
-    out = written(out, "scores")
-    spark.sql(f"DROP TABLE {name}")
-    return out
+    return written(out, "scores")

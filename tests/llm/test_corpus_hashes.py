@@ -109,3 +109,16 @@ def test_copies_below_and_above_the_hot_share(spark, monkeypatch):
     assert index.hot.count() == 1 and index.buckets.where("text is not null").count() == 0
     got = {r.keep_id: r.group_size for r in exact_dedup.exact_duplicates(rows).where("kept").collect()}
     assert got[2995] == 600 and got[2998] == 1200 and len(got) == 1202
+
+
+def test_pairs_are_split_by_the_size_of_a_bucket(spark, monkeypatch):
+    """A pair with a quarter of a bucket is split though it has less than 1 / 512 of all pairs; the table of pairs goes."""
+    monkeypatch.setattr(hpylm, "BUCKET_PAIRS", 400)
+    often = spark.range(150).select(F.col("id").alias("doc_id"), F.lit("same pair").alias("text"))
+    rare = spark.range(150, 4000).select(F.col("id").alias("doc_id"), F.concat_ws(" ", *[F.concat(F.lit("w"), F.hash("id", F.lit(k)).cast("string")) for k in range(24)]).alias("text"))
+    docs = often.unionByName(rare)
+    words, pairs, n = hpylm._hot_words(docs.select("text"))
+    assert n == 150 * 3 + 3850 * 25 and len(words) >= 1 and len(pairs) >= 1 and 150 / n < hpylm.HOT_SHARE
+    got = hpylm.score_texts(docs).where("doc_id < 150").select("n_known", "score").distinct().collect()
+    assert {r.n_known for r in got} == {3} and max(r.score for r in got) - min(r.score for r in got) < 1e-6
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("pairs_")]
