@@ -5,15 +5,17 @@ caller, data first."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.functions.keys import deterministic_uuid, iso_utc, session_date_et
+from barloom.functions.keys import deterministic_uuid, iso_utc
 from barloom.operators import actions as act
 from barloom.operators import catalog, merge, quality, resample
 from barloom.operators.sessions import in_session
+from barloom.sources.files import DayStore
 
 RESOLUTIONS = ("1h", "4h", "1d")
 
@@ -58,28 +60,64 @@ def backfill(staged: DataFrame, sessions: DataFrame, resolutions: tuple[str, ...
 
 
 # ---- the daily increment ----------------------------------------------------------------------------------------
-def incremental(stored: DataFrame, fetched: DataFrame, days: DataFrame, sessions: DataFrame, now: str, resolution: str = "1h") -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(native bars, derived bars, outcome of each day) when the partitions of `days` (session_date) are fetched anew.
-
-    A day that is no completed session at `now` is NOT_A_SESSION and changes nothing. The other days' partitions are
-    replaced, native and derived; the rest stays. A fetched bar that differs from the stored one of an earlier day is
-    REVISION_DETECTED: its instrument's history must be fetched whole first, so nothing of that instrument is taken."""
-    done = sessions.where(F.col("closes_at") <= F.lit(now).cast("timestamp")).select("session_date", F.lit(True).alias("_is"))
-    checked = days.join(done, "session_date", "left")
-    good = checked.where("_is").select("session_date")
-    changed = merge.revised(stored, fetched).where("revised").select("instrument_id", session_date_et("bar_start_at").alias("session_date"))
-    changed = changed.join(good, "session_date", "left_anti").select("instrument_id").distinct()
-    taken = in_session(fetched.join(changed, "instrument_id", "left_anti"), sessions).drop("opens_at", "closes_at")
-    taken = taken.join(good.withColumnRenamed("session_date", "session_date_et"), "session_date_et", "left_semi")
-    keys = taken.select("instrument_id", "session_date_et").distinct()
-    native = stored.join(keys, ["instrument_id", "session_date_et"], "left_anti").unionByName(taken.select(*stored.columns))
-    derived = resample.derive_bars(native, sessions, resolution)
-    n = taken.groupBy(F.col("session_date_et").alias("session_date")).agg(F.count("*").alias("rows"))
-    held = fetched.join(changed, "instrument_id").groupBy(F.col("session_date_et").alias("session_date")).agg(F.countDistinct("instrument_id").alias("held"))
-    j = checked.join(n, "session_date", "left").join(held, "session_date", "left")
-    status = F.when(F.col("_is").isNull(), "NOT_A_SESSION").when(F.col("held") > 0, "REVISION_DETECTED").otherwise("PUBLISHED")
-    zero = F.lit(0).cast("long")
-    return native, derived, j.select("session_date", status.alias("status"), F.when(F.col("_is").isNotNull(), F.coalesce("rows", zero)).otherwise(zero).alias("rows"), F.when(F.col("_is").isNotNull(), F.coalesce("held", zero)).otherwise(zero).alias("held"))
+NATIVE = "30m"
+
+
+def incremental(store: DayStore, fetched: DataFrame, days: DataFrame, sessions: DataFrame, now: str, resolutions: tuple[str, ...] = RESOLUTIONS, history: Callable[[list[int]], DataFrame] | None = None) -> DataFrame:
+    """Brings the days (session_date) of a store up to date and gives (price_type, resolution, session_date, status).
+
+    fetched: price_type and bars, of the days and, for the adjusted type, of some before. A day that is no completed session
+    at `now` is NOT_A_SESSION and changes nothing. Of the others the native bars and those of every resolution are derived
+    from what was fetched alone and replace the day's folders: PUBLISHED; a day for which nothing came loses them: NO_BARS.
+
+    If an adjusted bar of an earlier day differs from the stored one, prices were adjusted anew: all years that the store
+    has are taken from history(years) first, native and derived: CORRECTED for each of their days. Without a history, or if
+    it gives nothing, nothing at all is changed and every day is ADJUSTMENT_REVISION_BACKFILL_FAILED."""
+    spark = fetched.sparkSession
+    done = sessions.where(F.col("closes_at") <= F.lit(now).cast("timestamp")).select("session_date")
+    # Days that are asked for: a list as long as the question.
+    asked = [r[0] for r in days.select("session_date").distinct().orderBy("session_date").collect()]
+    good = [r[0] for r in done.where(F.col("session_date").isin(asked)).orderBy("session_date").collect()] if asked else []
+    kinds = ("raw", "adjusted")
+    outcome = {(k, r, d): "NOT_A_SESSION" for k in kinds for r in (NATIVE, *resolutions) for d in asked}
+
+    def whole(rows: DataFrame) -> DataFrame:
+        """Native bars of sessions and what is derived from them, by resolution."""
+        native = in_session(rows, sessions).drop("opens_at", "closes_at").withColumn("resolution", F.lit(NATIVE))
+        derived = resample.derive_all(rows, sessions, resolutions, ["price_type"])
+        names = [f.name for f in store.schema.fields]
+        full = lambda d: d.select(*[F.col(n) if n in d.columns else F.lit(None).cast(store.schema[n].dataType).alias(n) for n in names])
+        return full(native).unionByName(full(derived))
+
+    def written_days(kind: str, of: list) -> set:
+        found = store.read(kind, None, of).select("resolution", "session_date_et").distinct().collect()
+        return {(r["resolution"], r["session_date_et"]) for r in found}
+
+    if good:
+        early = fetched.where((F.col("price_type") == "adjusted") & (F.col("session_date_et") < F.lit(good[0])))
+        early_days = [r[0] for r in early.select("session_date_et").distinct().collect()]
+        stored = store.read("adjusted", NATIVE, early_days)
+        if early_days and not merge.revised(stored, early).where("revised").isEmpty():
+            years = sorted({r[0].year for r in store.read("adjusted", NATIVE).select("session_date_et").distinct().collect()})
+            again = history(years) if history is not None else None
+            if again is None or again.isEmpty():
+                return _outcomes(spark, {k: "ADJUSTMENT_REVISION_BACKFILL_FAILED" for k in outcome})
+            store.replace(whole(again.where(F.year("session_date_et").isin(years)).withColumn("price_type", F.lit("adjusted"))))
+            outcome |= {("adjusted", r, d): "CORRECTED" for r, d in written_days("adjusted", [r[0] for r in again.select("session_date_et").distinct().collect()])}
+        taken = fetched.where(F.col("session_date_et").isin(good))
+        store.replace(whole(taken))
+        have = {(k, r, d) for k, r, d in in_session(taken, sessions).select("price_type", F.explode(F.array(*[F.lit(r) for r in (NATIVE, *resolutions)])), "session_date_et").distinct().collect()}
+        for k in kinds:
+            for r in (NATIVE, *resolutions):
+                for d in good:
+                    if (k, r, d) not in have:
+                        store.drop(k, r, d)
+                    outcome[k, r, d] = "PUBLISHED" if (k, r, d) in have else "NO_BARS"
+    return _outcomes(spark, outcome)
+
+
+def _outcomes(spark: SparkSession, outcome: dict) -> DataFrame:
+    return spark.createDataFrame([(*k, v) for k, v in outcome.items()], "price_type string, resolution string, session_date date, status string")
 
 
 # ---- adjustment -------------------------------------------------------------------------------------------------

@@ -11,6 +11,7 @@ from barloom.plans.analytics import MIDNIGHT, _actions, uuid_sql
 from barloom.plans.bars import BARS, DAILY
 from barloom.plans.catalogs import _OBJECTS, midnight, objects, shard_key_sql
 from barloom.plans.registration import new_registry
+from barloom.sources import files
 from barloom.sources.market import bars_30m, daily_bars, sessions, table, ticks
 from barloom.sources.shared import shared_path, written
 
@@ -50,20 +51,39 @@ def backfill_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     return outcome.join(cents, ["price_type", "year"], "left")
 
 
-@query(f"""{BARS}, x AS (SELECT unnest([DATE '2024-01-18', DATE '2024-01-19', DATE '2024-01-20']) AS d), t AS (SELECT * FROM ib WHERE instrument_id <> 'view' AND d IN (DATE '2024-01-18', DATE '2024-01-19')),
-    n AS (SELECT d, count(*) AS rows FROM t GROUP BY ALL), h AS (SELECT d, count(DISTINCT (instrument_id, (s - o) // 3600)) AS derived FROM t GROUP BY ALL), v AS (SELECT DISTINCT CAST(to_timestamp(s - 18000) AT TIME ZONE 'UTC' AS DATE) AS d FROM bars WHERE instrument_id = 'view')
-    SELECT CAST(x.d AS VARCHAR) AS session_date, CASE WHEN x.d = DATE '2024-01-20' THEN 'NOT_A_SESSION' WHEN v.d IS NOT NULL THEN 'REVISION_DETECTED' ELSE 'PUBLISHED' END AS status, coalesce(rows, 0) AS rows, CASE WHEN x.d <> DATE '2024-01-20' AND v.d IS NOT NULL THEN 1 ELSE 0 END AS held, coalesce(derived, 0) AS derived
-    FROM x LEFT JOIN n ON n.d = x.d LEFT JOIN h ON h.d = x.d LEFT JOIN v ON v.d = x.d""")
+_INCREMENT = f"""{BARS},
+    fix AS (SELECT count(*) > 0 AS found FROM ib WHERE instrument_id = 'view' AND d = DATE '2024-01-10'),
+    n AS (SELECT 'raw' AS price_type, * FROM ib WHERE d <= DATE '2024-01-18' UNION ALL
+          SELECT 'adjusted', * REPLACE (CASE WHEN instrument_id = 'view' AND d = DATE '2024-01-10' THEN close + 1 ELSE close END AS close, CASE WHEN instrument_id = 'view' AND d = DATE '2024-01-10' THEN high + 1 ELSE high END AS high) FROM ib WHERE d <= DATE '2024-01-19'),
+    r AS (SELECT unnest(['30m', '1h', '4h', '1d']) AS resolution, unnest([1800, 3600, 14400, 86400]) AS len),
+    k AS (SELECT price_type, resolution, instrument_id, d, (s - o) // len AS k, sum(volume) AS v, arg_max(close, s) AS close FROM n, r GROUP BY ALL),
+    g AS (SELECT price_type, resolution, d, count(*) AS rows, CAST(sum(v) AS BIGINT) AS volume, CAST(sum(round(close * 100)) AS BIGINT) AS cents FROM k GROUP BY ALL),
+    asked AS (SELECT price_type, resolution, d FROM (SELECT unnest(['raw', 'adjusted']) AS price_type), r, (SELECT unnest([DATE '2024-01-18', DATE '2024-01-19', DATE '2024-01-20']) AS d))
+    SELECT coalesce(g.price_type, a.price_type) AS price_type, coalesce(g.resolution, a.resolution) AS resolution, CAST(coalesce(g.d, a.d) AS VARCHAR) AS session_date,
+      CASE WHEN a.d = DATE '2024-01-20' THEN 'NOT_A_SESSION' WHEN a.d IS NOT NULL AND g.d IS NULL THEN 'NO_BARS' WHEN a.d IS NOT NULL THEN 'PUBLISHED' WHEN g.price_type = 'adjusted' AND (SELECT found FROM fix) THEN 'CORRECTED' END AS status,
+      coalesce(rows, 0) AS rows, volume, cents FROM g FULL JOIN asked a ON a.price_type = g.price_type AND a.resolution = g.resolution AND a.d = g.d"""
+
+
+@query(_INCREMENT)
 def incremental_job(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two sessions and a Saturday are fetched; an earlier bar of one instrument comes with another price."""
+    """Two sessions and a Saturday are fetched, one of them of adjusted bars only; an adjusted bar of an earlier day comes
+    with another price, so the adjusted history is taken anew. The stored day has other prices than the fetched one."""
     b = written(bars_30m(spark, sf_dir), "bars")
-    stored = b.where("session_date_et < '2024-01-18'")
-    late = b.where("instrument_id = 'view' AND session_date_et = '2024-01-10'").withColumn("close", F.col("close") + 1)
-    fetched = b.where("session_date_et BETWEEN '2024-01-18' AND '2024-01-20'").unionByName(late)
-    days = b.select(F.col("session_date_et").alias("session_date")).where("session_date BETWEEN '2024-01-18' AND '2024-01-20'").distinct()
-    _, derived, outcome = jobs.incremental(stored, fetched, days, sessions(spark), "2024-01-19 22:00:00")
-    n = derived.groupBy(F.col("session_date_et").alias("session_date")).agg(F.count("*").alias("derived"))
-    return outcome.join(n, "session_date", "left").select(F.col("session_date").cast("string"), "status", "rows", "held", F.coalesce("derived", F.lit(0).cast("long")).alias("derived"))
+    is_late = (F.col("instrument_id") == "view") & (F.col("session_date_et") == "2024-01-10")
+    both = lambda d: d.withColumn("price_type", F.explode(F.array(F.lit("raw"), F.lit("adjusted"))))
+    anew = b.withColumns({c: F.when(is_late, F.col(c) + 1).otherwise(F.col(c)) for c in ("high", "close")})
+    store = files.DayStore(spark, shared_path(spark, "days"), b.withColumns({"source_minutes": F.lit(30).cast("smallint"), "source_bar_count": F.lit(1).cast("smallint")}).schema)
+    # The store before: days up to the 19th, the last two at other prices.
+    old = both(b.where("session_date_et <= '2024-01-19'").withColumn("close", F.when(F.col("session_date_et") >= "2024-01-18", F.col("close") + 5).otherwise(F.col("close"))))
+    day = lambda lo: spark.sql(f"SELECT explode(sequence(DATE '{lo}', DATE '2024-01-20')) AS session_date")
+    jobs.incremental(store, old, day("2024-01-01"), sessions(spark), "2024-01-19 22:00:00")
+    fetched = both(b.where("session_date_et BETWEEN '2024-01-18' AND '2024-01-20'")).where("price_type = 'adjusted' OR session_date_et <> '2024-01-19'")
+    fetched = fetched.unionByName(anew.where(is_late).withColumn("price_type", F.lit("adjusted")))
+    outcome = jobs.incremental(store, fetched, day("2024-01-18"), sessions(spark), "2024-01-19 22:00:00", history=lambda years: anew.where("session_date_et <= '2024-01-19'"))
+    held = store.read("raw").unionByName(store.read("adjusted")).groupBy("price_type", "resolution", F.col("session_date_et").alias("session_date"))
+    held = held.agg(F.count("*").alias("rows"), F.sum("volume").alias("volume"), F.sum(F.round(F.col("close") * 100).cast("bigint")).alias("cents"))
+    out = held.join(outcome, ["price_type", "resolution", "session_date"], "full")
+    return out.select("price_type", "resolution", F.col("session_date").cast("string"), "status", F.coalesce("rows", F.lit(0).cast("long")).alias("rows"), "volume", "cents")
 
 
 def _hash_sql(factor: str) -> str:

@@ -204,3 +204,37 @@ def latest_published(bars: DataFrame, year: int) -> DataFrame:
     y = F.year("session_date_et")
     b = bars.where(y.isin(year, year - 1)).groupBy("instrument_id").agg(F.max(F.when(y == year, F.col("bar_start_at"))).alias("a"), F.max("bar_start_at").alias("b"))
     return b.select("instrument_id", F.coalesce("a", "b").alias("latest"))
+
+
+class DayStore:
+    """Bars in folders by price type, resolution and session date, which are replaced a folder at a time."""
+
+    PARTS = ["price_type", "resolution", "session_date_et"]
+
+    def __init__(self, spark: SparkSession, path: str, bars: T.StructType):
+        """bars: the fields of a bar; those that name folders are added."""
+        self.spark, self.path = spark, path
+        parts = [T.StructField("price_type", T.StringType()), T.StructField("resolution", T.StringType()), T.StructField("session_date_et", T.DateType())]
+        self.schema = T.StructType([*[f for f in bars.fields if f.name not in self.PARTS], *parts])
+
+    def _folder(self, *names: str):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path("/".join([self.path, *names]))
+        return path, path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def read(self, price_type: str, resolution: str | None = None, days: list | None = None) -> DataFrame:
+        """Bars of a price type; with a resolution or days only their folders are listed for the scan."""
+        path, fs = self._folder()
+        if not fs.exists(path):
+            return self.spark.createDataFrame([], self.schema)
+        out = self.spark.read.schema(self.schema).parquet(self.path).where(F.col("price_type") == price_type)
+        out = out if resolution is None else out.where(F.col("resolution") == resolution)
+        return out if days is None else out.where(F.col("session_date_et").isin(days))
+
+    def replace(self, rows: DataFrame) -> None:
+        """Writes rows in place of the folders that they fall into; all others stay."""
+        rows = rows.select(*[f.name for f in self.schema.fields]).repartition(*self.PARTS).sortWithinPartitions(*self.PARTS, "instrument_id", "bar_start_at")
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*self.PARTS).parquet(self.path)
+
+    def drop(self, price_type: str, resolution: str, day) -> None:
+        path, fs = self._folder(f"price_type={price_type}", f"resolution={resolution}", f"session_date_et={day}")
+        fs.delete(path, True)
