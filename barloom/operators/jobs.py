@@ -16,6 +16,7 @@ from barloom.operators import actions as act
 from barloom.operators import catalog, merge, quality, resample
 from barloom.operators.sessions import in_session
 from barloom.sources.files import DayStore
+from barloom.sources.shared import written
 
 RESOLUTIONS = ("1h", "4h", "1d")
 
@@ -154,30 +155,42 @@ def bootstrap(legacy: DataFrame, target: DataFrame, columns: dict[str, Column],
     return new.join(F.broadcast(report.where("accepted").select("accepted")), F.lit(True), "left_semi"), report
 
 
+# The codes of findings about a catalog.
+CATALOG_CODES = ("UNKNOWN_DATASET_CONTRACT", "MISSING_STORAGE_OBJECT", "CONTENT_HASH_MISMATCH", "PARQUET_FOOTER_INVALID", "ROW_COUNT_MISMATCH", "OVERLAPPING_ACTIVE_OBJECTS", "DATASET_HASH_MISMATCH", "AVAILABLE_MANIFEST_HAS_ERRORS")
+
+
 def validate_catalog(manifests: DataFrame, objects: DataFrame, storage: DataFrame, found: DataFrame) -> DataFrame:
-    """Findings (manifest_id, id, code) over all manifests and their objects.
-
-    manifests: manifest_id, status, dataset_hash. objects: the eleven hashed keys, id, manifest_id, object_id. storage:
-    object_id, object_key, expected_hash. found: object_key, actual_hash, actual_rows, as read from the files. Codes:
-    MISSING_STORAGE_OBJECT, MISSING_FILE, CONTENT_HASH_MISMATCH, ROW_COUNT_MISMATCH, OBJECT_OVERLAP, DATASET_HASH_MISMATCH,
-    and AVAILABLE_WITH_ERRORS for an available manifest with any of them."""
-    j = objects.select("manifest_id", "id", "object_id", "row_count").join(storage, "object_id", "left").join(found, "object_key", "left")
-    codes = F.array_compact(
-        F.array(
-            F.when(F.col("object_key").isNull(), F.lit("MISSING_STORAGE_OBJECT")),
-            F.when(F.col("object_key").isNotNull() & F.col("actual_hash").isNull(), F.lit("MISSING_FILE")),
-            F.when(F.col("actual_hash") != F.col("expected_hash"), F.lit("CONTENT_HASH_MISMATCH")),
-            F.when(F.col("actual_rows") != F.col("row_count"), F.lit("ROW_COUNT_MISMATCH")),
-        )
+    """Findings (manifest_id, id, code), of CATALOG_CODES, over all manifests and their objects.
+
+    manifests: manifest_id, status, dataset_hash, price_type, data_layer, resolution. objects: the eleven hashed keys, id,
+    manifest_id, object_id. storage: object_id, object_key, expected_hash. found: object_key, actual_hash, actual_rows, as
+    read from the files, see catalog.parquet_files(); a file that is not there has a wrong hash, one without rows no footer.
+    An object has the first code that holds. A manifest of no known contract is not looked into. Hashes and overlaps of a
+    manifest are of the objects that are what they should be, but for their number of rows."""
+    unknown, missing, wrong_hash, footer, rows, overlap, dataset, errors_in = CATALOG_CODES
+    known = catalog.contracts(manifests.sparkSession).withColumnRenamed("layer", "data_layer")
+    strange = manifests.join(F.broadcast(known), ["price_type", "data_layer", "resolution"], "left_anti")  # nine contracts
+    manifests = manifests.join(F.broadcast(known), ["price_type", "data_layer", "resolution"], "left_semi")
+    objects = objects.join(manifests.select("manifest_id"), "manifest_id", "left_semi")
+    j = objects.join(storage, "object_id", "left").join(found, "object_key", "left")
+    code = (
+        F.when(F.col("object_key").isNull(), missing)
+        .when(~F.col("actual_hash").eqNullSafe(F.col("expected_hash")), wrong_hash)
+        .when(F.col("actual_rows").isNull(), footer)
+        .when(F.col("actual_rows") != F.col("row_count"), rows)
     )
-    each = j.select("manifest_id", "id", F.explode(codes).alias("code"))
-    overlap = catalog.overlapping_objects(objects).select("manifest_id", "id", F.lit("OBJECT_OVERLAP").alias("code"))
+    j = written(j.withColumn("code", code), "objects")
+    good = j.where(F.col("code").isNull() | (F.col("code") == rows))
     none = F.lit(None).cast("string").alias("id")
-    hashes = catalog.dataset_hash(objects, ["manifest_id"]).withColumnRenamed("dataset_hash", "_hash")
-    wrong = manifests.join(hashes, "manifest_id").where(F.col("_hash") != F.col("dataset_hash")).select("manifest_id", none, F.lit("DATASET_HASH_MISMATCH").alias("code"))
-    errors = _all([each, overlap, wrong])
+    hashes = catalog.dataset_hash(good.select(*objects.columns), ["manifest_id"]).withColumnRenamed("dataset_hash", "_hash")
+    wrong = manifests.join(hashes, "manifest_id", "left").where(~F.col("_hash").eqNullSafe(F.col("dataset_hash")))
+    errors = _all([
+        j.where("code IS NOT NULL").select("manifest_id", "id", "code"),
+        catalog.overlapping_objects(good.select(*objects.columns)).select("manifest_id", "id", F.lit(overlap).alias("code")),
+        wrong.select("manifest_id", none, F.lit(dataset).alias("code")),
+    ])
     bad = manifests.where("status = 'AVAILABLE'").join(errors.select("manifest_id").distinct(), "manifest_id", "left_semi")
-    return errors.unionByName(bad.select("manifest_id", none, F.lit("AVAILABLE_WITH_ERRORS").alias("code")))
+    return _all([errors, bad.select("manifest_id", none, F.lit(errors_in).alias("code")), strange.select("manifest_id", none, F.lit(unknown).alias("code"))])
 
 
 def checksum_incidents(findings: DataFrame, objects: DataFrame) -> DataFrame:

@@ -262,6 +262,19 @@ def coverage_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return a.select("instrument_id", "rows", "distinct_starts", "expected", "missing", "unexpected", "duplicates", "invalid_rows", "zero_volume_rows", "coverage_pct", secs("first_at"), secs("last_at"), "status")
 
 
+@query(f"""{BARS}, i AS (SELECT DISTINCT event_type AS instrument_id FROM events UNION ALL SELECT 'ABSENT'), two AS (SELECT * FROM bars UNION ALL SELECT * FROM bars WHERE instrument_id = 'view' AND s % 7200 = 0)
+    SELECT i.instrument_id, count(s) AS observed_rows, count(DISTINCT s) AS unique_timestamps, count(s) - count(DISTINCT s) AS duplicates, count(s) FILTER (least(open, high, low, close) <= 0 OR high < greatest(open, low, close) OR low > least(open, high, close) OR volume < 0) AS invalid_rows,
+      count(s) FILTER (volume = 0) AS zero_volume_rows, min(s) AS first_at, max(s) AS last_at, 'fast' AS quality_mode, CASE WHEN count(s) = 0 THEN 'empty' WHEN count(s) > count(DISTINCT s) OR count(s) FILTER (least(open, high, low, close) <= 0) > 0 THEN 'warning' ELSE 'ok' END AS status
+    FROM i LEFT JOIN two b ON b.instrument_id = i.instrument_id GROUP BY ALL""")
+def structural_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Some bars of one instrument stand twice, and one instrument has no bars."""
+    b = bars_30m(spark, sf_dir)
+    twice = b.unionByName(b.where((F.col("instrument_id") == "view") & (F.unix_timestamp("bar_start_at") % 7200 == 0)))
+    listed = b.select("instrument_id").unionByName(spark.createDataFrame([("ABSENT",)], "instrument_id string"))
+    out = quality.structural_snapshot(twice, listed)
+    return out.select("instrument_id", "observed_rows", "unique_timestamps", "duplicates", "invalid_rows", "zero_volume_rows", secs("first_at"), secs("last_at"), "quality_mode", "status")
+
+
 @query(
     f"""{_EXPECTED}, m AS (SELECT instrument_id, d, s FROM (SELECT DISTINCT instrument_id FROM bars) i, x WHERE NOT EXISTS (FROM bars b WHERE b.instrument_id = i.instrument_id AND b.s = x.s)),
     w AS (SELECT instrument_id, d, min(s) AS lo, max(s) + 1800 AS hi FROM m GROUP BY ALL)

@@ -131,19 +131,21 @@ def catalog_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _CATALOG = f"""{_OBJECTS}, c AS (SELECT *, ps || '/' || shard_key AS id, 'm-' || year(ps) AS m FROM o),
     j AS (SELECT m, '{{"content_hash":"' || content_hash || '","object_kind":"MARKET_DATA","part_number":1,"partition_end":"' || CAST(ps + INTERVAL 1 MONTH AS DATE) || '","partition_granularity":"MONTH","partition_start":"' || ps || '","period_end":"' || {midnight('b', 1)} || '","period_start":"' || {midnight('a')} || '","row_count":' || row_count || ',"schema_version":"market-bars-v2","shard_key":"' || shard_key || '"}}' AS j FROM c),
-    f0 AS (SELECT m, id, CASE WHEN row_count % 50 = 0 THEN ['MISSING_STORAGE_OBJECT'] WHEN row_count % 49 = 0 THEN ['MISSING_FILE'] ELSE list_filter([CASE WHEN row_count % 5 = 0 THEN 'CONTENT_HASH_MISMATCH' END, CASE WHEN row_count % 7 = 0 THEN 'ROW_COUNT_MISMATCH' END], lambda x: x IS NOT NULL) END AS codes FROM c),
-    f AS (SELECT m AS manifest_id, id, unnest(codes) AS code FROM f0 UNION ALL SELECT DISTINCT m, NULL, 'DATASET_HASH_MISMATCH' FROM c WHERE m = 'm-1997'),
-    findings AS (SELECT * FROM f UNION ALL SELECT DISTINCT manifest_id, NULL, 'AVAILABLE_WITH_ERRORS' FROM f WHERE CAST(manifest_id[3:] AS INTEGER) % 2 = 0)"""
+    f0 AS (SELECT m, id, CASE WHEN row_count % 50 = 0 THEN 'MISSING_STORAGE_OBJECT' WHEN row_count % 49 = 0 OR row_count % 5 = 0 THEN 'CONTENT_HASH_MISMATCH' WHEN row_count % 11 = 0 THEN 'PARQUET_FOOTER_INVALID' WHEN row_count % 7 = 0 THEN 'ROW_COUNT_MISMATCH' END AS code FROM c WHERE m <> 'm-1995'),
+    f AS (SELECT m AS manifest_id, id, code FROM f0 WHERE code IS NOT NULL UNION ALL SELECT DISTINCT m, NULL, 'DATASET_HASH_MISMATCH' FROM f0 WHERE m = 'm-1997' OR code <> 'ROW_COUNT_MISMATCH'),
+    findings AS (SELECT * FROM f UNION ALL SELECT DISTINCT manifest_id, NULL, 'AVAILABLE_MANIFEST_HAS_ERRORS' FROM f WHERE CAST(manifest_id[3:] AS INTEGER) % 2 = 0 UNION ALL SELECT DISTINCT m, NULL, 'UNKNOWN_DATASET_CONTRACT' FROM c WHERE m = 'm-1995')"""
 
 
 def _catalog(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """Manifests of years with one wrong hash, objects of months, and storage in which things are missing or differ."""
-    o = objects(spark, sf_dir).withColumn("manifest_id", F.concat(F.lit("m-"), F.year("partition_start").cast("string"))).withColumn("object_id", F.col("id"))
+    """Manifests of years with one wrong hash and one of no contract, objects of months, and storage in which things are
+    missing or differ."""
+    o = written(objects(spark, sf_dir), "objects").withColumn("manifest_id", F.concat(F.lit("m-"), F.year("partition_start").cast("string"))).withColumn("object_id", F.col("id"))
     n = F.col("row_count")
     m = catalog.dataset_hash(o, ["manifest_id"]).withColumn("dataset_hash", F.when(F.col("manifest_id") == "m-1997", "0").otherwise(F.col("dataset_hash")))
     m = m.withColumn("status", F.when(F.substring("manifest_id", 3, 4).cast("int") % 2 == 0, "AVAILABLE").otherwise("QUARANTINED"))
+    m = m.withColumns({"price_type": F.lit("raw"), "data_layer": F.lit("DERIVED"), "resolution": F.when(F.col("manifest_id") == "m-1995", "7m").otherwise("1d")})
     storage = o.where(n % 50 != 0).select("object_id", F.concat(F.lit("k/"), F.col("id")).alias("object_key"), F.col("content_hash").alias("expected_hash"))
-    found = o.where(n % 49 != 0).select(F.concat(F.lit("k/"), F.col("id")).alias("object_key"), F.when(n % 5 == 0, "x").otherwise(F.col("content_hash")).alias("actual_hash"), F.when(n % 7 == 0, n + 1).otherwise(n).alias("actual_rows"))
+    found = o.where(n % 49 != 0).select(F.concat(F.lit("k/"), F.col("id")).alias("object_key"), F.when(n % 5 == 0, "x").otherwise(F.col("content_hash")).alias("actual_hash"), F.when(n % 11 == 0, None).when(n % 7 == 0, n + 1).otherwise(n).alias("actual_rows"))
     return m, o, storage, found
 
 
@@ -152,6 +154,48 @@ def validate_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.validate_catalog(*_catalog(spark, sf_dir))
 
 
+def _damage(spark: SparkSession, path: str, keep) -> None:
+    """Rewrites one file with what `keep` leaves of its bytes; None removes it."""
+    raw = bytes(spark.read.format("binaryFile").load(path).head()["content"])
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.delete(p, False)
+    left = keep(raw)
+    if left is not None:
+        out = fs.create(p)
+        out.write(bytearray(left))
+        out.close()
+
+
+@query(f"""{DAILY}, n AS (SELECT year(d) AS y, count(*) AS n FROM daily GROUP BY ALL), c AS (SELECT y, CASE y % 5 WHEN 0 THEN 'PARQUET_FOOTER_INVALID' WHEN 1 THEN 'CONTENT_HASH_MISMATCH' WHEN 2 THEN 'CONTENT_HASH_MISMATCH' WHEN 3 THEN 'ROW_COUNT_MISMATCH' END AS code FROM n),
+    d AS (SELECT CAST(y AS VARCHAR) AS id, code FROM c WHERE code IS NOT NULL), r AS (SELECT count(*) AS files, count(*) FILTER (y % 5 = 2) AS missing, count(*) FILTER (y % 5 = 1) AS changed FROM c)
+    SELECT 'catalog' AS check, id, code, CAST(NULL AS BIGINT) AS n FROM d UNION ALL SELECT DISTINCT 'catalog', NULL, 'DATASET_HASH_MISMATCH', NULL FROM d WHERE code <> 'ROW_COUNT_MISMATCH' UNION ALL SELECT DISTINCT 'catalog', NULL, 'AVAILABLE_MANIFEST_HAS_ERRORS', NULL FROM d
+    UNION ALL SELECT 'resume', NULL, 'MISSING', missing FROM r UNION ALL SELECT 'resume', NULL, 'HASH_MISMATCH', changed FROM r UNION ALL SELECT 'resume', NULL, 'FILES', files FROM r""")
+def validate_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of bars by year, recorded as they were written, then damaged: cut before they were recorded, changed, removed,
+    or recorded with another number of rows. Both the catalog and the resumption of the job look at the files."""
+    path = shared_path(spark, "catalog")
+    b = daily_bars(spark, sf_dir).withColumn("year", F.year("session_date_et"))
+    b.repartition("year").sortWithinPartitions("year", "instrument_id", "bar_start_at").write.partitionBy("year").parquet(path)
+    names = {int(r["path"].split("year=")[1][:4]): r["path"] for r in spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").load(path).select("path").collect()}
+    for y in (y for y in names if y % 5 == 0):
+        _damage(spark, names[y], lambda raw: raw[:-9] + raw[-8:])
+    seen = lambda: catalog.parquet_files(spark, path).where("path LIKE '%.parquet'").withColumn("id", F.regexp_extract("path", "year=([0-9]+)", 1))
+    recorded = written(seen(), "recorded")
+    for y in names:
+        if y % 5 in (1, 2):
+            _damage(spark, names[y], (lambda raw: raw[:100] + bytes([raw[100] ^ 1]) + raw[101:]) if y % 5 == 1 else (lambda raw: None))
+    n = b.groupBy(F.col("year").cast("string").alias("id")).agg(F.count("*").alias("row_count"), F.min("session_date_et").alias("partition_start"), F.max("session_date_et").alias("partition_end"))
+    o = n.join(recorded.select("id", F.col("sha256").alias("content_hash")), "id").withColumns({"manifest_id": F.lit("m"), "object_id": F.col("id"), "object_kind": F.lit("MARKET_DATA"), "partition_granularity": F.lit("YEAR"), "shard_key": F.lit("s00-of-1"), "part_number": F.lit(1), "schema_version": F.lit("v2")})
+    o = o.withColumns({"row_count": F.when(F.col("id").cast("int") % 5 == 3, F.col("row_count") + 1).otherwise(F.col("row_count")), "period_start": F.col("partition_start").cast("timestamp"), "period_end": F.date_add("partition_end", 1).cast("timestamp")})
+    m = catalog.dataset_hash(o, ["manifest_id"]).withColumns({"status": F.lit("AVAILABLE"), "price_type": F.lit("raw"), "data_layer": F.lit("DERIVED"), "resolution": F.lit("1d")})
+    now = written(seen(), "found")
+    findings = jobs.validate_catalog(m, o, o.select("object_id", F.col("id").alias("object_key"), F.col("content_hash").alias("expected_hash")), now.select(F.col("id").alias("object_key"), F.col("sha256").alias("actual_hash"), F.col("rows").alias("actual_rows")))
+    resume = catalog.resume_check(recorded, now)
+    counts = resume.select(F.explode(F.array(*[F.struct(F.lit(c.upper()).alias("code"), F.col(c).alias("n")) for c in ("missing", "hash_mismatch", "files")])).alias("x")).select(F.lit("resume").alias("check"), F.lit(None).cast("string").alias("id"), "x.code", "x.n")
+    return findings.select(F.lit("catalog").alias("check"), "id", "code", F.lit(None).cast("long").alias("n")).unionByName(counts)
+
+
 _INCIDENTS = f"""{_CATALOG}, i AS (SELECT c.*, 'quality-incident|' || m || '|CONTENT_HASH_MISMATCH|OBJECT|None|' || shard_key || '|' || ps || '|' || CAST(ps + INTERVAL 1 MONTH AS DATE) || '|' || {midnight('a')} || '|' || {midnight('b', 1)} || '|' || c.id AS scope FROM findings x JOIN c ON c.id = x.id AND c.m = x.manifest_id WHERE code = 'CONTENT_HASH_MISMATCH')"""
 
 
