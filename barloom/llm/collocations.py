@@ -9,6 +9,7 @@ and take the place of the ids, so that the pairs of pairs are phrases of three w
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from barloom.llm.common import discard, mixed, n_partitions, release, signed, written
+from barloom.llm.common import discard, mixed, n_partitions, release, signed, span_hashes, written
 from barloom.llm.jaccard import bit_filter, passes
 
 #: Least count of a phrase, longest phrase, and phrases that are reported for each language.
@@ -27,7 +28,7 @@ SHARE = 80
 #: The language of texts that have none.
 NO_LANG = "und"
 #: Bytes of text in a chunk; a longer text is a chunk of its own.
-CHUNK = 4 << 20
+CHUNK = 2 << 20
 #: Ids along a tile's side, and the pairs of a chunk that make a tile worth a dense array.
 SIDE, DENSE = 512, 512 * 512 // 16
 
@@ -36,30 +37,34 @@ TOKEN = re.compile(rb"[^ \t.,;:!?\n-\r]+|[.,;:!?\n-\r]")
 _MARKS = frozenset(bytes([b]) for b in b".,;:!?\n\x0b\x0c\r")
 
 
-def _ints(x: np.ndarray) -> bytes:
-    return x.astype("<i8").tobytes()
+def _packed(x: np.ndarray) -> bytes:
+    """Whole numbers in four bytes each where they fit, else in eight; the first byte says which."""
+    kind = "<i4" if x.max(initial=0) < 1 << 31 else "<i8"
+    return bytes([int(kind[2])]) * 8 + x.astype(kind).tobytes()
+
+
+def _unpacked(raw: pa.Scalar) -> np.ndarray:
+    buf = raw.as_buffer()
+    return np.frombuffer(buf, f"<i{buf[0]}", offset=8).astype(np.int64)
+
+
+_CHUNK_ROW = "chunk long, ids binary, langs array<string>, sizes array<int>, words array<string>"
 
 
 def chunks(docs: DataFrame, text_column: str = "text", lang_column: str = "lang") -> DataFrame:
-    """(chunk, local, lang, word, n, ids): for each chunk a row for each of its words, numbered within the chunk, with its
-    count there, and one row (local null) whose ids are the words of its texts in order, -1 where a piece ends."""
+    """A row for each chunk of texts: ids are its words in order, -1 where a piece ends; word i stands at place i of `words`,
+    which has those of each of `langs`, `sizes` of them, one language after the other."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 32
-        number, size, seq, books = part, 0, [], {}
-
-        def rows():
-            ids = np.array(seq, np.int64)
-            names = [(lang, w) for lang, book in books.items() for w in book]
-            local = np.array([i for book in books.values() for i in book.values()], np.int64)
-            n = np.bincount(ids[ids >= 0], minlength=len(local))[local]
-            k = len(local)
-            for a in range(0, k, 1 << 16):
-                b = min(k, a + (1 << 16))
-                yield pa.RecordBatch.from_arrays([pa.array([number] * (b - a), pa.int64()), pa.array(local[a:b]), pa.array([x for x, _ in names[a:b]], pa.string()), pa.array([w.decode() for _, w in names[a:b]], pa.string()), pa.array(n[a:b]), pa.nulls(b - a, pa.binary())], header)
-            yield pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.string()), pa.nulls(1, pa.string()), pa.array([int(n.sum())], pa.int64()), pa.array([_ints(ids)], pa.binary())], header)
-
-        words = 0
+        number, size, seq, books, words = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 32, 0, [], {}, 0
+
+        def row():
+            place = np.full(words + 1, -1, np.int64)  # the last place is for what is -1
+            place[np.array([i for book in books.values() for i in book.values()], np.int64)] = np.arange(words)
+            cols = ([number], [_packed(place[np.array(seq, np.int64)])], [list(books)], [[len(b) for b in books.values()]], [[w.decode() for b in books.values() for w in b]])
+            kinds = (pa.int64(), pa.binary(), pa.list_(pa.string()), pa.list_(pa.int32()), pa.list_(pa.string()))
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], [c.split()[0] for c in _CHUNK_ROW.split(", ")])
+
         for batch in batches:
             for text, lang in zip(batch.column("text"), batch.column("lang")):
                 raw = (text.as_py() or "").encode().lower()
@@ -76,14 +81,58 @@ def chunks(docs: DataFrame, text_column: str = "text", lang_column: str = "lang"
                 seq.append(-1)
                 size += len(raw)
                 if size >= CHUNK:
-                    yield from rows()
+                    if words:
+                        yield row()
                     number, size, seq, books, words = number + 1, 0, [], {}, 0
         if words:
-            yield from rows()
+            yield row()
 
-    header = ["chunk", "local", "lang", "word", "n", "ids"]
     rows = docs.select(F.col(text_column).cast("string").alias("text"), F.coalesce(F.col(lang_column).cast("string"), F.lit(NO_LANG)).alias("lang"))
-    return rows.mapInArrow(run, "chunk long, local long, lang string, word string, n long, ids binary")
+    return rows.mapInArrow(run, _CHUNK_ROW)
+
+
+def _word_hashes(langs: list[str], sizes: list[int], words: pa.Array) -> np.ndarray:
+    """A number for each word of a chunk in its language, by which filters and first counts know it."""
+    offs = np.frombuffer(words.buffers()[1], np.int32)[words.offset : words.offset + len(words) + 1].astype(np.int64)
+    data = np.frombuffer(words.buffers()[2], np.uint8)
+    seeds = np.array([zlib.crc32(x.encode()) for x in langs], np.uint64)
+    return signed(mixed(span_hashes(data, offs[:-1], offs[1:]) ^ np.repeat(mixed(seeds + np.uint64(1)), sizes)))
+
+
+def _chunk_words(batches: Iterator[pa.RecordBatch]):
+    """(chunk, languages, sizes, words, hashes and counts of the words) of each chunk."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            words = batch.column("words")[i].values
+            langs, sizes = batch.column("langs")[i].as_py(), batch.column("sizes")[i].as_py()
+            ids = _unpacked(batch.column("ids")[i])
+            yield batch.column("chunk")[i].as_py(), langs, sizes, words, _word_hashes(langs, sizes, words), np.bincount(ids[ids >= 0], minlength=len(words))
+
+
+def hash_counts(read: DataFrame) -> DataFrame:
+    """(lang, null, n): words of each language in each chunk; (null, hash, n): of each word, by its hash."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, langs, sizes, words, hashes, n in _chunk_words(batches):
+            ends = np.cumsum(sizes)
+            of = [int(n[e - k : e].sum()) for e, k in zip(ends, sizes)]
+            yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.nulls(len(langs), pa.int64()), pa.array(of, pa.int64())], ["lang", "hash", "n"])
+            yield pa.RecordBatch.from_arrays([pa.nulls(len(hashes), pa.string()), pa.array(hashes), pa.array(n)], ["lang", "hash", "n"])
+
+    return read.mapInArrow(run, "lang string, hash long, n long")
+
+
+def chunk_words(read: DataFrame, wanted: np.ndarray) -> DataFrame:
+    """(chunk, local, lang, word, n) of the words of each chunk that a filter of hashes lets through."""
+    filter_ = read.sparkSession.sparkContext.broadcast(wanted)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for chunk, langs, sizes, words, hashes, n in _chunk_words(batches):
+            at = np.flatnonzero(passes(filter_.value, hashes))
+            lang = pa.array(langs, pa.string()).take(pa.array(np.repeat(np.arange(len(langs)), sizes)[at]))
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), chunk, np.int64)), pa.array(at), lang, words.take(pa.array(at)), pa.array(n[at])], ["chunk", "local", "lang", "word", "n"])
+
+    return read.mapInArrow(run, "chunk long, local long, lang string, word string, n long")
 
 
 def ranked(counted: DataFrame, *keys: str) -> DataFrame:
@@ -149,7 +198,7 @@ def pair_counts(coded: DataFrame, wanted: np.ndarray | None = None) -> DataFrame
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for chunk, raw in zip(batch.column("chunk").to_pylist(), batch.column("ids")):
-                ids = np.frombuffer(raw.as_buffer(), "<i8")
+                ids = _unpacked(raw)
                 at = _pairs(ids)
                 if filter_ is not None:
                     at = at[passes(filter_.value, _keys(ids[at], ids[at + 1]))]
@@ -168,13 +217,13 @@ def _columns(group: pa.Table, *names: str) -> list[np.ndarray]:
 def _coded(chunk: int, ids: np.ndarray) -> pa.Table:
     # A chunk whose ids are all gone has nothing for later levels.
     some = bool((ids >= 0).any())
-    return pa.table({"chunk": pa.array([chunk] * some, pa.int64()), "ids": pa.array([_ints(ids)] * some, pa.binary())})
+    return pa.table({"chunk": pa.array([chunk] * some, pa.int64()), "ids": pa.array([_packed(ids)] * some, pa.binary())})
 
 
 def _recode_words(left: pa.Table, right: pa.Table) -> pa.Table:
     if not left.num_rows:
         return _coded(0, np.zeros(0, np.int64))
-    ids = np.frombuffer(left.column("ids")[0].as_buffer(), "<i8")
+    ids = _unpacked(left.column("ids")[0])
     local, new = _columns(right, "local", "id")
     table = np.full(int(ids.max(initial=-1)) + 2, -1, np.int64)  # the last place is for what was -1
     table[local] = new
@@ -184,7 +233,7 @@ def _recode_words(left: pa.Table, right: pa.Table) -> pa.Table:
 def _recode_pairs(left: pa.Table, right: pa.Table) -> pa.Table:
     if not left.num_rows:
         return _coded(0, np.zeros(0, np.int64))
-    ids = np.frombuffer(left.column("ids")[0].as_buffer(), "<i8")
+    ids = _unpacked(left.column("ids")[0])
     a, b, new = _columns(right, "a", "b", "id")
     out = np.full(len(ids), -1, np.int64)
     at = _pairs(ids)
@@ -220,14 +269,17 @@ def levels(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, text_col
     the ids of the phrases of length k - 1 that it begins and ends with."""
     spark = docs.sparkSession
     read = written(chunks(docs, text_column, lang_column), "chunks")
-    words = read.where("local is not null")
-    by_word = written(words.groupBy("lang", "word").agg(F.sum("n").alias("f")), "words")
-    totals = written(by_word.groupBy("lang").agg(F.sum("f").alias("n")), "totals")
-    phrase = ranked(by_word.where(F.col("f") >= least).withColumnRenamed("word", "phrase"), "lang", "phrase")
+    # Words are counted by hashes first: only those that may be frequent are sent as words.
+    hashes = written(hash_counts(read).groupBy("lang", "hash").agg(F.sum("n").alias("n")), "hashes")
+    totals = hashes.where("lang is not null").select("lang", "n")
+    often = hashes.where(F.col("lang").isNull() & (F.col("n") >= least)).select("hash")
+    words = written(chunk_words(read, bit_filter(often, often.count())), "words")
+    by_word = words.groupBy("lang", "word").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
+    phrase = ranked(by_word.withColumnRenamed("word", "phrase"), "lang", "phrase")
     found = [written(phrase.select("id", "lang", "phrase", "f", F.array("f").alias("heads"), F.array("f").alias("tails")), "phrases")]
     book = words.select("chunk", "local", "lang", F.col("word").alias("phrase")).join(found[0].select("lang", "phrase", "id"), ["lang", "phrase"]).select("chunk", "local", "id")
-    coded = _recode(read.where("local is null").select("chunk", "ids"), book, _recode_words)
-    discard(read, by_word)
+    coded = _recode(read.select("chunk", "ids"), book, _recode_words)
+    discard(read, words)
     for length in range(2, longest + 1):
         counted = pair_counts(coded).groupBy("a", "b").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
         frequent = written(ranked(written(counted, "counted"), "a", "b"), "frequent")
