@@ -5,7 +5,7 @@ from __future__ import annotations
 import hashlib
 import json
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from barloom.functions.keys import UUID_NAMESPACE, deterministic_uuid, iso_utc
 from barloom.functions.values import canonical_json, half_even_ratio, quantize, sha256
+from barloom.sources.shared import written
 
 #: Prices in units of 1e-8, so that sums are exact.
 _UNITS = "decimal(30,0)"
@@ -278,32 +279,49 @@ def result_hashes(values: DataFrame, input_hash: str, period_start: str, period_
     return done.select("definition_id", "definition_hash", "instrument_id", "row_count", sha256(payload).alias("result_hash"))
 
 
-def _hash_of_all(rows: DataFrame, text: Column, before: str, after: str) -> DataFrame:
-    """One row: SHA-256 of before, the texts in order joined by commas, and after."""
-    return rows.groupBy().agg(sha256(F.concat(F.lit(before), F.array_join(F.array_sort(F.collect_list(text)), ","), F.lit(after))).alias("hash"))
+def _hash_of_all(rows: DataFrame, text: Column, before: Column, after: str) -> DataFrame:
+    """One row: SHA-256 of before, the texts in order joined by commas, and after; of no rows there is no row.
+
+    Texts are sorted by ranges and go by one task in this order, which digests them as they come and holds none of them.
+    before may be a column, the same one in all rows."""
+
+    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        so_far, sep = None, b""
+        for b in batches:
+            for head, x in zip(b.column("before"), b.column("text")):
+                if so_far is None:
+                    so_far = hashlib.sha256(head.as_py().encode())
+                so_far.update(sep + x.as_py().encode())
+                sep = b","
+        if so_far is not None:
+            so_far.update(after.encode())
+            yield pa.RecordBatch.from_arrays([pa.array([so_far.hexdigest()])], ["hash"])
+
+    return rows.select(before.alias("before"), text.alias("text")).orderBy("text").coalesce(1).mapInArrow(digest, "hash string")
 
 
 def snapshot_batch(planned: DataFrame, materialized: DataFrame, period_start: str, period_end: str, start_watermark: str, end_watermark: str) -> DataFrame:
     """One row: the batch's id and key, members, whether every planned one succeeded, and if so rows and hash of the batch.
 
     planned: definition_hash, instrument_id, input_dataset_set_hash. The hashes are over canonical JSON of sets in order:
-    of definitions, of inputs, and of members; the batch document itself holds these lists, so they are one row."""
+    of definitions, of inputs, and of members, which are digested as streams: no row holds all of them."""
     j = planned.join(materialized.select("definition_hash", "instrument_id", "status", "row_count", "result_hash"), ["definition_hash", "instrument_id"], "left")
     ok = F.coalesce(F.col("status") == "SUCCEEDED", F.lit(False))
     quoted = F.concat(F.lit('"'), F.col("definition_hash"), F.lit('"'))
-    feature_set = _hash_of_all(planned.select("definition_hash").distinct(), quoted, '{"definition_hashes":[', f'],"feature_set_schema_version":{SCHEMA_VERSION}}}')
+    feature_set = _hash_of_all(planned.select("definition_hash").distinct(), quoted, F.lit('{"definition_hashes":['), f'],"feature_set_schema_version":{SCHEMA_VERSION}}}')
     market = canonical_json(input_dataset_set_hash=F.col("input_dataset_set_hash"), instrument_id=F.col("instrument_id"))
-    market_set = _hash_of_all(planned.select("input_dataset_set_hash", "instrument_id").distinct(), market, '{"market_inputs":[', f'],"market_set_schema_version":{SCHEMA_VERSION}}}')
+    market_set = _hash_of_all(planned.select("input_dataset_set_hash", "instrument_id").distinct(), market, F.lit('{"market_inputs":['), f'],"market_set_schema_version":{SCHEMA_VERSION}}}')
     member = canonical_json(definition_hash=F.col("definition_hash"), input_dataset_set_hash=F.col("input_dataset_set_hash"), instrument_id=F.col("instrument_id"), result_hash=F.col("result_hash"))
-    members = F.array_join(F.array_sort(F.collect_list(member)), ",")
-    out = j.groupBy().agg(F.count("*").alias("members"), F.count_if(~ok).alias("unready"), F.sum("row_count").alias("row_count"), members.alias("_members"))
-    out = out.crossJoin(feature_set.withColumnRenamed("hash", "feature_set_hash")).crossJoin(market_set.withColumnRenamed("hash", "input_market_set_hash"))  # one row each
+    sets = written(feature_set.withColumnRenamed("hash", "feature_set_hash").crossJoin(market_set.withColumnRenamed("hash", "input_market_set_hash")), "sets")  # one row each
+    counts = j.groupBy().agg(F.count("*").alias("members"), F.count_if(~ok).alias("unready"), F.sum("row_count").alias("row_count"))
     pair = lambda name, value: F.concat(F.lit(f'"{name}":"'), value, F.lit('"'))
-    sets = F.concat_ws(",", pair("feature_set_hash", F.col("feature_set_hash")), pair("input_market_set_hash", F.col("input_market_set_hash")))
     period = (("period_end", period_end), ("period_start", period_start), ("source_end_watermark", end_watermark), ("source_start_watermark", start_watermark))
-    payload = F.concat(F.lit(f'{{"batch_schema_version":{SCHEMA_VERSION},'), sets, F.lit(',"members":['), F.col("_members"), F.lit("],"), F.concat_ws(",", *[pair(k, F.lit(v)) for k, v in period]), F.lit("}"))
+    head = F.concat(F.lit(f'{{"batch_schema_version":{SCHEMA_VERSION},'), pair("feature_set_hash", F.col("feature_set_hash")), F.lit(","), pair("input_market_set_hash", F.col("input_market_set_hash")), F.lit(',"members":['))
+    tail = "]," + ",".join(f'"{k}":"{v}"' for k, v in period) + "}"
+    batch = _hash_of_all(j.where(ok).crossJoin(F.broadcast(sets)), member, head, tail).withColumnRenamed("hash", "_batch")
+    out = counts.join(sets, F.lit(True), "left").join(batch, F.lit(True), "left")  # one row each
     compact = lambda x: "".join(c for c in x if c not in "-:")
     key = F.concat_ws(":", F.lit("fsb1"), F.substring("feature_set_hash", 1, 16), F.substring("input_market_set_hash", 1, 16), F.lit(compact(period_start)), F.lit(compact(period_end)))
     sealed = (F.col("members") > 0) & (F.col("unready") == 0)
     out = out.withColumn("idempotency_key", key).withColumn("id", deterministic_uuid(F.lit("feature-snapshot-batch"), "idempotency_key"))
-    return out.select("id", "idempotency_key", "members", "unready", sealed.alias("sealed"), F.when(sealed, F.col("row_count")).alias("row_count"), F.when(sealed, sha256(payload)).alias("batch_hash"))
+    return out.select("id", "idempotency_key", "members", "unready", sealed.alias("sealed"), F.when(sealed, F.col("row_count")).alias("row_count"), F.when(sealed, F.col("_batch")).alias("batch_hash"))

@@ -9,7 +9,9 @@ from barloom.functions import keys
 from barloom.operators import merge, quality, resample
 from barloom.operators import sessions as ses
 from barloom.plans.registration import new_registry
+from barloom.sources import files
 from barloom.sources.market import bars_30m, daily_bars, secs, sessions, table, ticks
+from barloom.sources.shared import shared_path
 
 QUERIES, ORACLE_SQL, query = new_registry()
 
@@ -42,15 +44,24 @@ def shown(b: DataFrame, *more: str) -> DataFrame:
 _SHOWN = "instrument_id, s AS bar_start_at, open, high, low, close, volume, trade_count, round(vwap, 6) AS vwap"
 
 
+def _stored(spark: SparkSession, sf_dir: str) -> str:
+    """Bars written as files of the fixed schema."""
+    path = shared_path(spark, "bars")
+    files.write_bars(bars_30m(spark, sf_dir).withColumn("provider_symbol", F.col("instrument_id")).select(*files.BAR_SCHEMA.names), path, 4)
+    return path
+
+
 @query(f"{BARS} SELECT {_SHOWN} FROM bars")
 def bars_30m_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shown(bars_30m(spark, sf_dir))
+    return shown(files.bar_scan(spark, _stored(spark, sf_dir)))
 
 
 @query(f"{BARS} SELECT {_SHOWN} FROM bars WHERE instrument_id = 'click' AND s >= epoch(DATE '2024-01-08') AND s < epoch(DATE '2024-01-15')")
 def bars_one_instrument_period(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = ticks(spark, sf_dir).where((F.col("event_type") == "click") & (F.col("ts") >= F.lit("2024-01-08").cast("timestamp")) & (F.col("ts") < F.lit("2024-01-15").cast("timestamp")))
-    return shown(resample.bars_from_ticks(t, 30, "event_type", "ts", "value", "event_id"))
+    at = F.col("bar_start_at")
+    one = (F.col("instrument_id") == "click") & (at >= F.lit("2024-01-08").cast("timestamp")) & (at < F.lit("2024-01-15").cast("timestamp"))
+    columns = ["instrument_id", "bar_start_at", *_OHLC, "volume", "trade_count", "vwap"]
+    return shown(files.projected_scan(spark, [_stored(spark, sf_dir)], columns, one))
 
 
 @query(f"{BARS} SELECT {_SHOWN} FROM ib")

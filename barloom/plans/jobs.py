@@ -247,14 +247,14 @@ def lineage_reuse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return catalog.reused_sources(li.select("object_id").distinct(), edges, li.distinct(), m)
 
 
-@query(f"""{DAILY}, i AS (SELECT {shard_key_sql('instrument_id', 4)} AS shard_key, d, count(*) AS n FROM daily GROUP BY ALL), ses AS (SELECT CAST(unnest(generate_series(DATE '1997-01-01', DATE '1997-12-31', INTERVAL 1 DAY)) AS DATE) AS d),
+@query(f"""{DAILY}, i AS (SELECT {shard_key_sql('instrument_id', 4)} AS shard_key, d, count(*) AS n FROM daily GROUP BY ALL), ses AS (SELECT CAST(unnest(generate_series((SELECT min(d) FROM daily), (SELECT max(d) FROM daily), INTERVAL 1 DAY)) AS DATE) AS d),
     z AS (SELECT s.shard_key, date_trunc('month', ses.d) AS m, count(i.n) AS have, count(*) AS need FROM (SELECT DISTINCT shard_key FROM i) s CROSS JOIN ses LEFT JOIN i ON i.shard_key = s.shard_key AND i.d = ses.d GROUP BY ALL)
     SELECT z.shard_key, CAST(CAST(m AS DATE) AS VARCHAR) AS target_start, CAST(sum(n) AS BIGINT) AS rows FROM z JOIN i ON i.shard_key = z.shard_key AND date_trunc('month', i.d) = m WHERE have = need GROUP BY ALL""")
 def compact_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Day objects of a year whose every day is due: months that are complete are written again as one object each."""
-    b = daily_bars(spark, sf_dir)
+    """Day objects, with every day of the table due: months that are complete are written again as one object each."""
+    b = written(daily_bars(spark, sf_dir), "daily")
     inputs = b.groupBy(keys.shard_key("instrument_id", 4).alias("shard_key"), F.col("session_date_et").alias("partition_start")).agg(F.count("*").alias("row_count"))
-    due = spark.sql("SELECT explode(sequence(DATE'1997-01-01', DATE'1997-12-31')) AS session_date").withColumn("opens_at", F.col("session_date").cast("timestamp"))
+    due = b.agg(F.explode(F.sequence(F.min("session_date_et"), F.max("session_date_et"))).alias("session_date")).withColumn("opens_at", F.col("session_date").cast("timestamp"))
     path = shared_path(spark, "compacted")
     out = catalog.compact(b, catalog.compaction_plan(inputs, due, "MONTH"), "MONTH", 4)
     out.repartition("shard_key", "target_start").sortWithinPartitions("shard_key", "target_start", "instrument_id", "bar_start_at").write.partitionBy("target_start", "shard_key").parquet(path)

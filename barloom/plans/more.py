@@ -42,9 +42,9 @@ def storage_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.storage_profile(o).withColumn("mean_bytes", F.round("mean_bytes", 6))
 
 
-@query("""WITH m AS (SELECT o_orderkey AS k, o_custkey AS c FROM orders WHERE o_orderstatus = 'F') SELECT k AS manifest_id, count(*) AS objects, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS row_count FROM m JOIN lineitem ON l_orderkey = k JOIN part ON p_partkey = l_partkey GROUP BY k""")
+@query("""WITH m AS (SELECT o_orderkey AS k, o_custkey AS c FROM orders) SELECT k AS manifest_id, count(*) AS objects, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS row_count FROM m JOIN lineitem ON l_orderkey = k JOIN part ON p_partkey = l_partkey GROUP BY k""")
 def manifest_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = table(spark, sf_dir, "orders").where("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("id"))
+    m = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"))
     o = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("manifest_id"), F.col("l_partkey").alias("object_id"), F.col("l_quantity").cast("long").alias("row_count"))
     s = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("object_id"), F.col("p_name").alias("object_key"))
     return catalog.manifest_objects(m, o, s).groupBy("manifest_id").agg(F.count("*").alias("objects"), F.sum("row_count").alias("row_count"))

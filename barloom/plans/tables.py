@@ -31,12 +31,12 @@ def bar_sink_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.groupBy("instrument_id").agg(F.count("*").alias("bars"), F.sum("volume").alias("volume"))
 
 
-@query(f"{DAILY} SELECT instrument_id, count(*) AS bars, CAST(max(epoch(d)) AS BIGINT) // 86400 AS last_day FROM daily WHERE year(d) < 1999 GROUP BY ALL")
+@query(f"{DAILY} SELECT instrument_id, count(*) AS bars, CAST(max(epoch(d)) AS BIGINT) // 86400 AS last_day FROM daily GROUP BY ALL")
 def staging_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_path(spark, "staging")
     b = _full(daily_bars(spark, sf_dir))
     files.staging_write(b.where("year(session_date_et) < 1998"), path, "raw", "c1", 4)
-    files.staging_write(b.where("year(session_date_et) < 1999"), path, "raw", "c1", 4)  # the chunk again, and more
+    files.staging_write(b, path, "raw", "c1", 4)  # the chunk again, and more
     back = spark.read.schema(files.BAR_SCHEMA).parquet(path)
     return back.groupBy("instrument_id").agg(F.count("*").alias("bars"), F.datediff(F.max("session_date_et"), F.lit("1970-01-01").cast("date")).cast("long").alias("last_day"))
 
@@ -73,9 +73,9 @@ def action_page_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return actions.explode_pages(s.select(page.alias("page"))).select("ticker", "event_type", "terms")
 
 
-@query(f"{DAILY}, r AS (SELECT * FROM daily WHERE d >= DATE '2000-01-05' AND d <= DATE '2000-06-30' QUALIFY row_number() OVER (PARTITION BY instrument_id ORDER BY d DESC) <= 10) SELECT instrument_id, count(*) AS bars, CAST(sum(volume) AS BIGINT) AS volume FROM r GROUP BY ALL")
+@query(f"{DAILY}, r AS (SELECT * FROM daily WHERE d >= DATE '2000-07-01' - 900 AND d <= DATE '2000-06-30' QUALIFY row_number() OVER (PARTITION BY instrument_id ORDER BY d DESC) <= 10) SELECT instrument_id, count(*) AS bars, CAST(sum(volume) AS BIGINT) AS volume FROM r GROUP BY ALL")
 def history_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = files.history_documents(daily_bars(spark, sf_dir).where("session_date_et >= DATE'2000-01-05'"), "1d", 10, "2000-07-01 00:00:00")
+    d = files.history_documents(daily_bars(spark, sf_dir), "1d", 10, "2000-07-01 00:00:00")
     docs = d.select("instrument_id", "bars", F.from_json("document", "array<struct<volume:bigint>>").alias("x"))
     return docs.select("instrument_id", "bars", F.aggregate("x", F.lit(0).cast("long"), lambda a, y: a + y["volume"]).alias("volume"))
 
@@ -98,9 +98,9 @@ def catalog_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.catalog_scan(spark, path, "o_orderkey bigint, o_orderstatus string, o_custkey bigint", o_orderstatus="F", o_custkey=7)
 
 
-@query(f"{DAILY} SELECT instrument_id, CAST(coalesce(max(epoch(d)) FILTER (year(d) = 2001 AND month(d) > 10), max(epoch(d)) FILTER (year(d) = 2000)) AS BIGINT) // 86400 AS last_day FROM daily WHERE year(d) = 2000 OR (year(d) = 2001 AND month(d) > 10) GROUP BY ALL")
+@query(f"{DAILY} SELECT instrument_id, CAST(coalesce(max(epoch(d)) FILTER (year(d) = 2001), max(epoch(d)) FILTER (year(d) = 2000)) AS BIGINT) // 86400 AS last_day FROM daily WHERE year(d) IN (2000, 2001) GROUP BY ALL")
 def latest_published(spark: SparkSession, sf_dir: str) -> DataFrame:
-    b = daily_bars(spark, sf_dir).where("year(session_date_et) < 2001 OR month(session_date_et) > 10")
+    b = daily_bars(spark, sf_dir)
     day = F.datediff(keys.session_date_et("latest"), F.lit("1970-01-01").cast("date")).cast("long")
     return files.latest_published(b, 2001).select("instrument_id", day.alias("last_day"))
 

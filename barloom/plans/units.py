@@ -166,10 +166,10 @@ def legacy_symbol_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("instrument_id", F.col("session_date_et").cast("string").alias("day"), "close", keys.session_date_et("changed_from").cast("string").alias("changed_from"))
 
 
-@query("""WITH a AS (SELECT DISTINCT l_suppkey AS k FROM lineitem WHERE l_returnflag = 'A' AND l_quantity > 48), b AS (SELECT DISTINCT l_suppkey AS k FROM lineitem WHERE l_returnflag = 'R' AND l_quantity > 48)
+@query("""WITH a AS (SELECT DISTINCT l_suppkey AS k FROM lineitem WHERE l_returnflag = 'A'), b AS (SELECT DISTINCT l_suppkey AS k FROM lineitem WHERE l_returnflag = 'R')
     SELECT 'union' AS form, k FROM (SELECT k FROM a UNION SELECT k FROM b) UNION ALL SELECT 'intersect', k FROM (SELECT k FROM a INTERSECT SELECT k FROM b) UNION ALL SELECT 'except', k FROM (SELECT k FROM a EXCEPT SELECT k FROM b)""")
 def set_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem").where("l_quantity > 48")
+    li = table(spark, sf_dir, "lineitem")
     a, b = (li.where(F.col("l_returnflag") == m).select(F.col("l_suppkey").alias("k")) for m in ("A", "R"))
     forms = {"union": a.unionByName(b).distinct(), "intersect": a.intersect(b), "except": a.subtract(b)}
     out = [df.select(F.lit(name).alias("form"), "k") for name, df in forms.items()]
