@@ -98,12 +98,29 @@ def first_gap(intervals: DataFrame, key: str, start: Column, end: Column, lo: st
     return out.select(key, F.coalesce("_gap", none).alias("first_gap"))
 
 
+def last_before(df: DataFrame, key: str, order: list[str], bucket: Column, value: str, out: str) -> DataFrame:
+    """df with `out`: the key's last value that is not null in the rows before this one, in the given order.
+
+    Rows are ordered within (key, bucket) alone, where buckets must follow the order; what the buckets before a bucket end
+    with is one row for each bucket, so that no task orders all rows of a key."""
+    b = df.withColumn("_bucket", bucket)
+    w = Window.partitionBy(key, "_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy(key).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    place = F.struct(*order)
+    ends = b.groupBy(key, "_bucket").agg(F.max_by(value, F.when(F.col(value).isNotNull(), place)).alias("_end"))
+    carried = ends.select(F.col(key).alias("_key"), F.col("_bucket").alias("_of"), F.last("_end", ignorenulls=True).over(before).alias("_carried"))
+    same = F.col(key).eqNullSafe(F.col("_key")) & F.col("_bucket").eqNullSafe(F.col("_of"))
+    own = b.withColumn("_own", F.last(value, ignorenulls=True).over(w)).join(carried, same, "left")
+    return own.withColumn(out, F.coalesce("_own", "_carried")).drop("_bucket", "_own", "_key", "_of", "_carried")
+
+
 def asof_before(left: DataFrame, right: DataFrame, key: str, left_time: str, right_time: str, value: str, out: str) -> DataFrame:
     """left with `out`: the value of the key's last right row strictly before left_time.
 
-    Both sides are laid into one order and the last value carried on, so rows are not multiplied."""
+    Both sides are laid into one order and the last value carried on, by days, so rows are not multiplied and a key with very
+    many rows is spread over its days."""
     l = left.withColumn("_t", F.col(left_time)).withColumn("_side", F.lit(0)).withColumn("_v", F.lit(None).cast(right.schema[value].dataType))
     pad = [F.lit(None).cast(f.dataType).alias(f.name) for f in left.schema if f.name != key]
     r = right.select(key, *pad, F.col(right_time).alias("_t"), F.lit(1).alias("_side"), F.col(value).alias("_v"))
-    w = Window.partitionBy(key).orderBy("_t", "_side").rowsBetween(Window.unboundedPreceding, -1)
-    return l.unionByName(r).withColumn(out, F.last("_v", ignorenulls=True).over(w)).where("_side = 0").drop("_t", "_side", "_v")
+    both = last_before(l.unionByName(r), key, ["_t", "_side"], F.to_date("_t"), "_v", out)
+    return both.where("_side = 0").drop("_t", "_side", "_v")

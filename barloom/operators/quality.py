@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from barloom.functions.keys import deterministic_uuid, et_midnight, iso_utc, session_date_et
 from barloom.functions.values import reasons
+from barloom.operators.merge import last_before
 from barloom.operators.sessions import expected_bars
 
 # Thresholds of the published policies.
@@ -106,11 +107,10 @@ def partition_boundary_violation(bars: DataFrame, start: str, end: str) -> DataF
 
 
 def return_outliers(bars: DataFrame, limit: float = MAX_LOG_RETURN) -> DataFrame:
-    """Bars whose log return to the bar before, of the same session, is over the limit."""
-    w = Window.partitionBy("instrument_id").orderBy("bar_start_at")
-    prev, day = F.lag("close").over(w), F.lag("session_date_et").over(w)
-    b = bars.withColumn("_prev", prev).withColumn("_day", day)
-    ok = (F.col("_day") == F.col("session_date_et")) & (F.col("close") > 0) & (F.col("_prev") > 0)
+    """Bars whose log return to the bar before, of the same session, is over the limit. A session is ordered by itself."""
+    w = Window.partitionBy("instrument_id", "session_date_et").orderBy("bar_start_at")
+    b = bars.withColumn("_prev", F.lag("close").over(w))
+    ok = (F.col("close") > 0) & (F.col("_prev") > 0)
     return _offending(b.where(ok & (F.abs(F.log(F.col("close") / F.col("_prev"))) > limit)), "PRICE_OUTLIER_RETURN", "WARNING")
 
 
@@ -125,10 +125,10 @@ def volume_spikes(bars: DataFrame, multiple: float = SPIKE_MULTIPLE, at_least: i
     return _offending(joined.where(F.col("volume") > F.col("_median") * multiple), "VOLUME_SPIKE", "WARNING")
 
 
-def out_of_order(bars: DataFrame, arrival: str = "arrival", span_minutes: int = 30) -> DataFrame:
-    """Bars that arrived after a later one of their instrument. Order is that of the arrival column."""
-    w = Window.partitionBy("instrument_id").orderBy(arrival)
-    b = bars.withColumn("_prev", F.lag("bar_start_at").over(w)).where(F.col("bar_start_at") < F.col("_prev"))
+def out_of_order(bars: DataFrame, arrival: str = "arrival", span_minutes: int = 30, bucket: Column | None = None) -> DataFrame:
+    """Bars that arrived right after a later one of their instrument. Order is that of the arrival column; with a bucket,
+    which must follow it, no task orders more than a bucket of an instrument."""
+    b = last_before(bars, "instrument_id", [arrival], F.lit(0) if bucket is None else bucket, "bar_start_at", "_prev").where(F.col("bar_start_at") < F.col("_prev"))
     return b.select(
         F.lit("OUT_OF_ORDER").alias("incident_code"),
         F.lit("WARNING").alias("severity"),

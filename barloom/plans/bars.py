@@ -243,7 +243,7 @@ def quality_out_of_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = ticks(spark, sf_dir)
     late = F.struct((F.col("event_id") + F.when(F.col("event_id") % 11 == 0, 25).otherwise(0)).alias("a"), "event_id")
     rows = t.select(F.col("event_type").alias("instrument_id"), keys.bucket_start("ts", 30).alias("bar_start_at"), late.alias("arrival"))
-    return findings(quality.out_of_order(rows))
+    return findings(quality.out_of_order(rows, bucket=F.floor(F.col("arrival.a") / 1000)))
 
 
 _EXPECTED = f"{BARS}, x AS (SELECT d, o + 1800 * unnest(generate_series(0, 12)) AS s FROM ses)"

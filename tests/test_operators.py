@@ -2,6 +2,7 @@
 
 import datetime as dt
 import hashlib
+import random
 import uuid
 from decimal import Decimal
 
@@ -359,3 +360,25 @@ def test_incident_without_a_scope_is_refused(spark):
     new = spark.createDataFrame([("i", None, None)], "id string, period_start timestamp, period_end timestamp")
     with pytest.raises(Exception, match="no scope"):
         jobs.record_incidents(new.limit(0), new).collect()
+
+
+@pytest.mark.parametrize("width", [1, 3, 1000])
+def test_last_value_before_is_carried_over_buckets(spark, width):
+    rng = random.Random(width)
+    rows = [(rng.choice("AB"), t, rng.choice([None, None, t * 10])) for t in rng.sample(range(60), 40)]
+    df = spark.createDataFrame(rows, "k string, t long, v long")
+    want, last = {}, {}
+    for k, t, v in sorted(rows, key=lambda r: (r[0], r[1])):
+        want[k, t] = last.get(k)
+        last[k] = v if v is not None else last.get(k)
+    got = merge.last_before(df, "k", ["t"], F.floor(F.col("t") / width), "v", "before").collect()
+    assert {(r.k, r.t): r.before for r in got} == want and len(got) == len(rows)
+
+
+def test_no_task_orders_all_rows_of_a_key(spark):
+    left = spark.range(4000).select(F.lit("A").alias("k"), F.timestamp_seconds(F.col("id") * 3600 + 1).alias("at"))
+    right = spark.range(4000).select(F.lit("A").alias("k"), F.timestamp_seconds(F.col("id") * 3600).alias("s"), F.col("id").alias("v"))
+    out = merge.asof_before(left, right, "k", "at", "s", "v", "before")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert all("_bucket" in line for line in plan.splitlines() if "Window [" in line and "_v" in line)
+    assert out.where("before = (unix_timestamp(at) - 1) / 3600").count() == 4000
