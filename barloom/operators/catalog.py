@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from barloom.functions.keys import deterministic_uuid, interval_overlap, iso_utc, partition_end, partition_start, shard_key, stable_shard
 from barloom.functions.values import canonical_json, set_hash, sha256
-from barloom.operators.merge import keep_last
+from barloom.operators.merge import keep_last, last_before
 from barloom.sources.shared import written
 
 # The datasets that are published, as price type, layer and resolution.
@@ -219,24 +219,46 @@ def parquet_files(spark: SparkSession, path: str) -> DataFrame:
     return small.mapInArrow(run, "path string, sha256 string, byte_size long, rows long")
 
 
+#: Rows and instants that are ordered at once where parts are cut.
+PART_RANGE = 100_000
+
+
 def time_boundary_parts(bars: DataFrame, shards: int, most: int) -> DataFrame:
     """bars with shard and part_number: parts of at most `most` rows, in order of time, none of which splits an instant.
 
-    Where a part begins depends on all parts before it, so a shard's instants with their row counts (two numbers each, not
-    the rows) are walked in order; the rows themselves only get the part number by a join."""
+    Where a part begins depends on all parts before it. For each instant the place is found at which a part that began there
+    would end, by sums of rows; from the first instant on, jumps of twice the length give all parts in as many rounds as
+    their number has bits. Days, ranges of rows and ranges of instants are ordered by themselves, so that a shard with very
+    many instants is many tasks."""
     b = bars.withColumn("shard", stable_shard("instrument_id", shards))
-    counts = b.groupBy("shard", F.unix_micros("bar_start_at").alias("at")).agg(F.count("*").alias("n"))
-
-    def walk(table: pa.Table) -> pa.Table:
-        table = table.sort_by("at")
-        rows, part, parts = 0, 0, []
-        for n in table["n"].to_pylist():
-            part += bool(rows) and rows + n > most
-            rows = n if rows + n > most else rows + n
-            parts.append(part)
-        return table.drop_columns(["n"]).append_column("part_number", pa.array(parts, pa.int32()))
-
-    parts = counts.groupBy("shard").applyInArrow(walk, "shard int, at bigint, part_number int").select("shard", F.timestamp_micros("at").alias("bar_start_at"), "part_number")
+    counts = b.groupBy("shard", "bar_start_at").agg(F.count("*").alias("n")).withColumn("_day", F.to_date("bar_start_at"))
+    day, days = Window.partitionBy("shard", "_day").orderBy("bar_start_at"), Window.partitionBy("shard").orderBy("_day")
+    own = counts.withColumn("_upto", F.sum("n").over(day)).withColumn("_at", F.row_number().over(day))
+    sums = own.groupBy("shard", "_day").agg(F.max("_upto").alias("_n"), F.max("_at").alias("_k"))
+    sums = sums.select("shard", "_day", (F.sum("_n").over(days) - F.col("_n")).alias("_rows"), (F.sum("_k").over(days) - F.col("_k")).alias("_before"))
+    at = own.join(sums, ["shard", "_day"]).select("shard", "bar_start_at", (F.col("_before") + F.col("_at") - 1).alias("idx"), (F.col("_rows") + F.col("_upto")).alias("upto"), "n")
+    at = written(at, "instants")
+    # An instant ends a part that begins at i if it is the first whose rows, from i on, are too many. In falling order of
+    # sums that is the last one met before the limit of i, and equal sums still fit.
+    limit = at.select("shard", F.col("idx").alias("asks"), (-(F.col("upto") - F.col("n") + most)).alias("neg"), F.lit(0).alias("side"), F.lit(None).cast("long").alias("idx"))
+    sum_ = at.select("shard", F.lit(None).cast("long").alias("asks"), (-F.col("upto")).alias("neg"), F.lit(1).alias("side"), F.col("idx").cast("long").alias("idx"))
+    ends = last_before(limit.unionByName(sum_), "shard", ["neg", "side"], F.floor(F.col("neg") / PART_RANGE), "idx", "ends").where("side = 0 AND ends IS NOT NULL")
+    jump = written(ends.select("shard", F.col("asks").alias("idx"), F.greatest("ends", F.col("asks") + 1).alias("to")).join(at.select("shard", F.col("idx").alias("to")), ["shard", "to"], "left_semi").select("shard", "idx", "to"), "jumps")
+    jumps = [jump]
+    while True:
+        last = jumps[-1]
+        twice = written(last.join(last.select("shard", F.col("idx").alias("to"), F.col("to").alias("_far")), ["shard", "to"]).select("shard", "idx", F.col("_far").alias("to")), "jumps")
+        # Jumps from the first instant are the ones that count.
+        if twice.where("idx = 0").isEmpty():
+            break
+        jumps.append(twice)
+    starts = at.where("idx = 0").select("shard", "idx", F.lit(0).alias("part_number"))
+    for m in range(len(jumps) - 1, -1, -1):
+        further = starts.join(jumps[m], ["shard", "idx"]).select("shard", F.col("to").alias("idx"), (F.col("part_number") + (1 << m)).alias("part_number"))
+        starts = written(starts.unionByName(further), "starts")
+    begun = at.join(starts, ["shard", "idx"], "left")
+    parts = last_before(begun, "shard", ["idx"], F.floor(F.col("idx") / PART_RANGE), "part_number", "_part")
+    parts = parts.select("shard", "bar_start_at", F.coalesce("part_number", "_part").alias("part_number"))
     return b.join(parts, ["shard", "bar_start_at"])
 
 

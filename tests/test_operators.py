@@ -382,3 +382,20 @@ def test_no_task_orders_all_rows_of_a_key(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert all("_bucket" in line for line in plan.splitlines() if "Window [" in line and "_v" in line)
     assert out.where("before = (unix_timestamp(at) - 1) / 3600").count() == 4000
+
+
+@pytest.mark.parametrize("most", [1, 4, 7, 1000])
+def test_parts_are_cut_as_by_walking(spark, most, monkeypatch):
+    monkeypatch.setattr(catalog, "PART_RANGE", 9)
+    rng = random.Random(most)
+    rows = [(rng.choice("ABC"), rng.randrange(120) * 7200) for _ in range(300)] + [("A", 7200)] * 9
+    df = spark.createDataFrame(rows, "instrument_id string, t long").select("instrument_id", F.timestamp_seconds("t").alias("bar_start_at"), "t")
+    got = catalog.time_boundary_parts(df, 2, most).groupBy("shard", "t").agg(F.min("part_number").alias("a"), F.max("part_number").alias("b"), F.count("*").alias("n")).collect()
+    for shard in {r.shard for r in got}:
+        held = part = 0
+        for r in sorted((r for r in got if r.shard == shard), key=lambda r: r.t):
+            part += bool(held) and held + r.n > most
+            held = r.n if held + r.n > most else held + r.n
+            assert r.a == r.b == part
+    assert sum(r.n for r in got) == len(rows)
+    assert catalog.time_boundary_parts(df.limit(0), 2, most).count() == 0
