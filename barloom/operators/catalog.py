@@ -407,6 +407,47 @@ def validate_requests(documents: DataFrame, column: str = "document") -> DataFra
     return _also(d, column, {"period:not_rising": lambda at: at("period_end") <= at("period_start")})
 
 
+# The contract of result documents, and what each status needs; the first field is its instant.
+RESULT_CONTRACT = "com06.backtest-result"
+RESULT_FIELDS = {
+    "QUEUED": ("queued_at",),
+    "RUNNING": ("started_at", "attempt"),
+    "COMPLETE": ("completed_at", "result_manifest_id"),
+    "FAILED": ("failed_at", "failure_code", "retryable"),
+    "UNAVAILABLE": ("decided_at", "reason_code", "missing_requirements"),
+}
+_UUID = "^[0-9a-fA-F]{8}-([0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}$"
+
+
+def validate_results(documents: DataFrame, column: str = "document") -> DataFrame:
+    """Result documents of backtests as ACCEPTED or REJECTED with the first violation: contract and version, the envelope, a
+    known status with its event type, and what that status needs. A document that is no JSON object is `unreadable`."""
+    at = lambda k: F.col("_d")[k]
+    lacks = lambda k: at(k).isNull() | (at(k) == "")
+    not_uuid = lambda k: lacks(k) | ~at(k).rlike(_UUID)
+    no_time = lambda k: F.try_to_timestamp(at(k)).isNull() | ~at(k).rlike("(Z|[+-][0-9]{2}:[0-9]{2})$")
+    status = at("status")
+    rules = {"unreadable": F.col("_d").isNull(), "contract_id": ~at("contract_id").eqNullSafe(F.lit(RESULT_CONTRACT)), "schema_version": ~at("schema_version").eqNullSafe(F.lit("1"))}
+    rules |= {f"missing:{k}": at(k).isNull() for k in ("message_id", "occurred_at", "correlation_id", "idempotency_key")}
+    rules |= {f"uuid:{k}": not_uuid(k) for k in ("message_id", "correlation_id")} | {"time:occurred_at": no_time("occurred_at"), "empty:idempotency_key": lacks("idempotency_key")}
+    rules |= {f"missing:{k}": at(k).isNull() for k in ("event_type", "backtest_run_id", "status")} | {"uuid:backtest_run_id": not_uuid("backtest_run_id")}
+    rules |= {"status": ~status.isin(*RESULT_FIELDS), "event_type": at("event_type") != F.concat(F.lit("BACKTEST_"), status)}
+    for s, fields in RESULT_FIELDS.items():
+        rules |= {f"missing:{k}": (status == s) & at(k).isNull() for k in fields} | {f"time:{fields[0]}": (status == s) & no_time(fields[0])}
+    parsed = F.from_json(at("missing_requirements"), "array<string>")
+    rules |= {
+        "count:attempt": (status == "RUNNING") & ~F.coalesce(at("attempt").rlike("^[1-9][0-9]*$"), F.lit(False)),
+        "uuid:result_manifest_id": (status == "COMPLETE") & not_uuid("result_manifest_id"),
+        "empty:failure_code": (status == "FAILED") & lacks("failure_code"),
+        "boolean:retryable": (status == "FAILED") & ~at("retryable").isin("true", "false"),
+        "empty:reason_code": (status == "UNAVAILABLE") & lacks("reason_code"),
+        "strings:missing_requirements": (status == "UNAVAILABLE") & (parsed.isNull() | (F.size(parsed) == 0) | F.exists(parsed, lambda x: x.isNull() | (x == ""))),
+    }
+    d = documents.withColumn("_d", F.from_json(column, "map<string,string>"))
+    violation = F.coalesce(*[F.when(rule, F.lit(name)) for name, rule in rules.items()])
+    return d.withColumn("violation", violation).withColumn("result", F.when(F.col("violation").isNull(), "ACCEPTED").otherwise("REJECTED")).drop("_d")
+
+
 def validate_snapshots(documents: DataFrame, column: str = "document") -> DataFrame:
     """Snapshot documents as ACCEPTED or REJECTED: complete, hashes, a SUCCEEDED status, a rising period, counts, and a
     version that is made of its hashes."""

@@ -303,6 +303,27 @@ def request_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return catalog.validate_requests(e.select("event_id", doc.alias("document"))).drop("document")
 
 
+@query("""SELECT event_id, CASE WHEN event_id % 31 = 0 THEN 'contract_id' WHEN event_id % 29 = 0 THEN 'uuid:message_id' WHEN event_id % 23 = 0 THEN 'status' WHEN event_id % 19 = 0 THEN 'event_type'
+      WHEN event_id % 5 = 0 AND event_id % 7 = 0 THEN 'missing:queued_at' WHEN event_id % 5 = 1 AND event_id % 7 = 0 THEN 'count:attempt' WHEN event_id % 5 = 2 AND event_id % 7 = 0 THEN 'uuid:result_manifest_id' WHEN event_id % 5 = 3 AND event_id % 7 = 0 THEN 'boolean:retryable'
+      WHEN event_id % 5 = 4 AND event_id % 7 = 0 THEN 'strings:missing_requirements' END AS violation, CASE WHEN violation IS NULL THEN 'ACCEPTED' ELSE 'REJECTED' END AS result FROM events""")
+def result_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A result document of each status in turn, some with one fault."""
+    k = F.col("event_id")
+    kinds = list(catalog.RESULT_FIELDS)
+    status = F.element_at(F.array(*[F.lit(x) for x in kinds]), (k % 5 + 1).cast("int"))
+    ident, bad = keys.deterministic_uuid("event_id"), k % 7 == 0
+    t = keys.iso_utc(F.col("ts").cast("timestamp"))
+    doc = F.to_json(
+        F.struct(
+            F.when(k % 31 == 0, "other").otherwise(catalog.RESULT_CONTRACT).alias("contract_id"), F.lit(1).alias("schema_version"), F.when(k % 29 == 0, "m-1").otherwise(ident).alias("message_id"), ident.alias("correlation_id"), t.alias("occurred_at"), F.lit("k").alias("idempotency_key"), ident.alias("backtest_run_id"),
+            F.when(k % 23 == 0, "LOST").otherwise(status).alias("status"), F.when(k % 19 == 0, "BACKTEST").otherwise(F.concat(F.lit("BACKTEST_"), status)).alias("event_type"),
+            F.when((status != "QUEUED") | ~bad, t).alias("queued_at"), t.alias("started_at"), F.when(bad, 0).otherwise(2).alias("attempt"), t.alias("completed_at"), F.when(bad, "x").otherwise(ident).alias("result_manifest_id"), t.alias("failed_at"), F.lit("OUT_OF_MEMORY").alias("failure_code"),
+            F.when(bad, "maybe").otherwise("true").alias("retryable"), t.alias("decided_at"), F.lit("NO_DATA").alias("reason_code"), F.when(bad, F.array().cast("array<string>")).otherwise(F.array(F.lit("bars"))).alias("missing_requirements"),
+        )
+    )
+    return catalog.validate_results(table(spark, sf_dir, "events").select("event_id", doc.alias("document"))).drop("document")
+
+
 @query("""SELECT event_id, CASE WHEN event_id % 7 = 0 THEN 'missing:batch_hash' WHEN event_id % 5 = 0 THEN 'hash:feature_set_hash' WHEN event_id % 3 = 0 THEN 'status' WHEN event_id % 2 = 0 THEN 'version' END AS violation,
     CASE WHEN event_id % 7 = 0 OR event_id % 5 = 0 OR event_id % 3 = 0 OR event_id % 2 = 0 THEN 'REJECTED' ELSE 'ACCEPTED' END AS result FROM events""")
 def snapshot_document_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
