@@ -271,7 +271,7 @@ def levels(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, text_col
     read = written(chunks(docs, text_column, lang_column), "chunks")
     # Words are counted by hashes first: only those that may be frequent are sent as words.
     hashes = written(hash_counts(read).groupBy("lang", "hash").agg(F.sum("n").alias("n")), "hashes")
-    totals = hashes.where("lang is not null").select("lang", "n")
+    totals = written(hashes.where("lang is not null").select("lang", "n"), "totals")
     often = hashes.where(F.col("lang").isNull() & (F.col("n") >= least)).select("hash")
     words = written(chunk_words(read, bit_filter(often, often.count())), "words")
     by_word = words.groupBy("lang", "word").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
@@ -317,7 +317,9 @@ def collocations(docs: DataFrame, top: int = TOP, least: int = LEAST, longest: i
             longer = found[k + 1]
             most = longer.select(F.col("a").alias("id"), "f").unionByName(longer.select(F.col("b").alias("id"), "f")).groupBy("id").agg(F.max("f").alias("most"))
             rows = rows.join(most, "id", "left").where(F.col("most").isNull() | (100 * F.col("most") < share * F.col("f")))
-        rows = rows.select("lang", "phrase", F.col("f").alias("a"), F.array_min(cuts).alias("cut"))
+        # Written one after the other, so that only the joins of one length are under way at a time.
+        rows = written(rows.select("lang", "phrase", F.col("f").alias("a"), F.array_min(cuts).alias("cut")), "candidates")
+        release(docs.sparkSession)
         out = rows if out is None else out.unionByName(rows)
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
     out = out.select("lang", "phrase", "a", "cut.l", "cut.r", "cut.score").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
