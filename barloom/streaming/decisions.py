@@ -59,7 +59,8 @@ class Ids(_Remembered):
         self.claim.clear()
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        held = tuple(self.claim.get()) if self.claim.exists() else None
+        held = self.claim.get()
+        held = None if held is None else tuple(held)
         for r in sorted(rows, key=lambda r: r.arrival):
             if held is None:
                 held = (r.instrumentId, r.at)
@@ -75,17 +76,18 @@ class Bars(_Remembered):
         self.retention = retention
 
     def open_state(self) -> None:
-        self.revision = self.handle.getValueState("revision", "revision int")
-        self.taken = self.handle.getMapState("taken", "eventId string", "revision int")
+        # One value, as every question to the state is a message of its own.
+        self.bar = self.handle.getValueState("bar", "revision int, taken array<string>")
 
     def forget(self) -> None:
-        self.revision.clear()
-        self.taken.clear()
+        self.bar.clear()
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        held = before = self.revision.get()[0] if self.revision.exists() else None
+        state = self.bar.get()
+        held, taken = (None, []) if state is None else (state[0], list(state[1]))
+        before = len(taken)
         for r in sorted(rows, key=lambda r: r.arrival):
-            if r.elsewhere or (held is not None and self.taken.containsKey((r.eventId,))):
+            if r.elsewhere or r.eventId in taken:
                 decision = "DUPLICATE_EVENT"
             elif held is not None and r.revision < held:
                 decision = "SUPERSEDED_REVISION"
@@ -95,10 +97,10 @@ class Bars(_Remembered):
                 if held is None:
                     self.keep_for(r.session)
                 held, decision = r.revision, None
-                self.taken.updateValue((r.eventId,), (r.revision,))
+                taken.append(r.eventId)
             yield _JUDGED(*[r[c] for c in _NAMES], decision)
-        if held != before:
-            self.revision.update((held,))
+        if len(taken) > before:
+            self.bar.update((held, taken))
 
 
 class Heads(StatefulProcessor):
@@ -108,7 +110,7 @@ class Heads(StatefulProcessor):
         self.head = handle.getValueState("head", "at bigint, sequence bigint")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        held = self.head.get() if self.head.exists() else None
+        held = self.head.get()
         d = pd.concat(list(rows), ignore_index=True).sort_values("arrival", ignore_index=True)
         taken = d["decision"].isna().to_numpy()
         at, sequence = (np.append(d.loc[taken, c].to_numpy(np.int64), held[i] if held else np.iinfo(np.int64).min) for i, c in enumerate(("at", "sequence")))
@@ -144,7 +146,7 @@ class Messages(_Remembered):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         new = [tuple(r[c] for c in self.columns) for r in rows]
         size, session = (self.columns.index(c) for c in ("events", "session"))
-        have = [tuple(r) for r in self.waiting.get()] if self.waiting.exists() else []
+        have = [tuple(r) for r in self.waiting.get()]
         if not have:
             self.keep_for(max(r[session] for r in new))
         if len(have) + len(new) < max(r[size] for r in new):
@@ -157,7 +159,7 @@ class Messages(_Remembered):
             yield self.out(*r, ok)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        left = [tuple(r) for r in self.waiting.get()] if self.waiting.exists() else []
+        left = [tuple(r) for r in self.waiting.get()]
         self.waiting.clear()
         for r in left:
             yield self.out(*r, False)
