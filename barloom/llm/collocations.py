@@ -32,6 +32,9 @@ CHUNK = 2 << 20
 #: Ids along a tile's side, and the pairs of a chunk that make a tile worth a dense array.
 SIDE, DENSE = 512, 512 * 512 // 16
 
+#: Rows of chunks, each as large as a chunk, that are read and sent to Python at once.
+_FEW = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2", "spark.sql.parquet.columnarReaderBatchSize": "4"}
+
 #: A word, or a mark that ends a piece.
 TOKEN = re.compile(rb"[^ \t.,;:!?\n-\r]+|[.,;:!?\n-\r]")
 _MARKS = frozenset(bytes([b]) for b in b".,;:!?\n\x0b\x0c\r")
@@ -135,6 +138,19 @@ def chunk_words(read: DataFrame, wanted: np.ndarray) -> DataFrame:
     return read.mapInArrow(run, "chunk long, local long, lang string, word string, n long")
 
 
+def _written_by_chunks(df: DataFrame, name: str) -> DataFrame:
+    """As written(), for what is made from rows of chunks: few of them are held at once."""
+    conf = df.sparkSession.conf
+    before = {k: conf.get(k) for k in _FEW}
+    try:
+        for k, v in _FEW.items():
+            conf.set(k, v)
+        return written(df, name)
+    finally:
+        for k, v in before.items():
+            conf.set(k, v)
+
+
 def ranked(counted: DataFrame, *keys: str) -> DataFrame:
     """counted (with a count f) and `id`: 0 for the highest f, ties by keys. A sort by ranges, no single task for the rank."""
     spark = counted.sparkSession
@@ -270,10 +286,10 @@ def levels(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, text_col
     spark = docs.sparkSession
     read = written(chunks(docs, text_column, lang_column), "chunks")
     # Words are counted by hashes first: only those that may be frequent are sent as words.
-    hashes = written(hash_counts(read).groupBy("lang", "hash").agg(F.sum("n").alias("n")), "hashes")
+    hashes = _written_by_chunks(hash_counts(read).groupBy("lang", "hash").agg(F.sum("n").alias("n")), "hashes")
     totals = written(hashes.where("lang is not null").select("lang", "n"), "totals")
     often = hashes.where(F.col("lang").isNull() & (F.col("n") >= least)).select("hash")
-    words = written(chunk_words(read, bit_filter(often, often.count())), "words")
+    words = _written_by_chunks(chunk_words(read, bit_filter(often, often.count())), "words")
     by_word = words.groupBy("lang", "word").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
     phrase = ranked(by_word.withColumnRenamed("word", "phrase"), "lang", "phrase")
     found = [written(phrase.select("id", "lang", "phrase", "f", F.array("f").alias("heads"), F.array("f").alias("tails")), "phrases")]
@@ -282,7 +298,7 @@ def levels(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, text_col
     discard(read, words)
     for length in range(2, longest + 1):
         counted = pair_counts(coded).groupBy("a", "b").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
-        frequent = written(ranked(written(counted, "counted"), "a", "b"), "frequent")
+        frequent = written(ranked(_written_by_chunks(counted, "counted"), "a", "b"), "frequent")
         last = found[-1]
         left = last.select(F.col("id").alias("a"), "lang", F.col("phrase").alias("begin"), F.col("heads").alias("of_a"))
         right = last.select(F.col("id").alias("b"), F.substring_index("phrase", " ", -1).alias("end"), F.col("tails").alias("of_b"))
@@ -290,9 +306,10 @@ def levels(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, text_col
         found.append(written(joined.select("id", "lang", F.concat_ws(" ", "begin", "end").alias("phrase"), "f", F.concat("of_a", F.array("f")).alias("heads"), F.concat("of_b", F.array("f")).alias("tails"), "a", "b"), "phrases"))
         if length < longest:
             # Only pairs that a filter lets through are looked up.
-            book = pair_counts(coded, pair_filter(frequent)).select("chunk", "a", "b").join(frequent.select("a", "b", "id"), ["a", "b"])
+            met = _written_by_chunks(pair_counts(coded, pair_filter(frequent)).select("chunk", "a", "b"), "met")
+            book = met.join(frequent.select("a", "b", "id"), ["a", "b"])
             coded, before = _recode(coded, book, _recode_pairs), coded
-            discard(before)
+            discard(before, met)
         discard(frequent)
         release(spark)
     return totals, found
