@@ -199,11 +199,12 @@ def storage_profile(objects: DataFrame) -> DataFrame:
     )
 
 
-def latest_published(bars: DataFrame, year: int) -> DataFrame:
-    """For each instrument its last bar start in the year, or else in the year before."""
-    y = F.year("session_date_et")
-    b = bars.where(y.isin(year, year - 1)).groupBy("instrument_id").agg(F.max(F.when(y == year, F.col("bar_start_at"))).alias("a"), F.max("bar_start_at").alias("b"))
-    return b.select("instrument_id", F.coalesce("a", "b").alias("latest"))
+def latest_published(bars: DataFrame) -> DataFrame:
+    """(instrument_id, year, latest): for each instrument and year its last bar start in the year, or else in the year
+    before; no row for a year where neither has bars. Bars without a session date are in no year."""
+    of = bars.where("session_date_et IS NOT NULL").groupBy("instrument_id", F.year("session_date_et").cast("long").alias("of")).agg(F.max("bar_start_at").alias("last"))
+    seen = of.withColumn("year", F.explode(F.array("of", F.col("of") + 1)))
+    return seen.groupBy("instrument_id", "year").agg(F.max_by("last", "of").alias("latest"))
 
 
 class DayStore:

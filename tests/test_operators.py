@@ -399,3 +399,14 @@ def test_parts_are_cut_as_by_walking(spark, most, monkeypatch):
             assert r.a == r.b == part
     assert sum(r.n for r in got) == len(rows)
     assert catalog.time_boundary_parts(df.limit(0), 2, most).count() == 0
+
+
+def test_latest_published_of_every_year(spark):
+    """Each year of the table and the one after it; a year without bars falls back on the year before, and no further."""
+    days = {"a": ["2001-03-01", "2001-11-02", "2000-05-05"], "b": ["1997-01-02"], "c": ["1998-02-03", "2000-12-29"]}
+    bars = spark.createDataFrame([(i, dt.date.fromisoformat(d), at(d)) for i, ds in days.items() for d in ds] + [("d", None, at("2001-01-01"))], "instrument_id string, session_date_et date, bar_start_at timestamp")
+    got = {(r.instrument_id, r.year): str(r.latest)[:10] for r in files.latest_published(bars).collect()}
+    assert got == {
+        ("a", 2000): "2000-05-05", ("a", 2001): "2001-11-02", ("a", 2002): "2001-11-02", ("b", 1997): "1997-01-02", ("b", 1998): "1997-01-02",
+        ("c", 1998): "1998-02-03", ("c", 1999): "1998-02-03", ("c", 2000): "2000-12-29", ("c", 2001): "2000-12-29",
+    }
