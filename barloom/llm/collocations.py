@@ -1,9 +1,11 @@
 """Phrase collocations by direct-address tiling of pairs of frequency-ranked ids, level by level.
 
-Texts become chunks of ids: words that are frequent enough are numbered by falling count. A chunk's neighbouring ids are
-pairs; pairs of low ids fall into tiles that are counted in a dense array by their place, what lies in thinly filled tiles
-is sorted as coordinates and counted in runs. Pairs that are frequent over the corpus are numbered by falling count again
-and take the place of the ids, so that the pairs of pairs are phrases of three words, and theirs phrases of four.
+Texts become chunks of ids: words that are frequent enough are numbered by falling count. A task takes some chunks at a
+time. Their neighbouring ids are pairs; pairs of low ids fall into tiles that are counted in a dense array by their place,
+what lies in thinly filled tiles is sorted as coordinates and counted in runs. For the next length, phrases that a filter of
+the frequent ones lets through are numbered by falling count within what the task holds, so that pairs of pairs are phrases
+of three words, and theirs phrases of four. Counts are dealt by hashes of the phrases, many phrases packed into one row,
+and added up; a phrase is known everywhere by the ids of its words, so chunks need no new ids for it.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from barloom.llm.common import discard, mixed, n_partitions, release, signed, span_hashes, written
+from barloom.llm.common import discard, from_planes, mixed, n_partitions, planes, release, signed, span_hashes, written
 from barloom.llm.jaccard import bit_filter, passes
 
 #: Least count of a phrase, longest phrase, and phrases that are reported for each language.
@@ -29,6 +31,8 @@ SHARE = 80
 NO_LANG = "und"
 #: Bytes of text in a chunk; a longer text is a chunk of its own.
 CHUNK = 2 << 20
+#: Ids of words in which a task counts phrases at once, and ids at most whose phrases meet in one group.
+ROOM, MEET = 1 << 21, 1 << 22
 #: Ids along a tile's side, and the pairs of a chunk that make a tile worth a dense array.
 SIDE, DENSE = 512, 512 * 512 // 16
 
@@ -164,6 +168,27 @@ def ranked(counted: DataFrame, *keys: str) -> DataFrame:
     return numbered.withColumn("id", F.col("before") + F.col("place").bitwiseAND((1 << 33) - 1)).drop("part", "before", "place")
 
 
+def _one(columns: list[np.ndarray]) -> np.ndarray:
+    """A number for each row of columns of whole numbers from 0 on: equal where rows are, in the order of the rows."""
+    out, high = columns[0], int(columns[0].max(initial=0)) + 1
+    for c in columns[1:]:
+        more = int(c.max(initial=0)) + 1
+        if high * more >= 1 << 63:
+            out, c = np.unique(out, return_inverse=True)[1], np.unique(c, return_inverse=True)[1]
+            high, more = int(out.max(initial=0)) + 1, int(c.max(initial=0)) + 1
+        out, high = out * more + c, high * more
+    return out
+
+
+def _added(columns: list[np.ndarray], n: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+    """The different rows of columns, at least one, in order, and the sums of n over equal ones."""
+    key = _one(columns)
+    order = np.argsort(key)
+    key = key[order]
+    heads = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    return [c[order[heads]] for c in columns], np.add.reduceat(n[order], heads)
+
+
 def tiled_counts(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Different pairs of ids and their counts: full tiles by bincount over places, the rest as sorted coordinates."""
     if not len(a):
@@ -184,10 +209,9 @@ def tiled_counts(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray,
             out.append((place // SIDE + base_a, place % SIDE + base_b, n[place]))
             thin[h : h + m] = False
         a, b = a[thin], b[thin]
-    order = np.lexsort((b, a))
-    a, b = a[order], b[order]
-    heads = np.flatnonzero(np.concatenate([np.ones(min(len(a), 1), bool), (a[1:] != a[:-1]) | (b[1:] != b[:-1])]))
-    out.append((a[heads], b[heads], np.diff(np.append(heads, len(a)))))
+    if len(a):
+        (a, b), n = _added([a, b], np.ones(len(a), np.int64))
+        out.append((a, b, n))
     return tuple(np.concatenate([x[i] for x in out]) for i in range(3))
 
 
@@ -196,34 +220,100 @@ def _pairs(ids: np.ndarray) -> np.ndarray:
     return np.flatnonzero((ids[:-1] >= 0) & (ids[1:] >= 0))
 
 
-def _keys(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """A number for each pair, by which filters know it."""
-    return signed(mixed(a.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + mixed(b.astype(np.uint64))))
-
-
-def pair_filter(pairs: DataFrame) -> np.ndarray:
-    """A bit filter of bounded size that all pairs (a, b) pass, and few others."""
-
-    return bit_filter(pairs.select("a", "b"), pairs.count(), lambda x: _keys(x.column(0).to_numpy(), x.column(1).to_numpy()))
-
-
-def pair_counts(coded: DataFrame, wanted: np.ndarray | None = None) -> DataFrame:
-    """(chunk, a, b, n): the different pairs of neighbouring ids of each chunk; with a filter, those that pass it."""
-    filter_ = None if wanted is None else coded.sparkSession.sparkContext.broadcast(wanted)
+def _keys(words: list[np.ndarray]) -> np.ndarray:
+    """A number for each phrase, given by columns of the ids of its words, by which filters know it and it is dealt."""
+    h = np.ones(len(words[0]), np.uint64)
+    for w in words:
+        h = mixed(h * np.uint64(0x9E3779B97F4A7C15) + w.astype(np.uint64))
+    return signed(h)
+
+
+def phrase_filter(phrases: DataFrame, length: int) -> np.ndarray:
+    """A bit filter of bounded size that all phrases of a length pass, and few others."""
+    return bit_filter(phrases.select("words"), phrases.count(), lambda x: _keys(list(x.column(0).flatten().to_numpy().reshape(-1, length).T)))
+
+
+def phrases_in(ids: np.ndarray, length: int, wanted: np.ndarray | None = None) -> tuple[list[np.ndarray], np.ndarray]:
+    """(columns of the ids of their words, counts) of the different phrases of a length in a row of ids, where -1 ends a
+    piece. With a filter of phrases shorter by a word: of those whose two parts of that length pass it."""
+    if length == 2:
+        at = _pairs(ids)
+        a, b, n = tiled_counts(ids[at], ids[at + 1])
+        return [a, b], n
+    part = length - 1
+    whole = np.ones(max(0, len(ids) - part + 1), bool)
+    for j in range(part):
+        whole &= ids[j : j + len(whole)] >= 0
+    here = np.flatnonzero(whole)
+    if wanted is not None:
+        here = here[passes(wanted, _keys([ids[here + j] for j in range(part)]))]
+    # The parts numbered by falling count: pairs of neighbouring ones are the phrases.
+    _, first, inverse, n = np.unique(_one([ids[here + j] for j in range(part)]), return_index=True, return_inverse=True, return_counts=True)
+    order = np.argsort(-n, kind="stable")
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    number = np.full(len(ids), -1, np.int64)
+    number[here] = rank[inverse]
+    at = _pairs(number)
+    a, b, n = tiled_counts(number[at], number[at + 1])
+    start = here[first[order]]
+    return [*[ids[start[a] + j] for j in range(part)], ids[start[b] + part - 1]], n
+
+
+def _shut(columns: list[np.ndarray]) -> bytes:
+    """Columns of whole numbers from 0 on, the first in rising order, in few bytes."""
+    raw = [planes(c) for c in (np.diff(columns[0], prepend=0), *columns[1:])]
+    return zlib.compress(np.array([len(columns[0]), *map(len, raw)], "<i4").tobytes() + b"".join(raw), 1)
+
+
+def _opened(shut: bytes, width: int) -> list[np.ndarray]:
+    raw = zlib.decompress(shut)
+    rows, *sizes = np.frombuffer(raw, "<i4", width + 1).tolist()
+    ends = 4 * (width + 1) + np.cumsum([0, *sizes])
+    out = [from_planes(raw[a:b], rows) for a, b in zip(ends[:-1], ends[1:])]
+    return [np.cumsum(out[0]), *out[1:]]
+
+
+def phrase_counts(coded: DataFrame, length: int, least: int, ids: int, wanted: np.ndarray | None = None) -> DataFrame:
+    """(words, f): the phrases of a length, as the ids of their words, that occur `least` times. ids: at least as many as all
+    chunks have. With a filter of the frequent phrases shorter by a word, others are left out early."""
+    spark = coded.sparkSession
+    filter_ = None if wanted is None else spark.sparkContext.broadcast(wanted)
+    parts = max(4 * n_partitions(spark), -(-ids // MEET))
+
+    def dealt(held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        words, n = phrases_in(np.concatenate(held), length, None if filter_ is None else filter_.value)
+        if not len(n):
+            return
+        part = ((_keys(words).view(np.uint64) >> np.uint64(32)) % np.uint64(parts)).astype(np.int64)
+        order = np.argsort(_one([part, *words]))
+        part, rows = part[order], [c[order] for c in (*words, n)]
+        heads = np.flatnonzero(np.diff(part, prepend=-1))
+        shut = [_shut([c[a:b] for c in rows]) for a, b in zip(heads, np.append(heads[1:], len(part)))]
+        for x in range(0, len(heads), 256):
+            yield pa.RecordBatch.from_arrays([pa.array(part[heads[x : x + 256]]), pa.array(shut[x : x + 256], pa.binary())], ["part", "shut"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, room = [], 0
         for batch in batches:
-            for chunk, raw in zip(batch.column("chunk").to_pylist(), batch.column("ids")):
-                ids = _unpacked(raw)
-                at = _pairs(ids)
-                if filter_ is not None:
-                    at = at[passes(filter_.value, _keys(ids[at], ids[at + 1]))]
-                a, b, n = tiled_counts(ids[at], ids[at + 1])
-                for x in range(0, len(a), 1 << 16):
-                    y = min(len(a), x + (1 << 16))
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(y - x, chunk, np.int64)), pa.array(a[x:y]), pa.array(b[x:y]), pa.array(n[x:y])], ["chunk", "a", "b", "n"])
-
-    return coded.mapInArrow(run, "chunk long, a long, b long, n long")
+            for raw in batch.column("ids"):
+                held += [_unpacked(raw), np.full(1, -1, np.int64)]
+                room += len(held[-2])
+                if room >= ROOM:
+                    yield from dealt(held)
+                    held, room = [], 0
+        if held:
+            yield from dealt(held)
+
+    def add(group: pa.Table) -> pa.Table:
+        opened = [_opened(x, length + 1) for x in group.column("shut").to_pylist()]
+        columns = [np.concatenate([o.pop(0) for o in opened]) for _ in range(length + 1)]
+        words, f = _added(columns[:-1], columns[-1])
+        often = np.flatnonzero(f >= least)
+        flat = pa.array(np.stack([c[often] for c in words], axis=1).reshape(-1))
+        return pa.table({"words": pa.ListArray.from_arrays(pa.array(np.arange(len(often) + 1, dtype=np.int32) * length), flat), "f": pa.array(f[often])})
+
+    return coded.mapInArrow(run, "part long, shut binary").groupBy("part").applyInArrow(add, "words array<long>, f long")
 
 
 def _columns(group: pa.Table, *names: str) -> list[np.ndarray]:
@@ -246,30 +336,10 @@ def _recode_words(left: pa.Table, right: pa.Table) -> pa.Table:
     return _coded(left.column("chunk")[0].as_py(), table[ids])
 
 
-def _recode_pairs(left: pa.Table, right: pa.Table) -> pa.Table:
-    if not left.num_rows:
-        return _coded(0, np.zeros(0, np.int64))
-    ids = _unpacked(left.column("ids")[0])
-    a, b, new = _columns(right, "a", "b", "id")
-    out = np.full(len(ids), -1, np.int64)
-    at = _pairs(ids)
-    if len(a) and len(at):
-        # Pairs by the places of their ids among those that the chunk has.
-        held = np.unique(ids)
-        key = lambda x, y: np.searchsorted(held, x) * len(held) + np.searchsorted(held, y)
-        known = key(a, b)
-        order = np.argsort(known)
-        known, new = known[order], new[order]
-        mine = key(ids[at], ids[at + 1])
-        place = np.minimum(np.searchsorted(known, mine), len(known) - 1)
-        out[at] = np.where(known[place] == mine, new[place], -1)
-    return _coded(left.column("chunk")[0].as_py(), out)
-
-
-def _recode(coded: DataFrame, book: DataFrame, by) -> DataFrame:
-    """The chunks with new ids; each chunk meets only the entries that it has itself."""
+def _recode(read: DataFrame, book: DataFrame) -> DataFrame:
+    """The chunks with the ids of words in place of their local numbers; each chunk meets only the words that it has itself."""
     mine = book.withColumnRenamed("chunk", "of").groupBy("of")
-    return written(coded.groupBy("chunk").cogroup(mine).applyInArrow(by, "chunk long, ids binary"), "coded")
+    return written(read.groupBy("chunk").cogroup(mine).applyInArrow(_recode_words, "chunk long, ids binary"), "coded")
 
 
 def _score(a: Column, left: Column, right: Column) -> Column:
@@ -279,10 +349,10 @@ def _score(a: Column, left: Column, right: Column) -> Column:
     return ((top - top % both) / both).cast("long")
 
 
-def levels(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, text_column: str = "text", lang_column: str = "lang") -> tuple[DataFrame, list[DataFrame]]:
-    """(counts, frequent phrases by length). counts: (lang, n), all words. Phrases of length k, k from 1: id, lang, phrase,
-    f, heads and tails (counts of its first and of its last 1 to k words, itself included), and from k = 2 on a and b,
-    the ids of the phrases of length k - 1 that it begins and ends with."""
+def levels(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, text_column: str = "text", lang_column: str = "lang") -> tuple[DataFrame, DataFrame, list[DataFrame]]:
+    """(counts, words, frequent phrases by length). counts: (lang, n), all words. words: (id, word), the frequent ones. Phrases
+    of length k, k from 1: words (their ids), lang, f, heads and tails (counts of its first and of its last 1 to k words,
+    itself included)."""
     spark = docs.sparkSession
     read = written(chunks(docs, text_column, lang_column), "chunks")
     # Words are counted by hashes first: only those that may be frequent are sent as words.
@@ -290,29 +360,31 @@ def levels(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, text_col
     totals = written(hashes.where("lang is not null").select("lang", "n"), "totals")
     often = hashes.where(F.col("lang").isNull() & (F.col("n") >= least)).select("hash")
     words = _written_by_chunks(chunk_words(read, bit_filter(often, often.count())), "words")
+    discard(hashes)
+    release(spark)
     by_word = words.groupBy("lang", "word").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
-    phrase = ranked(by_word.withColumnRenamed("word", "phrase"), "lang", "phrase")
-    found = [written(phrase.select("id", "lang", "phrase", "f", F.array("f").alias("heads"), F.array("f").alias("tails")), "phrases")]
-    book = words.select("chunk", "local", "lang", F.col("word").alias("phrase")).join(found[0].select("lang", "phrase", "id"), ["lang", "phrase"]).select("chunk", "local", "id")
-    coded = _recode(read.select("chunk", "ids"), book, _recode_words)
+    named = written(ranked(by_word, "lang", "word").select("id", "lang", "word", "f"), "named")
+    found = [named.select(F.array("id").alias("words"), "lang", "f", F.array("f").alias("heads"), F.array("f").alias("tails"))]
+    book = words.join(named.select("lang", "word", "id"), ["lang", "word"]).select("chunk", "local", "id")
+    coded = _recode(read.select("chunk", "ids"), book)
     discard(read, words)
+    release(spark)
+    ids, wanted = totals.agg(F.sum("n")).head()[0] or 0, None
     for length in range(2, longest + 1):
-        counted = pair_counts(coded).groupBy("a", "b").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
-        frequent = written(ranked(_written_by_chunks(counted, "counted"), "a", "b"), "frequent")
-        last = found[-1]
-        left = last.select(F.col("id").alias("a"), "lang", F.col("phrase").alias("begin"), F.col("heads").alias("of_a"))
-        right = last.select(F.col("id").alias("b"), F.substring_index("phrase", " ", -1).alias("end"), F.col("tails").alias("of_b"))
-        joined = frequent.join(left, "a").join(right, "b")
-        found.append(written(joined.select("id", "lang", F.concat_ws(" ", "begin", "end").alias("phrase"), "f", F.concat("of_a", F.array("f")).alias("heads"), F.concat("of_b", F.array("f")).alias("tails"), "a", "b"), "phrases"))
+        frequent = _written_by_chunks(phrase_counts(coded, length, least, ids, wanted), "frequent")
+        release(spark)
         if length < longest:
-            # Only pairs that a filter lets through are looked up.
-            met = _written_by_chunks(pair_counts(coded, pair_filter(frequent)).select("chunk", "a", "b"), "met")
-            book = met.join(frequent.select("a", "b", "id"), ["a", "b"])
-            coded, before = _recode(coded, book, _recode_pairs), coded
-            discard(before, met)
+            wanted = phrase_filter(frequent, length)
+        last, part = found[-1], F.lit(length - 1)
+        left = last.select(F.col("words").alias("begin"), "lang", F.col("heads").alias("of_begin"))
+        right = last.select(F.col("words").alias("end"), F.col("tails").alias("of_end"))
+        parted = frequent.select("words", "f", F.slice("words", F.lit(1), part).alias("begin"), F.slice("words", F.lit(2), part).alias("end"))
+        joined = parted.join(left, "begin").join(right, "end")
+        found.append(written(joined.select("words", "lang", "f", F.concat("of_begin", F.array("f")).alias("heads"), F.concat("of_end", F.array("f")).alias("tails")), "phrases"))
         discard(frequent)
         release(spark)
-    return totals, found
+    discard(coded)
+    return totals, named.select("id", "word"), found
 
 
 def collocations(docs: DataFrame, top: int = TOP, least: int = LEAST, longest: int = LONGEST, share: int = SHARE, text_column: str = "text", lang_column: str = "lang") -> DataFrame:
@@ -324,20 +396,25 @@ def collocations(docs: DataFrame, top: int = TOP, least: int = LEAST, longest: i
     empty texts have no words; a null language is `und`; a language with no candidate has no rows; repeated rows count
     each; empty tables give no rows; texts are whole; other columns are not read.
     """
-    totals, found = levels(docs, least, longest, text_column, lang_column)
+    totals, named, found = levels(docs, least, longest, text_column, lang_column)
     out = None
     for k in range(1, longest):
         rows = found[k]
         cuts = F.array(*[F.struct(_score(F.col("f"), F.col("heads")[i], F.col("tails")[k - 1 - i]).alias("score"), F.lit(i).alias("k"), F.col("heads")[i].alias("l"), F.col("tails")[k - 1 - i].alias("r")) for i in range(k)])
         if k + 1 < longest:
             # A longer candidate that has the share passes it on to those between: the next length tells all.
-            longer = found[k + 1]
-            most = longer.select(F.col("a").alias("id"), "f").unionByName(longer.select(F.col("b").alias("id"), "f")).groupBy("id").agg(F.max("f").alias("most"))
-            rows = rows.join(most, "id", "left").where(F.col("most").isNull() | (100 * F.col("most") < share * F.col("f")))
+            inside = F.explode(F.array(F.slice("words", 1, k + 1), F.slice("words", 2, k + 1))).alias("words")
+            most = found[k + 1].select(inside, "f").groupBy("words").agg(F.max("f").alias("most"))
+            rows = rows.join(most, "words", "left").where(F.col("most").isNull() | (100 * F.col("most") < share * F.col("f")))
         # Written one after the other, so that only the joins of one length are under way at a time.
-        rows = written(rows.select("lang", "phrase", F.col("f").alias("a"), F.array_min(cuts).alias("cut")), "candidates")
+        rows = written(rows.select("lang", "words", F.col("f").alias("a"), F.array_min(cuts).alias("cut")), "candidates")
         release(docs.sparkSession)
         out = rows if out is None else out.unionByName(rows)
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    out = out.select("lang", "phrase", "a", "cut.l", "cut.r", "cut.score").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+    # Only what may be among the best, with all that tie with the last of them, gets its words as text.
+    by_lang = Window.partitionBy("lang")
+    best = out.select("lang", "words", "a", "cut.l", "cut.r", "cut.score").withColumn("rank", F.rank().over(by_lang.orderBy(F.desc("score"), F.desc("a")))).where(F.col("rank") <= top).drop("rank")
+    each = best.select("*", F.posexplode("words").alias("place", "id")).join(named, "id")
+    spelt = each.groupBy("lang", "words", "a", "l", "r", "score").agg(F.array_sort(F.collect_list(F.struct("place", "word"))).alias("spelt"))
+    out = spelt.select("lang", F.array_join("spelt.word", " ").alias("phrase"), "a", "l", "r", "score")
+    out = out.withColumn("rank", F.row_number().over(by_lang.orderBy(F.desc("score"), F.desc("a"), "phrase"))).where(F.col("rank") <= top)
     return out.join(totals, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")

@@ -85,6 +85,45 @@ def test_tiles_count_like_a_dictionary():
     assert all(len(x) == 0 for x in collocations.tiled_counts(a[:0], b[:0]))
 
 
+@pytest.mark.parametrize("high", [40, 1 << 33])
+def test_phrases_of_ids_with_and_without_a_filter(high):
+    rng = np.random.default_rng(5)
+    ids = np.where(rng.random(6000) < 0.1, -1, high // 40 * rng.integers(0, 40, 6000))
+    for length in (2, 3, 4):
+        grams = [tuple(ids[i : i + length].tolist()) for i in range(len(ids) - length + 1)]
+        want = collections.Counter(g for g in grams if min(g) >= 0)
+        words, n = collocations.phrases_in(ids, length)
+        assert dict(zip(zip(*[w.tolist() for w in words]), n.tolist())) == want and len(n) == len(want)
+        none = np.zeros(1 << 17, np.uint8)  # nothing passes
+        assert length == 2 or not len(collocations.phrases_in(ids, length, none)[1])
+        assert not len(collocations.phrases_in(ids[:1], length)[1])
+        rows = np.lexsort(words[::-1])
+        columns = [c[rows] for c in (*words, n)]
+        assert all((a == b).all() for a, b in zip(collocations._opened(collocations._shut(columns), length + 1), columns))
+
+
+def shuffled(spark):
+    """Bytes that all stages so far have written for shuffles."""
+    jvm, gateway = spark.sparkContext._jvm, spark.sparkContext._gateway
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    stages = spark.sparkContext._jsc.sc().statusStore().stageList(None, False, False, gateway.new_array(jvm.double, 0), jvm.java.util.ArrayList())
+    return {(stages.apply(i).stageId(), stages.apply(i).attemptId()): stages.apply(i).shuffleWriteBytes() for i in range(stages.size())}
+
+
+def test_collocations_send_little(spark, monkeypatch):
+    """What is shuffled stays near the size of the texts, though nearly all pairs of a chunk are sent."""
+    monkeypatch.setattr(collocations, "CHUNK", 100_000)
+    rng = np.random.default_rng(7)
+    vocabulary = np.array(["".join("abcdefghij"[int(d)] for d in str(i + 1000)) for i in range(5000)])
+    draws = vocabulary[np.minimum(rng.zipf(1.3, (400, 1000)) - 1, 4999)]
+    texts = [" ".join(x) for x in draws.tolist()]
+    df = spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    before = shuffled(spark).keys()
+    assert collocations.collocations(df, least=5).count() == 2000
+    sent = sum(n for k, n in shuffled(spark).items() if k not in before)
+    assert sent < 2 * sum(map(len, texts))  # with a row for each pair of a chunk: 3.9
+
+
 def test_scores_are_exact_beyond_64_bits(spark):
     big = [(9_000_000_000_000_000_000, 9_100_000_000_000_000_000, 9_200_000_000_000_000_001), (30, 31, 61), (30, 30, 30)]
     df = spark.createDataFrame(big, "a long, l long, r long")
