@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barloom.llm.common import SLICE_ROWS, each_slice, from_planes, lowered, mixed, n_partitions, new_path, planes, release, remove, span_hashes, word_spans, written
+from barloom.llm.common import SLICE_ROWS, discard, each_slice, from_planes, lowered, mixed, n_partitions, new_path, planes, release, remove, span_hashes, word_spans, written
 
 #: Texts whose crc32 of the id leaves 0 when divided by FOLDS are held out.
 FOLDS = 10
@@ -88,6 +88,32 @@ def _bucket(first: np.ndarray, second: np.ndarray, hot: np.ndarray, hot_pairs: n
     return _spread(np.where(np.isin(first, hot), np.where(np.isin(both, hot_pairs), both ^ salt, both), first), n)
 
 
+def _ranked(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """np.unique(x, return_inverse=True) where most values repeat: only the distinct ones are sorted."""
+    coded = pa.array(x).dictionary_encode()
+    values = coded.dictionary.to_numpy()
+    order = np.argsort(values)
+    rank = np.empty(len(values), np.int64)
+    rank[order] = np.arange(len(values))
+    return values[order], rank[coded.indices.to_numpy()]
+
+
+def _order(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
+    """np.lexsort((b, a)) of numbers from 0, those of b below n: where both and the place fit in 64 bits, one plain sort."""
+    size = len(a)
+    bits = max(1, size).bit_length()
+    if not size or (int(a.max()) + 1) * n >= 1 << (64 - bits):
+        return np.lexsort((b, a))
+    key = a.astype(np.uint64)
+    key *= np.uint64(n)
+    key += b.astype(np.uint64)
+    key <<= np.uint64(bits)
+    key |= np.arange(size, dtype=np.uint64)
+    key.sort()
+    key &= np.uint64((1 << bits) - 1)
+    return key.view(np.int64)
+
+
 def _gathered(batches: Iterator[pa.RecordBatch], with_rows: bool):
     """(first, second, text, rows) of about GATHER pairs at a time."""
     got, rows, many, docs = [], [], 0, 0
@@ -133,6 +159,7 @@ def _hot_words(docs: DataFrame) -> tuple[np.ndarray, np.ndarray, int]:
 
 _DEALT = "bucket int, first binary, runs binary, second binary, train binary, uses binary, texts binary, size binary, who binary"
 _BUCKET = "bucket int, first binary, runs binary, second binary, train binary, entry binary, uses binary, texts binary, size binary, who binary"
+_SPLIT = "bucket int, words binary, sure binary, runs binary, customers binary, parent binary, at binary, number binary, tables binary"
 _WHO = np.dtype([("row", "<i8"), ("id", "<i8"), ("held", "?")])
 _SUMS = "row long, n_tokens binary, n_known binary, base_score binary, score binary"
 
@@ -148,16 +175,25 @@ def _deal(docs: DataFrame, hot: np.ndarray, hot_pairs: np.ndarray, n: int) -> Da
             row, held = rows["row"].to_numpy(), rows["held"].to_numpy()
             who = np.empty(len(row), _WHO)
             who["row"], who["id"], who["held"] = row, rows["id"].to_numpy(), held
-            k = _bucket(a, b, hot, hot_pairs, int(row[0]), n).astype(np.int32)
-            order = np.lexsort((b, a, k))  # stable, so texts stay in order
-            a, b, d, k = a[order], b[order], d[order], k[order]
+            # A first word is the second word of the pair before it, or the begin.
+            begin = _BEGIN >> np.uint64(16)
+            words, second = _ranked(np.append(b, begin))
+            first = np.where(a == begin, second[-1], np.roll(second[:-1], 1))
+            second = second[:-1]
+            order = _order(first, second, len(words))  # stable, so texts stay in order
+            first, second, d = first[order], second[order], d[order]
             del order
-            new = np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1]) | (k[1:] != k[:-1])])
-            heads = np.flatnonzero(new)
-            uses = np.diff(np.append(heads, len(a)))
+            heads = np.flatnonzero(np.concatenate([[True], (first[1:] != first[:-1]) | (second[1:] != second[:-1])]))
+            uses = np.diff(np.append(heads, len(d)))
             train = np.add.reduceat((~held[d]).astype(np.int64), heads)
-            ea, eb, ek = a[heads], b[heads], k[heads]
-            cuts, tcuts = np.searchsorted(ek, np.arange(n + 1)), np.searchsorted(k, np.arange(n + 1))
+            ea, eb = words[first[heads]], words[second[heads]]
+            ek = _bucket(ea, eb, hot, hot_pairs, int(row[0]), n)
+            by = np.argsort(ek.astype(np.uint16) if n <= 1 << 16 else ek, kind="stable")
+            ea, eb, ek, train, heads, uses = (x[by] for x in (ea, eb, ek, train, heads, uses))
+            ends = np.append(0, np.cumsum(uses))
+            d = d[np.repeat(heads - ends[:-1], uses) + np.arange(len(d))]
+            cuts = np.searchsorted(ek, np.arange(n + 1))
+            tcuts = ends[cuts]
             out = []
             for j in np.flatnonzero(np.diff(cuts)).tolist():
                 x, t = slice(cuts[j], cuts[j + 1]), slice(tcuts[j], tcuts[j + 1])
@@ -176,15 +212,16 @@ def _merge(table: pa.Table) -> pa.Table:
     """One row for a bucket: its distinct pairs in order with their training counts, and for each portion which of them
     it has and in which of its texts."""
     column = lambda x: table[x].to_pylist()
-    a = np.concatenate([np.repeat(_unpack(a), np.frombuffer(r, "<u4")) for a, r in zip(column("first"), column("runs"))])
-    b = np.concatenate([_unpack(x) for x in column("second")])
-    order = np.lexsort((b, a)).astype(np.int32)
+    firsts, a = _ranked(np.concatenate([_unpack(x) for x in column("first")]))
+    a = np.repeat(a, np.frombuffer(b"".join(column("runs")), "<u4"))
+    seconds, b = _ranked(np.concatenate([_unpack(x) for x in column("second")]))
+    order = _order(a, b, len(seconds)).astype(np.int32)
     a, b = a[order], b[order]
     new = np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
     entry = np.empty(len(a), np.int32)
     entry[order] = np.cumsum(new, dtype=np.int32) - 1
     heads = np.flatnonzero(new)
-    ea, eb = a[heads], b[heads]
+    ea, eb = firsts[a[heads]], seconds[b[heads]]
     del a, b
     counts = np.add.reduceat(np.frombuffer(b"".join(column("train")), "<u4")[order], heads, dtype=np.int64)
     fh = np.flatnonzero(np.concatenate([[True], ea[1:] != ea[:-1]]))
@@ -227,14 +264,15 @@ def sample_tables(customers: np.ndarray, opens: np.ndarray, discount: float, rng
     """
     t = np.minimum(customers, 1)
     weights = _arrangements(discount)
-    log_open = np.log(opens)
     start = np.minimum(customers, _SMALL)
+    order = np.argsort(start.astype(np.uint8), kind="stable")
+    cuts = np.cumsum(np.bincount(start, minlength=_SMALL + 1))
     for c in range(2, _SMALL + 1):
-        k = np.flatnonzero(start == c)
+        k = order[cuts[c - 1] : cuts[c]]
         if len(k):
-            w = weights[c, 1 : c + 1] + np.arange(c) * log_open[k][:, None]
-            w = np.exp(w - w.max(1, keepdims=True)).cumsum(1)
-            t[k] = 1 + (w < rng.random(len(k))[:, None] * w[:, -1:]).sum(1)
+            w = weights[c, 1 : c + 1, None] + np.arange(c)[:, None] * np.log(opens[k])
+            w = np.exp(w - w.max(0)).cumsum(0)
+            t[k] = 1 + (w < rng.random(len(k)) * w[-1]).sum(0)
     k = np.flatnonzero(customers > _SMALL)
     n = start[k]
     while len(k):
@@ -247,33 +285,49 @@ def sample_tables(customers: np.ndarray, opens: np.ndarray, discount: float, rng
     return t
 
 
-def seat(train: np.ndarray, heads: np.ndarray, parent: np.ndarray, seats: np.ndarray, totals: list[np.ndarray] | None, discount: float, rng: np.random.Generator, draws: int = SWEEPS, averaged: bool = False, shared: tuple = ((), (), 0)) -> tuple[np.ndarray, np.ndarray]:
+def seat(train: np.ndarray, heads: np.ndarray, parent: np.ndarray, seats: np.ndarray | None, totals: list[np.ndarray] | None, discount: float, rng, draws: int = SWEEPS, averaged: bool = False, shared: tuple = ((), (), 0), begin: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """(tables of each pair after the last draw, mean probability of each pair if averaged).
 
     Pairs of a restaurant lie together and begin at heads; parent is the probability of each pair's second word at the
     parent, seats the customers of each restaurant. totals has the tables of each restaurant before the first draw, after
-    it and so on; None if all pairs of the restaurants are here. shared: places of pairs that other buckets have too, their
+    it and so on; None if all pairs of the restaurants are here. Given totals, a draw depends on no other one: those before
+    begin are left out, and rng is a function of the draw. shared: places of pairs that other buckets have too, their
     numbers, and a seed; their draws depend on nothing else, so they are the same in every bucket."""
     owner = np.repeat(np.arange(len(heads)), np.diff(np.append(heads, len(train))))
-    tables, mean = np.minimum(train, 1), np.zeros(len(train) if averaged else 0)
-    for step in range(draws if len(train) else 0):
-        before = np.add.reduceat(tables, heads) if totals is None else totals[step]
-        opens = (STRENGTH + discount * before)[owner] * parent
-        tables = sample_tables(train, opens, discount, rng)
-        for at, number in zip(*shared[:2]):
-            tables[at] = sample_tables(train[at : at + 1], opens[at : at + 1], discount, np.random.default_rng([shared[2], step, number]))[0]
+    tables = np.minimum(train, 1)
+    if not len(train):
+        return tables, np.zeros(0)
+    # Pairs of one customer have one table, whatever is drawn.
+    some = np.flatnonzero(train > 1)
+    customers, of, share = train[some], owner[some], parent[some]
+    numbered = [(np.searchsorted(some, at), number) for at, number in zip(*shared[:2]) if train[at] > 1]
+    whole = np.bincount(owner, tables, len(heads))
+    sure = whole - np.bincount(of, minlength=len(heads))
+    many, opened = np.zeros(len(some)), np.zeros(len(heads))
+    for step in range(begin, draws):
+        before = whole if totals is None else totals[step]
+        opens = (STRENGTH + discount * before)[of] * share
+        drawn = sample_tables(customers, opens, discount, rng(step) if callable(rng) else rng)
+        for at, number in numbered:
+            drawn[at] = sample_tables(customers[at : at + 1], opens[at : at + 1], discount, np.random.default_rng([shared[2], step, number]))[0]
+        if totals is None:
+            whole = sure + np.bincount(of, drawn, len(heads))
         if averaged and step >= BURN_IN:
-            after = np.add.reduceat(tables, heads) if totals is None else totals[step + 1]
-            mean += ((train - discount * tables) + (STRENGTH + discount * after)[owner] * parent) / (STRENGTH + seats)[owner]
-    return tables, mean / (draws - BURN_IN) if averaged else mean
-
-
-def _words_out(bucket: int, second: np.ndarray, train: np.ndarray, tables: np.ndarray, n: int) -> pa.RecordBatch:
-    """What a bucket of pairs tells the buckets of words: of each of its second words, uses in training and tables."""
-    order = np.argsort(second, kind="stable")
-    s = second[order]
-    heads = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]]))
-    w, c, t = s[heads], np.add.reduceat(train[order], heads), np.add.reduceat(tables[order], heads)
+            many += drawn
+            opened += whole if totals is None else totals[step + 1]
+    if draws > begin:
+        tables[some] = drawn
+    if not averaged:
+        return tables, np.zeros(0)
+    mean = np.minimum(train, 1).astype(float)
+    mean[some] = many / (draws - BURN_IN)
+    return tables, ((train - discount * mean) + (STRENGTH + discount * opened / (draws - BURN_IN))[owner] * parent) / (STRENGTH + seats)[owner]
+
+
+def _words_out(bucket: int, w: np.ndarray, word: np.ndarray, train: np.ndarray, tables: np.ndarray, n: int) -> pa.RecordBatch:
+    """What a bucket of pairs tells the buckets of words: of each of its second words w, in order, uses in training and
+    tables. word: place of each pair's second word."""
+    c, t = (np.bincount(word, x, len(w)).astype(np.int64) for x in (train, tables))
     cuts = np.searchsorted(_spread(w, n), np.arange(n + 1))
     k = np.flatnonzero(np.diff(cuts)).tolist()
     part = lambda x, how: pa.array([how(x[cuts[i] : cuts[i + 1]]) for i in k], pa.binary())
@@ -289,7 +343,7 @@ def _parent(discount: float, seed: int):
 
     def run(table: pa.Table) -> pa.Table:
         asked = [_unpack(x) for x in table["words"].to_pylist()]
-        words, which = np.unique(np.concatenate(asked), return_inverse=True)
+        words, which = _ranked(np.concatenate(asked))
         sent = lambda c: np.concatenate([from_planes(x, len(w)) for x, w in zip(table[c].to_pylist(), asked)])
         add = lambda c: np.bincount(which, sent(c), len(words)).astype(np.int64)
         uses, customers = add("uses"), add("tables")
@@ -391,7 +445,7 @@ def _scores(docs: DataFrame, id_column: str, text_column: str, name: str, path:
         for b in batches:
             for r in b.to_pylist():
                 _, _, second, train, _, counts = known_pairs(r)
-                yield _words_out(r["bucket"], second, train * counts, np.minimum(train, 1) * counts, n)
+                yield _words_out(r["bucket"], *np.unique(second, return_inverse=True), train * counts, np.minimum(train, 1) * counts, n)
 
     def hot_stats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Of the split first words their customers and tables; under -1 and -2 how many pairs were seen once and twice."""
@@ -416,70 +470,109 @@ def _scores(docs: DataFrame, id_column: str, text_column: str, name: str, path:
         return got, tuple(x or 0 for x in t)
 
     def opened(r: dict, sums: tuple):
-        """A bucket: (second words, training counts, whether each pair counts here, place of each pair's word among the
-        bucket's, their uses, probability of each pair's second word at the parent, and of the split and of the other first
-        words: pairs, heads, words, and the split pairs among them)."""
+        """A bucket: (distinct second words, training counts, whether each pair counts here, place of each pair's word among
+        the bucket's, their uses, probability of each pair's second word at the parent, and of the split and of the other
+        first words: pairs, heads, words, and the split pairs among them)."""
         known, customers, open_, _ = sums
         first, runs, second, train, split, counts = known_pairs(r)
         mass = np.frombuffer(b"".join(x["mass"] for x in r["answers"]), "<f4").astype(float)
         uses = np.concatenate([from_planes(x["uses"], len(x["mass"]) // 4) for x in r["answers"]])
-        word = np.searchsorted(np.unique(second), second)
+        words, word = np.unique(second, return_inverse=True)
         parent = ((mass + (STRENGTH + discount * open_) / (known + 1)) / (STRENGTH + customers))[word]
-        parts = []
-        for k in (np.isin(first, hot), ~np.isin(first, hot)):
+        parts, often = [], np.isin(first, hot)
+        for k in (often, ~often):
             mine = runs[k]
             pairs = np.flatnonzero(np.repeat(k, runs))
             parts.append((pairs, np.cumsum(mine) - mine, first[k], (np.searchsorted(pairs, split[0]), split[1])))
-        return second, train, counts, word, uses, parent, parts
+        return words, train, counts, word, uses, parent, parts
 
-    def seat_split(r: dict, train: np.ndarray, parent: np.ndarray, part: tuple, totals: list[np.ndarray], seed: int, draws: int, averaged: bool = False):
-        """The pairs of split words in a bucket. Draws are the same ones whenever they are made again."""
-        pairs, heads, words, shared = part
+    def seat_split(bucket: int, train: np.ndarray, heads: np.ndarray, parent: np.ndarray, words: np.ndarray, shared: tuple, totals: list[np.ndarray], seed: int, begin: int, draws: int, averaged: bool = False):
+        """Pairs of split words in a bucket. Draws are the same ones whenever they are made again, also without the pairs
+        that have one customer or none."""
         at = np.searchsorted(hot, words)
-        return seat(train[pairs], heads, parent[pairs], customers_of[at], [t[at] for t in totals], discount, np.random.default_rng([seed, r["bucket"], 1]), draws, averaged, (*shared, seed))
+        rng = lambda step: np.random.default_rng([seed, bucket, 1, step])
+        return seat(train, heads, parent, customers_of[at], [t[at] for t in totals], discount, rng, draws, averaged, (*shared, seed), begin)
+
+    def tables_now(r: dict, totals: list[np.ndarray], seed: int) -> np.ndarray:
+        """Tables that a bucket's split words have in it after the draw that follows totals."""
+        words, at, number = _unpack(r["words"]), np.frombuffer(r["at"], "<i8"), np.frombuffer(r["number"], "<i8")
+        sure, runs, parent = from_planes(r["sure"], len(words)), from_planes(r["runs"], len(words)), np.frombuffer(r["parent"], "<f8")
+        drawn, _ = seat_split(r["bucket"], from_planes(r["customers"], len(parent)), np.cumsum(runs) - runs, parent, words, (at, number), totals, seed, len(totals) - 1, len(totals))
+        drawn[at[pair_bucket[number] != r["bucket"]]] = 0
+        return sure + np.bincount(np.repeat(np.arange(len(words)), runs), drawn, len(words)).astype(np.int64)
 
     def split_tables(joined: DataFrame, sums: tuple, seed: int, draws: int) -> list[np.ndarray]:
         """Tables of the split words over all buckets before the first draw and after each of the next ones: between two
-        draws the buckets' tables are added up, so that each draw knows the restaurants' whole numbers."""
+        draws the buckets' tables are added up, so that each draw knows the restaurants' whole numbers. What the draws need
+        is written once, with the tables after the first; a draw is made from it without those before."""
         totals = [tables_of]
+        if not len(hot):
+            return totals * (draws + 1)
+
+        def prepare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                for r in b.to_pylist():
+                    _, train, counts, _, _, parent, (part, _) = opened(r, sums)
+                    pairs, heads, words, (at, number) = part
+                    if not len(pairs):
+                        continue
+                    train, parent, counts = train[pairs], parent[pairs], counts[pairs]
+                    some = train > 1
+                    one = {
+                        "bucket": r["bucket"],
+                        "words": _pack(words),
+                        "sure": planes(np.add.reduceat(np.minimum(train, 1) * ~some * counts, heads)),
+                        "runs": planes(np.add.reduceat(some.astype(np.int64), heads)),
+                        "customers": planes(train[some]),
+                        "parent": parent[some].astype("<f8").tobytes(),
+                        "at": (np.cumsum(some) - 1)[at[some[at]]].astype("<i8").tobytes(),
+                        "number": number[some[at]].astype("<i8").tobytes(),
+                    }
+                    one["tables"] = planes(tables_now(one, [tables_of], seed))
+                    yield pa.RecordBatch.from_arrays([pa.array([v], pa.int32() if k == "bucket" else pa.binary()) for k, v in one.items()], list(one))
+
+        kept = written(joined.mapInArrow(prepare, _SPLIT), "split")
         while len(totals) <= draws:
 
             def count(batches: Iterator[pa.RecordBatch], totals=tuple(totals)) -> Iterator[pa.RecordBatch]:
                 for b in batches:
                     for r in b.to_pylist():
-                        _, train, counts, _, _, parent, (part, _) = opened(r, sums)
-                        tables, _ = seat_split(r, train, parent, part, totals, seed, len(totals))
-                        got = np.add.reduceat(tables * counts[part[0]], part[1]) if len(tables) else tables
-                        yield pa.RecordBatch.from_arrays([pa.array(part[2].view(np.int64)), pa.array(got, pa.int64())], ["word", "tables"])
+                        words = _unpack(r["words"])
+                        got = from_planes(r["tables"], len(words)) if len(totals) == 1 else tables_now(r, totals, seed)
+                        yield pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(got)], ["word", "tables"])
 
-            got = joined.mapInArrow(count, "word long, tables long").groupBy("word").agg(F.sum("tables").alias("t")).collect() if len(hot) else []
+            read = kept.select("words", "tables") if len(totals) == 1 else kept.drop("tables")
+            got = read.mapInArrow(count, "word long, tables long").groupBy("word").agg(F.sum("tables").alias("t")).collect()
             release(spark)
             now = np.zeros(len(hot))
             now[np.searchsorted(hot, np.array([x["word"] for x in got], np.int64).view(np.uint64))] = [x["t"] for x in got]
             totals.append(now)
+        discard(kept)
         return totals
 
     def seated(r: dict, sums: tuple, seed: int, totals: list[np.ndarray], averaged: bool = False):
-        """Draws the seating of a bucket SWEEPS times: (second words, training counts, tables, mean probability of each
-        pair, uses of its second word); a split pair has counts and tables in one bucket."""
-        second, train, counts, word, uses, parent, (split, rest) = opened(r, sums)
+        """Draws the seating of a bucket SWEEPS times: (distinct second words, place of each pair's among them, training
+        counts, tables, mean probability of each pair, uses of its second word); a split pair has counts and tables in one
+        bucket."""
+        words, train, counts, word, uses, parent, (split, rest) = opened(r, sums)
         tables, mean = np.zeros(len(train), np.int64), np.zeros(len(train) if averaged else 0)
         k, heads, *_ = rest
         whole = np.add.reduceat(train[k], heads).astype(float) if len(k) else np.zeros(0)
         got = [seat(train[k], heads, parent[k], whole, None, discount, np.random.default_rng([seed, r["bucket"]]), SWEEPS, averaged)]
-        got.append(seat_split(r, train, parent, split, totals, seed, SWEEPS, averaged))
+        k, heads, often, shared = split
+        got.append(seat_split(r["bucket"], train[k], heads, parent[k], often, shared, totals, seed, BURN_IN if averaged else SWEEPS - 1, SWEEPS, averaged))
         for (pairs, *_), (t, m) in zip((rest, split), got):
             tables[pairs] = t
             if averaged:
                 mean[pairs] = m
-        return second, train * counts, tables * counts, mean, uses[word]
+        return words, word, train * counts, tables * counts, mean, uses[word]
 
     def again(sums: tuple, seed: int, totals: list[np.ndarray]):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
                 for r in b.to_pylist():
-                    second, train, tables, *_ = seated(r, sums, seed, totals)
-                    yield _words_out(r["bucket"], second, train, tables, n)
+                    words, word, train, tables, *_ = seated(r, sums, seed, totals)
+                    yield _words_out(r["bucket"], words, word, train, tables, n)
 
         return run
 
@@ -494,7 +587,7 @@ def _scores(docs: DataFrame, id_column: str, text_column: str, name: str, path:
         """Sums over a bucket's pairs for every text of a portion: a row for each portion that it has pairs of."""
         for b in batches:
             for r in b.to_pylist():
-                _, _, _, mean, uses = seated(r, sums, ROUNDS, totals, True)
+                *_, mean, uses = seated(r, sums, ROUNDS, totals, True)
                 log_p = np.log10(mean)
                 log_base = np.log10((uses + 0.1) / (total + 0.1 * (known + 1)))
                 seen = (uses > 0).astype(float)

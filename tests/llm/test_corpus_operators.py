@@ -8,6 +8,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from barloom.llm import bpe, components, exact_dedup, fingerprints, hpylm, induced, jaccard, langid, mixing, suffix_dedup, token_counts, warc
@@ -192,6 +193,57 @@ def test_lm_split_restaurant_seats_as_a_whole_one():
     assert totals[4][0] == pytest.approx(whole, rel=0.02)
 
 
+def test_lm_draws_of_split_words_are_not_made_again(spark, monkeypatch, tmp_path):
+    # Every first word is split. Seven draws are made for the totals of the two exchanges and four for the seating itself; made
+    # from the start for each total they are 24.
+    rng = random.Random(4)
+    rows = [(i, " ".join(f"w{rng.randrange(40)}" for _ in range(200))) for i in range(200)]
+    tokens = [["<", *t.split(), ">"] for _, t in rows]
+    pairs = {p for t in tokens for p in zip(t, t[1:])}
+    plain, log = hpylm.sample_tables, tmp_path / "drawn"
+
+    def counted(customers, *rest):
+        with log.open("a") as f:
+            f.write(f"{len(customers)}\n")
+        return plain(customers, *rest)
+
+    monkeypatch.setattr(hpylm, "sample_tables", counted)
+    cloudpickle.register_pickle_by_value(hpylm)  # so that the workers have it too
+    try:
+        hpylm.score_texts(spark.createDataFrame(rows, "doc_id long, text string"))
+    finally:
+        cloudpickle.unregister_pickle_by_value(hpylm)
+    drawn = sum(map(int, log.read_text().split()))
+    assert 10 * len(pairs) < drawn < 13 * len(pairs)
+
+
+def test_lm_draw_given_totals_needs_no_other_draw():
+    rng = np.random.default_rng(2)
+    train = rng.integers(0, 5, 3000) * rng.integers(0, 30, 3000) // 4
+    heads = np.arange(0, 3000, 50)
+    parent, owner = rng.random(3000) / 3000, np.repeat(np.arange(60), 50)
+    seats, totals = np.bincount(owner, train), [np.bincount(owner, np.minimum(train, 1)) + 3 * k for k in range(5)]
+    of = lambda step: np.random.default_rng([7, step])
+    shared = ([np.argmax(train)], [0], 5)
+    draw = lambda k, heads, shared, **how: hpylm.seat(train[k], heads, parent[k], seats, totals, 0.6, of, 4, shared=shared, **how)
+    tables, mean = draw(np.arange(3000), heads, shared, averaged=True)
+    late, late_mean = draw(np.arange(3000), heads, shared, averaged=True, begin=hpylm.BURN_IN)
+    assert (late == tables).all() and (late_mean == mean).all()
+    k = np.flatnonzero(train > 1)
+    last, _ = draw(k, np.searchsorted(k, heads), (np.searchsorted(k, shared[0]), [0], 5), begin=3)
+    assert (last == tables[k]).all() and (tables[train < 2] == train[train < 2]).all()
+
+
+def test_lm_order_of_pairs():
+    rng = np.random.default_rng(6)
+    a, b = rng.integers(0, 40, (2, 5000))
+    for scale in (1, 1 << 50):  # packed in 64 bits, and not
+        assert (hpylm._order(a * scale, b, 40) == np.lexsort((b, a))).all()
+    words = rng.integers(0, 1 << 48, 300, np.uint64)[a]
+    assert all((x == y).all() for x, y in zip(hpylm._ranked(words), np.unique(words, return_inverse=True)))
+    assert len(hpylm._order(a[:0], b[:0], 1)) == 0
+
+
 def test_table_draws():
     rng = np.random.default_rng(0)
     c = np.array([0, 1, 2, 5, 32, 33, 1000, 100000])
