@@ -8,7 +8,7 @@ All pairs of the corpus, with the texts they stand in, are dealt once to buckets
 more than a share of all pairs is dealt by both words, and a pair that is itself such a share by the portion of texts as well.
 A round of sampling exchanges, between buckets of pairs and buckets of words, a table count and a count of customers for
 each word that a bucket has. Tables of the split words are added up over all buckets before every draw. A split pair is
-known by all its customers in every bucket that has it, drawn by the same numbers in each, and counted in one of them.
+known by all its customers in every bucket that has it, and drawn and counted in one of them.
 """
 
 from __future__ import annotations
@@ -159,7 +159,7 @@ def _hot_words(docs: DataFrame) -> tuple[np.ndarray, np.ndarray, int]:
 
 _DEALT = "bucket int, first binary, runs binary, second binary, train binary, uses binary, texts binary, size binary, who binary"
 _BUCKET = "bucket int, first binary, runs binary, second binary, train binary, entry binary, uses binary, texts binary, size binary, who binary"
-_SPLIT = "bucket int, words binary, sure binary, runs binary, customers binary, parent binary, at binary, number binary, tables binary"
+_SPLIT = "bucket int, words binary, sure binary, runs binary, customers binary, parent binary, number binary, of binary, split_parent binary, tables binary, split_tables binary"
 _WHO = np.dtype([("row", "<i8"), ("id", "<i8"), ("held", "?")])
 _SUMS = "row long, n_tokens binary, n_known binary, base_score binary, score binary"
 
@@ -285,22 +285,22 @@ def sample_tables(customers: np.ndarray, opens: np.ndarray, discount: float, rng
     return t
 
 
-def seat(train: np.ndarray, heads: np.ndarray, parent: np.ndarray, seats: np.ndarray | None, totals: list[np.ndarray] | None, discount: float, rng, draws: int = SWEEPS, averaged: bool = False, shared: tuple = ((), (), 0), begin: int = 0) -> tuple[np.ndarray, np.ndarray]:
+def seat(train: np.ndarray, heads: np.ndarray, parent: np.ndarray, seats: np.ndarray | None, totals: list[np.ndarray] | None, discount: float, rng, draws: int = SWEEPS, averaged: bool = False, split: tuple = ((), ()), begin: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """(tables of each pair after the last draw, mean probability of each pair if averaged).
 
     Pairs of a restaurant lie together and begin at heads; parent is the probability of each pair's second word at the
     parent, seats the customers of each restaurant. totals has the tables of each restaurant before the first draw, after
     it and so on; None if all pairs of the restaurants are here. Given totals, a draw depends on no other one: those before
-    begin are left out, and rng is a function of the draw. shared: places of pairs that other buckets have too, their
-    numbers, and a seed; their draws depend on nothing else, so they are the same in every bucket."""
+    begin are left out, and rng is a function of the draw. split: places of pairs that are not drawn here, and their tables
+    after each draw."""
     owner = np.repeat(np.arange(len(heads)), np.diff(np.append(heads, len(train))))
     tables = np.minimum(train, 1)
     if not len(train):
         return tables, np.zeros(0)
     # Pairs of one customer have one table, whatever is drawn.
-    some = np.flatnonzero(train > 1)
+    at, known = np.asarray(split[0], np.int64), split[1]
+    some = np.flatnonzero((train > 1) & ~np.isin(np.arange(len(train)), at))
     customers, of, share = train[some], owner[some], parent[some]
-    numbered = [(np.searchsorted(some, at), number) for at, number in zip(*shared[:2]) if train[at] > 1]
     whole = np.bincount(owner, tables, len(heads))
     sure = whole - np.bincount(of, minlength=len(heads))
     many, opened = np.zeros(len(some)), np.zeros(len(heads))
@@ -308,8 +308,6 @@ def seat(train: np.ndarray, heads: np.ndarray, parent: np.ndarray, seats: np.nda
         before = whole if totals is None else totals[step]
         opens = (STRENGTH + discount * before)[of] * share
         drawn = sample_tables(customers, opens, discount, rng(step) if callable(rng) else rng)
-        for at, number in numbered:
-            drawn[at] = sample_tables(customers[at : at + 1], opens[at : at + 1], discount, np.random.default_rng([shared[2], step, number]))[0]
         if totals is None:
             whole = sure + np.bincount(of, drawn, len(heads))
         if averaged and step >= BURN_IN:
@@ -317,10 +315,12 @@ def seat(train: np.ndarray, heads: np.ndarray, parent: np.ndarray, seats: np.nda
             opened += whole if totals is None else totals[step + 1]
     if draws > begin:
         tables[some] = drawn
+        tables[at] = known[draws - 1] if len(at) else 0
     if not averaged:
         return tables, np.zeros(0)
     mean = np.minimum(train, 1).astype(float)
     mean[some] = many / (draws - BURN_IN)
+    mean[at] = np.mean(known[BURN_IN:draws], 0) if len(at) else 0
     return tables, ((train - discount * mean) + (STRENGTH + discount * opened / (draws - BURN_IN))[owner] * parent) / (STRENGTH + seats)[owner]
 
 
@@ -486,28 +486,31 @@ def _scores(docs: DataFrame, id_column: str, text_column: str, name: str, path:
             parts.append((pairs, np.cumsum(mine) - mine, first[k], (np.searchsorted(pairs, split[0]), split[1])))
         return words, train, counts, word, uses, parent, parts
 
-    def seat_split(bucket: int, train: np.ndarray, heads: np.ndarray, parent: np.ndarray, words: np.ndarray, shared: tuple, totals: list[np.ndarray], seed: int, begin: int, draws: int, averaged: bool = False):
+    def seat_split(bucket: int, train: np.ndarray, heads: np.ndarray, parent: np.ndarray, words: np.ndarray, split: tuple, totals: list[np.ndarray], seed: int, begin: int, draws: int, averaged: bool = False):
         """Pairs of split words in a bucket. Draws are the same ones whenever they are made again, also without the pairs
-        that have one customer or none."""
+        that have one customer or none and without the split pairs."""
         at = np.searchsorted(hot, words)
         rng = lambda step: np.random.default_rng([seed, bucket, 1, step])
-        return seat(train, heads, parent, customers_of[at], [t[at] for t in totals], discount, rng, draws, averaged, (*shared, seed), begin)
+        return seat(train, heads, parent, customers_of[at], [t[at] for t in totals], discount, rng, draws, averaged, split, begin)
 
-    def tables_now(r: dict, totals: list[np.ndarray], seed: int) -> np.ndarray:
-        """Tables that a bucket's split words have in it after the draw that follows totals."""
-        words, at, number = _unpack(r["words"]), np.frombuffer(r["at"], "<i8"), np.frombuffer(r["number"], "<i8")
+    def tables_now(r: dict, totals: list[np.ndarray], seed: int) -> tuple[np.ndarray, np.ndarray]:
+        """Tables that a bucket's split words, and the split pairs that count in it, have after the draw that follows totals."""
+        words, number = _unpack(r["words"]), np.frombuffer(r["number"], "<i8")
         sure, runs, parent = from_planes(r["sure"], len(words)), from_planes(r["runs"], len(words)), np.frombuffer(r["parent"], "<f8")
-        drawn, _ = seat_split(r["bucket"], from_planes(r["customers"], len(parent)), np.cumsum(runs) - runs, parent, words, (at, number), totals, seed, len(totals) - 1, len(totals))
-        drawn[at[pair_bucket[number] != r["bucket"]]] = 0
-        return sure + np.bincount(np.repeat(np.arange(len(words)), runs), drawn, len(words)).astype(np.int64)
-
-    def split_tables(joined: DataFrame, sums: tuple, seed: int, draws: int) -> list[np.ndarray]:
-        """Tables of the split words over all buckets before the first draw and after each of the next ones: between two
-        draws the buckets' tables are added up, so that each draw knows the restaurants' whole numbers. What the draws need
-        is written once, with the tables after the first; a draw is made from it without those before."""
-        totals = [tables_of]
+        drawn, _ = seat_split(r["bucket"], from_planes(r["customers"], len(parent)), np.cumsum(runs) - runs, parent, words, ((), ()), totals, seed, len(totals) - 1, len(totals))
+        of = np.frombuffer(r["of"], "<i8")
+        opens = (STRENGTH + discount * totals[-1][np.searchsorted(hot, words)][of]) * np.frombuffer(r["split_parent"], "<f8")
+        pairs = sample_tables(pair_customers[number], opens, discount, np.random.default_rng([seed, r["bucket"], 2, len(totals) - 1]))
+        return sure + sum(np.bincount(k, x, len(words)).astype(np.int64) for k, x in ((np.repeat(np.arange(len(words)), runs), drawn), (of, pairs))), pairs
+
+    def split_tables(joined: DataFrame, sums: tuple, seed: int, draws: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """Tables of the split words over all buckets before the first draw and after each of the next ones, and tables of the
+        split pairs after each: between two draws the buckets' tables are added up, so that each draw knows the restaurants'
+        whole numbers. What the draws need is written once, with the tables after the first; a draw is made from it without
+        those before. A split pair is drawn by the bucket that counts it."""
+        totals, of_pairs = [tables_of], []
         if not len(hot):
-            return totals * (draws + 1)
+            return totals * (draws + 1), [np.zeros(0, np.int64)] * draws
 
         def prepare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
@@ -517,18 +520,22 @@ def _scores(docs: DataFrame, id_column: str, text_column: str, name: str, path:
                     if not len(pairs):
                         continue
                     train, parent, counts = train[pairs], parent[pairs], counts[pairs]
-                    some = train > 1
+                    some, sure = train > 1, np.minimum(train, 1)
+                    some[at], sure[at] = False, 0
+                    sure[some] = 0
+                    at, number = at[counts[at]], number[counts[at]]
                     one = {
                         "bucket": r["bucket"],
                         "words": _pack(words),
-                        "sure": planes(np.add.reduceat(np.minimum(train, 1) * ~some * counts, heads)),
+                        "sure": planes(np.add.reduceat(sure, heads)),
                         "runs": planes(np.add.reduceat(some.astype(np.int64), heads)),
                         "customers": planes(train[some]),
                         "parent": parent[some].astype("<f8").tobytes(),
-                        "at": (np.cumsum(some) - 1)[at[some[at]]].astype("<i8").tobytes(),
-                        "number": number[some[at]].astype("<i8").tobytes(),
+                        "number": number.astype("<i8").tobytes(),
+                        "of": (np.searchsorted(heads, at, "right") - 1).astype("<i8").tobytes(),
+                        "split_parent": parent[at].astype("<f8").tobytes(),
                     }
-                    one["tables"] = planes(tables_now(one, [tables_of], seed))
+                    one |= zip(("tables", "split_tables"), map(planes, tables_now(one, [tables_of], seed)))
                     yield pa.RecordBatch.from_arrays([pa.array([v], pa.int32() if k == "bucket" else pa.binary()) for k, v in one.items()], list(one))
 
         kept = written(joined.mapInArrow(prepare, _SPLIT), "split")
@@ -537,20 +544,27 @@ def _scores(docs: DataFrame, id_column: str, text_column: str, name: str, path:
             def count(batches: Iterator[pa.RecordBatch], totals=tuple(totals)) -> Iterator[pa.RecordBatch]:
                 for b in batches:
                     for r in b.to_pylist():
-                        words = _unpack(r["words"])
-                        got = from_planes(r["tables"], len(words)) if len(totals) == 1 else tables_now(r, totals, seed)
-                        yield pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(got)], ["word", "tables"])
-
-            read = kept.select("words", "tables") if len(totals) == 1 else kept.drop("tables")
-            got = read.mapInArrow(count, "word long, tables long").groupBy("word").agg(F.sum("tables").alias("t")).collect()
+                        words, number = _unpack(r["words"]), np.frombuffer(r["number"], "<i8")
+                        if len(totals) == 1:
+                            got = from_planes(r["tables"], len(words)), from_planes(r["split_tables"], len(number))
+                        else:
+                            got = tables_now(r, totals, seed)
+                        kind = np.repeat([0, 1], [len(words), len(number)])
+                        yield pa.RecordBatch.from_arrays([pa.array(kind, pa.int32()), pa.array(np.concatenate([words.view(np.int64), number])), pa.array(np.concatenate(got))], ["kind", "word", "tables"])
+
+            read = kept.select("words", "number", "tables", "split_tables") if len(totals) == 1 else kept.drop("tables", "split_tables")
+            got = read.mapInArrow(count, "kind int, word long, tables long").groupBy("kind", "word").agg(F.sum("tables").alias("t")).collect()
             release(spark)
-            now = np.zeros(len(hot))
-            now[np.searchsorted(hot, np.array([x["word"] for x in got], np.int64).view(np.uint64))] = [x["t"] for x in got]
+            now, now_pairs = np.zeros(len(hot)), np.zeros(len(hot_pairs), np.int64)
+            kind, word, t = (np.array([x[c] for x in got], np.int64) for c in ("kind", "word", "t"))
+            now[np.searchsorted(hot, word[kind == 0].view(np.uint64))] = t[kind == 0]
+            now_pairs[word[kind == 1]] = t[kind == 1]
             totals.append(now)
+            of_pairs.append(now_pairs)
         discard(kept)
-        return totals
+        return totals, of_pairs
 
-    def seated(r: dict, sums: tuple, seed: int, totals: list[np.ndarray], averaged: bool = False):
+    def seated(r: dict, sums: tuple, seed: int, totals: tuple[list[np.ndarray], list[np.ndarray]], averaged: bool = False):
         """Draws the seating of a bucket SWEEPS times: (distinct second words, place of each pair's among them, training
         counts, tables, mean probability of each pair, uses of its second word); a split pair has counts and tables in one
         bucket."""
@@ -559,15 +573,16 @@ def _scores(docs: DataFrame, id_column: str, text_column: str, name: str, path:
         k, heads, *_ = rest
         whole = np.add.reduceat(train[k], heads).astype(float) if len(k) else np.zeros(0)
         got = [seat(train[k], heads, parent[k], whole, None, discount, np.random.default_rng([seed, r["bucket"]]), SWEEPS, averaged)]
-        k, heads, often, shared = split
-        got.append(seat_split(r["bucket"], train[k], heads, parent[k], often, shared, totals, seed, BURN_IN if averaged else SWEEPS - 1, SWEEPS, averaged))
+        k, heads, often, (at, number) = split
+        known = (at, [t[number] for t in totals[1]])
+        got.append(seat_split(r["bucket"], train[k], heads, parent[k], often, known, totals[0], seed, BURN_IN if averaged else SWEEPS - 1, SWEEPS, averaged))
         for (pairs, *_), (t, m) in zip((rest, split), got):
             tables[pairs] = t
             if averaged:
                 mean[pairs] = m
         return words, word, train * counts, tables * counts, mean, uses[word]
 
-    def again(sums: tuple, seed: int, totals: list[np.ndarray]):
+    def again(sums: tuple, seed: int, totals: tuple[list[np.ndarray], list[np.ndarray]]):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
                 for r in b.to_pylist():
@@ -579,7 +594,7 @@ def _scores(docs: DataFrame, id_column: str, text_column: str, name: str, path:
     replies, sums = answered(0, light.mapInArrow(seat_first, _WORDS))
     for i in range(1, ROUNDS):
         joined = light.join(replies, "bucket")
-        replies, sums = answered(i, joined.mapInArrow(again(sums, i, split_tables(joined, sums, i, SWEEPS - 1)), _WORDS))
+        replies, sums = answered(i, joined.mapInArrow(again(sums, i, split_tables(joined, sums, i, SWEEPS)), _WORDS))
     totals = split_tables(light.join(replies, "bucket"), sums, ROUNDS, SWEEPS)
     known, _, _, total = sums
 

@@ -194,10 +194,11 @@ def test_lm_split_restaurant_seats_as_a_whole_one():
 
 
 def test_lm_draws_of_split_words_are_not_made_again(spark, monkeypatch, tmp_path):
-    # Every first word is split. Seven draws are made for the totals of the two exchanges and four for the seating itself; made
+    # Every first word is split. Eight draws are made for the totals of the two exchanges and four for the seating itself; made
     # from the start for each total they are 24.
     rng = random.Random(4)
     rows = [(i, " ".join(f"w{rng.randrange(40)}" for _ in range(200))) for i in range(200)]
+    rows += [(i, "same pair " * 100) for i in range(200, 210)]  # two split pairs, drawn once each
     tokens = [["<", *t.split(), ">"] for _, t in rows]
     pairs = {p for t in tokens for p in zip(t, t[1:])}
     plain, log = hpylm.sample_tables, tmp_path / "drawn"
@@ -214,7 +215,7 @@ def test_lm_draws_of_split_words_are_not_made_again(spark, monkeypatch, tmp_path
     finally:
         cloudpickle.unregister_pickle_by_value(hpylm)
     drawn = sum(map(int, log.read_text().split()))
-    assert 10 * len(pairs) < drawn < 13 * len(pairs)
+    assert 11 * len(pairs) < drawn < 13 * len(pairs)
 
 
 def test_lm_draw_given_totals_needs_no_other_draw():
@@ -224,13 +225,16 @@ def test_lm_draw_given_totals_needs_no_other_draw():
     parent, owner = rng.random(3000) / 3000, np.repeat(np.arange(60), 50)
     seats, totals = np.bincount(owner, train), [np.bincount(owner, np.minimum(train, 1)) + 3 * k for k in range(5)]
     of = lambda step: np.random.default_rng([7, step])
-    shared = ([np.argmax(train)], [0], 5)
-    draw = lambda k, heads, shared, **how: hpylm.seat(train[k], heads, parent[k], seats, totals, 0.6, of, 4, shared=shared, **how)
-    tables, mean = draw(np.arange(3000), heads, shared, averaged=True)
-    late, late_mean = draw(np.arange(3000), heads, shared, averaged=True, begin=hpylm.BURN_IN)
-    assert (late == tables).all() and (late_mean == mean).all()
-    k = np.flatnonzero(train > 1)
-    last, _ = draw(k, np.searchsorted(k, heads), (np.searchsorted(k, shared[0]), [0], 5), begin=3)
+    most = np.argmax(train)
+    split = ([most], [np.array([x]) for x in (9, 5, 6, 7)])  # a pair that is drawn elsewhere
+    draw = lambda k, heads, **how: hpylm.seat(train[k], heads, parent[k], seats, totals, 0.6, of, 4, **how)
+    tables, mean = draw(np.arange(3000), heads, split=split, averaged=True)
+    late, late_mean = draw(np.arange(3000), heads, split=split, averaged=True, begin=hpylm.BURN_IN)
+    assert (late == tables).all() and (late_mean == mean).all() and tables[most] == 7
+    k = owner[most]
+    assert mean[most] == pytest.approx((train[most] - 0.6 * 6 + (hpylm.STRENGTH + 0.6 * np.mean([t[k] for t in totals[2:]])) * parent[most]) / (hpylm.STRENGTH + seats[k]))
+    k = np.flatnonzero((train > 1) & (np.arange(3000) != most))
+    last, _ = draw(k, np.searchsorted(k, heads), begin=3)
     assert (last == tables[k]).all() and (tables[train < 2] == train[train < 2]).all()
 
 
