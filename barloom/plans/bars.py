@@ -209,7 +209,7 @@ def quality_return_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(_spans_sql(BARS, "SELECT 'PRICE_OUTLIER_RANGE' AS incident_code, 'WARNING' AS severity, instrument_id, s, 1 AS n FROM bars WHERE (high - low) / low > 0.20", 1800))
 def quality_range_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return findings(quality.contiguous_spans(quality.range_outliers(bars_30m(spark, sf_dir)), 30))
+    return findings(quality.contiguous_spans(quality.range_outliers(bars_30m(spark, sf_dir), zero_low=True), 30))
 
 
 @query(
