@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barloom.functions.keys import deterministic_uuid
 from barloom.functions.values import canonical_json, dividend_factor, quantize, sha256, split_factors
 from barloom.operators.merge import asof_before
+from barloom.sources.shared import written
 
 _WIDE = "decimal(28,18)"
 
@@ -63,8 +64,9 @@ def confidence(claims: DataFrame, material: list[str]) -> DataFrame:
     return out.select("candidate_id", F.bround(F.col("_min").cast("decimal(10,8)"), 4).alias("confidence"), F.array_sort(F.array_except(need, F.col("_backed"))).alias("unclaimed"))
 
 
-# What a decision does to a candidate's state; anything else is refused.
-_MOVES = {("REVIEW_REQUIRED", "APPROVE"): "APPROVED", ("REVIEW_REQUIRED", "REJECT"): "REJECTED", ("APPROVED", "WITHDRAW"): "WITHDRAWN", ("APPROVED", "SUPERSEDE"): "SUPERSEDED"}
+# What a decision does to a candidate's state; anything else is refused. No state comes back, so a candidate moves at most
+# as often as there are rows of moves.
+_MOVES = [{("REVIEW_REQUIRED", "APPROVE"): "APPROVED", ("REVIEW_REQUIRED", "REJECT"): "REJECTED"}, {("APPROVED", "WITHDRAW"): "WITHDRAWN", ("APPROVED", "SUPERSEDE"): "SUPERSEDED"}]
 
 
 def review_fold(decisions: DataFrame) -> DataFrame:
@@ -74,28 +76,42 @@ def review_fold(decisions: DataFrame) -> DataFrame:
     content is STALE_CONTENT_HASH; the same sequence again with another delivery DELIVERY_ID_CONFLICT (with the same one it
     is a repeat and does nothing); withdrawing what is not approved WITHDRAWAL_STATE_CONFLICT; superseding what is not
     approved SUPERSEDED_CANDIDATE_NOT_APPROVED; deciding anew what is decided CONFLICTING_REDECISION.
+
+    States only move forward, so each move is the first event that makes it after the move before: one aggregate a move, and
+    all other events are judged by themselves. Only the refusals of a candidate are put in order, for its text.
     """
-    ordered = F.array_sort(F.collect_list(F.struct("aggregate_sequence", "delivery_id", "decision", (F.col("content_hash") == F.col("expected_hash")).alias("fresh"))))
-
-    def step(acc: Column, e: Column) -> Column:
-        again = acc["seq"].eqNullSafe(e["aggregate_sequence"])
-        moved = F.coalesce(*[F.when((acc["state"] == a) & (e["decision"] == d), F.lit(to)) for (a, d), to in _MOVES.items()])
-        refusal = (
-            F.when(again & (acc["delivery"] == e["delivery_id"]), F.lit(""))
-            .when(again, F.lit("DELIVERY_ID_CONFLICT"))
-            .when(~e["fresh"], F.lit("STALE_CONTENT_HASH"))
-            .when(moved.isNotNull(), F.lit(None))
-            .when(e["decision"] == "WITHDRAW", F.lit("WITHDRAWAL_STATE_CONFLICT"))
-            .when(e["decision"] == "SUPERSEDE", F.lit("SUPERSEDED_CANDIDATE_NOT_APPROVED"))
-            .otherwise(F.lit("CONFLICTING_REDECISION"))
-        )
-        state = F.when(refusal.isNull(), moved).otherwise(acc["state"])
-        log = F.when(F.length(refusal) > 0, F.concat(acc["refusals"], F.array(F.concat_ws(":", e["aggregate_sequence"].cast("string"), refusal)))).otherwise(acc["refusals"])
-        return F.struct(state.alias("state"), e["aggregate_sequence"].alias("seq"), e["delivery_id"].alias("delivery"), log.alias("refusals"))
-
-    start = F.struct(F.lit("REVIEW_REQUIRED").alias("state"), F.lit(None).cast("bigint").alias("seq"), F.lit(None).cast("string").alias("delivery"), F.array().cast("array<string>").alias("refusals"))
-    out = decisions.groupBy("candidate_id").agg(F.aggregate(ordered, start, step).alias("r"))
-    return out.select("candidate_id", F.col("r.state").alias("state"), F.array_join("r.refusals", ",").alias("refusals"))
+    w = Window.partitionBy("candidate_id", "aggregate_sequence").orderBy("delivery_id", "decision", "fresh")
+    e = decisions.withColumn("fresh", F.col("content_hash") == F.col("expected_hash")).select("candidate_id", "aggregate_sequence", "decision", "fresh", "delivery_id")
+    again = (F.col("_n") > 1) | F.col("aggregate_sequence").isNull()
+    e = e.withColumns({"_n": F.row_number().over(w), "_before": F.lag("delivery_id").over(w)}).withColumn("_again", again)
+    e = written(e.withColumn("_repeat", F.coalesce(F.col("_again") & (F.col("_before") == F.col("delivery_id")), F.lit(False))).drop("_before", "delivery_id"), "decisions")
+    counts = ~F.col("_again") & F.coalesce("fresh", F.lit(True))
+
+    states = e.select(F.col("candidate_id").alias("_id")).distinct().withColumns({"state": F.lit("REVIEW_REQUIRED"), "_moves": F.array().cast("array<bigint>")})
+    same = F.col("candidate_id").eqNullSafe(F.col("_id"))
+    for moves in _MOVES:
+        to = F.coalesce(*[F.when((F.col("state") == a) & (F.col("decision") == d), F.lit(to)) for (a, d), to in moves.items()])
+        after = F.coalesce(F.col("aggregate_sequence") > F.try_element_at("_moves", F.lit(-1)), F.lit(True)) if moves is not _MOVES[0] else F.lit(True)
+        first = e.where(counts).join(states, same).withColumn("_to", to).where(F.col("_to").isNotNull() & after)
+        first = first.groupBy("candidate_id").agg(F.min("aggregate_sequence").alias("_at"), F.min_by("_to", "aggregate_sequence").alias("_to"))
+        j = states.join(first, same, "left")
+        states = j.select("_id", F.coalesce("_to", "state").alias("state"), F.when(F.col("_at").isNotNull(), F.array_append("_moves", F.col("_at"))).otherwise(F.col("_moves")).alias("_moves"))
+
+    refusal = (
+        F.when(F.col("_repeat"), F.lit(None))
+        .when(F.col("_again"), "DELIVERY_ID_CONFLICT")
+        .when(~F.col("fresh"), "STALE_CONTENT_HASH")
+        .when(F.array_contains("_moves", F.col("aggregate_sequence")), F.lit(None))
+        .when(F.col("decision") == "WITHDRAW", "WITHDRAWAL_STATE_CONFLICT")
+        .when(F.col("decision") == "SUPERSEDE", "SUPERSEDED_CANDIDATE_NOT_APPROVED")
+        .otherwise("CONFLICTING_REDECISION")
+    )
+    states = written(states, "states")
+    refused = e.join(states, same).withColumn("_why", refusal).where("_why IS NOT NULL")
+    text = F.struct("aggregate_sequence", "_n", F.concat_ws(":", F.col("aggregate_sequence").cast("string"), "_why").alias("text"))
+    log = refused.groupBy("candidate_id").agg(F.array_sort(F.collect_list(text))["text"].alias("_log"))
+    out = states.join(log, same, "left")
+    return out.select(F.col("_id").alias("candidate_id"), "state", F.coalesce(F.array_join("_log", ","), F.lit("")).alias("refusals"))
 
 
 def factors(actions: DataFrame, raw_bars: DataFrame) -> DataFrame:
