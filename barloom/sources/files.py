@@ -132,10 +132,12 @@ def migrate_legacy(files: DataFrame, instruments: DataFrame, path_column: str =
     return files.join(found, path_column), lost
 
 
-def write_series(values: DataFrame, path: str) -> None:
-    """Feature values by definition and instrument, in order of time."""
-    v = values.repartition("definition_id", "instrument_id").sortWithinPartitions("definition_id", "instrument_id", "bar_start_at")
-    v.write.option("compression", "zstd").partitionBy("definition_id", "instrument_id").parquet(path)
+def write_series(values: DataFrame, path: str, shards: int = 64) -> None:
+    """Feature values by definition and shard, each file in order of instrument and time: the number of files does not grow
+    with the instruments, and one instrument is a few row groups of one file."""
+    v = values.withColumn("shard", shard_key("instrument_id", shards)).repartition("definition_id", "shard")
+    v = v.sortWithinPartitions("definition_id", "shard", "instrument_id", "bar_start_at")
+    v.write.option("compression", "zstd").partitionBy("definition_id", "shard").parquet(path)
 
 
 def series_facts(values: DataFrame) -> DataFrame:

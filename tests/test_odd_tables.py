@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from barloom.plans import registry
+from barloom.sources import files
 from test_queries import norm
 
 
@@ -50,3 +51,11 @@ def test_a_backfill_takes_bars_at_zero(spark, tmp_path):
     e = events(spark, event_rows([10.0, 0.0, 3.0, 4.0, 5.0, 6.0, 7.0, 0.0, 5.0, 5.0, 5.0, 0.0, 9.0, 9.0], start="2024-01-09 15:00:00"))
     got = same_as_sql(spark, tmp_path, "backfill_job", events=e)
     assert {k[-2] for k in got} == {"SUCCEEDED", "FAILED"}
+
+
+def test_files_of_series_do_not_grow_with_instruments(spark, tmp_path):
+    v = spark.range(600).select(F.lit("sma").alias("definition_id"), F.concat(F.lit("I"), (F.col("id") % 200).cast("string")).alias("instrument_id"), F.timestamp_seconds(F.col("id") * 60).alias("bar_start_at"), F.col("id").cast("decimal(38,8)").alias("value"))
+    files.write_series(v, f"{tmp_path}/series")
+    back = spark.read.schema(v.schema).parquet(f"{tmp_path}/series").select(*v.columns)
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, v.collect()))
+    assert len(list(tmp_path.rglob("*.parquet"))) <= 64
