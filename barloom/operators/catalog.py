@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -194,29 +195,59 @@ def scanned_files(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").load(path).select("path", F.sha2("content", 256).alias("sha256"), F.col("length").alias("byte_size"))
 
 
+def _footer_rows(footer: bytes | None) -> int | None:
+    try:
+        return pq.read_metadata(pa.BufferReader(b"PAR1" + footer)).num_rows
+    except (pa.ArrowException, OSError, TypeError):
+        return None
+
+
+def _read_file(path: str, length: int) -> tuple[str, bytes | None]:
+    """(SHA-256, footer) of a file that a task reads in portions."""
+    digest, footer = hashlib.sha256(), None
+    with open(path, "rb") as f:
+        while part := f.read(1 << 20):
+            digest.update(part)
+        if length >= 12:
+            f.seek(length - 8)
+            size = int.from_bytes(f.read(4), "little")
+            if size + 12 <= length:
+                f.seek(length - 8 - size)
+                footer = f.read()
+    return digest.hexdigest(), footer
+
+
 def parquet_files(spark: SparkSession, path: str) -> DataFrame:
     """(path, sha256, byte_size, rows) of the files under a folder; rows as their footers say, null where there is no valid one.
 
-    Hashes and footers are cut out of the bytes in the JVM, so that only footers go to Python. Spark lists no empty files."""
+    Files of a folder that all machines share are read by tasks in portions, whatever their size. Of other storage, which
+    only Spark's reader can open, hashes and footers are cut out of the bytes in the JVM: a file is held whole there, and
+    can have 2 GB at most. Spark lists no empty files."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    kind = "path string, sha256 string, byte_size long, rows long"
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if root.getFileSystem(spark._jsc.hadoopConfiguration()).getUri().getScheme() == "file":
+
+        def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                paths, sizes = b.column("path").to_pylist(), b.column("length").to_pylist()
+                found = [_read_file("/" + p.removeprefix("file:").lstrip("/"), n) for p, n in zip(paths, sizes)]
+                yield pa.RecordBatch.from_arrays([b.column("path"), pa.array([h for h, _ in found], pa.string()), b.column("length"), pa.array([_footer_rows(x) for _, x in found], pa.int64())], ["path", "sha256", "byte_size", "rows"])
+
+        return files.select("path", "length").mapInArrow(read, kind)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = []
-            for footer in b.column("footer").to_pylist():
-                try:
-                    rows.append(pq.read_metadata(pa.BufferReader(b"PAR1" + footer)).num_rows)
-                except (pa.ArrowException, OSError, TypeError):
-                    rows.append(None)
+            rows = [_footer_rows(x) for x in b.column("footer").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(c) for c in ("path", "sha256", "byte_size")] + [pa.array(rows, pa.int64())], ["path", "sha256", "byte_size", "rows"])
 
     # The last eight bytes: how long the footer is, lowest byte first, and the mark of the format.
     at = lambda k: F.hex(F.expr(f"substring(content, CAST(length - {8 - k} + 1 AS INT), 1)"))
     size = F.conv(F.concat(at(3), at(2), at(1), at(0)), 16, 10).cast("long")
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     cut = F.expr("substring(content, CAST(greatest(length - 8 - size, 0) + 1 AS INT), CAST(least(size + 8, length) AS INT))")
     footer = F.when((F.col("length") >= 12) & (F.col("size") + 12 <= F.col("length")), cut)
     small = files.withColumn("size", F.when(F.col("length") >= 12, size)).select("path", F.sha2("content", 256).alias("sha256"), F.col("length").alias("byte_size"), footer.alias("footer"))
-    return small.mapInArrow(run, "path string, sha256 string, byte_size long, rows long")
+    return small.mapInArrow(run, kind)
 
 
 #: Rows and instants that are ordered at once where parts are cut.

@@ -2,10 +2,12 @@
 
 import collections
 import datetime as dt
+import hashlib
 
 import pytest
 from pyspark.sql import functions as F
 
+from barloom.operators import catalog
 from barloom.plans import registry
 from barloom.sources import files
 from test_queries import norm
@@ -59,3 +61,15 @@ def test_files_of_series_do_not_grow_with_instruments(spark, tmp_path):
     back = spark.read.schema(v.schema).parquet(f"{tmp_path}/series").select(*v.columns)
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, v.collect()))
     assert len(list(tmp_path.rglob("*.parquet"))) <= 64
+
+
+def test_files_are_read_in_portions(spark, tmp_path):
+    """A file that is larger than one row of Spark may be is hashed; only its first and last bytes are on the disk."""
+    with open(tmp_path / "large.bin", "wb") as f:
+        f.truncate((1 << 31) + 5)
+    (r,) = catalog.parquet_files(spark, str(tmp_path)).collect()
+    digest = hashlib.sha256()
+    for _ in range(1 << 11):
+        digest.update(bytes(1 << 20))
+    digest.update(bytes(5))
+    assert (r["byte_size"], r["rows"], r["sha256"]) == ((1 << 31) + 5, None, digest.hexdigest())
