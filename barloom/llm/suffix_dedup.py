@@ -239,15 +239,39 @@ def _read(n: int):
     return run
 
 
+def _repeated(raw: np.ndarray, lens: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(segment, first byte, byte after the last) of the runs of strings of LENGTH bytes whose hash stands in a shard at least
+    twice. Strings of other hashes have no equal one in the shard, which has all strings of its anchors."""
+    n = len(raw)
+    p, q = powers(n + 1)
+    sums = np.zeros(n + 1, np.uint64)
+    np.cumsum(_VALUE[raw] * p[:n], out=sums[1:])
+    segment, ends = np.repeat(np.arange(len(lens)), lens), np.cumsum(lens)
+    at = np.flatnonzero(np.arange(n) + LENGTH <= ends[segment])
+    g = mixed((sums[at + LENGTH] - sums[at]) * q[at])
+    order = np.argsort(g)
+    same = g[order[1:]] == g[order[:-1]]
+    twice = np.zeros(len(at), bool)
+    twice[order[1:][same]] = twice[order[:-1][same]] = True
+    at = at[twice]
+    return _merged(segment[at], at, at + LENGTH)
+
+
 def _sort(table: pa.Table) -> pa.Table:
     """A shard: its suffixes in order, and marks for every string of LENGTH bytes that has an equal one before it, with
-    the marks that came along."""
+    the marks that came along. Bytes of no string whose hash stands twice are left out of the order."""
     came = table.filter(table["mark"]).select(["id", "hash", "data"])
     table = table.filter(pc.invert(table["mark"]))
     if not len(table):
         return came
     join = lambda c, k: np.frombuffer(b"".join(table[c].to_pylist()), k)
     raw, lens, ids, hashes, starts = join("bytes", np.uint8), join("lens", "<u4").astype(np.int64), join("ids", "<i8"), join("hashes", "<i8"), join("starts", "<i8")
+    of, lo, hi = _repeated(raw, lens)
+    if not len(of):
+        return came
+    starts = starts[of] + lo - (np.cumsum(lens) - lens)[of]
+    ids, hashes, lens = ids[of], hashes[of], hi - lo
+    raw = raw[np.repeat(lo - np.cumsum(lens) + lens, lens) + np.arange(int(lens.sum()))]
     begin = np.cumsum(lens + 1) - lens - 1
     text = np.zeros(int((lens + 1).sum()), np.int16)
     segment = np.repeat(np.arange(len(lens)), lens + 1)
